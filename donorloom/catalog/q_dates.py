@@ -183,9 +183,12 @@ def b07(spark, d):
 
 
 @query("b07_registered_channel_rules", with_views("gift") + """
-SELECT gift_id, CASE WHEN channel LIKE '%DM%' THEN 'x' WHEN channel LIKE '%EDI%' THEN 'Other' ELSE 'Other' END AS channel FROM gift""")
+SELECT gift_id, CASE WHEN gift_type = 'F' AND channel = '1-URGENT' THEN 'Other' WHEN gift_type = 'F' THEN 'Direct Mail' WHEN gift_type = 'O' THEN 'Solicitation' ELSE 'Event' END AS channel FROM gift""")
 def b07b(spark, d):
-    g = tables.gifts(spark, d).withColumnRenamed("channel", "appeal_id")
+    # Codes carry several marks, so the order of the rules shows; urgent gifts of one type have no code.
+    marks = F.when(F.col("gift_type") == "F", F.when(F.col("channel") != "1-URGENT", "DM01")).when(
+        F.col("gift_type") == "O", "DM-SOL").otherwise("SOLDMEV")
+    g = tables.gifts(spark, d).withColumn("appeal_id", marks).drop("channel")
     return channel_from_appeal(g).select("gift_id", "channel")
 
 
@@ -229,7 +232,7 @@ def b12(spark, d):
 @query("b14_b16_appeal_rules", with_views("code") + """
 SELECT part_id, CASE WHEN campaign_code IN ('B11', 'B12') THEN NULL WHEN length(campaign_code) IN (3, 4) AND substr(campaign_code, 1, 1) = 'B' THEN 'US Appeal'
     WHEN upper(campaign_code) = 'B2' THEN 'Online' END AS program,
-  CASE WHEN (length(campaign_code) IN (3, 4) AND substr(campaign_code, 1, 1) IN ('B', 'C')) OR campaign_name LIKE '%zzz%' OR campaign_code LIKE '%9%' THEN 'FuseDM' ELSE 'Other' END AS program_filter,
+  CASE WHEN (length(campaign_code) IN (3, 4) AND substr(campaign_code, 1, 1) IN ('B', 'C')) OR campaign_code LIKE '%9%' THEN 'FuseDM' ELSE 'Other' END AS program_filter,
   CASE WHEN length(source_code) = 7 AND substr(source_code, 1, 1) = 'B' THEN 'Acq' ELSE 'NonAcq' END AS acquisition FROM code""")
 def b14(spark, d):
     c = F.col("campaign_code")

@@ -35,7 +35,7 @@ def donor_profile(gifts: DataFrame, donor: str, date: str, amount: str, major: f
     out = gifts.groupBy(donor).agg(
         F.min(d).alias("first_gift_date"), F.max(d).alias("last_gift_date"), F.count(d).alias("gifts"),
         F.min(a).alias("min_gift_amount"), F.max(a).alias("max_gift_amount"),
-        (F.sum(a) / F.count(a)).alias("donor_average_gift"),
+        (F.sum(a).cast("double") / F.count(a)).alias("donor_average_gift"),
         F.min(big).alias("min_major_gift_date"), F.max(big).alias("max_major_gift_date"))
     years = lifespan(F.col("first_gift_date"), F.col("last_gift_date"))
     return out.withColumns({
@@ -208,9 +208,9 @@ def giving_before(
         "last_day": F.last(F.when(F.col("n") > 0, F.col("day")), ignorenulls=True).over(before),
         "last_amount": F.last("latest", ignorenulls=True).over(before),
     })
-    year = F.expr("sum(total) OVER (PARTITION BY donor ORDER BY day "
-                  "RANGE BETWEEN INTERVAL '1' YEAR PRECEDING AND INTERVAL '1' DAY PRECEDING)")
-    line = line.withColumn("cume12", F.coalesce(year, F.lit(0)))
+    # The frame ends on the day itself, whose own gifts do not count.
+    year = F.expr("sum(total) OVER (PARTITION BY donor ORDER BY day RANGE BETWEEN INTERVAL '1' YEAR PRECEDING AND CURRENT ROW)")
+    line = line.withColumn("cume12", F.coalesce(year, F.lit(0)) - F.coalesce("total", F.lit(0)))
     return line.filter("probe").select(
         F.col("donor").alias(donor), F.col("day").alias(mail_date), "cume12", "count_before",
         F.coalesce("top_before", F.lit(0)).alias("highest"), F.coalesce("last_amount", F.lit(0)).alias("latest_amount"),

@@ -149,18 +149,13 @@ def whitemail_rows(codes: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Add one ``Whitemail`` row for each campaign that is not a source code itself."""
     absent = codes.join(codes.select(F.col("source_code").alias("campaign_code")).distinct(),
                         "campaign_code", "left_anti").filter(F.col("campaign_code").isNotNull())
-    first = keep_first(absent.select("campaign_code", "campaign_name", "mail_date", *_extra(order)),
-                       ["campaign_code"], order)
+    first = keep_first(absent, ["campaign_code"], order)
     rows = first.select(
         F.col("campaign_code").alias("source_code"), "campaign_code", "campaign_name",
         F.lit("Whitemail").alias("package_name"), F.lit("Whitemail").alias("package_code"), "mail_date")
     return codes.unionByName(rows, allowMissingColumns=True)
 
 
-def _extra(order: Sequence[Column]) -> list[Column]:
-    return [o.alias(f"_order{i}") for i, o in enumerate(order)]
-
-
 def backfill(df: DataFrame, side: DataFrame, key: str, values: Mapping[str, str]) -> DataFrame:
     """Fill nulls of target columns from a side table (one row per key): {target: side column}."""
     picked = side.select(key, *[F.col(s).alias(f"_f_{t}") for t, s in values.items()])
