@@ -324,7 +324,7 @@ def x13(spark, d):
 
 CURVE_VIEWS = """
 m0 AS (SELECT campaign_code || '-' || year(mail_date) AS campaign, mail_date AS d, revenue FROM mail),
-m1 AS (SELECT campaign, min(d) AS md, CAST(sum(revenue) AS DOUBLE) AS budget FROM m0 GROUP BY 1),
+m1 AS (SELECT campaign, min(d) AS md, sum(revenue) AS budget FROM m0 GROUP BY 1),
 dl AS (SELECT campaign, CAST(date_diff('day', md, d) AS BIGINT) AS x FROM m0 JOIN m1 USING (campaign)),
 st AS (SELECT campaign, CAST(count(*) AS DOUBLE) AS n, CAST(sum(x) AS DOUBLE) AS s1, CAST(sum(x * x) AS DOUBLE) AS s2 FROM dl GROUP BY 1),
 mv AS (SELECT campaign, n, s1 / n AS mean, (s2 - CAST(s1 AS DOUBLE) * s1 / n) / (n - 1) AS var FROM st WHERE n > 1),
@@ -396,18 +396,20 @@ def flows(spark, d):
     return response_curve.cash_flow(fits.join(sent, "campaign"), "campaign", "mail_date", "budget"), sent
 
 
-@query("x16_cash_flow", with_views("mail", more=FLOW_VIEWS) + "SELECT campaign, CAST(month AS VARCHAR) AS month, round((c1 - c0) * budget, 2) + 0.0 AS amount FROM b3")
+@query("x16_cash_flow", with_views("mail", more=FLOW_VIEWS) + """
+SELECT campaign, CAST(month AS VARCHAR) AS month, CAST(CAST(round(c1 - c0, 6) AS DECIMAL(9,6)) AS DOUBLE) AS share,
+  CAST(CAST(budget AS DECIMAL(18,2)) * CAST(round(c1 - c0, 6) AS DECIMAL(9,6)) AS DOUBLE) AS amount FROM b3""")
 def x16(spark, d):
-    return flows(spark, d)[0].withColumn("amount", F.round("amount", 2) + F.lit(0.0))
+    return flows(spark, d)[0]
 
 
 @query("x16_monthly_totals", with_views("mail", more=FLOW_VIEWS + """,
-t AS (SELECT month, sum((c1 - c0) * budget) AS total FROM b3 GROUP BY 1),
+t AS (SELECT month, sum(CAST(budget AS DECIMAL(18,2)) * CAST(round(c1 - c0, 6) AS DECIMAL(9,6))) AS total FROM b3 GROUP BY 1),
 sp AS (SELECT CAST(unnest(generate_series(date_trunc('month', min(md)), CAST(max(md) + INTERVAL 12 MONTH AS DATE), INTERVAL 1 MONTH)) AS DATE) AS month FROM m1)""") + """
-SELECT CAST(month AS VARCHAR) AS month, round(coalesce(total, 0), 1) AS total FROM sp LEFT JOIN t USING (month)""")
+SELECT CAST(month AS VARCHAR) AS month, CAST(coalesce(total, 0) AS DOUBLE) AS total FROM sp LEFT JOIN t USING (month)""")
 def x16b(spark, d):
     flow, sent = flows(spark, d)
-    return response_curve.monthly_totals(flow, month_spine(sent, "mail_date")).withColumn("total", F.round("total", 1))
+    return response_curve.monthly_totals(flow, month_spine(sent, "mail_date"))
 
 
 @query("x17_campaign_counts", with_views("mail") + 'SELECT campaign_code, count(*) AS "count", CAST(min(mail_date) AS VARCHAR) AS first_mail_date FROM mail GROUP BY 1')

@@ -53,7 +53,8 @@ def average_curve(fits: DataFrame) -> DataFrame:
 def log_gamma(a: Column) -> Column:
     """Stirling's series, shifted up by eight."""
     z = a + 8
-    series = 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z)
+    r = 1 / (z * z)
+    series = (F.lit(1 / 12) - r * (F.lit(1 / 360) - r * (F.lit(1 / 1260) - r * (F.lit(1 / 1680) - r / 1188)))) / z
     product = F.lit(1.0)
     for k in range(8):
         product = product * (a + k)
@@ -84,7 +85,8 @@ def curve_table(params: DataFrame, name: str, last_day: int = 340) -> DataFrame:
 def cash_flow(campaigns: DataFrame, campaign: str, mail_date: str, budget: str, months: int = 12) -> DataFrame:
     """Budget of each campaign spread over the mail month and the months after it.
 
-    ``campaigns`` has shape, loc and scale beside the date and budget.
+    ``campaigns`` has shape, loc and scale beside the date and budget. Monthly
+    shares have six decimals and amounts are decimals, so sums are exact.
     """
     days = campaigns.withColumn("_days", days_in_following_months(F.col(mail_date), months))
     upto = F.transform(F.sequence(F.lit(1), F.lit(months)), lambda i: F.aggregate(
@@ -92,22 +94,23 @@ def cash_flow(campaigns: DataFrame, campaign: str, mail_date: str, budget: str,
     rows = days.select("*", F.posexplode(upto).alias("_i", "_to"))
     rows = rows.withColumn("_from", F.col("_to") - F.element_at("_days", F.col("_i") + 1))
     cdf = lambda c: gamma_cdf(F.col(c).cast("double"), F.col("shape"), F.col("loc"), F.col("scale"))
+    share = F.round(cdf("_to") - cdf("_from"), 6).cast("decimal(9,6)")
     return rows.select(
-        campaign, F.add_months(F.trunc(mail_date, "month"), F.col("_i")).alias("month"),
-        ((cdf("_to") - cdf("_from")) * F.col(budget).cast("double")).alias("amount"))
+        campaign, F.add_months(F.trunc(mail_date, "month"), F.col("_i")).alias("month"), share.alias("share"),
+        (F.col(budget).cast("decimal(18,2)") * share).alias("amount"))
 
 
 def monthly_totals(flow: DataFrame, spine: DataFrame) -> DataFrame:
     """Every month of the spine with the sum over campaigns."""
     sums = flow.groupBy("month").agg(F.sum("amount").alias("total"))
-    return spine.join(sums, "month", "left").select("month", F.coalesce("total", F.lit(0.0)).alias("total"))
+    return spine.join(sums, "month", "left").select("month", F.coalesce("total", F.lit(0)).alias("total"))
 
 
 def flow_table(flow: DataFrame, campaign: str, campaigns: Sequence[str]) -> DataFrame:
     """Months by campaigns, with the monthly total."""
     wide = flow.groupBy("month").pivot(campaign, list(campaigns)).agg(F.sum("amount"))
-    cells = [F.coalesce(F.col(f"`{c}`"), F.lit(0.0)) for c in campaigns]
-    total = F.lit(0.0)
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in campaigns]
+    total = F.lit(0)
     for cell in cells:
         total = total + cell
     return wide.select("month", *[cell.alias(c) for cell, c in zip(cells, campaigns)], total.alias("monthly_total"))

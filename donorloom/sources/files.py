@@ -16,20 +16,23 @@ BAD_LINE = "_bad_line"
 
 def read_delimited(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "ISO-8859-1",
-    delimiter: str = ",", quote: str = '"', escape: str = "\\",
+    delimiter: str = ",", quote: str = '"', escape: str = "\\", header: bool = True, glob: str | None = "*.csv*",
 ) -> DataFrame:
-    """All CSV files of a folder as text columns, with broken lines in ``_bad_line``.
+    """All CSV files of a folder as text columns, with lines that do not fit in ``_bad_line``.
 
     ``columns`` is the header in file order; without it Spark reads the header
     of one file. Files with different headers are read one folder at a time and
     joined by ``union_all``. A byte-order mark is removed from the first name.
     """
-    reader = (spark.read.option("header", True).option("encoding", encoding).option("sep", delimiter)
-              .option("quote", quote).option("escape", escape).option("mode", "PERMISSIVE")
-              .option("pathGlobFilter", "*.csv*").option("enforceSchema", True))
+    reader = (spark.read.option("header", header).option("encoding", encoding).option("sep", delimiter)
+              .option("quote", quote).option("escape", escape).option("mode", "PERMISSIVE"))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     names = list(columns) if columns is not None else [plain_header(c) for c in reader.csv(path).columns]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names] + [T.StructField(BAD_LINE, T.StringType())])
-    return reader.schema(schema).option("columnNameOfCorruptRecord", BAD_LINE).csv(path)
+    lines = reader.schema(schema).option("columnNameOfCorruptRecord", BAD_LINE).csv(path)
+    # Spark refuses to read the raw line alone; this always-true filter keeps one field in every plan.
+    return lines.filter(F.length(F.concat_ws("", F.col(f"`{names[0]}`"), F.col(BAD_LINE))) >= 0)
 
 
 def plain_header(name: str) -> str:
@@ -39,13 +42,20 @@ def plain_header(name: str) -> str:
     return name.strip().strip('"')
 
 
-def good_lines(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+def _too_long(df: DataFrame, delimiter: str) -> Column:
+    """The line has more fields than the header. Shorter lines are only incomplete."""
+    unquoted = F.regexp_replace(BAD_LINE, '"[^"]*"', "")
+    fields = F.size(F.split(unquoted, "\\Q" + delimiter + "\\E", -1))
+    return F.coalesce(fields > len(df.columns) - 1, F.lit(False))
 
 
-def bad_lines(df: DataFrame) -> DataFrame:
-    """Quarantine: the raw text of lines that do not fit the header."""
-    return df.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE)
+def good_lines(df: DataFrame, delimiter: str = ",") -> DataFrame:
+    return df.filter(~_too_long(df, delimiter)).drop(BAD_LINE)
+
+
+def bad_lines(df: DataFrame, delimiter: str = ",") -> DataFrame:
+    """Quarantine: the raw text of lines with too many fields."""
+    return df.filter(_too_long(df, delimiter)).select(BAD_LINE)
 
 
 def lenient_date(col: Column, formats: Sequence[str] = ("yyyy-MM-dd", "M/d/yyyy")) -> Column:
@@ -59,7 +69,7 @@ def collect_transactions(
     header: Sequence[str] | None = None, encoding: str = "ISO-8859-1", delimiter: str = ",",
 ) -> DataFrame:
     """Folder of transaction files: read, rename, keep configured columns, parse the date."""
-    df = good_lines(read_delimited(spark, path, header, encoding, delimiter)).withColumnsRenamed(dict(renames))
+    df = good_lines(read_delimited(spark, path, header, encoding, delimiter), delimiter).withColumnsRenamed(dict(renames))
     df = df.select(*[c for c in columns if c in df.columns])
     return df.withColumn(date, lenient_date(F.col(date))) if date in df.columns else df
 
