@@ -65,7 +65,7 @@ SELECT donor_id, yr, o AS "offset", '{period}' AS period, strftime(start_date, '
 def lifecycle(period):
     def run(spark, d):
         lo, hi = ENDS[period]
-        return file_health.lifecycle_groups(client_gifts(spark, d), period, day(lo), day(hi), START).drop("client")
+        return file_health.lifecycle_groups(tables.gifts(spark, d), "ACME", period, day(lo), day(hi), START).drop("client")
     return run
 
 

@@ -68,7 +68,7 @@ def f07(spark, d):
     e = tables.recurring(spark, d).withColumn("amount", (F.floor(F.col("gift_amount") / 50) * sign).cast("long"))
     e = e.select("gift_id", "donor_id", "amount")
     # Event ids rise in row order, so blocks of ids are neighbours in the numbering.
-    return filters.offset_pairs(e, "donor_id", "amount", ["gift_id"], F.shiftright("gift_id", 20))
+    return filters.offset_pairs(e, "donor_id", "amount", ["gift_id"], [F.shiftright("gift_id", 20)])
 
 
 @query("f08_suppression_pipeline", with_views("gift", more=HOLES) + """

@@ -46,12 +46,12 @@ def starts_with(df: DataFrame, col: str, values: Sequence[str], include: bool =
     return keep(df, starts_any(F.col(col), values), include)
 
 
-def offset_pairs(df: DataFrame, col: str, amount: str, order: Sequence[str], bucket: Column) -> DataFrame:
+def offset_pairs(df: DataFrame, col: str, amount: str, order: Sequence[str], buckets: Sequence[Column]) -> DataFrame:
     """Remove equal numbers of +X and -X rows within one id, the earliest of each sign first.
 
-    ``order`` is the row order and ``bucket`` a coarse form of its first column
-    (a day, a block of row numbers), so that an id with very many rows is not
-    numbered in one task. Rows without an id are never removed.
+    ``order`` is the row order and ``buckets`` are coarse forms of it (a day, a
+    block of row numbers), so that an id with very many rows is not numbered in
+    one task. Rows without an id are never removed.
     """
     # The numbering needs keys without nulls; rows that cannot pair pass by.
     can_pair = sure(F.col(col).isNotNull() & (F.col(amount) != 0))
@@ -59,7 +59,7 @@ def offset_pairs(df: DataFrame, col: str, amount: str, order: Sequence[str], buc
         "_size": F.abs(F.col(amount)), "_sign": F.signum(F.col(amount).cast("double")).cast("int")})
     signs = rows.groupBy(col, "_size").agg(
         F.least(F.count_if(F.col("_sign") > 0), F.count_if(F.col("_sign") < 0)).alias("_pairs"))
-    numbered = number_rows(rows, [col, "_size", "_sign"], bucket, [F.col(c) for c in order], "_nth")
+    numbered = number_rows(rows, [col, "_size", "_sign"], buckets, [F.col(c) for c in order], "_nth")
     kept = numbered.join(signs, [col, "_size"], "left").filter(F.col("_nth") > F.col("_pairs"))
     return kept.select(df.columns).unionByName(df.filter(~can_pair))
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from donorloom.operators.scale import keep_first, keep_last, running_last
+from donorloom.operators.scale import first_value, keep_first, keep_last, running_last
 
 
 def outer_with_codes(gifts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
@@ -72,7 +72,7 @@ def curated_code_key(gifts: DataFrame, codes: DataFrame, tie: Sequence[Column])
         {k: text(c) for k, c in parts.items()} | {"k_fy": text("gift_fy")})
 
     def lookup(frame: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-        return keep_first(frame, keys, tie).select(*keys, F.col("sc_key_curated").alias(name))
+        return frame.groupBy(*keys).agg(first_value("sc_key_curated", tie).alias(name))
 
     every = [*parts, "k_fy"]
     found = rows.select(*every).distinct()

@@ -7,7 +7,8 @@ operators in this package do not use one on raw rows. They use these instead:
   key shrinks to one row per map task before the shuffle.
 * ``number_rows``: row numbers inside a key, computed per (key, bucket) where
   the bucket follows the sort order (usually the calendar day), plus offsets
-  from a window over the small table of bucket counts.
+  from a window over the small table of bucket counts. Buckets that are still
+  too large are split by the next column of the sort order.
 * ``attach``: one shuffled join that brings per-key values back to the rows.
   AQE splits the hot side of such a join; a window cannot be split.
 * ``dense_index``: consecutive numbers over a whole table without one task.
@@ -25,6 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BIG_RANGE_BUCKETS = 4096
+HOT_GROUP = 1_000_000
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -104,29 +106,40 @@ def attach(df: DataFrame, values: DataFrame, keys: Sequence[str], null_safe: boo
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],
-    bucket: Column,
+    buckets: Sequence[Column],
     order: Sequence[Column],
     name: str,
+    limit: int = HOT_GROUP,
 ) -> DataFrame:
     """Row number inside ``keys``, counting from 1.
 
-    ``bucket`` must rise with ``order`` (equal buckets are neighbours in the
-    sort). A window sees one (key, bucket) group at a time; the offset of a
-    bucket is a running sum over the per-bucket counts of its key, a table with
-    one row per (key, bucket). The join and the window share one shuffle of the
-    rows. Keys and buckets must not be null.
+    ``buckets`` are coarse forms of the sort order, outermost first (day, then
+    amount, ...); each must rise along ``order`` inside the ones before it. A
+    window sees one (key, first bucket) group at a time. A bucket's offset is a
+    running sum over the bucket counts of its key, a table with one row per
+    (key, bucket). Groups of more than ``limit`` rows are numbered by the next
+    bucket; where there are none, that branch is empty at run time and AQE drops
+    it. The join and the window share one shuffle of the rows. Keys and buckets
+    must not be null.
     """
-    rows = df.withColumn("_bucket", bucket)
-    counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.partitionBy(*keys).orderBy(F.col("_bucket").asc_nulls_last()).rowsBetween(
-        W.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = W.partitionBy(*keys, "_bucket").orderBy(*order)
-    return (
-        attach(rows, offsets, [*keys, "_bucket"])
-        .withColumn(name, F.row_number().over(inside).cast("long") + F.col("_offset"))
-        .drop("_bucket", "_offset")
-    )
+    return _number(df, list(keys), list(buckets), order, name, limit, 0).select(*df.columns, name)
+
+
+def _number(df, keys, buckets, order, name, limit, level) -> DataFrame:
+    bucket = f"_bucket{level}"
+    skip, size = f"_skip{level}", f"_size{level}"
+    rows = df.withColumn(bucket, buckets[0])
+    group = [*keys, bucket]
+    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias(size))
+    before = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select(*group, size, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(skip))
+    inside = F.row_number().over(W.partitionBy(*group).orderBy(*order)).cast("long")
+    if len(buckets) == 1:
+        return rows.join(offsets, group).withColumn(name, inside + F.col(skip))
+    usual = rows.join(offsets.filter(F.col(size) <= limit), group).withColumn(name, inside + F.col(skip))
+    hot = rows.join(offsets.filter(F.col(size) > limit), group)
+    hot = _number(hot, group, buckets[1:], order, "_inner", limit, level + 1).withColumn(name, F.col("_inner") + F.col(skip))
+    return usual.select(*df.columns, name).unionByName(hot.select(*df.columns, name))
 
 
 def dense_index(df: DataFrame, order: Sequence[Column], name: str, start: int = 0) -> DataFrame:

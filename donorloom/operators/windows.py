@@ -20,8 +20,11 @@ UP_TO_HERE = (W.unboundedPreceding, W.currentRow)
 
 
 def gift_numbers(df: DataFrame, donor: str, date: str, amount: str, tie: str, name: str = "donor_gift_number") -> DataFrame:
-    """1, 2, ... per donor by date, larger amounts first on the same day."""
-    return number_rows(df, [donor], F.col(date), [F.col(date), F.col(amount).desc(), F.col(tie)], name)
+    """1, 2, ... per donor by date, larger amounts first on the same day.
+
+    Days with very many gifts of one donor are split by amount.
+    """
+    return number_rows(df, [donor], [F.col(date), -F.col(amount)], [F.col(date), F.col(amount).desc(), F.col(tie)], name)
 
 
 def first_gift_order(date: str, amount: str, tie: str) -> list[Column]:

@@ -57,55 +57,59 @@ def period_days(periods: DataFrame, last: int = 6, first_year: Column | None = N
     return days.withColumn("client_date", F.concat("client", F.lit("-"), F.date_format("date", "yyyy-MM-dd")))
 
 
-def _giving_years(gifts: DataFrame, period: str, periods: DataFrame, start_month: int) -> DataFrame:
-    """Distinct (client, donor, yr) with a gift inside a report period of that year."""
-    if period == "r12":
-        days = gifts.select("client", "donor_id", "gift_date").distinct()
-        spans = periods.groupBy("client").agg(
-            F.collect_list(F.struct("start_date", "end_date", "yr")).alias("_spans"))
-        hit = days.join(spans, "client").withColumn("_hit", F.explode(F.filter(
-            "_spans", lambda s: F.col("gift_date").between(s["start_date"], s["end_date"]))))
-        return hit.select("client", "donor_id", F.col("_hit.yr").alias("yr")).distinct()
-    years = gifts.select("client", "donor_id", period_year_of(period, F.col("gift_date"), start_month).alias("yr"))
-    return years.distinct().join(periods.select("client", "yr"), ["client", "yr"])
+def _period_numbers(date: Column, start: Column, end: Column) -> Column:
+    """Array of offsets of the yearly shifted periods that hold the date.
+
+    Shifting by whole years moves the calendar year by exactly that many, so
+    only offsets between the two year distances can fit; no join is needed.
+    """
+    candidates = F.sequence(F.year(date) - F.year(end), F.year(date) - F.year(start))
+    return F.filter(candidates, lambda o: date.between(F.add_months(start, o * 12), F.add_months(end, o * 12)))
 
 
 def lifecycle_groups(
-    gifts: DataFrame, period: str, start: Column, end: Column, start_month: int, last: int | None = 6,
+    gifts: DataFrame, client: str, period: str, start: Column, end: Column, start_month: int, last: int | None = 6,
 ) -> DataFrame:
-    """Group of every donor in each year from the first gift on.
+    """Group of each of a client's donors in each year from the first gift on.
 
-    ``gifts`` has client, donor_id, gift_date and gift_amount; ``start`` and
-    ``end`` delimit the newest period.
+    ``gifts`` has donor_id, gift_date and gift_amount; ``start`` and ``end``
+    delimit the newest period. Gifts are shuffled once, to become one row per
+    donor with its set of years; the years then unfold inside the same partitions.
     """
-    gifts = gifts.filter(F.coalesce(F.col("gift_amount"), F.lit(0)) > 0)
-    periods = report_periods(gifts, period, start, end, start_month)
-    given = _giving_years(gifts, period, periods, start_month)
-
-    # Years in which each donor is on file. A client's list of years is one short array.
-    known = client_years(gifts, period, start_month).groupBy("client").agg(
-        F.array_sort(F.collect_set("yr")).alias("_years"))
-    first = gifts.groupBy("client", "donor_id").agg(
-        period_year_of(period, F.min("gift_date"), start_month).alias("_first"))
-    on_file = first.join(known, "client").select(
-        "client", "donor_id", F.explode(F.filter("_years", lambda y: y >= F.col("_first"))).alias("yr")
-    ).join(periods.select("client", "yr"), ["client", "yr"], "left_semi")
-
-    line = on_file.select("client", "donor_id", "yr", F.lit(1).alias("listed"), F.lit(0).alias("gave")).unionByName(
-        given.select("client", "donor_id", "yr", F.lit(0).alias("listed"), F.lit(1).alias("gave"))
-    ).groupBy("client", "donor_id", "yr").agg(F.max("listed").alias("listed"), F.max("gave").alias("gift_made"))
-
-    by_year = W.partitionBy("client", "donor_id").orderBy("yr")
-    gift_year = F.when(F.col("gift_made") == 1, F.col("yr"))
-    line = line.withColumns({
-        "gift_minus1": F.max(gift_year).over(by_year.rangeBetween(-1, -1)),
-        "gift_minus2": F.max(gift_year).over(by_year.rangeBetween(-2, -2)),
-        "first_gift": F.min(gift_year).over(by_year.rangeBetween(W.unboundedPreceding, 0)),
-        "last_gift": F.max(gift_year).over(by_year.rangeBetween(W.unboundedPreceding, -1)),
-    }).filter(F.col("listed") == 1)
-    line = streaks(line, ["client", "donor_id"], "yr", "gift_made")
-
-    yr, m1, m2 = F.col("yr"), F.col("gift_minus1"), F.col("gift_minus2")
+    day = F.col("gift_date")
+    end_year = period_year_of(period, end, start_month)
+    calendar_year = period_year_of(period, day, start_month)
+    if period == "r12":
+        given_years = F.transform(_period_numbers(day, start, end), lambda o: end_year + o)
+    else:
+        given_years = F.array(calendar_year)
+    rows = gifts.filter(F.coalesce(F.col("gift_amount"), F.lit(0)) > 0).select(
+        "donor_id", calendar_year.alias("_year"), F.explode_outer(given_years).alias("_given"))
+    # Sets of years: as many entries as the calendar has, whatever the number of gifts.
+    donors = rows.groupBy("donor_id").agg(
+        F.collect_set("_year").alias("_years"), F.array_sort(F.collect_set("_given")).alias("_given"))
+    known = donors.select(F.explode("_years").alias("y")).distinct().agg(F.array_sort(F.collect_set("y"))).scalar()
+    donors = donors.withColumn("_known", known).withColumn("_max", F.array_max("_known"))
+
+    # A year is reported when the client has gifts in it and the shifted period exists.
+    offset = F.col("yr") - end_year
+    line = donors.select("donor_id", "_given", "_known", "_max", F.explode(F.filter(
+        "_known", lambda y: y >= F.array_min("_years"))).alias("yr"))
+    line = line.withColumn("offset", offset).filter(F.array_contains("_known", F.col("offset") + F.col("_max")))
+    # Periods of other years than those on file give no gift years.
+    given = F.filter("_given", lambda y: F.array_contains("_known", y - end_year + F.col("_max")))
+    line = line.withColumn("_g", given)
+    yr, g = F.col("yr"), F.col("_g")
+    gave = lambda back: F.when(F.array_contains(g, yr - back), yr - back)
+    line = line.select(
+        "donor_id", "yr", "offset", F.array_contains(g, yr).cast("int").alias("gift_made"),
+        gave(1).alias("gift_minus1"), gave(2).alias("gift_minus2"),
+        F.array_min(F.filter(g, lambda y: y <= yr)).alias("first_gift"),
+        F.array_max(F.filter(g, lambda y: y < yr)).alias("last_gift"))
+    line = streaks(line, ["donor_id"], "yr", "gift_made")
+
+    by_year = W.partitionBy("donor_id").orderBy("yr")
+    m1, m2 = F.col("gift_minus1"), F.col("gift_minus2")
     group = (
         F.when(yr == F.col("first_gift"), "New")
         .when(yr == F.col("first_gift") + 1, "New Last Year")
@@ -115,28 +119,27 @@ def lifecycle_groups(
         .otherwise("UNKNOWN")
     )
     line = line.withColumn("fh_group", group).withColumn("_before", F.lag("last_gift").over(by_year))
-    g = F.col("fh_group")
+    fh = F.col("fh_group")
     detail = (
-        F.when(g == "Consecutive Giver", (yr - F.col("last_years_streak")).cast("string"))
-        .when(g == "Reacquired", (yr - F.col("last_gift")).cast("string"))
-        .when(g == "Reacquired Last Year", (m1 - F.col("_before")).cast("string"))
+        F.when(fh == "Consecutive Giver", (yr - F.col("last_years_streak")).cast("string"))
+        .when(fh == "Reacquired", (yr - F.col("last_gift")).cast("string"))
+        .when(fh == "Reacquired Last Year", (m1 - F.col("_before")).cast("string"))
         .otherwise("")
     )
-    line = line.withColumns({
-        "fh_group_detail": F.concat(g, detail),
-        "donor_type": F.when(g.isin("New", "Reacquired"), "Pipeline").when(
-            g.isin("Reacquired Last Year", "Consecutive Giver", "New Last Year"), "Active"),
-        "donor_subtype": F.when(g.isin("New", "Reacquired"), "Pipeline").when(
-            g.isin("Reacquired Last Year", "New Last Year"), "2nd Year").when(
-            g == "Consecutive Giver", "Consecutive Giver"),
-        "past_2_years": ((F.col("gift_made") == 1) & m1.isNotNull()).cast("int"),
-    })
-    labels = periods.select("client", "period", "yr", "offset", "report_period", "report_period_id")
-    out = line.join(labels, ["client", "yr"])
     if last is not None:
-        out = out.filter(F.col("offset") > -last)
-    return out.select("client", "period", "report_period", "report_period_id", "yr", "offset", "donor_id", "fh_group",
-                      "fh_group_detail", "donor_type", "donor_subtype", "past_2_years", "gift_made")
+        line = line.filter(F.col("offset") > -last)
+    shown = lambda c: F.date_format(F.add_months(c, F.col("offset") * 12), "MM/dd/yyyy")
+    return line.select(
+        F.lit(client).alias("client"), F.lit(period).alias("period"),
+        F.concat(shown(start), F.lit(" - "), shown(end)).alias("report_period"),
+        F.concat(F.lit(f"{client}-{period} ending "), shown(end)).alias("report_period_id"),
+        "yr", "offset", "donor_id", "fh_group", F.concat(fh, detail).alias("fh_group_detail"),
+        F.when(fh.isin("New", "Reacquired"), "Pipeline").when(
+            fh.isin("Reacquired Last Year", "Consecutive Giver", "New Last Year"), "Active").alias("donor_type"),
+        F.when(fh.isin("New", "Reacquired"), "Pipeline").when(
+            fh.isin("Reacquired Last Year", "New Last Year"), "2nd Year").when(
+            fh == "Consecutive Giver", "Consecutive Giver").alias("donor_subtype"),
+        ((F.col("gift_made") == 1) & m1.isNotNull()).cast("int").alias("past_2_years"), "gift_made")
 
 
 # ---- the form with Lapsed and Reinstated labels --------------------------------------

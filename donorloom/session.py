@@ -18,6 +18,8 @@ SETTINGS = {
     # extra shuffle is cheaper than one task holding a third of the rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording a call site for every column costs more than analysing it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -25,7 +25,8 @@ def read_delimited(
     joined by ``union_all``. A byte-order mark is removed from the first name.
     """
     reader = (spark.read.option("header", header).option("encoding", encoding).option("sep", delimiter)
-              .option("quote", quote).option("escape", escape).option("mode", "PERMISSIVE"))
+              .option("quote", quote).option("escape", escape).option("mode", "PERMISSIVE")
+              .option("columnPruning", False))  # a pruned parser does not see surplus fields
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     names = list(columns) if columns is not None else [plain_header(c) for c in reader.csv(path).columns]
