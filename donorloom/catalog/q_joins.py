@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from donorloom.catalog.base import START, query, with_views
 from donorloom.functions.dates import fiscal_year
 from donorloom.operators import joins
+from donorloom.operators.scale import attach
 from donorloom.sources import tables
 
 # The known part of the code dimension: codes of the six largest sizes were never registered.
@@ -25,8 +26,9 @@ def known(spark, d):
 SELECT gift_id, CAST(sum(gift_amount) OVER (PARTITION BY donor_id) AS DOUBLE) AS donor_total, count(*) OVER (PARTITION BY donor_id) AS donor_gifts FROM gift""")
 def j01(spark, d):
     g = tables.gifts(spark, d)
-    totals = g.groupBy("donor_id").agg(F.sum("gift_amount").alias("donor_total"), F.count(F.lit(1)).alias("donor_gifts"))
-    return g.join(totals, "donor_id", "left").select("gift_id", "donor_total", "donor_gifts")
+    n = F.count(F.lit(1))
+    totals = g.groupBy("donor_id").agg(F.sum("gift_amount").alias("donor_total"), n.alias("donor_gifts"), n.alias("_n"))
+    return attach(g, totals, ["donor_id"], "_n").select("gift_id", "donor_total", "donor_gifts")
 
 
 @query("j02_outer_with_codes", with_views("mail", more=KNOWN + """,

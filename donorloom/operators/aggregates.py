@@ -100,8 +100,8 @@ def decouple_costs(codes: DataFrame, package: str = "package_name") -> DataFrame
     q, lst, pkg = F.col("quantity"), F.col("list_cpp"), F.col("package_cpp")
     totals = codes.groupBy(package).agg(
         F.sum(F.coalesce(q * lst, F.lit(0))).alias("_list"), F.sum(q * pkg).alias("_package"),
-        F.sum(q).alias("_mailed"))
-    out = attach(codes, totals, [package])
+        F.sum(q).alias("_mailed"), F.count(F.lit(1)).alias("_n"))
+    out = attach(codes, totals, [package], "_n")
     cost = half_up((F.col("_package") - F.col("_list")).cast("double") / F.col("_mailed").cast("double"), 2)
     return out.withColumn("package_cpp", cost).drop("_list", "_package", "_mailed")
 

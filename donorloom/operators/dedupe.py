@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from donorloom.operators.scale import dense_index, keep_first, keep_last, rising
+from donorloom.operators.scale import attach, dense_index, keep_first, keep_last, rising
 
 AUDIT_COLUMNS = ("transaction_file_name", "row_added_at")
 
@@ -72,8 +72,8 @@ def fill_missing_ids(df: DataFrame, key: str, order: Sequence[Column]) -> DataFr
 
 def duplicate_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once."""
-    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    return df.join(repeated.select(*key), list(key), "left_semi")
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    return attach(df, counts.withColumn("_times", F.col("_n")), key, "_n").filter(F.col("_times") > 1).drop("_times")
 
 
 def duplicate_count(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from donorloom.functions.rules import greater, is_in, matches_any, not_in, starts_any, sure
-from donorloom.operators.scale import number_rows
+from donorloom.operators.scale import attach, number_rows
 
 
 def keep(df: DataFrame, mask: Column, include: bool) -> DataFrame:
@@ -58,9 +58,10 @@ def offset_pairs(df: DataFrame, col: str, amount: str, order: Sequence[str], buc
     rows = df.filter(can_pair).withColumns({
         "_size": F.abs(F.col(amount)), "_sign": F.signum(F.col(amount).cast("double")).cast("int")})
     signs = rows.groupBy(col, "_size").agg(
-        F.least(F.count_if(F.col("_sign") > 0), F.count_if(F.col("_sign") < 0)).alias("_pairs"))
+        F.least(F.count_if(F.col("_sign") > 0), F.count_if(F.col("_sign") < 0)).alias("_pairs"),
+        F.count(F.lit(1)).alias("_n"))
     numbered = number_rows(rows, [col, "_size", "_sign"], buckets, [F.col(c) for c in order], "_nth")
-    kept = numbered.join(signs, [col, "_size"], "left").filter(F.col("_nth") > F.col("_pairs"))
+    kept = attach(numbered, signs, [col, "_size"], "_n").filter(F.col("_nth") > F.col("_pairs"))
     return kept.select(df.columns).unionByName(df.filter(~can_pair))
 
 

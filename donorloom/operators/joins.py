@@ -7,18 +7,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from donorloom.operators.scale import first_value, keep_first, keep_last, running_last
+from donorloom.operators.scale import first_value, keep_first, keep_last, running_last, spread_join
 
 
 def outer_with_codes(gifts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
     """Full outer join on the source code; shared columns take the gift's value first.
 
-    Written as a left join plus the codes nobody used: a left join can split a
-    hot code over several tasks, a full join cannot.
+    Written as a left join plus the codes nobody used: a left join can cut a
+    hot code into pieces, a full join cannot.
     """
     shared = [c for c in gifts.columns if c in codes.columns and c != key]
     right = codes.withColumnsRenamed({c: f"_sc_{c}" for c in shared})
-    matched = gifts.join(right, key, "left")
+    matched = spread_join(gifts, right, [key])
     merged = matched.withColumns({c: F.coalesce(F.col(c), F.col(f"_sc_{c}")) for c in shared}).drop(
         *[f"_sc_{c}" for c in shared])
     unused = codes.join(gifts.select(key).distinct(), key, "left_anti")
@@ -27,7 +27,8 @@ def outer_with_codes(gifts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
 
 def missing_codes(gifts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
     """Gift rows whose code is not in the table (or is null)."""
-    return gifts.join(codes.select(key), key, "left_anti")
+    known = codes.select(key).distinct().withColumn("_known", F.lit(True))
+    return spread_join(gifts, known, [key]).filter(F.col("_known").isNull()).drop("_known")
 
 
 def unknown_values(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
@@ -40,18 +41,18 @@ def fill_from_lookup(
 ) -> DataFrame:
     """Fill nulls of ``target`` from ``lookup`` by ``key``; for repeated keys the last by ``tie`` counts."""
     one = keep_last(lookup.filter(F.col(key).isNotNull()), [key], tie).select(key, F.col(value).alias("_found"))
-    return df.join(one, key, "left").withColumn(target, F.coalesce(F.col(target), F.col("_found"))).drop("_found")
+    return spread_join(df, one, [key]).withColumn(target, F.coalesce(F.col(target), F.col("_found"))).drop("_found")
 
 
 def crosswalk(df: DataFrame, key: str, pairs: DataFrame, old: str, new: str) -> DataFrame:
     """Replace ids by their new id where there is one; ``pairs`` has one row per old id."""
     mapping = pairs.select(F.col(old).alias(key), F.col(new).alias("_new"))
-    return df.join(mapping, key, "left").withColumn(key, F.coalesce(F.col("_new"), F.col(key))).drop("_new")
+    return spread_join(df, mapping, [key]).withColumn(key, F.coalesce(F.col("_new"), F.col(key))).drop("_new")
 
 
 def membership_flag(df: DataFrame, key: str, table: DataFrame, table_key: str, name: str) -> DataFrame:
     known = table.select(F.col(table_key).alias(key)).distinct().withColumn("_known", F.lit(True))
-    return df.join(known, key, "left").withColumn(name, F.coalesce(F.col("_known"), F.lit(False))).drop("_known")
+    return spread_join(df, known, [key]).withColumn(name, F.coalesce(F.col("_known"), F.lit(False))).drop("_known")
 
 
 def curated_code_key(gifts: DataFrame, codes: DataFrame, tie: Sequence[Column]) -> DataFrame:
@@ -75,7 +76,7 @@ def curated_code_key(gifts: DataFrame, codes: DataFrame, tie: Sequence[Column])
         return frame.groupBy(*keys).agg(first_value("sc_key_curated", tie).alias(name))
 
     every = [*parts, "k_fy"]
-    found = rows.select(*every).distinct()
+    found = rows.groupBy(*every).agg(F.count(F.lit(1)).alias("_n"))
     for name, keys in (
         ("m_full", ["k_client", "k_code", "k_name", "k_camp"]),
         ("m_name", ["k_client", "k_code", "k_name"]),
@@ -84,8 +85,8 @@ def curated_code_key(gifts: DataFrame, codes: DataFrame, tie: Sequence[Column])
         found = found.join(lookup(dim, keys, name), keys, "left")
     unsourced = dim.filter(F.col("k_camp").startswith("UNSOURCED-FY"))
     found = found.join(lookup(unsourced, ["k_client", "k_fy"], "m_year"), ["k_client", "k_fy"], "left")
-    answer = found.select(*every, F.coalesce("m_full", "m_name", "m_code", "m_year").alias("sc_key_curated"))
-    return rows.join(answer, every, "left").drop(*every)
+    answer = found.select(*every, F.coalesce("m_full", "m_name", "m_code", "m_year").alias("sc_key_curated"), "_n")
+    return spread_join(rows, answer, every, size="_n").drop(*every)
 
 
 def most_recent_event(df: DataFrame, keys: Sequence[str], day: str, event: Column, name: str) -> DataFrame:
@@ -159,7 +160,7 @@ def whitemail_rows(codes: DataFrame, order: Sequence[Column]) -> DataFrame:
 def backfill(df: DataFrame, side: DataFrame, key: str, values: Mapping[str, str]) -> DataFrame:
     """Fill nulls of target columns from a side table (one row per key): {target: side column}."""
     picked = side.select(key, *[F.col(s).alias(f"_f_{t}") for t, s in values.items()])
-    out = df.join(picked, key, "left").withColumns({t: F.coalesce(F.col(t), F.col(f"_f_{t}")) for t in values})
+    out = spread_join(df, picked, [key]).withColumns({t: F.coalesce(F.col(t), F.col(f"_f_{t}")) for t in values})
     return out.drop(*[f"_f_{t}" for t in values])
 
 
@@ -173,12 +174,12 @@ def soft_credits(gifts: DataFrame, credits: DataFrame, key: str, credit_id: str,
 
 def matchback(gifts: DataFrame, mailings: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Gifts with the mailing they answer: distinct mailings by donor and campaign."""
-    return gifts.join(mailings.select(*keys, *columns).distinct(), list(keys), "left")
+    return spread_join(gifts, mailings.select(*keys, *columns).distinct(), keys)
 
 
 def donor_attribute(gifts: DataFrame, side: DataFrame, donor: str, value: str, missing) -> DataFrame:
     one = side.select(donor, F.col(value).alias(f"_{value}"))
-    out = gifts.join(one, donor, "left")
+    out = spread_join(gifts, one, [donor])
     return out.withColumn(value, F.coalesce(F.col(f"_{value}"), F.lit(missing))).drop(f"_{value}")
 
 

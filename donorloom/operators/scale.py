@@ -9,8 +9,8 @@ operators in this package do not use one on raw rows. They use these instead:
   the bucket follows the sort order (usually the calendar day), plus offsets
   from a window over the small table of bucket counts. Buckets that are still
   too large are split by the next column of the sort order.
-* ``attach``: one shuffled join that brings per-key values back to the rows.
-  AQE splits the hot side of such a join; a window cannot be split.
+* ``spread_join`` / ``attach``: a join that cuts heavy keys into pieces, to bring
+  per-key values back to the rows. A window cannot be cut like that.
 * ``dense_index``: consecutive numbers over a whole table without one task.
 * ``exact_quantiles``: percentiles from two counting passes, without holding
   the values of a group in memory.
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 BIG_RANGE_BUCKETS = 4096
 HOT_GROUP = 1_000_000
+HEAVY_SHARE = 10_000
+NULL_PIECES = 256
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -87,20 +89,52 @@ def last_value(value: str | Column, order: Sequence[Column]) -> Column:
     return F.max_by(value, F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]))
 
 
-def attach(df: DataFrame, values: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Left join of per-key values back to the rows.
+def heavy_groups(counts: DataFrame, size: str, limit: int = HOT_GROUP) -> DataFrame:
+    """Groups of more than ``limit`` rows that also hold over 1/10,000 of all rows.
 
-    With ``null_safe`` rows with null keys meet the null group of ``values``,
-    as in a grouping; the plain form shares its shuffle with keyed steps after it.
+    At most 10,000 groups can do that, so the result may be broadcast whatever
+    the size of the data.
     """
-    if not null_safe:
-        return df.join(values, list(keys), "left")
-    tagged = values
-    condition = F.lit(True)
+    total = counts.agg(F.sum(size)).scalar()
+    return counts.filter((F.col(size) > limit) & (F.col(size) * HEAVY_SHARE > total))
+
+
+def spread_join(
+    df: DataFrame, values: DataFrame, keys: Sequence[str], how: str = "left", size: str | None = None,
+    limit: int = HOT_GROUP,
+) -> DataFrame:
+    """Equi-join that cuts the rows of heavy keys into pieces of about ``limit`` rows.
+
+    AQE can split a skewed join only when both inputs come straight from a
+    shuffle; here the right side usually is an aggregate on the join key. So
+    rows of a heavy key get a number below the key's piece count, and only the
+    heavy keys' values are repeated, once per piece. Rows with a null key match
+    nothing and are spread out as well. ``size`` names a column of ``values``
+    with the number of rows of ``df`` per key; without it they are counted.
+    """
+    keys = list(keys)
+    if size is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    else:
+        counts = values.select(*keys, F.col(size).alias("_rows"))
+        values = values.drop(size)
+    heavy = heavy_groups(counts.dropna(subset=keys), "_rows", limit)
+    pieces = F.broadcast(heavy.select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_pieces")))
+    no_key = F.lit(False)
     for key in keys:
-        tagged = tagged.withColumnRenamed(key, f"_r_{key}")
-        condition = condition & df[key].eqNullSafe(F.col(f"_r_{key}"))
-    return df.join(tagged, condition, "left").drop(*[f"_r_{key}" for key in keys])
+        no_key = no_key | F.col(f"`{key}`").isNull()
+    mix = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.join(pieces, keys, "left").withColumn("_piece", F.when(
+        F.col("_pieces").isNotNull(), F.pmod(mix, F.col("_pieces"))).when(no_key, F.pmod(mix, F.lit(NULL_PIECES))).otherwise(
+        F.lit(0)).cast("int")).drop("_pieces")
+    right = values.join(pieces, keys, "left").withColumn("_piece", F.explode(
+        F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))).drop("_pieces")
+    return rows.join(right, [*keys, "_piece"], how).drop("_piece")
+
+
+def attach(df: DataFrame, values: DataFrame, keys: Sequence[str], size: str | None = None) -> DataFrame:
+    """Per-key values back on the rows; see ``spread_join``."""
+    return spread_join(df, values, keys, "left", size)
 
 
 def number_rows(
@@ -117,28 +151,29 @@ def number_rows(
     amount, ...); each must rise along ``order`` inside the ones before it. A
     window sees one (key, first bucket) group at a time. A bucket's offset is a
     running sum over the bucket counts of its key, a table with one row per
-    (key, bucket). Groups of more than ``limit`` rows are numbered by the next
-    bucket; where there are none, that branch is empty at run time and AQE drops
-    it. The join and the window share one shuffle of the rows. Keys and buckets
-    must not be null.
+    (key, bucket). Heavy groups are taken out before the shuffle and numbered by
+    the next bucket; where there are none, that branch is empty at run time and
+    AQE drops it. The join and the window share one shuffle of the other rows.
+    Keys and buckets must not be null.
     """
-    return _number(df, list(keys), list(buckets), order, name, limit, 0).select(*df.columns, name)
+    return _number(df, list(keys), list(buckets), order, name, limit, 0)
 
 
 def _number(df, keys, buckets, order, name, limit, level) -> DataFrame:
-    bucket = f"_bucket{level}"
-    skip, size = f"_skip{level}", f"_size{level}"
+    bucket, skip, size = f"_bucket{level}", f"_skip{level}", f"_size{level}"
     rows = df.withColumn(bucket, buckets[0])
     group = [*keys, bucket]
     counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias(size))
     before = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(*group, size, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(skip))
-    inside = F.row_number().over(W.partitionBy(*group).orderBy(*order)).cast("long")
+    number = F.row_number().over(W.partitionBy(*group).orderBy(*order)).cast("long") + F.col(skip)
     if len(buckets) == 1:
-        return rows.join(offsets, group).withColumn(name, inside + F.col(skip))
-    usual = rows.join(offsets.filter(F.col(size) <= limit), group).withColumn(name, inside + F.col(skip))
-    hot = rows.join(offsets.filter(F.col(size) > limit), group)
-    hot = _number(hot, group, buckets[1:], order, "_inner", limit, level + 1).withColumn(name, F.col("_inner") + F.col(skip))
+        return rows.join(offsets, group).withColumn(name, number).select(*df.columns, name)
+    heavy = F.broadcast(heavy_groups(offsets, size, limit))
+    usual = rows.join(heavy.select(*group), group, "left_anti").join(offsets, group).withColumn(name, number)
+    inner = rows.join(heavy, group)
+    inner = _number(inner, group, buckets[1:], order, "_inner", limit, level + 1)
+    hot = inner.withColumn(name, F.col("_inner") + F.col(skip))
     return usual.select(*df.columns, name).unionByName(hot.select(*df.columns, name))
 
 
@@ -215,7 +250,7 @@ def running_last(
     over one row per (key, bucket), never over raw rows.
     """
     rows = df.withColumn("_bucket", bucket)
-    per_bucket = rows.groupBy(*keys, "_bucket").agg(F.max(value).alias("_v"))
+    per_bucket = rows.groupBy(*keys, "_bucket").agg(F.max(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
     upto = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    seen = per_bucket.select(*keys, "_bucket", F.max("_v").over(upto).alias(name))
-    return attach(rows, seen, [*keys, "_bucket"]).drop("_bucket")
+    seen = per_bucket.select(*keys, "_bucket", F.max("_v").over(upto).alias(name), "_n")
+    return attach(rows, seen, [*keys, "_bucket"], "_n").drop("_bucket")

@@ -22,9 +22,9 @@ UP_TO_HERE = (W.unboundedPreceding, W.currentRow)
 def gift_numbers(df: DataFrame, donor: str, date: str, amount: str, tie: str, name: str = "donor_gift_number") -> DataFrame:
     """1, 2, ... per donor by date, larger amounts first on the same day.
 
-    Days with very many gifts of one donor are split by amount.
+    Days with very many gifts of one donor are split by amount, then by id.
     """
-    return number_rows(df, [donor], [F.col(date), -F.col(amount)], [F.col(date), F.col(amount).desc(), F.col(tie)], name)
+    return number_rows(df, [donor], [F.col(date), -F.col(amount), F.col(tie)], [F.col(date), F.col(amount).desc(), F.col(tie)], name)
 
 
 def first_gift_order(date: str, amount: str, tie: str) -> list[Column]:
@@ -33,8 +33,12 @@ def first_gift_order(date: str, amount: str, tie: str) -> list[Column]:
 
 def first_attributes(df: DataFrame, donor: str, order: Sequence[Column], columns: Mapping[str, str]) -> DataFrame:
     """One row per donor with values of the first gift: {output name: column}."""
+    return _first_rows(df, donor, order, columns).drop("_n")
+
+
+def _first_rows(df, donor, order, columns) -> DataFrame:
     row = F.struct(*[F.col(c).alias(n) for n, c in columns.items()])
-    return df.groupBy(donor).agg(first_value(row, order).alias("_f")).select(donor, "_f.*")
+    return df.groupBy(donor).agg(first_value(row, order).alias("_f"), F.count(F.lit(1)).alias("_n")).select(donor, "_f.*", "_n")
 
 
 def last_attributes(df: DataFrame, donor: str, order: Sequence[Column], columns: Mapping[str, str]) -> DataFrame:
@@ -44,7 +48,7 @@ def last_attributes(df: DataFrame, donor: str, order: Sequence[Column], columns:
 
 def with_join_values(df: DataFrame, donor: str, order: Sequence[Column], columns: Mapping[str, str]) -> DataFrame:
     """Every gift with values of its donor's first gift."""
-    return attach(df, first_attributes(df, donor, order, columns), [donor])
+    return attach(df, _first_rows(df, donor, order, columns), [donor], "_n")
 
 
 def streaks(years: DataFrame, keys: Sequence[str], year: str, given: str) -> DataFrame:
@@ -88,9 +92,9 @@ def giving_days(df: DataFrame, donor: str, date: str, *extra: Column) -> DataFra
 
 def days_since_previous(df: DataFrame, donor: str, date: str, tie: str) -> DataFrame:
     """Days since the donor's previous gift; later gifts of a day are 0 days after the first."""
-    days = df.groupBy(donor, date).agg(F.min(tie).alias("_first"))
+    days = df.groupBy(donor, date).agg(F.min(tie).alias("_first"), F.count(F.lit(1)).alias("_n"))
     days = days.withColumn("_prev", F.lag(date).over(W.partitionBy(donor).orderBy(date)))
-    out = attach(df, days, [donor, date])
+    out = attach(df, days, [donor, date], "_n")
     gap = F.when(F.col(tie) == F.col("_first"), F.datediff(date, "_prev")).otherwise(F.lit(0))
     return out.withColumn("days_since_previous", gap).drop("_first", "_prev")
 
@@ -135,14 +139,14 @@ def fill_forward(days: DataFrame, keys: Sequence[str], order: str, value: str, n
 
 def group_transform(df: DataFrame, keys: Sequence[str], aggregate: Column, name: str) -> DataFrame:
     """An aggregate per key brought back to the rows. Filters go inside: ``F.max(F.when(mask, x))``."""
-    return attach(df, df.groupBy(*keys).agg(aggregate.alias(name)), keys)
+    return attach(df, df.groupBy(*keys).agg(aggregate.alias(name), F.count(F.lit(1)).alias("_n")), keys, "_n")
 
 
 def join_detail(df: DataFrame, donor: str, date: str, aggregate, value: str, name: str) -> DataFrame:
     """An aggregate over the gifts of the donor's first day, on every gift."""
-    days = df.groupBy(donor, date).agg(aggregate(value).alias("_v"))
-    first = days.groupBy(donor).agg(F.min_by("_v", date).alias(name))
-    return attach(df, first, [donor])
+    days = df.groupBy(donor, date).agg(aggregate(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    first = days.groupBy(donor).agg(F.min_by("_v", date).alias(name), F.sum("_n").alias("_n"))
+    return attach(df, first, [donor], "_n")
 
 
 def membership_periods(days: DataFrame, donor: str, date: str, event: str, gap: int = 183) -> DataFrame:
@@ -165,7 +169,7 @@ def split_shared_codes(df: DataFrame, code: str, appeal: str, order: str) -> Dat
         F.min(order).alias("_seen"))
     nth = F.row_number().over(W.partitionBy(code).orderBy("_seen", appeal))
     suffix = pairs.select(code, appeal, F.when(nth > 1, F.concat(F.lit("_"), nth.cast("string"))).alias("_suffix"))
-    out = df.join(suffix, [code, appeal], "left")
+    out = attach(df, suffix, [code, appeal])
     return out.withColumn(code, F.concat(F.col(code), F.coalesce(F.col("_suffix"), F.lit("")))).drop("_suffix")
 
 
@@ -185,8 +189,8 @@ def rejoin_by_period(
 
 def surrogate_key(df: DataFrame, natural: str, name: str) -> DataFrame:
     """Dense integer per distinct natural key, from 0 in key order."""
-    ids = dense_index(df.select(natural).filter(F.col(natural).isNotNull()).distinct(), [F.col(natural)], name)
-    return attach(df, ids, [natural])
+    ids = df.filter(F.col(natural).isNotNull()).groupBy(natural).agg(F.count(F.lit(1)).alias("_n"))
+    return attach(df, dense_index(ids, [F.col(natural)], name), [natural], "_n")
 
 
 def latest_row(df: DataFrame, keys: Sequence[str], date: str, tie: Sequence[str]) -> DataFrame:

@@ -111,7 +111,7 @@ def inferred_codes(gifts: DataFrame, codes: DataFrame, client: str, start_month:
     absent = missing_codes(gifts.filter(F.coalesce(F.col("source_code") != "", F.lit(True))), codes, "source_code")
     rows = absent.select("source_code", "campaign_code", "campaign_name", "gift_date", key.alias("_key"))
     first = rows.groupBy("_key").agg(F.min("gift_date").alias("mail_date"))
-    rows = attach(rows.drop("gift_date").distinct(), first, ["_key"]).drop("_key")
+    rows = rows.drop("gift_date").distinct().join(first, "_key").drop("_key")
     out = rows.withColumn("fy", fiscal_year(F.col("mail_date"), start_month)).distinct()
     groups = most_common(codes.select("campaign_code", "campaign_group").distinct(), ["campaign_code"],
                          "campaign_group", "campaign_group")
@@ -125,7 +125,7 @@ def inferred_codes(gifts: DataFrame, codes: DataFrame, client: str, start_month:
 def numbered_codes(codes: DataFrame, client: str, kind: str, key: str = "source_code") -> DataFrame:
     """Integer key per distinct code and the curated text key ``CLIENT_kind_n``."""
     ids = dense_index(codes.select(key).distinct(), [F.col(key)], "source_code_key")
-    return codes.join(ids, key).withColumn("sc_key_curated", F.concat(
+    return attach(codes, ids, [key]).withColumn("sc_key_curated", F.concat(
         F.upper(F.lit(client)), F.lit(f"_{kind}_"), F.col("source_code_key").cast("string")))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from donorloom.functions.dates import days_in_following_months
+from donorloom.operators.scale import spread_join
 
 SHAPE_RANGE = (0.3, 5.0)
 TERMS = 400
@@ -23,7 +24,7 @@ FLAT_FROM = 200.0
 
 def response_days(gifts: DataFrame, mailed: DataFrame, campaign: str, gift_date: str, mail_date: str) -> DataFrame:
     """Days from the campaign's mail date to each gift; null when either date is missing."""
-    return gifts.join(mailed.select(campaign, mail_date), campaign, "left").withColumn(
+    return spread_join(gifts, mailed.select(campaign, mail_date), [campaign]).withColumn(
         "days", F.datediff(gift_date, mail_date))
 
 

@@ -12,7 +12,7 @@ from donorloom.functions.bands import months_status, recency_band
 from donorloom.functions.dates import fiscal_year, months_ago
 from donorloom.functions.rules import sure
 from donorloom.operators.joins import most_recent_event
-from donorloom.operators.scale import attach, first_value
+from donorloom.operators.scale import attach, first_value, spread_join
 from donorloom.operators.windows import membership_periods
 
 LAPSE_DAYS = 183
@@ -40,8 +40,9 @@ def sustainer_fields(gifts: DataFrame, recurring: Column, start_month: int, last
     gift, and whether the donor gave on or after the first recurring date by a
     year end no later than it.
     """
-    per_donor = gifts.groupBy("donor_id").agg(F.min(F.when(sure(recurring), F.col("gift_date"))).alias("first_sustainer_date"))
-    rows = attach(gifts, per_donor, ["donor_id"])
+    per_donor = gifts.groupBy("donor_id").agg(F.min(F.when(sure(recurring), F.col("gift_date"))).alias("first_sustainer_date"),
+                                               F.count(F.lit(1)).alias("_n"))
+    rows = attach(gifts, per_donor, ["donor_id"], "_n")
     since = sure(F.col("gift_date") >= F.col("first_sustainer_date"))
     order = [F.col("gift_date"), F.col("gift_id")]
     joined = rows.filter(since).groupBy("donor_id").agg(
@@ -64,15 +65,16 @@ def memberships(gifts: DataFrame, recurring: Column, start_month: int) -> DataFr
     rows = gifts.withColumn("_recurring", sure(recurring))
     donors = rows.groupBy("donor_id").agg(
         F.min("gift_date").alias("first_gift_date"),
-        F.min(F.when(F.col("_recurring"), F.col("gift_date"))).alias("sust_first_date"))
-    rows = rows.join(donors.filter(F.col("sust_first_date").isNotNull()), "donor_id").filter(
+        F.min(F.when(F.col("_recurring"), F.col("gift_date"))).alias("sust_first_date"),
+        F.count(F.lit(1)).alias("_n"))
+    rows = spread_join(rows, donors.filter(F.col("sust_first_date").isNotNull()), ["donor_id"], "inner", "_n").filter(
         F.col("gift_date") >= F.col("sust_first_date"))
     # One row per donor and day carries the sequence; gifts pick it up afterwards.
-    days = rows.groupBy("donor_id", "gift_date").agg(F.max("_recurring").alias("_r"))
+    days = rows.groupBy("donor_id", "gift_date").agg(F.max("_recurring").alias("_r"), F.count(F.lit(1)).alias("_n"))
     upto = W.partitionBy("donor_id").orderBy("gift_date").rowsBetween(W.unboundedPreceding, W.currentRow)
     days = days.withColumn("recent_sust_date", F.max(F.when(F.col("_r"), F.col("gift_date"))).over(upto))
     days = membership_periods(days, "donor_id", "gift_date", "recent_sust_date", LAPSE_DAYS).drop("_r")
-    out = attach(rows, days, ["donor_id", "gift_date"])
+    out = attach(rows, days, ["donor_id", "gift_date"], "_n")
     delta = F.datediff("gift_date", "recent_sust_date")
     return out.withColumns({
         "gift_fy": fiscal_year(F.col("gift_date"), start_month),
@@ -103,9 +105,10 @@ def cohort(members: DataFrame, years: Sequence[int] = YEARS) -> DataFrame:
     flags |= {f"ltv_{y}": (F.col("days_since_join") <= y * 365).cast("int") for y in years}
     active = active.withColumns(flags)
     span = active.groupBy("donor_id", "membership_start").agg(
-        F.datediff(F.max("gift_date"), F.min("gift_date")).alias("days_on_file"))
-    donors = active.groupBy("donor_id", "sust_join_fy").agg(*[F.max(f"active_{y}").alias(f"donor_{y}") for y in years])
-    return attach(attach(active, span, ["donor_id", "membership_start"]), donors, ["donor_id", "sust_join_fy"])
+        F.datediff(F.max("gift_date"), F.min("gift_date")).alias("days_on_file"), F.count(F.lit(1)).alias("_n"))
+    donors = active.groupBy("donor_id", "sust_join_fy").agg(
+        *[F.max(f"active_{y}").alias(f"donor_{y}") for y in years], F.count(F.lit(1)).alias("_n"))
+    return attach(attach(active, span, ["donor_id", "membership_start"], "_n"), donors, ["donor_id", "sust_join_fy"], "_n")
 
 
 def retention(members: DataFrame, years: Sequence[int] = YEARS) -> DataFrame:
@@ -121,10 +124,10 @@ def retention(members: DataFrame, years: Sequence[int] = YEARS) -> DataFrame:
 def sustainer_recency(gifts: DataFrame, recurring: Column, missing: str = "Z: None") -> DataFrame:
     """Recency band of the last recurring gift before each gift's day; the label for none otherwise."""
     # The day before as probe: only earlier days count.
-    days = gifts.groupBy("donor_id", "gift_date").agg(F.max(sure(recurring)).alias("_r"))
+    days = gifts.groupBy("donor_id", "gift_date").agg(F.max(sure(recurring)).alias("_r"), F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy("donor_id").orderBy("gift_date").rowsBetween(W.unboundedPreceding, -1)
     days = days.withColumn("recent_sust_date", F.max(F.when(F.col("_r"), F.col("gift_date"))).over(before)).drop("_r")
-    out = attach(gifts, days, ["donor_id", "gift_date"])
+    out = attach(gifts, days, ["donor_id", "gift_date"], "_n")
     months = F.floor(F.datediff("gift_date", "recent_sust_date") / F.lit(30.436875) + 0.5)
     return out.withColumns({"sust_months": months, "sust_recency": recency_band(months, missing)})
 
