@@ -232,7 +232,7 @@ def b12(spark, d):
 @query("b14_b16_appeal_rules", with_views("code") + """
 SELECT part_id, CASE WHEN campaign_code IN ('B11', 'B12') THEN NULL WHEN length(campaign_code) IN (3, 4) AND substr(campaign_code, 1, 1) = 'B' THEN 'US Appeal'
     WHEN upper(campaign_code) = 'B2' THEN 'Online' END AS program,
-  CASE WHEN (length(campaign_code) IN (3, 4) AND substr(campaign_code, 1, 1) IN ('B', 'C')) OR campaign_code LIKE '%9%' THEN 'FuseDM' ELSE 'Other' END AS program_filter,
+  CASE WHEN (length(campaign_code) IN (3, 4) AND substr(campaign_code, 1, 1) IN ('B', 'C')) OR campaign_code LIKE '%9%' THEN 'Tracked' ELSE 'Other' END AS program_filter,
   CASE WHEN length(source_code) = 7 AND substr(source_code, 1, 1) = 'B' THEN 'Acq' ELSE 'NonAcq' END AS acquisition FROM code""")
 def b14(spark, d):
     c = F.col("campaign_code")

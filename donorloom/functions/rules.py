@@ -100,7 +100,7 @@ def appeal_program(code: Column, letters: dict[str, str], nulls: Sequence[str],
     return classify(rules)
 
 
-def appeal_filter(code: Column, first: Sequence[str], words: Sequence[str], yes: str = "FuseDM", no: str = "Other") -> Column:
+def appeal_filter(code: Column, first: Sequence[str], words: Sequence[str], yes: str = "Tracked", no: str = "Other") -> Column:
     short = sure(F.length(code).isin(3, 4)) & first_char_in(code, first)
     dashed = (char_at(code, 1, "-") | char_at(code, 2, "-")) & sure(F.length(code) >= 4)
     return label(short | dashed | matches_any(code, words), yes, no)

@@ -76,7 +76,8 @@ def curated_code_key(gifts: DataFrame, codes: DataFrame, tie: Sequence[Column])
         return frame.groupBy(*keys).agg(first_value("sc_key_curated", tie).alias(name))
 
     every = [*parts, "k_fy"]
-    found = rows.groupBy(*every).agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(*every).agg(F.count(F.lit(1)).alias("_rows"))
+    found = counts.select(*every)
     for name, keys in (
         ("m_full", ["k_client", "k_code", "k_name", "k_camp"]),
         ("m_name", ["k_client", "k_code", "k_name"]),
@@ -85,8 +86,8 @@ def curated_code_key(gifts: DataFrame, codes: DataFrame, tie: Sequence[Column])
         found = found.join(lookup(dim, keys, name), keys, "left")
     unsourced = dim.filter(F.col("k_camp").startswith("UNSOURCED-FY"))
     found = found.join(lookup(unsourced, ["k_client", "k_fy"], "m_year"), ["k_client", "k_fy"], "left")
-    answer = found.select(*every, F.coalesce("m_full", "m_name", "m_code", "m_year").alias("sc_key_curated"), "_n")
-    return spread_join(rows, answer, every, size="_n").drop(*every)
+    answer = found.select(*every, F.coalesce("m_full", "m_name", "m_code", "m_year").alias("sc_key_curated"))
+    return spread_join(rows, answer, every, counts=counts).drop(*every)
 
 
 def most_recent_event(df: DataFrame, keys: Sequence[str], day: str, event: Column, name: str) -> DataFrame:

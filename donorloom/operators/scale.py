@@ -101,7 +101,7 @@ def heavy_groups(counts: DataFrame, size: str, limit: int = HOT_GROUP) -> DataFr
 
 def spread_join(
     df: DataFrame, values: DataFrame, keys: Sequence[str], how: str = "left", size: str | None = None,
-    limit: int = HOT_GROUP,
+    limit: int = HOT_GROUP, counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that cuts the rows of heavy keys into pieces of about ``limit`` rows.
 
@@ -110,10 +110,13 @@ def spread_join(
     rows of a heavy key get a number below the key's piece count, and only the
     heavy keys' values are repeated, once per piece. Rows with a null key match
     nothing and are spread out as well. ``size`` names a column of ``values``
-    with the number of rows of ``df`` per key; without it they are counted.
+    with the number of rows of ``df`` per key, or ``counts`` is a table with the
+    keys and ``_rows``; without either they are counted.
     """
     keys = list(keys)
-    if size is None:
+    if counts is not None:
+        counts = counts.select(*keys, "_rows")
+    elif size is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     else:
         counts = values.select(*keys, F.col(size).alias("_rows"))
