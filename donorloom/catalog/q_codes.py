@@ -115,6 +115,23 @@ def c08(spark, d):
         codes.pad_right(c("package_name"), 6, "_").alias("never_cut"))
 
 
+@query("c09_validate_batch", with_views("code", more="""
+a AS (SELECT source_code AS code, campaign_code AS appeal_id, package_name AS segment_code, CAST(part_id AS VARCHAR) AS package_id, CAST(package_cpp AS VARCHAR) AS cpp, 0 AS age FROM code WHERE quantity <= 25
+  UNION ALL SELECT source_code, campaign_code, package_name, CAST(part_id + 1000000 AS VARCHAR), CAST(package_cpp + 1 AS VARCHAR), 1 FROM code WHERE quantity >= 20),
+r AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY age DESC, appeal_id DESC, segment_code DESC, package_id DESC, cpp DESC) AS n FROM a),
+f AS (SELECT CASE WHEN length(code) = 8 THEN code ELSE appeal_id || segment_code || package_id END AS code, appeal_id, CAST(cpp AS DOUBLE) AS cpp FROM r WHERE n = 1)""") + """
+SELECT code, appeal_id, cpp, regexp_matches(code, '^(B[12][0-9][A-Z]{3}[0-9]{2})') AS valid FROM f""")
+def c09(spark, d):
+    p = tables.parts(spark, d)
+    pick = lambda df, more: df.select(
+        F.col("source_code").alias("code"), F.col("campaign_code").alias("appeal_id"), F.col("package_name").alias("segment_code"),
+        (F.col("part_id") + more * 1000000).cast("string").alias("package_id"), (F.col("package_cpp") + more).cast("decimal(12,2)").cast("string").alias("cpp"))
+    good, bad = codes.validate_batch(
+        pick(p.filter("quantity <= 25"), 0), pick(p.filter("quantity >= 20"), 1), "code", {"cpp": F.col("cpp").cast("double")},
+        {"code": "B[12][0-9][A-Z]{3}[0-9]{2}"}, length=8)
+    return good.withColumn("valid", F.lit(True)).unionByName(bad.withColumn("valid", F.lit(False))).select("code", "appeal_id", "cpp", "valid")
+
+
 @query("c11_c12_campaign_keys", with_views("code", more="""
 k AS (SELECT *, CASE WHEN quantity % 3 <> 0 THEN campaign_code END AS cc, CASE WHEN quantity % 2 = 0 THEN campaign_name END AS cn,
   CASE WHEN quantity > 10 THEN 1990 + quantity END AS fy, make_date(2000, CAST(quantity % 12 + 1 AS INTEGER), 1) AS mailed FROM code)""") + """

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from donorloom.catalog.base import START, query, with_views
+from donorloom.catalog.q_dates import band_sql
+from donorloom.functions.bands import RECENCY
 from donorloom.functions.dates import fiscal_year, month_spine, register_fiscal_from_date
 from donorloom.functions.rules import classify, is_in
 from donorloom.operators import setops
@@ -237,9 +239,10 @@ def b11(spark, d):
 
 @query("b15_sustainer_recency", with_views("gift", more="""
 r AS (SELECT g.gift_id, g.gift_date, max(s.gift_date) AS e FROM gift g LEFT JOIN gift s ON s.donor_id = g.donor_id AND s.gift_type = 'F' AND s.gift_date < g.gift_date GROUP BY 1, 2)""") + """
-SELECT gift_id, CAST(e AS VARCHAR) AS recent_sust_date, CAST(floor(date_diff('day', e, gift_date) / 30.436875::DOUBLE + 0.5) AS BIGINT) AS sust_months FROM r""")
+SELECT gift_id, CAST(e AS VARCHAR) AS recent_sust_date, CAST(floor(date_diff('day', e, gift_date) / 30.436875::DOUBLE + 0.5) AS BIGINT) AS sust_months,
+  """ + band_sql("floor(date_diff('day', e, gift_date) / 30.436875::DOUBLE + 0.5)", RECENCY, "Z: None") + """ AS sust_recency FROM r""")
 def b15(spark, d):
-    return sustainers.sustainer_recency(tables.gifts(spark, d), F.col("gift_type") == "F").select("gift_id", "recent_sust_date", "sust_months")
+    return sustainers.sustainer_recency(tables.gifts(spark, d), F.col("gift_type") == "F").select("gift_id", "recent_sust_date", "sust_months", "sust_recency")
 
 
 @query("x10_sustainer_fields", with_views("gift", more="""
@@ -417,7 +420,11 @@ def x17(spark, d):
     return campaigns.campaign_counts(tables.mailings(spark, d))
 
 
-@query("x18_hash_sample")
+@query("x18_hash_sample", with_views("gift", more="""
+r AS (SELECT *, 0.02::DOUBLE + greatest(0, gift_fy - (SELECT max(gift_fy) FROM gift) + 5 + 1) * 0.03::DOUBLE AS rate,
+  (('0x' || substr(md5(CAST(gift_id AS VARCHAR) || CAST(gift_fy AS VARCHAR) || 'v1'), 1, 8))::BIGINT % 1000000) / 1000000.0::DOUBLE AS score FROM gift)""") + """
+SELECT CAST(gift_id AS VARCHAR) AS gift_id, CAST(donor_id AS VARCHAR) AS donor_id, gift_fy, CAST(gift_amount AS DOUBLE) AS gift_amount, false AS is_synthetic FROM r
+UNION ALL SELECT gift_id || '_FS', donor_id || '_FS', gift_fy, CAST(gift_amount AS DOUBLE), true FROM r WHERE score < rate""")
 def x18(spark, d):
     g = tables.gifts(spark, d).withColumn("gift_fy", fiscal_year(F.col("gift_date"), START))
     return setops.hash_sample(g, "gift_id", "donor_id", "gift_fy").select("gift_id", "donor_id", "gift_fy", "gift_amount", "is_synthetic")

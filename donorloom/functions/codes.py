@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from donorloom.functions.dates import fiscal_year, month_name
 from donorloom.functions.rules import is_in, sure, starts_any
+from donorloom.operators.scale import keep_last
 
 
 @dataclass(frozen=True)
@@ -122,6 +123,24 @@ def count_invalid(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
     ])
 
 
+def validate_batch(
+    known: DataFrame, batch: DataFrame, code: str, casts: Mapping[str, Column], patterns: Mapping[str, str],
+    parts: tuple[str, str, str] = ("appeal_id", "segment_code", "package_id"), length: int = 14,
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted, quarantined) after adding a batch: newest row per code, repaired codes, typed, checked by pattern.
+
+    Rows without a code are dropped.
+    """
+    columns = [c for c in known.columns if c in batch.columns]
+    both = known.select(*columns, F.lit(0).alias("_age")).unionByName(batch.select(*columns, F.lit(1).alias("_age")))
+    both = both.withColumn(code, F.trim(F.col(code).cast("string")))
+    newest = keep_last(both, [code], [F.col("_age"), *[F.col(c) for c in columns if c != code]]).drop("_age")
+    fixed = newest.withColumn(code, repair_code(F.col(code), *[F.col(p) for p in parts], length=length)).withColumns(dict(casts))
+    good, bad = split_valid(fixed, patterns)
+    has_code = F.col(code).isNotNull() & (F.col(code) != "NAN")
+    return good.filter(has_code), bad.filter(has_code)
+
+
 def repair_code(code: Column, appeal: Column, segment: Column, package: Column, length: int = 14) -> Column:
     """Codes of the wrong length are rebuilt from their parts."""
     return F.when(sure(F.length(code) == length), code).otherwise(F.concat(appeal, segment, package))

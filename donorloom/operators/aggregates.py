@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from donorloom.functions.rules import sure
-from donorloom.operators.scale import attach
+from donorloom.operators.scale import attach, durable
 
 MAJOR_GIFT = 10000
 
@@ -246,5 +246,7 @@ def donor_clusters(df: DataFrame, columns: Sequence[str], clusters: int = 10, se
         StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
         KMeans(featuresCol="_scaled", predictionCol="cluster", k=clusters, seed=seed),
     ])
+    # The fit passes over its input many times; a checkpoint keeps it from recomputing the joins before.
+    df = durable(df)
     return steps.fit(df).transform(df).drop("_raw", "_scaled")
 

@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BIG_RANGE_BUCKETS = 4096
+LEVEL_BITS = 16  # 65,536 buckets per histogram level
+LEVELS = 2
 HOT_GROUP = 1_000_000
 HEAVY_SHARE = 10_000
 NULL_PIECES = 256
@@ -189,11 +190,11 @@ def dense_index(df: DataFrame, order: Sequence[Column], name: str, start: int =
     ordered = durable(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
     ordered = ordered.withColumn("_range", F.shiftright("_id", 33))
     sizes = ordered.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per range: as many as there were sort partitions.
+    # One row per range, so as many as there were sort partitions: small enough to broadcast.
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (
-        ordered.join(offsets, "_range")
+        ordered.join(F.broadcast(offsets), "_range")
         .withColumn(name, F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_offset") + F.lit(start))
         .drop("_range", "_id", "_offset")
     )
@@ -209,35 +210,42 @@ def most_common(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Da
 def exact_quantiles(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:
     """Linear-interpolated percentiles of a numeric column, exact at any size.
 
-    Equal values are counted first. Values are then spread over fixed-width
-    buckets between the minimum and maximum; a running count over the buckets
-    (a bounded table) tells which buckets hold the wanted ranks, and only those
-    buckets are ranked value by value.
+    Equal values are counted first. A histogram between minimum and maximum
+    tells which buckets hold the wanted ranks; those buckets alone are divided
+    again, and only the finest ones (2^-32 of the range) are ranked value by
+    value. Every window sees at most 65,536 buckets, or the distinct values of
+    one finest bucket. The wanted ranks are two per point, so the
+    joins with them broadcast a handful of rows.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(
         F.count(F.lit(1)).alias("n"))
-    low = counted.agg(F.min("v")).scalar()
-    high = counted.agg(F.max("v")).scalar()
-    width = (high - low) / F.lit(float(BIG_RANGE_BUCKETS))
-    bucketed = counted.withColumn(
-        "b", F.when(width > 0, F.floor((F.col("v") - low) / width)).otherwise(F.lit(0)).cast("long"))
-    total = counted.agg(F.sum("n")).scalar()
-    by_bucket = bucketed.groupBy("b").agg(F.sum("n").alias("bn"))
-    run = W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)
-    starts = by_bucket.select("b", "bn", F.coalesce(F.sum("bn").over(run), F.lit(0)).alias("skip"))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("p")
-    # Each point needs two neighbouring ranks (0-based): floor and ceil of p*(n-1).
-    ranked_buckets = starts.select("*", wanted).withColumn("pos", F.col("p") * (total - F.lit(1)))
-    ranked_buckets = ranked_buckets.select(
-        "b", "skip", "p", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("rank"), "bn"
-    ).filter((F.col("rank") >= F.col("skip")) & (F.col("rank") < F.col("skip") + F.col("bn")))
-    hit = ranked_buckets.select("b", "skip", "p", "pos", "rank").distinct()
-    inside = W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
-    values = bucketed.join(hit.select("b").distinct(), "b", "left_semi").withColumn(
-        "lo", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    picked = hit.join(values, "b").filter(
-        (F.col("rank") >= F.col("skip") + F.col("lo"))
-        & (F.col("rank") < F.col("skip") + F.col("lo") + F.col("n")))
+    low, high = counted.agg(F.min("v")).scalar(), counted.agg(F.max("v")).scalar()
+    span = high - low
+    finest = F.when(span > 0, F.floor((F.col("v") - low) / span * float(1 << (LEVEL_BITS * LEVELS)))).otherwise(F.lit(0))
+    fine = counted.withColumn("fine", finest.cast("long"))
+    pos = F.col("p") * (counted.agg(F.sum("n")).scalar() - F.lit(1))
+    wanted = df.sparkSession.createDataFrame([(float(p),) for p in points], "p double").withColumn("pos", pos).select(
+        "p", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("rank"),
+        F.lit(0).cast("long").alias("parent"), F.lit(0).cast("long").alias("skip"))
+    level = lambda k: F.shiftright("fine", LEVEL_BITS * (LEVELS - k))
+    for k in range(1, LEVELS + 1):
+        parents = F.broadcast(wanted.select("parent").distinct())
+        parent = F.lit(0).cast("long") if k == 1 else level(k - 1)
+        rows = fine.withColumn("parent", parent).join(parents, "parent", "left_semi")
+        sizes = rows.groupBy("parent", level(k).alias("b")).agg(F.sum("n").alias("bn"))
+        before = W.partitionBy("parent").orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+        starts = sizes.withColumn("inside", F.coalesce(F.sum("bn").over(before), F.lit(0)))
+        start = F.col("skip") + F.col("inside")
+        wanted = starts.join(F.broadcast(wanted), "parent").filter(
+            (F.col("rank") >= start) & (F.col("rank") < start + F.col("bn"))).select(
+            "p", "pos", "rank", F.col("b").alias("parent"), start.alias("skip"))
+    inside = W.partitionBy("parent").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
+    values = fine.withColumn("parent", F.col("fine")).join(
+        F.broadcast(wanted.select("parent").distinct()), "parent", "left_semi").withColumn(
+        "before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    first = F.col("skip") + F.col("before")
+    picked = values.join(F.broadcast(wanted), "parent").filter(
+        (F.col("rank") >= first) & (F.col("rank") < first + F.col("n")))
     return picked.groupBy("p", "pos").agg(
         F.min_by("v", "rank").alias("v0"), F.max_by("v", "rank").alias("v1")
     ).select("p", (F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.floor("pos"))).alias("value"))

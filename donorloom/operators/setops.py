@@ -86,8 +86,9 @@ def hash_sample(
     base = df.filter(~F.coalesce(F.col(gift).cast("string").endswith(suffix), F.lit(False)))
     first = base.agg(F.max(fiscal) - F.lit(ramp_years)).scalar()
     rate = F.lit(base_rate) + F.greatest(F.lit(0), F.col(fiscal) - first + 1) * F.lit(step)
-    score = F.pmod(F.xxhash64(F.col(gift).cast("string"), F.col(fiscal).cast("string"), F.lit(salt)),
-                   F.lit(1_000_000)) / 1_000_000
+    # A published digest, so that other engines can draw the same sample.
+    digest = F.md5(F.concat(F.col(gift).cast("string"), F.col(fiscal).cast("string"), F.lit(salt)).cast("binary"))
+    score = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(1_000_000)) / 1_000_000
     copies = base.filter(score < rate).withColumns({
         gift: F.concat(F.col(gift).cast("string"), F.lit(suffix)),
         donor: F.concat(F.col(donor).cast("string"), F.lit(suffix)),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from donorloom.functions.bands import amount_flag, gift_level
+from donorloom.functions.clean import null_tokens, strip_point_zero
 from donorloom.functions.dates import fiscal_year
 from donorloom.functions.rules import Registry, classify, is_in, matches_any
 
@@ -43,6 +44,23 @@ def dm_or_digital(df: DataFrame) -> DataFrame:
     return df.withColumn("channel", classify([(mail, "DM"), (digital, "Digital")], "Other", match="last"))
 
 
+@PARSE.register("fund_program")
+def fund_program(df: DataFrame) -> DataFrame:
+    """Program of a gift by cleaned outlet, segment and project codes; the first rule that holds wins."""
+    tidy = lambda c: null_tokens(strip_point_zero(F.trim(F.col(c).cast("string"))))
+    df = df.withColumns({c: tidy(c) for c in ("outlet_code", "segment_code", "project_code")})
+    outlet, segment, project = F.col("outlet_code"), F.col("segment_code"), F.col("project_code")
+    # Outlet numbers of the fund programs.
+    return df.withColumn("program", classify([
+        (is_in(outlet, ["9005", "Direct Marketing"]), "CORE"),
+        ((is_in(outlet, ["9000"]) & matches_any(segment, ["VC", "9500", "Mid-Level"], ignore_case=True))
+         | matches_any(project, ["9500"]), "VC"),
+        (is_in(outlet, ["9000"]), "MAJOR"),
+        (is_in(outlet, ["9200", "Events"]), "GENERAL"),
+        (is_in(outlet, ["9900", "9999"]), "EVENTS"),
+    ], "Other"))
+
+
 @SOURCE_CODE.register("upper_code")
 def upper_code(df: DataFrame) -> DataFrame:
     return df.withColumn("source_code", F.upper(F.regexp_replace(F.trim("source_code"), "-", "")))

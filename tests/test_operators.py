@@ -1,6 +1,7 @@
 """Small hand-made cases: nulls, ties, edges."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -269,6 +270,10 @@ def test_quantiles(spark):
     got = {r.p: r.value for r in exact_quantiles(df, "v", points).collect()}
     for p in points:
         assert got[p] == pytest.approx(float(np.quantile(values, p)), rel=1e-9)
+    tail = [float(i) / 100 for i in range(2000)] + [1e9]
+    got = {r.p: r.value for r in exact_quantiles(spark.createDataFrame([(v,) for v in tail], "v double"), "v", points).collect()}
+    for p in points:
+        assert got[p] == pytest.approx(float(np.quantile(tail, p)), rel=1e-9)
     same = exact_quantiles(spark.createDataFrame([(3.0,)] * 5, "v double"), "v", [0.5])
     assert same.first().value == 3.0
 
@@ -317,3 +322,53 @@ def test_quality(spark):
 def test_campaign_rules(spark):
     df = spark.createDataFrame([("AH23X",), ("AG24X",), ("ZZ23",)], "c string")
     assert col_values(campaigns.select_campaigns(df, "c", starts=["AH", "AG"], years=["23"], year_position=2), "c") == ["AH23X"]
+
+
+# ---- properties on random small data --------------------------------------------------------------
+
+@pytest.mark.parametrize("seed", range(3))
+def test_streaks_equal_self_join(spark, seed):
+    rng = random.Random(seed)
+    rows = [(d, y, int(rng.random() < 0.5)) for d in range(20) for y in range(2010, 2025)]
+    df = spark.createDataFrame(rows, "d int, yr int, gave int")
+    out = windows.streaks(df, ["d"], "yr", "gave").collect()
+    gave = {(d, y): g for d, y, g in rows}
+    starts = {(d, y) for d, y, g in rows if g and not gave.get((d, y - 1), 0)}
+    for r in out:
+        mine = [y for (d, y) in starts if d == r.d and y <= r.yr]
+        assert r.first_year_in_streak == (max(mine) if r.gave else None)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_offset_pairs_leave_one_sign(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, rng.choice("ab"), rng.choice([5, -5, 7, -7, 0])) for i in range(200)]
+    out = filters.offset_pairs(spark.createDataFrame(rows, "i long, k string, a int"), "k", "a", ["i"], [F.shiftright("i", 4)]).collect()
+    removed = {r[0] for r in rows} - {r.i for r in out}
+    assert sum(a for i, _, a in rows if i in removed) == 0
+    for key in "ab":
+        for size in (5, 7):
+            signs = {r.a > 0 for r in out if r.k == key and abs(r.a) == size}
+            assert len(signs) <= 1
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_priority_key_keeps_rows(spark, seed):
+    rng = random.Random(seed)
+    pick = lambda: (rng.choice(["A", "B"]), rng.choice(["s", "t", None]), rng.choice(["n", "m", None]), rng.choice(["c", None]))
+    sc = spark.createDataFrame([(i, *pick(), rng.choice([2020, None]), f"k{i}") for i in range(15)],
+                               "o int, client string, source_code string, campaign_name string, campaign_code string, fy int, sc_key_curated string")
+    gifts = spark.createDataFrame([(i, *pick(), 2020) for i in range(120)],
+                                  "g int, client string, source_code string, campaign_name string, campaign_code string, gift_fy int")
+    out = joins.curated_code_key(gifts, sc, [F.col("o")])
+    assert col_values(out, "g") == sorted(range(120), key=repr)
+
+
+def test_fund_program_and_batch(spark):
+    df = spark.createDataFrame([("9005.0", None, None), ("9000", "x vc y", None), ("9000", None, "None"), ("nan", None, "A9500")],
+                               "outlet_code string, segment_code string, project_code string")
+    assert [r.program for r in hooks.PARSE.apply(df, ["fund_program"]).collect()] == ["CORE", "VC", "MAJOR", "VC"]
+    known = spark.createDataFrame([("AB", "a", "s", "p", "1")], "code string, appeal_id string, segment_code string, package_id string, n string")
+    batch = spark.createDataFrame([(" AB ", "a", "s", "p", "2"), ("TOOLONG", "a", "s", "p", "3")], known.schema)
+    good, bad = codes.validate_batch(known, batch, "code", {"n": F.col("n").cast("int")}, {"code": "A"}, length=2)
+    assert col_values(good, "code", "n") == [("AB", 2), ("ASP", 3)] and bad.count() == 0
