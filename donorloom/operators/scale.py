@@ -223,21 +223,25 @@ def exact_quantiles(df: DataFrame, value: str, points: Sequence[float]) -> DataF
     span = high - low
     finest = F.when(span > 0, F.floor((F.col("v") - low) / span * float(1 << (LEVEL_BITS * LEVELS)))).otherwise(F.lit(0))
     fine = counted.withColumn("fine", finest.cast("long"))
-    pos = F.col("p") * (counted.agg(F.sum("n")).scalar() - F.lit(1))
-    wanted = df.sparkSession.createDataFrame([(float(p),) for p in points], "p double").withColumn("pos", pos).select(
-        "p", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("rank"),
-        F.lit(0).cast("long").alias("parent"), F.lit(0).cast("long").alias("skip"))
     level = lambda k: F.shiftright("fine", LEVEL_BITS * (LEVELS - k))
-    for k in range(1, LEVELS + 1):
+    holds = lambda start: (F.col("rank") >= start) & (F.col("rank") < start + F.col("bn"))
+
+    # Top level: every bucket against every wanted rank, both few.
+    top = fine.groupBy(level(1).alias("b")).agg(F.sum("n").alias("bn"))
+    before = W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+    top = top.withColumn("skip", F.coalesce(F.sum("bn").over(before), F.lit(0)))
+    top = top.select("*", F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("p"))
+    top = top.withColumn("pos", F.col("p") * (counted.agg(F.sum("n")).scalar() - F.lit(1)))
+    top = top.select("*", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("rank"))
+    wanted = top.filter(holds(F.col("skip"))).select("p", "pos", "rank", F.col("b").alias("parent"), "skip")
+    for k in range(2, LEVELS + 1):
         parents = F.broadcast(wanted.select("parent").distinct())
-        parent = F.lit(0).cast("long") if k == 1 else level(k - 1)
-        rows = fine.withColumn("parent", parent).join(parents, "parent", "left_semi")
+        rows = fine.withColumn("parent", level(k - 1)).join(parents, "parent", "left_semi")
         sizes = rows.groupBy("parent", level(k).alias("b")).agg(F.sum("n").alias("bn"))
         before = W.partitionBy("parent").orderBy("b").rowsBetween(W.unboundedPreceding, -1)
         starts = sizes.withColumn("inside", F.coalesce(F.sum("bn").over(before), F.lit(0)))
         start = F.col("skip") + F.col("inside")
-        wanted = starts.join(F.broadcast(wanted), "parent").filter(
-            (F.col("rank") >= start) & (F.col("rank") < start + F.col("bn"))).select(
+        wanted = starts.join(F.broadcast(wanted), "parent").filter(holds(start)).select(
             "p", "pos", "rank", F.col("b").alias("parent"), start.alias("skip"))
     inside = W.partitionBy("parent").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
     values = fine.withColumn("parent", F.col("fine")).join(
