@@ -1,4 +1,4 @@
-"""Session settings the library is tested with.
+"""Session settings the library is tested with, and the folder that all machines share.
 
 On a cluster the submitter owns the session; these are the settings worth
 having there too. Nothing in the library depends on a partition count: AQE
@@ -7,7 +7,10 @@ coalesces small shuffles and splits skewed ones.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -32,8 +35,27 @@ def build_session(app: str = "donorloom", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session someone else created."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where it is unset a temporary folder serves in local mode, with one machine
+    and one process; on a cluster its absence is an error.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        if named is None and context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="donorloom-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
+
+
+def new_folder(spark: SparkSession, kind: str = "work") -> str:
+    """A path in the shared folder that no other call gets."""
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Compute ``df`` now and cut its lineage by a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
