@@ -32,7 +32,6 @@ EXCEPTION = 0.2  # what an exception ("with") gives back of the freedom that its
 
 _GAP = re.compile("[\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+\-:]*")
-_UPPER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
 RANK = {"or": 1, "and": 2, "with": 3}
 
 
@@ -127,7 +126,7 @@ def _expression(text: str, at: int) -> tuple[float, list[str]] | None:
 
 def scan(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float, list[str]]:
     """n_words, n_base, first_word, last_word, base_labels, labels, score, identifiers of one whole text."""
-    low = (text or "").translate(_UPPER)
+    low = (text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # bytes: A-Z only
     words = _GAP.sub(" ", low).strip(" ")
     spaced = f" {words} " if words else ""
     n_words = words.count(" ") + 1 if words else 0

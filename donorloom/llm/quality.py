@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,7 +20,6 @@ SHRINK = 0.1  # weight of the pooled covariance in each class
 FLOOR = 0.02  # weight of the pooled variances' mean, on the diagonal
 MARGIN = 1e-12
 
-_UPPER = re.compile(r"[^\W\d_]")
 _PLAIN = ".,;:'\"?-()"
 
 

@@ -19,10 +19,9 @@ SPACE = "▁"
 DROPOUT = 0.1
 SEED = 42
 VARIANTS = 4  # segmentations that a word can have; a document's id picks one
-MEMO = 240_000  # segmented words that a Python worker holds
+MEMO = 600_000  # segmented words that a Python worker holds
 WIDE = 48  # words of more characters go through the agenda one by one
 _WORD = re.compile(f" *[^ \n{SPACE}]+| +|[\n{SPACE}]")  # no merge crosses these borders
-_LONGEST = 1 << 20
 NONE = np.int64(-1)
 
 
@@ -51,6 +50,7 @@ class Model:
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.ids):
             raise ValueError("the model merges across words")
         self.prefix = sp.encode("a", out_type=str)[0].startswith(SPACE)
+        self.length = [len(p) for p in names]
         self.chars = np.full(0x110000, NONE, np.int64)
         for p, i in self.ids.items():
             if len(p) == 1:
@@ -78,7 +78,7 @@ class Model:
 
     def clear(self) -> None:
         self.known: dict[tuple, dict[str, int]] = {}
-        self.held, self.used, self.flat, self.at = 0, 0, np.zeros(1 << 16, np.int32), [0]
+        self.held, self.used, self.flat, self.at = 0, 0, np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
 
     def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Id of the piece that two symbols make, NONE where they make none."""
@@ -137,13 +137,14 @@ def agenda(model: Model, word: str, key: int, dropout: float) -> list[int]:
             offer(before[i])
     out, i = [], 0
     while i < n:
-        out += [sym[i]] if sym[i] >= 0 else model.bytes[list(word[i].encode())].tolist()
+        out.append(sym[i])
         i = after[i]
     return out
 
 
-def _grid(model: Model, words: list[str], keys: np.ndarray, dropout: float) -> list[np.ndarray]:
-    """The agenda for many short words at once: in every round each word makes the first merge of its agenda."""
+def _grid(model: Model, words: list[str], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """The agenda for many short words at once: in every round each word makes the first merge of its agenda. Symbols of
+    all words in one array, and their number in each."""
     lengths = np.array([len(w) for w in words])
     n, wide = len(words), int(lengths.max())
     code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
@@ -185,46 +186,47 @@ def _grid(model: Model, words: list[str], keys: np.ndarray, dropout: float) -> l
         prior = before[live, i]
         has = prior >= 0
         offer(live[has], prior[has])
-    counts = alive.sum(1)
-    ends = np.cumsum(counts)
-    flat = sym[alive]
-    odd = np.zeros(n, bool)
-    odd[np.repeat(np.arange(n), counts)[flat < 0]] = True
-    places = np.nonzero(alive)[1]
-    out = []
-    for k, (end, size) in enumerate(zip(ends.tolist(), counts.tolist())):
-        part = flat[end - size:end]
-        if odd[k]:
-            part = np.concatenate([[s] if s >= 0 else model.bytes[list(words[k][p].encode())]
-                                   for s, p in zip(part, places[end - size:end])])
-        out.append(part)
-    return out
+    return sym[alive], alive.sum(1)
 
 
 def _learn(model: Model, known: dict[str, int], words: list[str], seed: int, dropout: float) -> None:
     """Segment words that are new and remember them."""
-    spaced = [w if w == SPACE else w.replace(" ", SPACE) for w in words]
-    keys = np.array([xxhash.xxh64_intdigest(w.encode(), seed) for w in spaced], np.uint64)
-    out: list = [None] * len(words)
-    for k, w in enumerate(words):
-        if w == SPACE:  # the sign itself, not a space: kept apart as bytes
-            out[k] = model.bytes[list(SPACE.encode())]
-        elif len(w) > WIDE:
-            out[k] = np.array(agenda(model, spaced[k], int(keys[k]), dropout))
-    order = sorted((k for k in range(len(words)) if out[k] is None), key=lambda k: len(words[k]))
-    for at in range(0, len(order), 20_000):
-        some = order[at:at + 20_000]
-        for k, ids in zip(some, _grid(model, [spaced[k] for k in some], keys[some], dropout)):
-            out[k] = ids
-    flat = np.concatenate(out).astype(np.int32)
-    while model.used + len(flat) > len(model.flat):
-        model.flat = np.concatenate([model.flat, np.zeros_like(model.flat)])
-    model.flat[model.used:model.used + len(flat)] = flat
-    for w, ids in zip(words, out):
-        known[w] = len(model.at) - 1
-        model.used += len(ids)
-        model.at.append(model.used)
-    model.held += len(words)
+    words.sort(key=len)
+    while words:
+        some, words = words[:4000], words[4000:]
+        some = [w for w in some if len(w) <= WIDE] + [w for w in some if len(w) > WIDE]
+        short = sum(len(w) <= WIDE for w in some)
+        spaced = [w if w == SPACE else w.replace(" ", SPACE) for w in some]
+        keys = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in spaced), np.uint64, len(some))
+        flat, counts = _grid(model, spaced[:short], keys[:short], dropout) if short else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        parts = [flat, *(np.array(agenda(model, w, int(k), dropout), np.int64) for w, k in zip(spaced[short:], keys[short:]))]
+        flat, counts = np.concatenate(parts), np.concatenate([counts, [len(p) for p in parts[1:]]]).astype(np.int64)
+        if (flat < 0).any() or SPACE in some:
+            flat, counts = _with_bytes(model, some, flat, counts)
+        while model.used + len(flat) > len(model.flat):
+            model.flat = np.concatenate([model.flat, np.zeros_like(model.flat)])
+        model.flat[model.used:model.used + len(flat)] = flat
+        while model.held + len(some) + 1 > len(model.at):
+            model.at = np.concatenate([model.at, np.zeros_like(model.at)])
+        model.at[model.held + 1:model.held + 1 + len(some)] = model.used + np.cumsum(counts)
+        known.update(zip(some, range(model.held, model.held + len(some))))
+        model.used += len(flat)
+        model.held += len(some)
+
+
+def _with_bytes(model: Model, words: list[str], flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Characters without a piece as byte pieces, and the sign for spaces, where a text holds it, as well."""
+    out = np.split(flat, np.cumsum(counts)[:-1])
+    for k, part in enumerate(out):
+        if words[k] == SPACE:
+            out[k] = model.bytes[list(SPACE.encode())].astype(np.int64)
+        elif (part < 0).any():
+            ids, at = [], 0
+            for s in part.tolist():
+                ids += [s] if s >= 0 else model.bytes[list(words[k][at].encode())].tolist()
+                at += model.length[s] if s >= 0 else 1
+            out[k] = np.array(ids, np.int64)
+    return np.concatenate(out), np.array(list(map(len, out)), np.int64)
 
 
 def encode(model: Model, texts: list[str], variants: list[int], seed: int = SEED, dropout: float = DROPOUT) -> tuple[np.ndarray, np.ndarray]:
@@ -241,8 +243,7 @@ def encode(model: Model, texts: list[str], variants: list[int], seed: int = SEED
             _learn(model, known, new, xxhash.xxh64_intdigest(b"%d" % variant, seed & (2 ** 64 - 1)), dropout)
     for ws, v in zip(words, variants):
         where.append(np.fromiter(map(model.known[(seed, dropout, v)].__getitem__, ws), np.int64, len(ws)))
-    at = np.array(model.at)
-    return _gather(model.flat, at, where)
+    return _gather(model.flat, model.at, where)
 
 
 def _gather(flat: np.ndarray, at: np.ndarray, where: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

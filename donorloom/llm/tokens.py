@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
-import regex
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +20,21 @@ from donorloom.session import durable
 
 LIMIT = 1024
 FEW = 500_000  # misses up to this many (32 bytes each) are broadcast; more are joined
-WORDS = 200_000  # counts of single words that a Python worker holds
+WORDS = 600_000  # counts of single words that a Python worker holds
 STORED = "digest binary, n_tokens long, version string"
 
-# The split that byte-level BPE makes before merging; a fixed value of the format.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# Characters whose classes may differ between Unicode versions or regex libraries: such texts go to the library whole.
-UNUSUAL = regex.compile(r"[^\t\n\v\f\r\x20-\x7e\xa0-ɏ‐-‧‰-›€]")
+# Characters whose classes do not differ between Unicode versions or regex libraries; other texts go to the library whole.
+USUAL = [*map(chr, [*range(9, 14), *range(0x20, 0x7F), *range(0xA0, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x203B), 0x20AC])]
+UNUSUAL = re.compile(f"[^{re.escape(''.join(USUAL))}]")
+
+
+def _class(kind: str) -> str:
+    return re.escape("".join(c for c in USUAL if unicodedata.category(c).startswith(kind)))
+
+
+LETTERS, DIGITS = _class("L"), _class("N")
+# The split that byte-level BPE makes before merging, a fixed value of the format, for usual characters.
+SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^\s{LETTERS}{DIGITS}]+|\s+(?!\S)|\s+")
 
 
 def version_of(path: str) -> str:
