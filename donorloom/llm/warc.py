@@ -36,8 +36,10 @@ def _place(uri: str) -> tuple[fs.FileSystem, str]:
 def train(pages: DataFrame) -> bytes:
     """A dictionary from at most SAMPLES beginnings of payloads; empty where they are too few or too small."""
     text = F.substring(F.col("html").cast("string"), 1, SAMPLE_CHARS)
-    few = pages.select(text.alias("t"), F.xxhash64("page_id").alias("h")).filter(F.length("t") > 0).orderBy("h", "t").limit(SAMPLES)
-    samples = [r["t"].encode() for r in few.collect()]
+    rows = pages.select(text.alias("t"), F.xxhash64("page_id").alias("h")).filter(F.length("t") > 0)
+    # Keys first, so that only the chosen texts come to the driver.
+    last = rows.select("h").orderBy("h").limit(SAMPLES).agg(F.max("h")).first()[0]
+    samples = [r["t"].encode() for r in rows.filter(F.col("h") <= F.lit(last)).limit(SAMPLES).collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
     except zstandard.ZstdError:
