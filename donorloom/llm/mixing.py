@@ -13,7 +13,7 @@ from donorloom.llm.common import lookup
 from donorloom.session import durable
 
 LEVELS = ("domain", "language", "source")
-BUCKET_ROWS = 20_000  # rows wanted in a bucket of a leaf's order
+BUCKET_ROWS = 1000  # rows wanted in a bucket of a leaf's order
 
 
 @dataclass(frozen=True)
