@@ -21,7 +21,7 @@ NEAR = 3  # differing bits
 PIVOTS = 16  # reference fingerprints
 CELL = 8  # width of a grid cell, in distance to a pivot; at least 2 * NEAR + 1
 GRID_FROM, GRID_TO = 3, 9  # pivots that make the grid
-CELL_ROWS = 4096  # fingerprints wanted in an average grid cell
+CELL_ROWS = 16384  # fingerprints wanted in an average grid cell
 BLOCKS = 256  # blocks of either side wanted in all, so that small tables spread as well
 ITEM_ROWS, VISITOR_ROWS = 4096, 16384
 
