@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from donorloom.session import new_folder
+
 START = 7  # first month of the fiscal year in the examples
 
 # ---- shared SQL views --------------------------------------------------------------
@@ -89,7 +89,5 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for written tables, in the shared checkpoint folder when the cluster names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="donorloom-")
-    return f"{root}/work-{uuid.uuid4().hex}"
+    """A new folder for written tables, in the folder that all machines share."""
+    return new_folder(spark)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from donorloom.catalog.base import START, query, with_views
 from donorloom.functions import bands, dates, rules
 from donorloom.operators import windows
-from donorloom.plans.hooks import channel_from_appeal, fund_program
+from donorloom.plans.hooks import by_table, channel_from_appeal
 from donorloom.sources import tables
 
 
@@ -243,16 +243,16 @@ def b14(spark, d):
 
 
 @query("b18_fund_program", with_views("mail", more="""
-f AS (SELECT gift_id, line, part_id, list_id, revenue, CASE list_id % 7 WHEN 0 THEN '9005' WHEN 1 THEN 'Direct Marketing' WHEN 2 THEN '9000' WHEN 3 THEN '9200' WHEN 4 THEN '9900' WHEN 5 THEN NULL ELSE '9000' END AS o,
-  package_name AS s, CASE WHEN quantity > 48 THEN 'P9500' END AS p FROM mail)""") + """
-SELECT gift_id, line, part_id, list_id, CAST(revenue AS DOUBLE) AS revenue, CASE WHEN o IN ('9005', 'Direct Marketing') THEN 'CORE' WHEN (o = '9000' AND s LIKE '%ECO%') OR p LIKE '%9500%' THEN 'VC'
-  WHEN o = '9000' THEN 'MAJOR' WHEN o = '9200' THEN 'GENERAL' WHEN o = '9900' THEN 'EVENTS' ELSE 'Other' END AS program FROM f""")
+f AS (SELECT gift_id, line, part_id, list_id, revenue, quantity, package_name AS s, list_id % 6 AS o FROM mail)""") + """
+SELECT gift_id, line, part_id, list_id, CAST(revenue AS DOUBLE) AS revenue, CASE WHEN quantity > 48 THEN 'Project' WHEN o = 2 AND s LIKE '%STEEL%' THEN 'Steel shop'
+  WHEN o IN (0, 1, 2) THEN 'Shop' WHEN o = 3 THEN 'Fair' ELSE 'Other' END AS program FROM f""")
 def b18(spark, d):
-    outlet = F.element_at(F.array(*[F.lit(x) for x in ("9005.0", " Direct Marketing", "9000", "9200.0", "9900", "nan", "9000.0")]), (F.col("list_id") % 7 + 1).cast("int"))
+    outlet = F.element_at(F.array(*[F.lit(x) for x in ("11.0", " shop", "12", "21.0", "77", "nan")]), (F.col("list_id") % 6 + 1).cast("int"))
     m = tables.mailings(spark, d).withColumns({
-        "outlet_code": outlet, "segment_code": F.when(F.col("package_name") == "ECONOMY", "mid-level").otherwise(F.col("package_name")),
-        "project_code": F.when(F.col("quantity") > 48, "P9500").otherwise("None")})
-    return fund_program(m).select("gift_id", "line", "part_id", "list_id", "revenue", "program")
+        "outlet": outlet, "segment": F.lower("package_name"), "project": F.when(F.col("quantity") > 48, "P5.0").otherwise("None")})
+    rules = [("Project", [("project", "in", ["P5"])]), ("Steel shop", [("outlet", "in", ["12"]), ("segment", "has", ["STEEL"])]),
+             ("Shop", [("outlet", "in", ["11", "12", "shop"])]), ("Fair", [("outlet", "in", ["21"])])]
+    return by_table(m, "program", rules, "Other").select("gift_id", "line", "part_id", "list_id", "revenue", "program")
 
 
 @query("b17_letter_codes", with_views("code") + """

@@ -78,7 +78,7 @@ def f08(spark, d):
     return filters.suppress(holes(spark, d), [
         ("isin", "channel", ["5-LOW"], False), ("contains", "channel", ["MED"], False),
         ("isin", "gift_type", ["F", "P"], True), ("greater_than", "gift_amount", [400000], False),
-        ("no_such_rule", "channel", [], True)]).select("gift_id")
+        ("offset_pairs", "gift_id", ["gift_amount", "gift_date"], True), ("no_such_rule", "channel", [], True)]).select("gift_id")
 
 
 @query("f09_drop_future", with_views("gift") + """

@@ -236,13 +236,13 @@ def value_flags(df: DataFrame, key: str, value: str, values: Sequence) -> DataFr
 
 
 def donor_clusters(df: DataFrame, columns: Sequence[str], clusters: int = 10, seed: int = 42) -> DataFrame:
-    """K-means on standardised measures."""
+    """K-means on standardised measures. A null measure is an error, so no donor is left out."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
     steps = Pipeline(stages=[
-        VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip"),
+        VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="error"),
         StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
         KMeans(featuresCol="_scaled", predictionCol="cluster", k=clusters, seed=seed),
     ])

@@ -70,6 +70,14 @@ def fill_missing_ids(df: DataFrame, key: str, order: Sequence[Column]) -> DataFr
     return numbered.withColumn(key, F.coalesce(value, made)).drop("_at")
 
 
+def with_made_ids(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """Rows with an id as they are; of those without one the distinct ones, with ``_`` and their position in ``order``.
+
+    Only rows without an id are sorted.
+    """
+    return df.filter(F.col(key).isNotNull()).unionByName(fill_missing_ids(df.filter(F.col(key).isNull()), key, order))
+
+
 def duplicate_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once."""
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))

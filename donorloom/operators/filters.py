@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -72,14 +73,18 @@ FILTERS: dict[str, Callable[..., DataFrame]] = {
     "dropna": whitelist,
     "greater_than": greater_than,
     "starts_with": starts_with,
+    # values: the amount column and the column that gives the row order
+    "offset_pairs": lambda df, col, values, include: offset_pairs(df, col, values[0], [values[1]], [F.col(values[1])]),
 }
 
 
 def suppress(df: DataFrame, rules: Sequence[tuple[str, str, object, bool]]) -> DataFrame:
-    """Apply (function, column, values, include) rules in order; unknown functions are skipped."""
+    """Apply (function, column, values, include) rules in order; unknown functions are skipped with a warning."""
     for name, col, values, include in rules:
         if name in FILTERS:
             df = FILTERS[name](df, col, values, include)
+        else:
+            warnings.warn(f"suppression rule {name!r} on {col!r} is unknown and was skipped", stacklevel=2)
     return df
 
 

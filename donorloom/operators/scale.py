@@ -18,13 +18,14 @@ operators in this package do not use one on raw rows. They use these instead:
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from donorloom.session import durable
+
 LEVEL_BITS = 16  # 65,536 buckets per histogram level
 LEVELS = 2
 HOT_GROUP = 1_000_000
@@ -32,16 +33,6 @@ HEAVY_SHARE = 10_000
 NULL_PIECES = 256
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the cluster's shared folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="donorloom-"))
-    return df.checkpoint()
-
-
 def rising(*columns: str | Column) -> list[Column]:
     """Sort keys, ascending with nulls last, usable inside a struct."""
     keys: list[Column] = []
@@ -158,9 +149,13 @@ def number_rows(
     (key, bucket). Heavy groups are taken out before the shuffle and numbered by
     the next bucket; where there are none, that branch is empty at run time and
     AQE drops it. The join and the window share one shuffle of the other rows.
-    Keys and buckets must not be null.
+    Nulls are values like others in keys and buckets, and must come first in
+    ``order`` where a bucket is null; a struct of null flag and value puts them last.
     """
-    return _number(df, list(keys), list(buckets), order, name, limit, 0)
+    # A struct is never null itself, so that plain equality also joins null keys.
+    held = {f"_key{i}": F.struct(F.col(k).alias("k")) for i, k in enumerate(keys)}
+    wrapped = [F.struct(b.alias("b")) for b in buckets]
+    return _number(df.withColumns(held), list(held), wrapped, order, name, limit, 0).drop(*held)
 
 
 def _number(df, keys, buckets, order, name, limit, level) -> DataFrame:

@@ -22,9 +22,12 @@ UP_TO_HERE = (W.unboundedPreceding, W.currentRow)
 def gift_numbers(df: DataFrame, donor: str, date: str, amount: str, tie: str, name: str = "donor_gift_number") -> DataFrame:
     """1, 2, ... per donor by date, larger amounts first on the same day.
 
-    Days with very many gifts of one donor are split by amount, then by id.
+    Gifts without a date come first, those without an amount last on their day;
+    gifts without a donor are numbered among themselves. Days with very many gifts
+    of one donor are split by amount, then by id.
     """
-    return number_rows(df, [donor], [F.col(date), -F.col(amount), F.col(tie)], [F.col(date), F.col(amount).desc(), F.col(tie)], name)
+    larger_first = F.struct(F.col(amount).isNull(), -F.col(amount))
+    return number_rows(df, [donor], [F.col(date), larger_first, F.col(tie)], [F.col(date), F.col(amount).desc(), F.col(tie)], name)
 
 
 def first_gift_order(date: str, amount: str, tie: str) -> list[Column]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from donorloom.functions.clean import clean_null_tokens, database_headers, money, rename_checked, strip_point_zero, two_format_date
 from donorloom.functions.codes import client_campaign, default_campaign_name, inferred_campaign
 from donorloom.functions.dates import fiscal_year
-from donorloom.operators.dedupe import first_by
+from donorloom.operators.dedupe import first_by, with_made_ids
 from donorloom.operators.filters import suppress, usable_gifts
 from donorloom.operators.joins import membership_flag, missing_codes
 from donorloom.operators.scale import attach, dense_index, first_value, last_value, most_common, rising
@@ -22,7 +22,7 @@ JOIN_COLUMNS = ("gift_id", "gift_amount", "channel", "gift_type")
 def transactions(
     raw: DataFrame, renames: Mapping[str, str], suppressions: Sequence[tuple], client: str, start_month: int,
 ) -> DataFrame:
-    """Raw text rows to typed, deduplicated gifts with fiscal columns."""
+    """Raw text rows to typed, deduplicated gifts with fiscal columns. Gifts without an id get one made from their place."""
     df = suppress(raw, suppressions)
     df = clean_null_tokens(rename_checked(database_headers(df), renames))
     df = df.withColumns({
@@ -31,7 +31,10 @@ def transactions(
         "gift_date": two_format_date(F.col("gift_date")),
         "gift_amount": money(F.col("gift_amount")),
     })
-    df = first_by(df.filter(F.col("gift_id").isNotNull()), ["gift_id"], rising("gift_date", "donor_id", "gift_amount"))
+    order = rising("gift_date", "donor_id", "gift_amount")
+    rest = [c for c in df.columns if c not in ("gift_id", "gift_date", "donor_id", "gift_amount")]
+    df = with_made_ids(df, "gift_id", [*order, *rising(*rest)])
+    df = first_by(df, ["gift_id"], order)
     date = F.col("gift_date")
     return usable_gifts(df, "donor_id", "gift_date", "gift_amount").withColumns({
         "client": F.lit(client), "gift_month": F.month(date), "gift_cy": F.year(date),
@@ -104,11 +107,13 @@ def unsourced_years(gifts: DataFrame, client: str, start_month: int) -> DataFram
 def inferred_codes(gifts: DataFrame, codes: DataFrame, client: str, start_month: int) -> DataFrame:
     """Codes on gifts that the table lacks, with an estimated mail date per code and fiscal year.
 
-    The campaign group comes from the most frequent group of the campaign code.
+    Empty codes and ``NONE`` count as missing and stay. The campaign group comes from the most frequent group of the campaign code.
     """
     fy = fiscal_year(F.col("gift_date"), start_month)
-    key = F.concat(F.coalesce("source_code", "campaign_name"), F.lit("_"), fy.cast("string"))
-    absent = missing_codes(gifts.filter(F.coalesce(F.col("source_code") != "", F.lit(True))), codes, "source_code")
+    code = F.when(~F.col("source_code").isin("", "NONE"), F.col("source_code"))
+    # Never null itself, so that rows with neither code nor name keep their date as well.
+    key = F.struct(F.concat(F.coalesce("source_code", "campaign_name"), F.lit("_"), fy.cast("string")).alias("k"))
+    absent = missing_codes(gifts.withColumn("source_code", code), codes, "source_code")
     rows = absent.select("source_code", "campaign_code", "campaign_name", "gift_date", key.alias("_key"))
     first = rows.groupBy("_key").agg(F.min("gift_date").alias("mail_date"))
     rows = rows.drop("gift_date").distinct().join(first, "_key").drop("_key")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,31 +36,21 @@ def channel_from_appeal(df: DataFrame) -> DataFrame:
     ], "Other", match="last"))
 
 
-@PARSE.register("dm_or_digital")
-def dm_or_digital(df: DataFrame) -> DataFrame:
-    campaign = F.col("campaign_id").cast("string")
-    # Campaign numbers of mail and digital programs.
-    mail = is_in(campaign, ["143", "145", "146"]) | (
-        is_in(campaign, ["160"]) & is_in(F.col("appeal_category"), ["Direct Mail"]))
-    digital = is_in(campaign, ["132", "133", "134", "135", "136", "137", "138", "139", "140", "142"])
-    return df.withColumn("channel", classify([(mail, "DM"), (digital, "Digital")], "Other", match="last"))
-
-
-@PARSE.register("fund_program")
-def fund_program(df: DataFrame) -> DataFrame:
-    """Program of a gift by cleaned outlet, segment and project codes; the first rule that holds wins."""
-    tidy = lambda c: null_tokens(strip_point_zero(F.trim(F.col(c).cast("string"))))
-    df = df.withColumns({c: tidy(c) for c in ("outlet_code", "segment_code", "project_code")})
-    outlet, segment, project = F.col("outlet_code"), F.col("segment_code"), F.col("project_code")
-    # Outlet numbers of the fund programs.
-    return df.withColumn("program", classify([
-        (is_in(outlet, ["9005", "Direct Marketing"]), "CORE"),
-        ((is_in(outlet, ["9000"]) & matches_any(segment, ["VC", "9500", "Mid-Level"], ignore_case=True))
-         | matches_any(project, ["9500"]), "VC"),
-        (is_in(outlet, ["9000"]), "MAJOR"),
-        (is_in(outlet, ["9200", "Events"]), "GENERAL"),
-        (is_in(outlet, ["9900", "9999"]), "EVENTS"),
-    ], "Other"))
+def by_table(df: DataFrame, name: str, table: Sequence[tuple[str, Sequence[tuple[str, str, Sequence[str]]]]], default: str) -> DataFrame:
+    """Label rows by a table of rules: (label, conditions), the first rule whose conditions all hold.
+
+    A condition is (column, "in" or "has", values); codes are trimmed, null words
+    become null and a trailing ``.0`` goes before they are compared.
+    """
+    tests = {"in": is_in, "has": lambda c, values: matches_any(c, values, ignore_case=True)}
+
+    def holds(conditions):
+        every = F.lit(True)
+        for column, test, values in conditions:
+            every = every & tests[test](null_tokens(strip_point_zero(F.trim(F.col(column).cast("string")))), list(values))
+        return every
+
+    return df.withColumn(name, classify([(holds(conditions), label) for label, conditions in table], default))
 
 
 @SOURCE_CODE.register("upper_code")

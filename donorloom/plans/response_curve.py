@@ -20,6 +20,7 @@ from donorloom.operators.scale import spread_join
 SHAPE_RANGE = (0.3, 5.0)
 TERMS = 400
 FLAT_FROM = 200.0
+MAX_SHAPE = 50.0  # up to here the bounds above leave nothing out
 
 
 def response_days(gifts: DataFrame, mailed: DataFrame, campaign: str, gift_date: str, mail_date: str) -> DataFrame:
@@ -73,7 +74,8 @@ def gamma_cdf(x: Column, shape: Column, loc: Column, scale: Column) -> Column:
 
     total = F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, add, lambda acc: acc["total"])
     value = F.exp(-z + shape * F.log(z) - log_gamma(shape)) * total
-    return F.when(z <= 0, 0.0).when(z > FLAT_FROM, 1.0).otherwise(F.least(value, F.lit(1.0)))
+    refused = F.raise_error(F.lit(f"gamma shapes up to {MAX_SHAPE} only")).cast("double")
+    return F.when(shape > MAX_SHAPE, refused).when(z <= 0, 0.0).when(z > FLAT_FROM, 1.0).otherwise(F.least(value, F.lit(1.0)))
 
 
 def curve_table(params: DataFrame, name: str, last_day: int = 340) -> DataFrame:

@@ -34,7 +34,8 @@ class Store:
         target = jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
 
-    def versions(self, name: str, layer: str = "silver") -> list[int]:
+    def versions(self, name: str, layer: str = "silver", whole: bool = True) -> list[int]:
+        """Numbers of the versions; with ``whole=False`` also of those that a failed write left behind."""
         fs, folder = self._fs(self.path(name, layer))
         if not fs.exists(folder):
             return []
@@ -42,7 +43,7 @@ class Store:
         for status in fs.listStatus(folder):
             leaf = status.getPath().getName()
             if leaf.startswith("v") and leaf[1:].isdigit():
-                if self._complete(status.getPath().toString()):
+                if not whole or self._complete(status.getPath().toString()):
                     found.append(int(leaf[1:]))
         return sorted(found)
 
@@ -67,7 +68,7 @@ class Store:
 
     # ---- writing ------------------------------------------------------------------
     def overwrite(self, df: DataFrame, name: str, layer: str = "silver", partition: Sequence[str] = ()) -> None:
-        seen = self.versions(name, layer)
+        seen = self.versions(name, layer, whole=False)
         df.write.partitionBy(*partition).parquet(self._version_path(name, (seen[-1] if seen else 0) + 1, layer))
 
     def append(self, df: DataFrame, name: str, layer: str = "silver") -> None:

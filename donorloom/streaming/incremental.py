@@ -9,10 +9,13 @@ from donorloom.operators.setops import replace_window
 from donorloom.sources.store import Store
 
 
-def file_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
-    """CSV files as they arrive; the stream's own log is the ledger of files already taken."""
-    return (spark.readStream.schema(schema).option("header", True)
-            .option("maxFilesPerTrigger", files_per_batch).csv(folder))
+def file_stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """CSV files as they arrive; the stream's own log is the ledger of files already taken.
+
+    A trigger takes all files that are there, without a cap: a delivery replaces one
+    date window, and cut into several batches each would delete the one before.
+    """
+    return spark.readStream.schema(schema).option("header", True).csv(folder)
 
 
 def replace_into(store: Store, name: str, date: str):

@@ -364,11 +364,40 @@ def test_priority_key_keeps_rows(spark, seed):
     assert col_values(out, "g") == sorted(range(120), key=repr)
 
 
-def test_fund_program_and_batch(spark):
-    df = spark.createDataFrame([("9005.0", None, None), ("9000", "x vc y", None), ("9000", None, "None"), ("nan", None, "A9500")],
-                               "outlet_code string, segment_code string, project_code string")
-    assert [r.program for r in hooks.PARSE.apply(df, ["fund_program"]).collect()] == ["CORE", "VC", "MAJOR", "VC"]
+def test_rule_table_and_batch(spark):
+    df = spark.createDataFrame([("7.0", None), ("8", "x vc y"), ("8", None), ("nan", "VC")], "outlet string, segment string")
+    rules = [("One", [("outlet", "in", ["7"])]), ("Two", [("outlet", "in", ["8"]), ("segment", "has", ["VC"])]), ("Three", [("outlet", "in", ["8"])])]
+    assert [r.p for r in hooks.by_table(df, "p", rules, "Other").collect()] == ["One", "Two", "Three", "Other"]
     known = spark.createDataFrame([("AB", "a", "s", "p", "1")], "code string, appeal_id string, segment_code string, package_id string, n string")
     batch = spark.createDataFrame([(" AB ", "a", "s", "p", "2"), ("TOOLONG", "a", "s", "p", "3")], known.schema)
     good, bad = codes.validate_batch(known, batch, "code", {"n": F.col("n").cast("int")}, {"code": "A"}, length=2)
     assert col_values(good, "code", "n") == [("AB", 2), ("ASP", 3)] and bad.count() == 0
+
+
+def test_nothing_lost_to_missing_values(spark):
+    from donorloom.operators.windows import gift_numbers
+    from donorloom.operators.scale import number_rows
+    from donorloom.plans import base_tables
+
+    df = spark.createDataFrame([(1, "a", "2020-01-01", 5.0), (2, "a", "2020-01-01", None), (3, "a", "2020-01-01", 3.0), (4, "a", None, 9.0),
+                                (5, None, "2020-01-01", 1.0), (6, None, None, 1.0)], "g int, d string, t string, a double")
+    want = {1: 2, 2: 4, 3: 3, 4: 1, 5: 2, 6: 1}
+    assert {r.g: r.donor_gift_number for r in gift_numbers(df, "d", "t", "a", "g").collect()} == want
+    buckets = [F.col("t"), F.struct(F.col("a").isNull(), -F.col("a")), F.col("g")]
+    for limit in (1, 10, 10 ** 6):
+        got = number_rows(df, ["d"], buckets, [F.col("t"), F.col("a").desc(), F.col("g")], "n", limit)
+        assert {r.g: r.n for r in got.collect()} == want, limit
+
+    codes = spark.createDataFrame([("A", "c", "g")], "source_code string, campaign_code string, campaign_group string")
+    gifts = spark.createDataFrame([("", None, "n", "2020-01-02"), (None, None, None, "2020-01-03"), ("NONE", "c", None, "2020-01-04"), ("B", None, None, "2020-01-05"),
+                                   ("A", None, None, "2020-01-06")], "source_code string, campaign_code string, campaign_name string, gift_date string")
+    out = base_tables.inferred_codes(gifts.withColumn("gift_date", F.col("gift_date").cast("date")), codes, "Acme", 7)
+    assert sorted(((r.source_code, r.campaign_code, r.campaign_name) for r in out.collect()), key=repr) == [
+        ("B", None, None), (None, "c", None), (None, None, "n"), (None, None, None)]
+
+
+def test_offset_rule_by_name(spark):
+    df = spark.createDataFrame([(1, "x", 5.0), (2, "x", -5.0), (3, "x", 5.0)], "at int, g string, a double")
+    assert [r["at"] for r in filters.suppress(df, [("offset_pairs", "g", ["a", "at"], True)]).collect()] == [3]
+    with pytest.warns(UserWarning):
+        filters.suppress(df, [("no_such_rule", "g", [], True)])

@@ -61,3 +61,12 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert sorted((r.id, r.d) for r in s.read("gift").collect()) == [
         (1, dt.date(2020, 1, 1)), (8, dt.date(2020, 3, 1)), (9, dt.date(2020, 2, 1))]
     assert s.versions("gift") == [1, 2]
+
+
+def test_failed_write_does_not_lock_the_table(spark, tmp_path):
+    s = Store(spark, str(tmp_path), "acme")
+    s.overwrite(spark.range(3), "t")
+    (tmp_path / "silver" / "acme_t" / "v2").mkdir()
+    assert s.read("t").count() == 3
+    s.overwrite(spark.range(5), "t")
+    assert s.read("t").count() == 5 and s.versions("t") == [1, 3]
