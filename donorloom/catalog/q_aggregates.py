@@ -40,11 +40,10 @@ def a06(spark, d):
 
 
 @query("a07_channel_set_label", with_views("gift", more="""
-s AS (SELECT donor_id, string_agg(DISTINCT gift_type, ',' ORDER BY gift_type) AS channels FROM gift WHERE gift_fy = 1998 GROUP BY 1)""") + """
+s AS (SELECT donor_id, string_agg(DISTINCT gift_type, ',' ORDER BY gift_type) AS channels FROM gift GROUP BY 1)""") + """
 SELECT donor_id, channels, CASE channels WHEN 'F' THEN 'F Only' WHEN 'O' THEN 'O Only' WHEN 'F,O' THEN 'F Only' ELSE 'Multi' END AS channel_group FROM s""")
 def a07(spark, d):
-    g = tables.gifts(spark, d).filter(fiscal_year(F.col("gift_date"), START) == 1998)
-    return agg.channel_set_label(g, "donor_id", "gift_type", {"F": "F Only", "O": "O Only", "F,O": "F Only"})
+    return agg.channel_set_label(tables.gifts(spark, d), "donor_id", "gift_type", {"F": "F Only", "O": "O Only", "F,O": "F Only"})
 
 
 @query("a08_value_sets", with_views("gift") + """
@@ -141,10 +140,10 @@ def a19(spark, d):
 POINTS = [0.05, 0.25, 0.5, 0.75, 0.9, 0.96, 0.99, 0.999, 1.0]
 
 
-@query("a20_percentile_profile", with_views("gift", more="t AS (SELECT CAST(sum(gift_amount) AS DOUBLE) AS v FROM gift WHERE gift_fy = 1999 GROUP BY donor_id)") + " UNION ALL ".join(
+@query("a20_percentile_profile", with_views("gift", more="t AS (SELECT CAST(sum(gift_amount) AS DOUBLE) AS v FROM gift GROUP BY donor_id)") + " UNION ALL ".join(
     f"SELECT CAST({p} AS DOUBLE) AS p, round(quantile_cont(v, {p}), 4) AS value FROM t" for p in POINTS))
 def a20(spark, d):
-    t = tables.gifts(spark, d).filter(fiscal_year(F.col("gift_date"), START) == 1999).groupBy("donor_id").agg(F.sum("gift_amount").alias("v"))
+    t = tables.gifts(spark, d).groupBy("donor_id").agg(F.sum("gift_amount").alias("v"))
     return exact_quantiles(t, "v", POINTS).withColumn("value", F.round("value", 4))
 
 
@@ -238,11 +237,10 @@ def a30(spark, d):
 
 
 @query("a31_online_mix", with_views("gift", more="""
-c AS (SELECT donor_id, count(*) FILTER (gift_type = 'F' AND gift_date < DATE '1997-01-01') AS web, count(*) FILTER (gift_type <> 'F' AND channel = '5-LOW') AS dm FROM
-  (SELECT *, channel = '5-LOW' AS low FROM gift WHERE gift_type = 'F' OR channel = '5-LOW') GROUP BY 1)""") + """
+c AS (SELECT donor_id, count(*) FILTER (gift_type = 'F' AND gift_date < DATE '1997-01-01') AS web, count(*) FILTER (gift_type <> 'F') AS dm FROM gift GROUP BY 1)""") + """
 SELECT donor_id, CASE WHEN web > 0 AND dm > 0 THEN 'Multi-Channel' WHEN dm > 0 THEN 'DM Only' WHEN web > 0 THEN 'Online Only' ELSE 'Other Giving' END AS channel_behavior FROM c""")
 def a31(spark, d):
-    g = tables.gifts(spark, d).filter("gift_type = 'F' OR channel = '5-LOW'").withColumn(
+    g = tables.gifts(spark, d).withColumn(
         "program", F.when(F.col("gift_type") == "F", "Online").otherwise("Mail"))
     return agg.online_mix(g, "donor_id", "program", F.col("gift_date") < F.lit("1997-01-01").cast("date"))
 

@@ -304,7 +304,7 @@ def x11c(spark, d):
 
 
 @query("x12_upgrade_downgrade", with_views("gift", more="""
-t AS (SELECT donor_id, gift_fy AS yr, sum(gift_amount) AS total FROM gift WHERE gift_type = 'F' GROUP BY 1, 2), hi AS (SELECT max(yr) AS hi FROM t),
+t AS (SELECT donor_id, gift_fy AS yr, sum(gift_amount) AS total FROM gift GROUP BY 1, 2), hi AS (SELECT max(yr) AS hi FROM t),
 f AS (SELECT donor_id, min(yr) AS lo FROM t GROUP BY 1), g AS (SELECT donor_id, unnest(range(lo, hi + 1)) AS yr FROM f, hi),
 c AS (SELECT *, coalesce(total - lag(total) OVER (PARTITION BY donor_id ORDER BY yr), 0) AS change FROM t),
 l AS (SELECT g.donor_id, g.yr, c.total, c.change, p.total AS prev FROM g LEFT JOIN c USING (donor_id, yr) LEFT JOIN t p ON p.donor_id = g.donor_id AND p.yr = g.yr - 1),
@@ -312,7 +312,7 @@ k AS (SELECT donor_id, yr, total, prev, last_value(change IGNORE NULLS) OVER (PA
 SELECT donor_id, yr, CAST(total AS DOUBLE) AS total, CAST(change AS DOUBLE) AS change, CASE WHEN total IS NULL AND prev IS NULL THEN 'NoRecentGiving' WHEN total IS NULL THEN 'NoCurrentYearGiving'
   WHEN prev IS NULL THEN 'NoPreviousYearGiving' WHEN change > 0 THEN 'Upgrade' WHEN change < 0 THEN 'Downgrade' ELSE 'Same' END AS upgrade_downgrade FROM k""")
 def x12(spark, d):
-    return sustainers.upgrade_downgrade(tables.gifts(spark, d).filter("gift_type = 'F'"), START)
+    return sustainers.upgrade_downgrade(tables.gifts(spark, d), START)
 
 
 # ---- campaigns -----------------------------------------------------------------------------------

@@ -32,12 +32,12 @@ def j01(spark, d):
 
 
 @query("j02_outer_with_codes", with_views("mail", more=KNOWN + """,
-s AS (SELECT gift_id, line, part_id, list_id, source_code, CASE WHEN line < 4 THEN campaign_code END AS campaign_code FROM mail WHERE quantity > 25)""") + """
+s AS (SELECT gift_id, line, part_id, list_id, source_code, CASE WHEN line < 4 THEN campaign_code END AS campaign_code FROM mail)""") + """
 SELECT s.gift_id, s.line, s.part_id, s.list_id, coalesce(s.source_code, k.source_code) AS source_code,
   coalesce(s.campaign_code, k.campaign_code) AS campaign_code, k.campaign_name, CAST(k.package_cpp AS DOUBLE) AS package_cpp, k.code_id
 FROM s FULL JOIN known k ON s.source_code = k.source_code""")
 def j02(spark, d):
-    m = tables.mailings(spark, d).filter("quantity > 25").select(
+    m = tables.mailings(spark, d).select(
         "gift_id", "line", "part_id", "list_id", "source_code", F.when(F.col("line") < 4, F.col("campaign_code")).alias("campaign_code"))
     return joins.outer_with_codes(m, known(spark, d), "source_code")
 
@@ -129,12 +129,11 @@ def j14(spark, d):
 
 
 @query("j15_profile_comparison", with_views("gift", "mail").rstrip() + """
-, a AS (SELECT year(gift_date) AS yr, count(*) AS n FROM gift GROUP BY 1), b AS (SELECT year(mail_date) AS yr, count(*) AS n FROM mail WHERE mail_date > DATE '1996-12-31' GROUP BY 1)
+, a AS (SELECT year(gift_date) AS yr, count(*) AS n FROM gift GROUP BY 1), b AS (SELECT year(mail_date) AS yr, count(*) AS n FROM mail GROUP BY 1)
 SELECT yr, coalesce(a.n, 0) AS updated, coalesce(b.n, 0) AS previous FROM a FULL JOIN b USING (yr)""")
 def j15(spark, d):
     count = lambda df, day: df.groupBy(F.year(day).alias("yr")).agg(F.count(F.lit(1)).alias("n"))
-    old = tables.mailings(spark, d).filter(F.col("mail_date") > F.lit("1996-12-31").cast("date"))
-    return joins.compare_profiles(count(tables.gifts(spark, d), "gift_date"), count(old, "mail_date"), ["yr"], "n")
+    return joins.compare_profiles(count(tables.gifts(spark, d), "gift_date"), count(tables.mailings(spark, d), "mail_date"), ["yr"], "n")
 
 
 @query("j16_table_diff", with_views("gift", more="""
@@ -196,13 +195,14 @@ def j20(spark, d):
     return joins.soft_credits(g, credits, "gift_id", "credit_id", ["gift_amount", "donor_id"])
 
 
-@query("j21_matchback", with_views("gift", "mail").rstrip() + """
-, g AS (SELECT gift_id, donor_id, year(gift_date) AS yr FROM gift), m AS (SELECT DISTINCT donor_id, year(mail_date) AS yr, source_code FROM mail)
-SELECT g.gift_id, m.source_code FROM g LEFT JOIN m ON g.donor_id = m.donor_id AND g.yr = m.yr""")
+@query("j21_matchback", with_views("mail", more="""
+g AS (SELECT gift_id, donor_id, campaign_code FROM mail WHERE line = 1), m AS (SELECT DISTINCT donor_id, campaign_code, source_code FROM mail)""") + """
+SELECT g.gift_id, m.source_code FROM g LEFT JOIN m ON g.donor_id = m.donor_id AND g.campaign_code = m.campaign_code""")
 def j21(spark, d):
-    g = tables.gifts(spark, d).select("gift_id", "donor_id", F.year("gift_date").alias("yr"))
-    m = tables.mailings(spark, d).withColumn("yr", F.year("mail_date"))
-    return joins.matchback(g, m, ["donor_id", "yr"], ["source_code"]).select("gift_id", "source_code")
+    m = tables.mailings(spark, d)
+    # A gift's campaign is that of its first mailing line.
+    g = m.filter("line = 1").select("gift_id", "donor_id", "campaign_code")
+    return joins.matchback(g, m, ["donor_id", "campaign_code"], ["source_code"]).select("gift_id", "source_code")
 
 
 @query("j22_donor_attribute", with_views("gift", "person").rstrip() + """
