@@ -171,10 +171,9 @@ def embedding_groups(vectors: DataFrame, cosine: float = COSINE, margin: float =
     a spanning forest of its links, never all pairs.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    v = F.transform("embedding", lambda x: x.cast("double"))
     zero = F.forall("embedding", lambda x: x == 0)
     usable = usable_vector(F.col("embedding")) & ~F.coalesce(zero, F.lit(True)) & F.col("vec_id").isNotNull()
-    rows = rows.select("vec_id", F.when(usable, v).alias("v"))
+    rows = rows.select("vec_id", F.when(usable, F.col("embedding")).alias("v"))
     members = rows.filter("v is not null").groupBy("v", "vec_id").agg(F.count(F.lit(1)).alias("rows"))
     classes = durable(members.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                                F.sum("rows").alias("rows")).withColumn("dim", F.size("v")))
@@ -187,10 +186,11 @@ def embedding_groups(vectors: DataFrame, cosine: float = COSINE, margin: float =
         sample = own.filter(F.pmod(F.xxhash64("v", F.lit(7)), F.lit(part)) == 0) if part > 1 else own
         x = unit(matrix(sample.orderBy("rep").select("v").limit(2 * SAMPLE).toArrow()["v"]))
         indexes[dim] = Index(x, int(min(LISTS_TO, max(1, np.sqrt(n)), max(1, len(x) // 8))))
+    kind = classes.schema["v"].dataType.simpleString()  # components travel in the type they came in
     held = classes.sparkSession.sparkContext.broadcast(indexes)
     coded = durable(classes.select("rep", "copies", "dim", "v").mapInArrow(
         lambda it: _assign(held.value, margin)(it),
-        "rep long, copies long, dim int, v array<double>, home int, codes binary, missed double, lists array<int>"))
+        f"rep long, copies long, dim int, v {kind}, home int, codes binary, missed double, lists array<int>"))
     items = coded.select("rep", "copies", "dim", F.col("home").alias("list"), "v", "codes", "missed", F.col("rep").alias("salt"))
     visitors = coded.select("rep", "copies", "dim", "v", "home", F.explode("lists").alias("list"), F.col("rep").alias("salt"))
     total = sum(sizes.values())
