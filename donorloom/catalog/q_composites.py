@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 from donorloom.catalog.base import START, query, with_views
 from donorloom.catalog.q_dates import band_sql
 from donorloom.functions.bands import RECENCY
-from donorloom.functions.dates import fiscal_year, month_spine, register_fiscal_from_date
+from donorloom.functions.dates import fiscal_year, month_spine, newest_window, register_fiscal_from_date
 from donorloom.functions.rules import classify, is_in
 from donorloom.operators import setops
 from donorloom.operators.windows import second_gift
 from donorloom.plans import base_tables, campaigns, file_health, hooks, response_curve, sustainers
 from donorloom.sources import tables
 
-ENDS = {"fy": ("2000-07-01", "2001-06-30"), "cy": ("2001-01-01", "2001-12-31"), "r12": ("2000-08-01", "2001-07-31")}
 
 
 def client_gifts(spark, d):
@@ -25,56 +24,63 @@ def day(text):
     return F.lit(text).cast("date")
 
 
-# ---- lifecycle groups, stated in SQL by self-joins on purpose -----------------------------
-
-def lifecycle_sql(period: str) -> str:
-    lo, hi = ENDS[period]
-    fy = lambda c: f"year({c}) + CASE WHEN month({c}) >= 7 THEN 1 ELSE 0 END"
-    yr = fy if period == "fy" else (lambda c: f"year({c})")
-    hit = {"fy": f"rp.yr = {fy('h.gift_date')}", "cy": "rp.yr = year(h.gift_date)",
-           "r12": "h.gift_date BETWEEN rp.start_date AND rp.end_date"}[period]
-    return with_views("gift", more=f"""
-years AS (SELECT DISTINCT {yr('gift_date')} AS yr FROM gift WHERE gift_amount > 0),
-offs AS (SELECT yr - max(yr) OVER () AS o FROM years),
-rp AS (SELECT o, CAST(DATE '{lo}' + to_months(CAST(o * 12 AS INTEGER)) AS DATE) AS start_date,
-  CAST(DATE '{hi}' + to_months(CAST(o * 12 AS INTEGER)) AS DATE) AS end_date FROM offs),
-rpy AS (SELECT *, {yr('end_date')} AS yr FROM rp),
-firsts AS (SELECT donor_id, {yr('min(gift_date)')} AS lo FROM gift WHERE gift_amount > 0 GROUP BY donor_id),
-grid AS (SELECT f.donor_id, y.yr, r.o, r.start_date, r.end_date FROM firsts f JOIN years y ON y.yr >= f.lo JOIN rpy r ON r.yr = y.yr),
-gs AS (SELECT DISTINCT h.donor_id, rp.yr FROM gift h JOIN rpy rp ON {hit} WHERE h.gift_amount > 0),
-rel AS (SELECT a.donor_id, a.yr, a.o, a.start_date, a.end_date,
-  max(CASE WHEN a.yr = g.yr THEN g.yr END) AS g0, max(CASE WHEN g.yr = a.yr - 1 THEN g.yr END) AS g1, max(CASE WHEN g.yr = a.yr - 2 THEN g.yr END) AS g2,
-  min(g.yr) AS first_gift, max(CASE WHEN a.yr <> g.yr THEN g.yr END) AS last_gift
-  FROM grid a LEFT JOIN gs g ON a.donor_id = g.donor_id AND g.yr <= a.yr GROUP BY ALL),
-st AS (SELECT *, CASE WHEN g0 IS NULL THEN 0 ELSE 1 END AS made,
-  CASE WHEN g0 IS NOT NULL AND coalesce(lag(CASE WHEN g0 IS NULL THEN 0 ELSE 1 END) OVER w, 0) = 0 THEN yr END AS s FROM rel WINDOW w AS (PARTITION BY donor_id ORDER BY yr)),
-su AS (SELECT a.donor_id, a.yr, any_value(a.o) AS o, any_value(a.start_date) AS start_date, any_value(a.end_date) AS end_date, any_value(a.g0) AS g0, any_value(a.g1) AS g1, any_value(a.g2) AS g2,
-  any_value(a.first_gift) AS first_gift, any_value(a.last_gift) AS last_gift, any_value(a.made) AS made, max(CASE WHEN a.made = 1 THEN b.s END) AS streak
-  FROM st a LEFT JOIN st b ON a.donor_id = b.donor_id AND b.s IS NOT NULL AND a.yr >= b.s GROUP BY a.donor_id, a.yr),
-lab AS (SELECT *, lag(streak) OVER w AS last_streak, lag(last_gift) OVER w AS before_last,
-  CASE WHEN yr = first_gift THEN 'New' WHEN yr = first_gift + 1 THEN 'New Last Year' WHEN yr = g1 + 1 AND yr = g2 + 2 THEN 'Consecutive Giver'
-    WHEN yr - coalesce(g1, 0) > 1 THEN 'Reacquired' WHEN g2 IS NULL AND g1 IS NOT NULL THEN 'Reacquired Last Year' ELSE 'UNKNOWN' END AS grp
-  FROM su WINDOW w AS (PARTITION BY donor_id ORDER BY yr))""") + f"""
-SELECT donor_id, yr, o AS "offset", '{period}' AS period, strftime(start_date, '%m/%d/%Y') || ' - ' || strftime(end_date, '%m/%d/%Y') AS report_period,
-  'ACME-{period} ending ' || strftime(end_date, '%m/%d/%Y') AS report_period_id, grp AS fh_group,
-  grp || CASE grp WHEN 'Consecutive Giver' THEN CAST(yr - last_streak AS VARCHAR) WHEN 'Reacquired' THEN CAST(yr - last_gift AS VARCHAR)
-    WHEN 'Reacquired Last Year' THEN CAST(g1 - before_last AS VARCHAR) ELSE '' END AS fh_group_detail,
-  CASE WHEN grp IN ('New', 'Reacquired') THEN 'Pipeline' WHEN grp <> 'UNKNOWN' THEN 'Active' END AS donor_type,
-  CASE WHEN grp IN ('New', 'Reacquired') THEN 'Pipeline' WHEN grp IN ('Reacquired Last Year', 'New Last Year') THEN '2nd Year' WHEN grp = 'Consecutive Giver' THEN grp END AS donor_subtype,
-  CASE WHEN g0 IS NOT NULL AND g1 IS NOT NULL THEN 1 ELSE 0 END AS past_2_years, made AS gift_made FROM lab WHERE o > -6"""
+# ---- lifecycle groups: the SQL works on lists of giving years ------------------------------
+
+MONTH_END = """edge AS (SELECT CASE WHEN last_day(m) = m THEN m ELSE CAST(date_trunc('month', m) AS DATE) - 1 END AS e FROM (SELECT max(gift_date) AS m FROM gift))"""
+WINDOWS = {  # first and last day of the newest period, from the last complete month's end
+    "fy": ("make_date(year(e) - CASE WHEN month(e) < 6 THEN 2 ELSE 1 END, 7, 1)", "make_date(year(e) - CASE WHEN month(e) < 6 THEN 1 ELSE 0 END, 6, 30)"),
+    "cy": ("make_date(year(e) - CASE WHEN month(e) < 12 THEN 1 ELSE 0 END, 1, 1)", "make_date(year(e) - CASE WHEN month(e) < 12 THEN 1 ELSE 0 END, 12, 31)"),
+    "fytd": ("make_date(year(e) - CASE WHEN month(e) < 7 THEN 1 ELSE 0 END, 7, 1)", "e"),
+    "cytd": ("make_date(year(e), 1, 1)", "e"),
+    "r12": ("CAST(e - INTERVAL 12 MONTH AS DATE) + 1", "e"),
+}
+
+
+def lifecycle_sql(period: str, client: str = "'ACME'", key: str = "") -> str:
+    year = lambda c: f"year({c}) + CASE WHEN month({c}) >= 7 THEN 1 ELSE 0 END" if period.startswith("fy") else f"year({c})"
+    shifted = lambda c: f"CAST({c} + to_months(CAST((k - top) * 12 AS INTEGER)) AS DATE)"
+    first, final = WINDOWS[period]
+    return with_views("gift", more=f"""{MONTH_END},
+win AS (SELECT {first} AS s, {final} AS t FROM edge),
+base AS (SELECT {client} AS client, donor_id, gift_date, {year('gift_date')} AS cal FROM gift WHERE gift_amount > 0),
+known AS (SELECT client, cal AS k, max(cal) OVER (PARTITION BY client) AS top FROM base GROUP BY client, cal),
+per AS (SELECT client, k - top AS o, {shifted('s')} AS s, {shifted('t')} AS t, {year(shifted('t'))} AS y FROM known, win),
+given AS (SELECT b.client, b.donor_id, list_sort(list(DISTINCT p.y)) AS g FROM base b JOIN per p
+  ON p.client = b.client AND {"b.gift_date BETWEEN p.s AND p.t" if period == "r12" else "p.y = b.cal"} GROUP BY ALL),
+line AS (SELECT d.*, p.y, p.o, p.s, p.t, list_filter(coalesce(g, []), lambda x: x < p.y) AS past, coalesce(list_contains(g, p.y), false) AS gave
+  FROM (SELECT client, donor_id, min(cal) AS since FROM base GROUP BY ALL) d JOIN per p ON p.client = d.client AND p.y >= d.since AND p.o > -6
+  SEMI JOIN known ON known.client = p.client AND known.k = p.y LEFT JOIN given ON given.client = d.client AND given.donor_id = d.donor_id),
+back AS (SELECT *, past[-1] AS p1, past[-2] AS p2, list_filter(past, lambda x, i: x - i = past[-1] - len(past))[1] AS run FROM line),
+named AS (SELECT *, CASE WHEN p1 IS NULL AND gave THEN 'New' WHEN p1 IS NULL OR p1 < y - 1 THEN 'Reacquired' WHEN p2 IS NULL THEN 'New Last Year'
+  WHEN p2 = y - 2 THEN 'Consecutive Giver' ELSE 'Reacquired Last Year' END AS grp FROM back)""") + f"""
+SELECT client, donor_id, {key}y AS yr, o AS "offset", '{period}' AS period, strftime(s, '%m/%d/%Y') || ' - ' || strftime(t, '%m/%d/%Y') AS report_period,
+  client || '-{period} ending ' || strftime(t, '%m/%d/%Y') AS report_period_id, grp AS fh_group,
+  CASE grp WHEN 'Consecutive Giver' THEN grp || (y - run) WHEN 'Reacquired' THEN grp || (y - p1) WHEN 'Reacquired Last Year' THEN grp || (p1 - p2) ELSE grp END AS fh_group_detail,
+  CASE WHEN grp IN ('New', 'Reacquired') THEN 'Pipeline' ELSE 'Active' END AS donor_type,
+  CASE grp WHEN 'New' THEN 'Pipeline' WHEN 'Reacquired' THEN 'Pipeline' WHEN 'Consecutive Giver' THEN grp ELSE '2nd Year' END AS donor_subtype,
+  CASE WHEN gave AND p1 = y - 1 THEN 1 ELSE 0 END AS past_2_years, CASE WHEN gave THEN 1 ELSE 0 END AS gift_made FROM named"""
 
 
 def lifecycle(period):
     def run(spark, d):
-        lo, hi = ENDS[period]
-        return file_health.lifecycle_groups(tables.gifts(spark, d), "ACME", period, day(lo), day(hi), START).drop("client")
+        g = tables.gifts(spark, d)
+        start, end = newest_window(period, g.agg(F.max("gift_date")).scalar(), START)
+        return file_health.lifecycle_groups(g, "ACME", period, start, end, START)
     return run
 
 
-for _p in ENDS:
+for _p in WINDOWS:
     query(f"x01_file_health_{_p}", lifecycle_sql(_p))(lifecycle(_p))
 
 
+@query("x01_file_health_two_clients", lifecycle_sql("fytd", "CASE WHEN channel < '3' THEN 'ACME' ELSE 'BETA' END", "client || '-' || donor_id AS donor_key, "))
+def x01_clients(spark, d):
+    g = tables.gifts(spark, d).withColumn("client", F.when(F.col("channel") < "3", "ACME").otherwise("BETA"))
+    g = g.withColumn("donor_key", F.concat("client", F.lit("-"), F.col("donor_id").cast("string")))
+    start, end = newest_window("fytd", g.agg(F.max("gift_date")).scalar(), START)
+    return file_health.lifecycle_groups(g, None, "fytd", start, end, START)
+
+
 @query("x05_j09_report_period_days", with_views("gift", more="""
 y AS (SELECT DISTINCT gift_fy - (SELECT max(gift_fy) FROM gift) AS o FROM gift), rp AS (SELECT o, make_date(2000 + CAST(o AS INTEGER) + 1, 7, 1) AS s, make_date(2002 + CAST(o AS INTEGER), 6, 30) AS e FROM y WHERE o > -6)""") + """
 SELECT 'ACME' AS client, o AS "offset", CAST(s AS VARCHAR) AS start_date, CAST(e AS VARCHAR) AS end_date, CASE WHEN o > -5 THEN 1 ELSE 0 END AS reportable,
@@ -84,15 +90,14 @@ def x05(spark, d):
     return file_health.period_days(periods).select("client", "offset", "start_date", "end_date", "reportable", "date", "client_date")
 
 
-REPORTS = list(range(1997, 2002))
 GROUPS_SQL = """
 fy AS (SELECT donor_id, gift_fy AS y FROM gift GROUP BY 1, 2),
-r AS (SELECT y AS ry FROM range(1997, 2002) AS t(y)),
+r AS (SELECT unnest(range(min(y), max(y) + 1)) AS ry FROM fy),
 c AS (SELECT donor_id, ry, min(y) AS f, coalesce(max(CASE WHEN y < ry THEN y END), 0) AS p, coalesce(max(CASE WHEN y < ry - 1 THEN y END), 0) AS pp,
   max(y) AS l, list_sort(list(y)) AS ys FROM fy JOIN r ON y <= ry GROUP BY 1, 2),
 g AS (SELECT *, (CASE WHEN f = ry THEN 'New' ELSE '' END) || (CASE WHEN f = ry - 1 THEN 'New Last Year' ELSE '' END) || (CASE WHEN ry - p > 1 AND f <> ry THEN 'Lapsed' ELSE '' END)
   || (CASE WHEN p = ry - 1 AND pp < ry - 2 AND f <> ry - 1 THEN 'Reinstated Last Year' ELSE '' END) || (CASE WHEN p = ry - 1 AND pp = ry - 2 THEN 'Consecutive Giver' ELSE '' END) AS grp FROM c)"""
-RUN_SQL = "(SELECT max(k) FROM range(1, 8) AS t(k) WHERE list_has_all(ys, list_transform(range(1, k + 1), lambda i: {r} - i)))"
+RUN_SQL = "(SELECT max(k) FROM range(1, 40) AS t(k) WHERE list_has_all(ys, list_transform(range(1, k + 1), lambda i: {r} - i)))"
 
 
 @query("x02_x03_w09_report_groups", with_views("gift", more=GROUPS_SQL.strip()) + f"""
@@ -102,14 +107,14 @@ SELECT donor_id, ry AS report_year, strftime(make_date(ry - 1, 7, 1), '%m/%d/%Y'
     WHEN grp LIKE '%Reinstated%' THEN CASE WHEN pp > 0 THEN p - pp END END AS VARCHAR), '') AS fh_group_detail FROM g""")
 def x02(spark, d):
     last = tables.gifts(spark, d).agg(F.max("gift_date")).scalar()
-    groups = file_health.report_groups(tables.gifts(spark, d), "fy", REPORTS, last, START)
+    groups = file_health.report_groups(tables.gifts(spark, d), "fy", None, last, START)
     return file_health.with_detail(groups).drop("years", "period", "report")
 
 
 @query("x02_report_groups_r12", with_views("gift", more="""
 m AS (SELECT month(max(gift_date)) AS m FROM gift),
 fy AS (SELECT donor_id, year(gift_date) - CASE WHEN month(gift_date) < m THEN 1 ELSE 0 END AS y, min(gift_date) AS d FROM gift, m GROUP BY 1, 2),
-r AS (SELECT y AS ry, CAST(make_date(y + 1, m, 1) - INTERVAL 1 DAY AS DATE) AS e, make_date(y, m, 1) AS s FROM range(1997, 2001) AS t(y), m),
+r AS (SELECT y AS ry, CAST(make_date(y + 1, m, 1) - INTERVAL 1 DAY AS DATE) AS e, make_date(y, m, 1) AS s FROM (SELECT unnest(range(min(y), max(y) + 1)) AS y FROM fy), m),
 c AS (SELECT donor_id, ry, s, e, min(y) AS f, coalesce(max(CASE WHEN y < ry THEN y END), 0) AS p, coalesce(max(CASE WHEN y < ry - 1 THEN y END), 0) AS pp
   FROM fy JOIN r ON y <= ry + 1 AND d <= e GROUP BY ALL)""") + """
 SELECT donor_id, ry AS report_year, strftime(s, '%m/%d/%Y') || ' - ' || strftime(e, '%m/%d/%Y') AS report_period,
@@ -117,12 +122,12 @@ SELECT donor_id, ry AS report_year, strftime(s, '%m/%d/%Y') || ' - ' || strftime
   || (CASE WHEN p = ry - 1 AND pp < ry - 2 AND f <> ry - 1 THEN 'Reinstated Last Year' ELSE '' END) || (CASE WHEN p = ry - 1 AND pp = ry - 2 THEN 'Consecutive Giver' ELSE '' END) AS fh_group FROM c""")
 def x02b(spark, d):
     last = tables.gifts(spark, d).agg(F.max("gift_date")).scalar()
-    groups = file_health.report_groups(tables.gifts(spark, d), "r12", range(1997, 2001), last, START)
+    groups = file_health.report_groups(tables.gifts(spark, d), "r12", None, last, START)
     return groups.select("donor_id", "report_year", "report_period", "fh_group")
 
 
 @query("x04_capped_detail", with_views("gift", more="""
-ys AS (SELECT donor_id, list_sort(list(DISTINCT gift_fy)) AS ys FROM gift GROUP BY 1), r AS (SELECT donor_id, ys, ry, ry - 1 AS c, ys[1] AS f FROM ys, range(1996, 2003) AS t(ry)),
+ys AS (SELECT donor_id, list_sort(list(DISTINCT gift_fy)) AS ys FROM gift GROUP BY 1), rs AS (SELECT unnest(range(min(gift_fy) + 1, max(gift_fy) + 2)) AS ry FROM gift), r AS (SELECT donor_id, ys, ry, ry - 1 AS c, ys[1] AS f FROM ys, rs),
 v AS (SELECT *, list_contains(ys, c) AS g, list_contains(ys, c - 1) AS gb, c - coalesce(list_max(list_filter(ys, lambda y: y < c)), c) AS l, """ + RUN_SQL.format(r="ry") + """ AS run FROM r),
 n AS (SELECT *, CASE WHEN l = 0 THEN 0 ELSE l - 1 END AS b FROM v)""") + """
 SELECT donor_id, ry AS reference, CASE WHEN ry <= f THEN 'New' WHEN NOT g AND l = 0 THEN 'No Giving History'
@@ -132,7 +137,8 @@ SELECT donor_id, ry AS reference, CASE WHEN ry <= f THEN 'New' WHEN NOT g AND l
 def x04(spark, d):
     years = tables.gifts(spark, d).groupBy("donor_id").agg(
         F.array_sort(F.collect_set(fiscal_year(F.col("gift_date"), START))).alias("ys"))
-    rows = years.withColumn("reference", F.explode(F.sequence(F.lit(1996), F.lit(2002))))
+    span = years.agg(F.sequence(F.min(F.array_min("ys")) + 1, F.max(F.array_max("ys")) + 1)).scalar()
+    rows = years.withColumn("reference", F.explode(span))
     return rows.select("donor_id", "reference", file_health.capped_detail(F.col("ys"), F.col("reference")).alias("detail"))
 
 
@@ -146,7 +152,7 @@ SELECT grp AS fh_group, strftime(make_date(ry - 1, 7, 1), '%m/%d/%Y') || ' - ' |
   floor(CAST(rev AS DOUBLE) / CAST(resp AS DOUBLE) * 100 + 0.5) / 100 AS value_per_donor, floor(CAST(rev AS DOUBLE) / CAST(gifts AS DOUBLE) * 100 + 0.5) / 100 AS average_gift FROM a""")
 def a13(spark, d):
     g = tables.gifts(spark, d)
-    groups = file_health.report_groups(g, "fy", REPORTS, g.agg(F.max("gift_date")).scalar(), START)
+    groups = file_health.report_groups(g, "fy", None, g.agg(F.max("gift_date")).scalar(), START)
     inside = g.groupBy("donor_id", fiscal_year(F.col("gift_date"), START).alias("report_year")).agg(
         F.count(F.lit(1)).alias("gifts"), F.sum("gift_amount").alias("revenue"))
     rows = groups.join(inside, ["donor_id", "report_year"], "left").select(

@@ -109,6 +109,22 @@ def report_window(period: str, year: Column, last_gift: Column, start_month: int
     return start, F.last_day(F.make_date(end_year, end_month, F.lit(1)))
 
 
+def newest_window(period: str, last_gift: Column, start_month: int) -> tuple[Column, Column]:
+    """Newest period that the data cover in whole months.
+
+    fy and cy are the last closed year, fytd and cytd the running year up to the
+    last complete month, r12 the twelve months up to it.
+    """
+    if period == "r12":
+        return r12_window(last_gift)
+    start, end = fytd_window(last_gift, 1 if period in ("cy", "cytd") else start_month)
+    if period in ("fytd", "cytd"):
+        return start, end
+    closed = F.add_months(start, 12) == F.date_add(end, 1)
+    start = F.when(closed, start).otherwise(F.add_months(start, -12))
+    return start, F.date_sub(F.add_months(start, 12), 1)
+
+
 def months_ago(from_date: Column, date: Column) -> Column:
     """Whole calendar months between two dates' months."""
     return (F.year(from_date) - F.year(date)) * 12 + (F.month(from_date) - F.month(date))

@@ -18,6 +18,7 @@ from donorloom.operators.windows import streaks
 
 FISCAL = ("fy", "fytd")
 REPORTABLE = 5
+CLIENTS = 10_000
 
 
 def period_year_of(period: str, date: Column, start_month: int) -> Column:
@@ -68,32 +69,41 @@ def _period_numbers(date: Column, start: Column, end: Column) -> Column:
 
 
 def lifecycle_groups(
-    gifts: DataFrame, client: str, period: str, start: Column, end: Column, start_month: int, last: int | None = 6,
+    gifts: DataFrame, client: str | None, period: str, start: Column, end: Column, start_month: int, last: int | None = 6,
 ) -> DataFrame:
     """Group of each of a client's donors in each year from the first gift on.
 
     ``gifts`` has donor_id, gift_date and gift_amount; ``start`` and ``end``
-    delimit the newest period. Gifts are shuffled once, to become one row per
-    donor with its set of years; the years then unfold inside the same partitions.
+    delimit the newest period. A donor is known by client and donor_id, and by
+    donor_key where there is one; ``client=None`` takes the client from the column
+    ``client``, a name stands for all rows. Rows without a client are in no group.
+    Gifts are shuffled once, to become one row per donor with its set of years;
+    the years then unfold inside the same partitions.
     """
+    if client is not None:
+        gifts = gifts.withColumn("client", F.lit(client))
+    keys = ["client", "donor_id", *[c for c in ("donor_key",) if c in gifts.columns]]
     day = F.col("gift_date")
-    end_year = period_year_of(period, end, start_month)
+    # Bounds may be scalar subqueries, which lambdas take only as columns.
+    bounds = {"_start": start, "_end": end}
+    end_year = period_year_of(period, F.col("_end"), start_month)
     calendar_year = period_year_of(period, day, start_month)
     if period == "r12":
-        given_years = F.transform(_period_numbers(day, start, end), lambda o: end_year + o)
+        given_years = F.transform(
+            _period_numbers(day, F.col("_start"), F.col("_end")), lambda o: end_year + o)
     else:
         given_years = F.array(calendar_year)
-    rows = gifts.filter(F.coalesce(F.col("gift_amount"), F.lit(0)) > 0).select(
-        "donor_id", calendar_year.alias("_year"), F.explode_outer(given_years).alias("_given"))
+    rows = gifts.filter(F.coalesce(F.col("gift_amount"), F.lit(0)) > 0).withColumns(bounds).select(
+        *keys, calendar_year.alias("_year"), F.explode_outer(given_years).alias("_given"))
     # Sets of years: as many entries as the calendar has, whatever the number of gifts.
-    donors = rows.groupBy("donor_id").agg(
+    donors = rows.groupBy(*keys).agg(
         F.collect_set("_year").alias("_years"), F.array_sort(F.collect_set("_given")).alias("_given"))
-    known = donors.select(F.explode("_years").alias("y")).distinct().agg(F.array_sort(F.collect_set("y"))).scalar()
-    donors = donors.withColumn("_known", known).withColumn("_max", F.array_max("_known"))
+    donors = donors.withColumns(bounds).withColumn("_known", F.element_at(_years_by_client(donors), F.col("client"))).withColumn(
+        "_max", F.array_max("_known"))
 
     # A year is reported when the client has gifts in it and the shifted period exists.
     offset = F.col("yr") - end_year
-    line = donors.select("donor_id", "_given", "_known", "_max", F.explode(F.filter(
+    line = donors.select(*keys, "_given", "_known", "_max", "_start", "_end", F.explode(F.filter(
         "_known", lambda y: y >= F.array_min("_years"))).alias("yr"))
     line = line.withColumn("offset", offset).filter(F.array_contains("_known", F.col("offset") + F.col("_max")))
     # Periods of other years than those on file give no gift years.
@@ -102,13 +112,13 @@ def lifecycle_groups(
     yr, g = F.col("yr"), F.col("_g")
     gave = lambda back: F.when(F.array_contains(g, yr - back), yr - back)
     line = line.select(
-        "donor_id", "yr", "offset", F.array_contains(g, yr).cast("int").alias("gift_made"),
+        *keys, "yr", "offset", "_start", "_end", F.array_contains(g, yr).cast("int").alias("gift_made"),
         gave(1).alias("gift_minus1"), gave(2).alias("gift_minus2"),
         F.array_min(F.filter(g, lambda y: y <= yr)).alias("first_gift"),
         F.array_max(F.filter(g, lambda y: y < yr)).alias("last_gift"))
-    line = streaks(line, ["donor_id"], "yr", "gift_made")
+    line = streaks(line, keys, "yr", "gift_made")
 
-    by_year = W.partitionBy("donor_id").orderBy("yr")
+    by_year = W.partitionBy(*keys).orderBy("yr")
     m1, m2 = F.col("gift_minus1"), F.col("gift_minus2")
     group = (
         F.when(yr == F.col("first_gift"), "New")
@@ -130,10 +140,10 @@ def lifecycle_groups(
         line = line.filter(F.col("offset") > -last)
     shown = lambda c: F.date_format(F.add_months(c, F.col("offset") * 12), "MM/dd/yyyy")
     return line.select(
-        F.lit(client).alias("client"), F.lit(period).alias("period"),
-        F.concat(shown(start), F.lit(" - "), shown(end)).alias("report_period"),
-        F.concat(F.lit(f"{client}-{period} ending "), shown(end)).alias("report_period_id"),
-        "yr", "offset", "donor_id", "fh_group", F.concat(fh, detail).alias("fh_group_detail"),
+        *keys, F.lit(period).alias("period"),
+        F.concat(shown(F.col("_start")), F.lit(" - "), shown(F.col("_end"))).alias("report_period"),
+        F.concat("client", F.lit(f"-{period} ending "), shown(F.col("_end"))).alias("report_period_id"),
+        "yr", "offset", "fh_group", F.concat(fh, detail).alias("fh_group_detail"),
         F.when(fh.isin("New", "Reacquired"), "Pipeline").when(
             fh.isin("Reacquired Last Year", "Consecutive Giver", "New Last Year"), "Active").alias("donor_type"),
         F.when(fh.isin("New", "Reacquired"), "Pipeline").when(
@@ -142,13 +152,29 @@ def lifecycle_groups(
         ((F.col("gift_made") == 1) & m1.isNotNull()).cast("int").alias("past_2_years"), "gift_made")
 
 
+def _years_by_client(donors: DataFrame) -> Column:
+    """Scalar map from client to the sorted years in which it has gifts.
+
+    One entry per client, an organisation whose data are loaded; more than
+    ``CLIENTS`` of them are refused, so the map is bounded.
+    """
+    years = donors.filter(F.col("client").isNotNull()).select("client", F.explode("_years").alias("y"))
+    known = years.groupBy("client").agg(F.array_sort(F.collect_set("y")).alias("years"))
+    entries = F.collect_list(F.struct("client", "years"))
+    found = F.when(F.count(F.lit(1)) <= CLIENTS, F.map_from_entries(entries)).otherwise(
+        F.raise_error(F.lit(f"more than {CLIENTS} clients in one run")))
+    return known.agg(found).scalar()
+
+
 # ---- the form with Lapsed and Reinstated labels --------------------------------------
 
 def report_groups(
-    gifts: DataFrame, period: str, years: Sequence[int], last_gift: Column, start_month: int,
+    gifts: DataFrame, period: str, years: Sequence[int] | None, last_gift: Column, start_month: int,
 ) -> DataFrame:
     """New, New Last Year, Lapsed, Reinstated Last Year or Consecutive Giver per donor and report year.
 
+    Without ``years`` every year between the first and the newest gift is reported.
+
     Gifts become one row per donor and year with the year's first date; a year
     counts in a report when that date is not after the report's end.
     """
@@ -161,15 +187,19 @@ def report_groups(
     else:
         year = period_year(date, start_month)
     given = gifts.groupBy("donor_id", year.alias("gift_year")).agg(F.min("gift_date").alias("first_day"))
-    reports = []
-    for y in years:
-        start, end = report_window(kind, F.lit(y), last_gift, start_month)
+    if years is None:
+        span = given.agg(F.sequence(F.min("gift_year"), F.max("gift_year"))).scalar()
+    else:
+        span = F.array(*[F.lit(y) for y in years])
+
+    def report(y: Column) -> Column:
+        start, end = report_window(kind, y, F.col("_last"), start_month)
         report_year = F.year(start) if kind == "r12" else (
             F.year(start) + (1 if start_month > 1 else 0) if kind == "fytd" else F.year(end))
-        limit = F.lit(y if kind == "fy" else y + 1)
-        reports.append(F.struct(F.lit(y).alias("year"), start.alias("start"), end.alias("end"),
-                                report_year.alias("report_year"), limit.alias("limit")))
-    rows = given.withColumn("r", F.explode(F.array(*reports))).filter(
+        return F.struct(y.alias("year"), start.alias("start"), end.alias("end"), report_year.alias("report_year"),
+                        (y if kind == "fy" else y + 1).alias("limit"))
+
+    rows = given.withColumns({"_last": last_gift, "_span": span}).withColumn("r", F.explode(F.transform("_span", report))).filter(
         (F.col("gift_year") <= F.col("r.limit")) & (F.col("first_day") <= F.col("r.end")))
     g, ry = F.col("gift_year"), F.col("r.report_year")
     donors = rows.groupBy("donor_id", "r").agg(
