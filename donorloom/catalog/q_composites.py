@@ -298,15 +298,14 @@ ac AS (SELECT * FROM mb WHERE delta <= 183), sp AS (SELECT donor_id, ms, date_di
     f"max(CASE WHEN dj > {lo} AND dj <= {hi} THEN 1 ELSE 0 END) OVER (PARTITION BY donor_id, jfy) AS donor_{y}"
     for y, (lo, hi) in zip(sustainers.YEARS, BOUNDS)) + " FROM ac JOIN sp USING (donor_id, ms)")
 def x11b(spark, d):
-    members = sustainers.memberships(tables.gifts(spark, d), F.col("gift_type") == "F", START)
-    return sustainers.cohort(members).select("gift_id", "days_on_file", *[f"{k}_{y}" for y in sustainers.YEARS for k in ("active", "ltv", "donor")])
+    return sustainers.cohort(tables.gifts(spark, d), F.col("gift_type") == "F", START).select("gift_id", "days_on_file", *[f"{k}_{y}" for y in sustainers.YEARS for k in ("active", "ltv", "donor")])
 
 
 @query("x11_retention", with_views("gift", more=MEMBERS_SQL.strip() + ", ac AS (SELECT * FROM mb WHERE delta <= 183)") + "\nSELECT jfy AS sust_join_fy, count(DISTINCT donor_id) AS donors, " + ", ".join(
     f"count(DISTINCT CASE WHEN dj > {lo} AND dj <= {hi} THEN donor_id END) / count(DISTINCT donor_id) AS retained_{y}"
     for y, (lo, hi) in zip(sustainers.YEARS, BOUNDS)) + " FROM ac GROUP BY jfy")
 def x11c(spark, d):
-    return sustainers.retention(sustainers.memberships(tables.gifts(spark, d), F.col("gift_type") == "F", START))
+    return sustainers.retention(tables.gifts(spark, d), F.col("gift_type") == "F", START)
 
 
 @query("x12_upgrade_downgrade", with_views("gift", more="""

@@ -29,8 +29,11 @@ def store(spark):
 SELECT gift_id, donor_id, CAST(gift_date AS VARCHAR) AS gift_date, gift_type FROM raw""")
 def s01(spark, d):
     folder = scratch(spark)
-    tables.raw_gifts(spark, d).write.option("header", True).csv(folder)
-    return files.collect_transactions(spark, folder, RENAMES, ["gift_id", "donor_id", "gift_date", "gift_type", "not there"], header=HEADER)
+    # Tab-separated, with line breaks and tabs inside quotes: the reader finds the format from the header.
+    raw = tables.raw_gifts(spark, d).withColumn("Appeal Category", F.concat(F.lit("first line\n\tsecond "), F.col("Gift Type")))
+    raw.select(*HEADER).write.option("header", True).option("sep", "\t").csv(folder)
+    return files.collect_transactions(spark, folder, RENAMES, ["gift_id", "donor_id", "gift_date", "gift_type", "not there"],
+                                      header=HEADER, delimiter=None, multi_line=True)
 
 
 @query("s02_broken_lines", with_views("gift") + """

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from donorloom.operators.scale import first_value, keep_first, keep_last, running_last, spread_join
+from donorloom.operators.scale import first_value, keep_first, keep_last, number_rows, running_last, spread_join
 
 
 def outer_with_codes(gifts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
@@ -105,20 +105,25 @@ def compare_profiles(new: DataFrame, old: DataFrame, keys: Sequence[str], value:
 def table_diff(left: DataFrame, right: DataFrame, key: str, ignore: Sequence[str] = ()) -> DataFrame:
     """All differing rows with a ``side``: left_only, left_changed, right_only or right_changed.
 
-    Cells that agree (both null included) are blanked on changed rows. Rows are
-    matched by one grouping on the key, which combines on the map side and so
-    does not depend on how the key is spread.
+    Rows that are on both sides cancel, as often as they are there, by one grouping
+    on the whole row, whatever its key. Of what is left, the n-th row of a key on
+    the left is matched with its n-th row on the right (repeated keys are numbered
+    by a hash of the row). Cells that agree (both null included) are blanked on
+    changed rows.
     """
     columns = sorted((set(left.columns) | set(right.columns)) - {key} - set(ignore))
     kinds = dict(right.dtypes) | dict(left.dtypes)
 
-    def packed(df: DataFrame, mine: str, other: str) -> DataFrame:
+    def packed(df: DataFrame, weight: int) -> DataFrame:
         row = F.struct(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in columns])
-        return df.select(key, row.alias(mine)).withColumn(other, F.lit(None).cast(
-            "struct<" + ",".join(f"`{c}`:{kinds[c]}" for c in columns) + ">"))
-
-    pairs = packed(left, "l", "r").unionByName(packed(right, "r", "l")).groupBy(key).agg(
-        F.max("l").alias("l"), F.max("r").alias("r"))
+        return df.select(F.col(key).cast(kinds[key]).alias(key), row.alias("row"), F.lit(weight).alias("w"))
+
+    rest = packed(left, 1).unionByName(packed(right, -1)).groupBy(key, "row").agg(F.sum("w").alias("w")).filter("w <> 0")
+    rest = rest.select(key, "row", (F.col("w") > 0).alias("is_left"), F.explode(F.sequence(F.lit(1), F.abs("w").cast("int"))).alias("copy"))
+    mix = F.xxhash64("row")
+    rest = number_rows(rest, [key, "is_left"], [F.shiftright(mix, 44)], [mix, F.col("row"), F.col("copy")], "nth")
+    pairs = rest.groupBy(key, "nth").agg(F.max(F.when(F.col("is_left"), F.col("row"))).alias("l"),
+                                         F.max(F.when(~F.col("is_left"), F.col("row"))).alias("r"))
     same = F.lit(True)
     for c in columns:
         same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))

@@ -35,23 +35,24 @@ def sustainer_status(gifts: DataFrame, recurring: Column) -> DataFrame:
 def sustainer_fields(gifts: DataFrame, recurring: Column, start_month: int, last_month: int, last_day: int) -> DataFrame:
     """Flag, first recurring date, join fiscal year and month, and the source and program of the join.
 
-    One grouping gives the donor's first recurring date and what was given on or
-    after it; one join brings it back. The flag needs the fiscal year end of the
-    gift, and whether the donor gave on or after the first recurring date by a
-    year end no later than it.
+    Donor days give the first recurring date, the channel of the first gift on that
+    day and the newest day; one join brings them back. The flag needs the fiscal
+    year end of the gift, and whether the donor gave on or after the first
+    recurring date by a year end no later than it.
     """
-    per_donor = gifts.groupBy("donor_id").agg(F.min(F.when(sure(recurring), F.col("gift_date"))).alias("first_sustainer_date"),
-                                               F.count(F.lit(1)).alias("_n"))
-    rows = attach(gifts, per_donor, ["donor_id"], "_n")
-    since = sure(F.col("gift_date") >= F.col("first_sustainer_date"))
-    order = [F.col("gift_date"), F.col("gift_id")]
-    joined = rows.filter(since).groupBy("donor_id").agg(
-        first_value("channel", order).alias("sustainer_join_source"),
-        F.max("gift_date").alias("_last_since"))
-    rows = attach(rows, joined, ["donor_id"])
+    days = gifts.groupBy("donor_id", "gift_date").agg(
+        first_value("channel", [F.col("gift_id")]).alias("_channel"), F.max(sure(recurring)).alias("_r"),
+        F.count(F.lit(1)).alias("_n"))
+    began_on = F.when(F.col("_r"), F.col("gift_date"))
+    donors = days.groupBy("donor_id").agg(
+        F.min(began_on).alias("first_sustainer_date"), F.min_by("_channel", began_on).alias("sustainer_join_source"),
+        F.max("gift_date").alias("_newest"), F.sum("_n").alias("_n"))
+    newest, first = F.col("_newest"), F.col("first_sustainer_date")
+    donors = donors.withColumn("_last_since", F.when(newest >= first, newest)).drop("_newest")
+    rows = attach(gifts, donors, ["donor_id"], "_n")
+    since = sure(F.col("gift_date") >= first)
     year_end = F.make_date(fiscal_year(F.col("gift_date"), start_month), F.lit(last_month), F.lit(last_day))
-    began = sure(F.col("first_sustainer_date") <= year_end)
-    first = F.col("first_sustainer_date")
+    began = sure(first <= year_end)
     return rows.withColumns({
         "sustainer_gift_flag": F.when(sure(recurring), "Sustainer Gift").otherwise("1X Gift"),
         "sustainer_flag": F.when(since | (began & F.col("_last_since").isNotNull()), "Sustainer").otherwise("1X Giver"),
@@ -60,31 +61,40 @@ def sustainer_fields(gifts: DataFrame, recurring: Column, start_month: int, last
     }).drop("_last_since")
 
 
-def memberships(gifts: DataFrame, recurring: Column, start_month: int) -> DataFrame:
-    """Gifts of recurring donors from their first recurring gift on, with membership and status."""
-    rows = gifts.withColumn("_recurring", sure(recurring))
-    donors = rows.groupBy("donor_id").agg(
-        F.min("gift_date").alias("first_gift_date"),
-        F.min(F.when(F.col("_recurring"), F.col("gift_date"))).alias("sust_first_date"),
-        F.count(F.lit(1)).alias("_n"))
-    rows = spread_join(rows, donors.filter(F.col("sust_first_date").isNotNull()), ["donor_id"], "inner", "_n").filter(
-        F.col("gift_date") >= F.col("sust_first_date"))
-    # One row per donor and day carries the sequence; gifts pick it up afterwards.
-    days = rows.groupBy("donor_id", "gift_date").agg(F.max("_recurring").alias("_r"), F.count(F.lit(1)).alias("_n"))
-    upto = W.partitionBy("donor_id").orderBy("gift_date").rowsBetween(W.unboundedPreceding, W.currentRow)
-    days = days.withColumn("recent_sust_date", F.max(F.when(F.col("_r"), F.col("gift_date"))).over(upto))
-    days = membership_periods(days, "donor_id", "gift_date", "recent_sust_date", LAPSE_DAYS).drop("_r")
-    out = attach(rows, days, ["donor_id", "gift_date"], "_n")
+def membership_days(gifts: DataFrame, recurring: Column, start_month: int) -> DataFrame:
+    """Days of recurring donors from their first recurring gift on, with membership and status.
+
+    One row per donor and day, with its number of gifts in ``_n``; all windows over
+    them share one shuffle by donor.
+    """
+    days = gifts.groupBy("donor_id", "gift_date").agg(
+        F.max(sure(recurring)).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    donor = W.partitionBy("donor_id")
+    given = F.when(F.col("_r"), F.col("gift_date"))
+    days = days.withColumns({
+        "first_gift_date": F.min("gift_date").over(donor), "sust_first_date": F.min(given).over(donor),
+        "recent_sust_date": F.max(given).over(donor.orderBy("gift_date").rowsBetween(W.unboundedPreceding, W.currentRow)),
+    }).filter(F.col("gift_date") >= F.col("sust_first_date")).drop("_r")
+    days = membership_periods(days, "donor_id", "gift_date", "recent_sust_date", LAPSE_DAYS)
     delta = F.datediff("gift_date", "recent_sust_date")
-    return out.withColumns({
+    return days.withColumns({
         "gift_fy": fiscal_year(F.col("gift_date"), start_month),
-        "sust_gift_flag": F.when(F.col("_recurring"), "Sustainer").otherwise("1x"),
         "sustainer_type": F.when(F.col("first_gift_date") == F.col("sust_first_date"), "New").otherwise("Converted"),
         "days_since_sust": delta,
         "sustainer_status": F.when(delta <= LAPSE_DAYS, "Active").when(delta > LAPSE_DAYS, "Lapsed"),
         "sust_join_fy": fiscal_year(F.col("membership_start"), start_month),
         "days_since_join": F.datediff("gift_date", "membership_start"),
-    }).drop("_recurring")
+    })
+
+
+def _back_on_gifts(gifts: DataFrame, days: DataFrame, recurring: Column) -> DataFrame:
+    flagged = gifts.drop("gift_fy").withColumn("sust_gift_flag", F.when(sure(recurring), "Sustainer").otherwise("1x"))
+    return spread_join(flagged, days, ["donor_id", "gift_date"], "inner", "_n")
+
+
+def memberships(gifts: DataFrame, recurring: Column, start_month: int) -> DataFrame:
+    """Gifts of recurring donors from their first recurring gift on, with membership and status."""
+    return _back_on_gifts(gifts, membership_days(gifts, recurring, start_month), recurring)
 
 
 def year_bounds(year: int) -> tuple[int, int]:
@@ -98,23 +108,31 @@ def active_in_year(days: Column, year: int) -> Column:
     return (days > low) & (days <= high)
 
 
-def cohort(members: DataFrame, years: Sequence[int] = YEARS) -> DataFrame:
-    """Active gifts with days on file, yearly activity, cohort flags and lifetime-value flags."""
-    active = members.filter(~sure(F.col("sustainer_status") == "Lapsed"))
-    flags = {f"active_{y}": active_in_year(F.col("days_since_join"), y).cast("int") for y in years}
-    flags |= {f"ltv_{y}": (F.col("days_since_join") <= y * 365).cast("int") for y in years}
-    active = active.withColumns(flags)
-    span = active.groupBy("donor_id", "membership_start").agg(
-        F.datediff(F.max("gift_date"), F.min("gift_date")).alias("days_on_file"), F.count(F.lit(1)).alias("_n"))
-    donors = active.groupBy("donor_id", "sust_join_fy").agg(
-        *[F.max(f"active_{y}").alias(f"donor_{y}") for y in years], F.count(F.lit(1)).alias("_n"))
-    return attach(attach(active, span, ["donor_id", "membership_start"], "_n"), donors, ["donor_id", "sust_join_fy"], "_n")
+def active_days(gifts: DataFrame, recurring: Column, start_month: int) -> DataFrame:
+    days = membership_days(gifts, recurring, start_month)
+    return days.filter(~sure(F.col("sustainer_status") == "Lapsed"))
+
 
+def cohort(gifts: DataFrame, recurring: Column, start_month: int, years: Sequence[int] = YEARS) -> DataFrame:
+    """Active gifts with days on file, yearly activity, cohort flags and lifetime-value flags.
 
-def retention(members: DataFrame, years: Sequence[int] = YEARS) -> DataFrame:
+    All of them follow from the donor's days, so the gifts are joined once.
+    """
+    since = F.col("days_since_join")
+    days = active_days(gifts, recurring, start_month)
+    days = days.withColumns({f"active_{y}": active_in_year(since, y).cast("int") for y in years}
+                            | {f"ltv_{y}": (since <= y * 365).cast("int") for y in years})
+    member = W.partitionBy("donor_id", "membership_start")
+    joined = W.partitionBy("donor_id", "sust_join_fy")
+    days = days.withColumns(
+        {"days_on_file": F.datediff(F.max("gift_date").over(member), F.min("gift_date").over(member))}
+        | {f"donor_{y}": F.max(f"active_{y}").over(joined) for y in years})
+    return _back_on_gifts(gifts, days, recurring)
+
+
+def retention(gifts: DataFrame, recurring: Column, start_month: int, years: Sequence[int] = YEARS) -> DataFrame:
     """Share of each join year's donors that are active in year 1, 2, ... after joining."""
-    active = members.filter(~sure(F.col("sustainer_status") == "Lapsed"))
-    donors = active.groupBy("sust_join_fy", "donor_id").agg(*[
+    donors = active_days(gifts, recurring, start_month).groupBy("sust_join_fy", "donor_id").agg(*[
         F.max(active_in_year(F.col("days_since_join"), y).cast("int")).alias(f"a{y}") for y in years])
     n = F.count(F.lit(1))
     return donors.groupBy("sust_join_fy").agg(

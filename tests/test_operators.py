@@ -150,6 +150,14 @@ def test_table_diff(spark):
     assert {k: v.count() for k, v in parts.items()} == {"left_only": 1, "left_changed": 1, "right_only": 1, "right_changed": 1}
 
 
+def test_table_diff_with_repeated_keys(spark):
+    a = spark.createDataFrame([(1, "a"), (1, "b"), (2, "x"), (2, "x"), (3, "p"), (3, "q"), (None, "n")], "id int, u string")
+    b = spark.createDataFrame([(1, "b"), (2, "x"), (3, "r"), (None, "n")], "id int, u string")
+    got = sorted((r.id, r.side, r.u) for r in joins.table_diff(a, b, "id").collect())
+    assert got[:2] == [(1, "left_only", "a"), (2, "left_only", "x")]
+    assert [g[1] for g in got[2:]] == ["left_changed", "left_only", "right_changed"] and {g[2] for g in got[2:]} == {"p", "q", "r"}
+
+
 def test_outer_and_missing(spark):
     gifts = spark.createDataFrame([(1, "a", None), (2, "b", "L2"), (3, None, None)], "g int, code string, list string")
     sc = spark.createDataFrame([("a", "L1"), ("c", "L3")], "code string, list string")

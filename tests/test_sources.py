@@ -20,6 +20,14 @@ def test_read_delimited(spark, tmp_path):
     assert files.good_lines(df).count() == 3
 
 
+def test_format_from_header_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("'Gift; Id';'Note'\n1;'two\nlines; one field'\n2;plain\n3;a;b\n")
+    assert files.sniff_format(spark, str(tmp_path)) == (";", "'")
+    df = files.read_delimited(spark, str(tmp_path), delimiter=None, multi_line=True)
+    assert sorted(tuple(r) for r in files.good_lines(df, ";", "'").collect()) == [("1", "two\nlines; one field"), ("2", "plain")]
+    assert [r[0] for r in files.bad_lines(df, ";", "'").collect()] == ["3;a;b"]
+
+
 def test_store_round_trips(spark, tmp_path):
     s = Store(spark, str(tmp_path), "ACME")
     s.create("donor", {"donor_key": "object", "n": "Int64"})
