@@ -191,15 +191,13 @@ def giving_before(
     mail date; one window over both answers every probe. No mailing is paired
     with the gifts before it.
     """
-    days = gifts.groupBy(F.col(donor).alias("donor"), F.col(gift_date).cast("date").alias("day")).agg(
-        F.sum(amount).alias("total"), F.count(F.lit(1)).alias("n"), F.max(amount).alias("top"),
-        F.max_by(amount, tie).alias("latest"))
-    probes = mailings.select(F.col(donor).alias("donor"), F.col(mail_date).cast("date").alias("day")).distinct()
-    line = days.withColumn("probe", F.lit(False)).unionByName(
-        probes.withColumn("probe", F.lit(True)), allowMissingColumns=True)
-    # One row per donor and day, so that the frames below see each day once.
-    line = line.groupBy("donor", "day").agg(
-        F.max("total").alias("total"), F.max("n").alias("n"), F.max("top").alias("top"), F.max("latest").alias("latest"), F.max("probe").alias("probe"))
+    # Gifts and probes in one grouping per donor and day, so that the frames below see each day once.
+    probes = mailings.select(F.col(donor).alias("donor"), F.col(mail_date).cast("date").alias("day"), F.lit(True).alias("probe"))
+    given = gifts.select(F.col(donor).alias("donor"), F.col(gift_date).cast("date").alias("day"), F.lit(False).alias("probe"),
+                         F.col(amount).alias("amount"), F.col(tie).alias("tie"))
+    line = given.unionByName(probes, allowMissingColumns=True).groupBy("donor", "day").agg(
+        F.sum("amount").alias("total"), F.count_if(~F.col("probe")).alias("n"), F.max("amount").alias("top"),
+        F.max_by("amount", "tie").alias("latest"), F.max("probe").alias("probe"))
     w = W.partitionBy("donor").orderBy("day")
     before = w.rowsBetween(W.unboundedPreceding, -1)
     line = line.withColumns({

@@ -87,8 +87,11 @@ def heavy_groups(counts: DataFrame, size: str, limit: int = HOT_GROUP) -> DataFr
     At most 10,000 groups can do that, so the result may be broadcast whatever
     the size of the data.
     """
-    total = counts.agg(F.sum(size)).scalar()
-    return counts.filter((F.col(size) > limit) & (F.col(size) * HEAVY_SHARE > total))
+    return counts.filter(is_heavy(F.col(size), counts.agg(F.sum(size)).scalar(), limit))
+
+
+def is_heavy(size: Column, total: Column, limit: int = HOT_GROUP) -> Column:
+    return (size > limit) & (size * HEAVY_SHARE > total)
 
 
 def spread_join(
@@ -106,23 +109,28 @@ def spread_join(
     keys and ``_rows``; without either they are counted.
     """
     keys = list(keys)
+    no_key = F.lit(False)
+    for key in keys:
+        no_key = no_key | F.col(f"`{key}`").isNull()
     if counts is not None:
         counts = counts.select(*keys, "_rows")
     elif size is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     else:
         counts = values.select(*keys, F.col(size).alias("_rows"))
-        values = values.drop(size)
     heavy = heavy_groups(counts.dropna(subset=keys), "_rows", limit)
-    pieces = F.broadcast(heavy.select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_pieces")))
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(f"`{key}`").isNull()
+    split = lambda n: F.ceil(n / limit).cast("int")
+    pieces = F.broadcast(heavy.select(*keys, split(F.col("_rows")).alias("_pieces")))
     mix = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     rows = df.join(pieces, keys, "left").withColumn("_piece", F.when(
         F.col("_pieces").isNotNull(), F.pmod(mix, F.col("_pieces"))).when(no_key, F.pmod(mix, F.lit(NULL_PIECES))).otherwise(
         F.lit(0)).cast("int")).drop("_pieces")
-    right = values.join(pieces, keys, "left").withColumn("_piece", F.explode(
+    if size is None:
+        right = values.join(pieces, keys, "left")
+    else:  # the values know their own size
+        total = counts.dropna(subset=keys).agg(F.sum("_rows")).scalar()
+        right = values.withColumn("_pieces", F.when(~no_key & is_heavy(F.col(size), total, limit), split(F.col(size)))).drop(size)
+    right = right.withColumn("_piece", F.explode(
         F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))).drop("_pieces")
     return rows.join(right, [*keys, "_piece"], how).drop("_piece")
 
@@ -202,22 +210,29 @@ def most_common(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Da
         F.min(F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v"))).getField("v").alias(name))
 
 
+def _ordered_bucket(v: Column) -> Column:
+    """Whole number of up to 32 bits and a sign that never falls as ``v`` rises: power of two, then 20 bits inside it."""
+    size, inside = F.abs(v), 1 << 20
+    finite = size < float("inf")
+    power = F.when(F.isnan(v), 1025).when(finite, F.floor(F.log2(size))).otherwise(1024).cast("long")
+    part = F.when(finite, F.floor((size / F.pow(F.lit(2.0), power) - 1) * inside)).otherwise(0)
+    bucket = F.coalesce((power + 1100) * inside + F.greatest(F.least(part, F.lit(inside - 1)), F.lit(0)), F.lit(0))
+    return F.when(v < 0, -1 - bucket).otherwise(bucket)
+
+
 def exact_quantiles(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:
     """Linear-interpolated percentiles of a numeric column, exact at any size.
 
-    Equal values are counted first. A histogram between minimum and maximum
-    tells which buckets hold the wanted ranks; those buckets alone are divided
-    again, and only the finest ones (2^-32 of the range) are ranked value by
-    value. Every window sees at most 65,536 buckets, or the distinct values of
-    one finest bucket. The wanted ranks are two per point, so the
-    joins with them broadcast a handful of rows.
+    Equal values are counted first. A histogram over ordered buckets tells which
+    of them hold the wanted ranks; those buckets alone are divided again, and only
+    the finest ones (2^-20 of the value's power of two, so outliers do not widen
+    them) are ranked value by value. Every window sees at most 131,072 buckets, or
+    the distinct values of one finest bucket. The wanted ranks are two per point,
+    so the joins with them broadcast a handful of rows.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(
         F.count(F.lit(1)).alias("n"))
-    low, high = counted.agg(F.min("v")).scalar(), counted.agg(F.max("v")).scalar()
-    span = high - low
-    finest = F.when(span > 0, F.floor((F.col("v") - low) / span * float(1 << (LEVEL_BITS * LEVELS)))).otherwise(F.lit(0))
-    fine = counted.withColumn("fine", finest.cast("long"))
+    fine = counted.withColumn("fine", _ordered_bucket(F.col("v")))
     level = lambda k: F.shiftright("fine", LEVEL_BITS * (LEVELS - k))
     holds = lambda start: (F.col("rank") >= start) & (F.col("rank") < start + F.col("bn"))
 

@@ -11,7 +11,7 @@ from donorloom.functions.bands import gift_level
 from donorloom.functions.codes import pad_left, pad_right
 from donorloom.functions.dates import fiscal_year
 from donorloom.functions.rules import matches_any, starts_any, sure
-from donorloom.operators.aggregates import mail_counts, rfm
+from donorloom.operators.aggregates import rfm
 from donorloom.operators.scale import attach, exact_quantiles, keep_first, most_common
 
 
@@ -132,9 +132,12 @@ def promo_history(promos: DataFrame) -> DataFrame:
         F.concat("campaign_code", "list_code", "package_code")))
     rows = rows.withColumn("list_code", F.when(cold, pad_right(F.substring("source_code", 9, 4), 4, "Z")).otherwise(
         F.col("list_code")))
-    counts = mail_counts(rows, "source_code", "constituent", "mail_date")
-    names = rows.groupBy("source_code").agg(F.min(F.struct("campaign_code", "list_code", "package_code", "package_name")).alias("_n"))
-    return counts.join(names, "source_code").select("source_code", "quantity", "mail_date", "_n.*")
+    people = rows.groupBy("source_code", "constituent").agg(
+        F.max("mail_date").alias("mail_date"),
+        F.min(F.struct("campaign_code", "list_code", "package_code", "package_name")).alias("_n"))
+    codes = people.filter(F.col("source_code").isNotNull()).groupBy("source_code").agg(
+        F.count(F.lit(1)).alias("quantity"), F.max("mail_date").alias("mail_date"), F.min("_n").alias("_n"))
+    return codes.select("source_code", "quantity", "mail_date", "_n.*")
 
 
 def program_of_campaign(codes: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from donorloom.operators import windows
+from donorloom.operators import scale, windows
 from donorloom.operators.scale import heavy_groups, keep_first, number_rows, running_last, spread_join
 from donorloom.plans import file_health, response_curve
 from donorloom.sources import tables
@@ -107,3 +107,17 @@ def test_monthly_shares_add_up(spark):
     total = float(flow.agg(F.sum("amount")).first()[0])
     assert total == pytest.approx(1000.0, abs=0.5) and flow.count() == 12
     assert response_curve.flow_table(flow, "c", ["c"]).agg(F.sum("monthly_total")).first()[0] == flow.agg(F.sum("amount")).first()[0]
+
+
+def test_percentiles_with_outliers(spark):
+    """Ordered buckets stay small beside a huge value, and keep the order across signs and zero."""
+    import numpy as np
+    values = [float(v) for v in range(-50, 3000)] + [1e18, -1e-300, 5e-324, 2.0 ** 53]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    points = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    got = {r.p: r.value for r in scale.exact_quantiles(df, "v", points).collect()}
+    assert [got[p] for p in points] == pytest.approx(list(np.percentile(values, [p * 100 for p in points])))
+    buckets = df.select(scale._ordered_bucket(F.col("v")).alias("b"))
+    assert buckets.groupBy("b").count().agg(F.max("count")).first()[0] <= 2
+    ordered = [r.b for r in df.select("v", scale._ordered_bucket(F.col("v")).alias("b")).orderBy("v").collect()]
+    assert ordered == sorted(ordered)
