@@ -29,7 +29,7 @@ from donorloom.session import durable
 LEVEL_BITS = 16  # 65,536 buckets per histogram level
 LEVELS = 2
 HOT_GROUP = 1_000_000
-HEAVY_SHARE = 10_000
+HEAVY_GROUPS = 10_000  # as many keys are treated as heavy at most
 NULL_PIECES = 256
 
 
@@ -81,60 +81,77 @@ def last_value(value: str | Column, order: Sequence[Column]) -> Column:
     return F.max_by(value, F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]))
 
 
-def heavy_groups(counts: DataFrame, size: str, limit: int = HOT_GROUP) -> DataFrame:
-    """Groups of more than ``limit`` rows that also hold over 1/10,000 of all rows.
+def heavy_groups(counts: DataFrame, keys: Sequence[str], size: str, limit: int = HOT_GROUP) -> DataFrame:
+    """Groups of more than ``limit`` rows, the 10,000 largest at most, so the result may be broadcast.
 
-    At most 10,000 groups can do that, so the result may be broadcast whatever
-    the size of the data.
+    A group with over 1/10,000 of all rows is always among the 10,000 largest. Ties go by ``keys``, which are
+    unique, so every branch of a plan that derives the list finds the same one. No total is needed.
     """
-    return counts.filter(is_heavy(F.col(size), counts.agg(F.sum(size)).scalar(), limit))
+    return counts.filter(F.col(size) > limit).orderBy(F.desc(size), *keys).limit(HEAVY_GROUPS)
 
 
-def is_heavy(size: Column, total: Column, limit: int = HOT_GROUP) -> Column:
-    return (size > limit) & (size * HEAVY_SHARE > total)
+def _no_key(keys: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(f"`{key}`").isNull()
+    return missing
 
 
 def spread_join(
     df: DataFrame, values: DataFrame, keys: Sequence[str], how: str = "left", size: str | None = None,
     limit: int = HOT_GROUP, counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join that cuts the rows of heavy keys into pieces of about ``limit`` rows.
+    """Equi-join that keeps the rows of a heavy key out of a single task.
 
     AQE can split a skewed join only when both inputs come straight from a
-    shuffle; here the right side usually is an aggregate on the join key. So
-    rows of a heavy key get a number below the key's piece count, and only the
-    heavy keys' values are repeated, once per piece. Rows with a null key match
-    nothing and are spread out as well. ``size`` names a column of ``values``
-    with the number of rows of ``df`` per key, or ``counts`` is a table with the
-    keys and ``_rows``; without either they are counted.
+    shuffle; here the right side usually is an aggregate on the join key.
+
+    ``size`` names a column of ``values`` with the number of rows of ``df`` per
+    key, and ``values`` then has one row per key: heavy keys find theirs in a
+    broadcast table, and their rows go on spread out, as rows with a null key do.
+
+    Without ``size`` the rows per key are counted, or read from ``counts``, a
+    table with the keys and ``_rows``. Rows of a heavy key get a number below the
+    key's piece count, and only the heavy keys' values are repeated, once per piece.
     """
     keys = list(keys)
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(f"`{key}`").isNull()
-    if counts is not None:
-        counts = counts.select(*keys, "_rows")
-    elif size is None:
+    if size is not None:
+        return _join_known(df, values, keys, how, size, limit)
+    no_key = _no_key(keys)
+    if counts is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    else:
-        counts = values.select(*keys, F.col(size).alias("_rows"))
-    heavy = heavy_groups(counts.dropna(subset=keys), "_rows", limit)
-    split = lambda n: F.ceil(n / limit).cast("int")
-    pieces = F.broadcast(heavy.select(*keys, split(F.col("_rows")).alias("_pieces")))
+    heavy = heavy_groups(counts.select(*keys, "_rows").dropna(subset=keys), keys, "_rows", limit)
+    pieces = F.broadcast(heavy.select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_pieces")))
     mix = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     rows = df.join(pieces, keys, "left").withColumn("_piece", F.when(
         F.col("_pieces").isNotNull(), F.pmod(mix, F.col("_pieces"))).when(no_key, F.pmod(mix, F.lit(NULL_PIECES))).otherwise(
         F.lit(0)).cast("int")).drop("_pieces")
-    if size is None:
-        right = values.join(pieces, keys, "left")
-    else:  # the values know their own size
-        total = counts.dropna(subset=keys).agg(F.sum("_rows")).scalar()
-        right = values.withColumn("_pieces", F.when(~no_key & is_heavy(F.col(size), total, limit), split(F.col(size)))).drop(size)
-    right = right.withColumn("_piece", F.explode(
+    right = values.join(pieces, keys, "left").withColumn("_piece", F.explode(
         F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))).drop("_pieces")
     return rows.join(right, [*keys, "_piece"], how).drop("_piece")
 
 
+def _join_known(df: DataFrame, values: DataFrame, keys: list[str], how: str, size: str, limit: int) -> DataFrame:
+    """``spread_join`` with one row of ``values`` per key, which knows its size."""
+    if how not in ("left", "inner"):
+        raise ValueError(f"left or inner, not {how}")
+    brought = [c for c in values.columns if c not in keys and c != size]
+    heavy = heavy_groups(values.dropna(subset=keys), keys, size, limit).select(
+        *keys, F.struct(F.lit(True).alias("_there"), *[F.col(f"`{c}`") for c in brought]).alias("_heavy"))
+    rows = df.join(F.broadcast(heavy), keys, "left")
+    mix = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(NULL_PIECES)) + 1
+    answered = F.col("_heavy").isNotNull()
+    # Pieces from 1 on meet no row of the other side.
+    rows = rows.withColumn("_piece", F.when(answered | _no_key(keys), mix).otherwise(F.lit(0)).cast("int"))
+    right = values.select(*keys, F.lit(0).alias("_piece"),
+                          F.struct(F.lit(True).alias("_there"), *[F.col(f"`{c}`") for c in brought]).alias("_usual"))
+    found = rows.join(right, [*keys, "_piece"], "left").withColumn("_found", F.coalesce("_heavy", "_usual"))
+    if how == "inner":
+        found = found.filter(F.col("_found").isNotNull())
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    return found.select(*keys, *rest, *[F.col(f"_found.`{c}`").alias(c) for c in brought])
+
+
 def attach(df: DataFrame, values: DataFrame, keys: Sequence[str], size: str | None = None) -> DataFrame:
     """Per-key values back on the rows; see ``spread_join``."""
     return spread_join(df, values, keys, "left", size)
@@ -176,7 +193,7 @@ def _number(df, keys, buckets, order, name, limit, level) -> DataFrame:
     number = F.row_number().over(W.partitionBy(*group).orderBy(*order)).cast("long") + F.col(skip)
     if len(buckets) == 1:
         return rows.join(offsets, group).withColumn(name, number).select(*df.columns, name)
-    heavy = F.broadcast(heavy_groups(offsets, size, limit))
+    heavy = F.broadcast(heavy_groups(offsets, group, size, limit))
     usual = rows.join(heavy.select(*group), group, "left_anti").join(offsets, group).withColumn(name, number)
     inner = rows.join(heavy, group)
     inner = _number(inner, group, buckets[1:], order, "_inner", limit, level + 1)
