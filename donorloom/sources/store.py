@@ -1,22 +1,47 @@
-"""Layered Parquet tables: create, append, publish, replace a partition, upsert.
+"""Layered Parquet tables: create, append, publish, replace partitions, upsert.
 
-A table is a folder ``<root>/<layer>/<client>_<name>``. A write never touches
-the folder it reads from: upserts write the next version beside the current
-one, and readers take the newest version that is complete.
+A table is a folder ``<root>/<layer>/<client>_<name>`` of version folders, and a
+write always makes a new one; nothing that a reader may be reading is touched:
+
+* ``v3`` is a whole table;
+* ``v4p`` holds some partitions anew, the others stay where they are;
+* ``v5a`` holds added rows, and belongs to the version before it.
+
+A version counts once it is complete, so a failed write changes nothing. Its
+schema, partitioning and replaced partitions are in ``_meta``: a read opens no
+footers to find columns. Upserts and window replaces rewrite only the partitions
+they touch (a hash of the key, the month of a date). After ``CHAIN`` such writes
+the table is written whole again; ``vacuum`` removes versions no longer wanted.
+One writer per table at a time; this is not a transaction log.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from donorloom.functions.clean import table_schema
+from donorloom.operators.setops import replace_window
 
 SUFFIXES = {"gift": "gift", "donor": "donor", "source_code": "source_code", "budget": "budget",
             "transactions": "transactions", "fh_date": "fh_date", "fh_group": "fh_group"}
+PARTS = 64  # hash partitions of a table with a key
+CHAIN = 16  # partial versions read together at most
+PART = "_part"
+NULL_PART = f"{PART}=__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    kind: str  # "" whole, "p" some partitions, "a" added rows
+    path: str
 
 
 @dataclass(frozen=True)
@@ -34,47 +59,111 @@ class Store:
         target = jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
 
-    def versions(self, name: str, layer: str = "silver", whole: bool = True) -> list[int]:
-        """Numbers of the versions; with ``whole=False`` also of those that a failed write left behind."""
-        fs, folder = self._fs(self.path(name, layer))
-        if not fs.exists(folder):
-            return []
+    def _leaves(self, path: str) -> list[str]:
+        fs, folder = self._fs(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+    def _seen(self, name: str, layer: str, whole: bool = True) -> list[Version]:
+        """Versions in order; with ``whole=False`` also those that a failed write left behind."""
+        folder = self.path(name, layer)
         found = []
-        for status in fs.listStatus(folder):
-            leaf = status.getPath().getName()
-            if leaf.startswith("v") and leaf[1:].isdigit():
-                if not whole or self._complete(status.getPath().toString()):
-                    found.append(int(leaf[1:]))
-        return sorted(found)
+        for leaf in self._leaves(folder):
+            parts = re.fullmatch(r"v(\d+)([pa]?)", leaf)
+            if parts and (not whole or self._complete(f"{folder}/{leaf}")):
+                found.append(Version(int(parts[1]), parts[2], f"{folder}/{leaf}"))
+        return sorted(found, key=lambda v: v.number)
 
     def _complete(self, path: str) -> bool:
         fs, marker = self._fs(f"{path}/_SUCCESS")
         return fs.exists(marker)
 
-    def _version_path(self, name: str, version: int, layer: str) -> str:
-        return f"{self.path(name, layer)}/v{version}"
+    def _meta_path(self, version: Version) -> str:
+        folder, leaf = version.path.rsplit("/", 1)
+        return f"{folder}/_meta/{leaf}.json"
+
+    def _meta(self, version: Version) -> dict:
+        fs, file = self._fs(self._meta_path(version))
+        stream = fs.open(file)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def versions(self, name: str, layer: str = "silver") -> list[int]:
+        return [v.number for v in self._seen(name, layer) if v.kind != "a"]
+
+    def _chain(self, name: str, layer: str, back: int = 0) -> list[Version]:
+        """The versions that make up the table, a whole one first."""
+        seen = self._seen(name, layer)
+        tops = [v.number for v in seen if v.kind != "a"]
+        if len(tops) <= back:
+            raise FileNotFoundError(self.path(name, layer))
+        seen = [v for v in seen if back == 0 or v.number < tops[-back]]
+        return seen[max(i for i, v in enumerate(seen) if v.kind == ""):]
 
     # ---- reading ------------------------------------------------------------------
+    def _rows(self, chain: list[Version]) -> DataFrame:
+        """Each partition from its newest version and what was added to it since, partition column included."""
+        metas = [self._meta(v) for v in chain]
+        held: dict[str, list[int]] = {}
+        for i, (version, meta) in enumerate(zip(chain, metas)):
+            folders = [leaf for leaf in self._leaves(version.path) if "=" in leaf]
+            if version.kind == "p":
+                for folder in {*folders, *meta["replaced"]}:
+                    held[folder] = []
+            elif not folders:
+                folders = [""]
+            for folder in folders:
+                held.setdefault(folder, []).append(i)
+        out = None
+        for i, (version, meta) in enumerate(zip(chain, metas)):
+            folders = [f"{version.path}/{folder}".rstrip("/") for folder, at in held.items() if i in at]
+            if not folders:
+                continue
+            schema = T.StructType.fromJson(meta["schema"])
+            frame = self.spark.read.schema(schema).option("basePath", version.path).parquet(*folders)
+            out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
+        return self.spark.createDataFrame([], T.StructType.fromJson(metas[-1]["schema"])) if out is None else out
+
     def read(self, name: str, layer: str = "silver", back: int = 0) -> DataFrame:
-        """Newest version, or ``back`` versions earlier."""
-        seen = self.versions(name, layer)
-        if len(seen) <= back:
-            raise FileNotFoundError(self.path(name, layer))
-        return self.spark.read.option("mergeSchema", True).parquet(
-            self._version_path(name, seen[-1 - back], layer))
+        """Newest version, or ``back`` versions earlier, with what was added to it."""
+        return self._rows(self._chain(name, layer, back)).drop(PART)
 
     def exists(self, name: str, layer: str = "silver") -> bool:
         return bool(self.versions(name, layer))
 
     # ---- writing ------------------------------------------------------------------
+    def _write(self, df: DataFrame, name: str, layer: str, kind: str, rule: Sequence[str], replaced: Sequence[str] = ()) -> None:
+        last = max([v.number for v in self._seen(name, layer, whole=False)], default=0)
+        version = Version(last + 1, kind, f"{self.path(name, layer)}/v{last + 1}{kind}")
+        df = marked(df, rule)
+        columns = list(rule[1:]) if rule and rule[0] == "columns" else [PART] if rule else []
+        fs, file = self._fs(self._meta_path(version))
+        out = fs.create(file, True)
+        out.write(bytearray(json.dumps({
+            "schema": df.schema.jsonValue(), "rule": list(rule), "replaced": list(replaced)}), "utf-8"))
+        out.close()
+        df.write.partitionBy(*columns).parquet(version.path)
+
+    def _open_chain(self, name: str, layer: str) -> tuple[list[Version], list[str]]:
+        """The chain to add to and its rule; a long chain is written whole first."""
+        chain = self._chain(name, layer)
+        rule = self._meta(chain[0])["rule"]
+        if len(chain) > CHAIN:
+            self._write(self._rows(chain).drop(PART), name, layer, "", rule)
+            chain = self._chain(name, layer)
+        return chain, rule
+
     def overwrite(self, df: DataFrame, name: str, layer: str = "silver", partition: Sequence[str] = ()) -> None:
-        seen = self.versions(name, layer, whole=False)
-        df.write.partitionBy(*partition).parquet(self._version_path(name, (seen[-1] if seen else 0) + 1, layer))
+        self._write(df, name, layer, "", ["columns", *partition] if partition else [])
 
     def append(self, df: DataFrame, name: str, layer: str = "silver") -> None:
         """Add rows; new columns widen the table."""
-        seen = self.versions(name, layer)
-        df.write.mode("append").parquet(self._version_path(name, seen[-1] if seen else 1, layer))
+        if self.exists(name, layer):
+            _, rule = self._open_chain(name, layer)
+            self._write(df, name, layer, "a", rule)
+        else:
+            self.overwrite(df, name, layer)
 
     def append_aligned(self, df: DataFrame, name: str, layer: str = "silver") -> None:
         """Add distinct rows with exactly the target's columns."""
@@ -94,27 +183,85 @@ class Store:
 
     def publish(self, name: str) -> None:
         """Silver to curated."""
-        self.overwrite(self.read(name), name, "curated")
+        rule = self._meta(self._chain(name, "silver")[0])["rule"]
+        self._write(self.read(name), name, "curated", "", rule)
 
     def replace_partition(self, df: DataFrame, name: str, column: str, layer: str = "silver") -> None:
         """Replace the partitions the frame has rows for, and only those."""
-        seen = self.versions(name, layer)
-        if not seen:
-            self.overwrite(df, name, layer, [column])
+        wanted = ["columns", column]
+        if not self.exists(name, layer):
+            self._write(df, name, layer, "", wanted)
+            return
+        chain, rule = self._open_chain(name, layer)
+        if rule == wanted:
+            self._write(df, name, layer, "p", rule)
             return
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(
-            self._version_path(name, seen[-1], layer))
+        current = self._rows(chain).drop(PART)
+        there = df.select(F.col(column).alias("_there")).distinct()
+        kept = current.join(there, F.col(column).eqNullSafe(F.col("_there")), "left_anti")
+        self._write(kept.unionByName(df, allowMissingColumns=True), name, layer, "", wanted)
 
     def upsert(self, changes: DataFrame, name: str, key: Sequence[str], layer: str = "silver") -> None:
-        """Matched keys take the new non-null values, other keys are added."""
-        current = self.read(name, layer) if self.exists(name, layer) else None
-        self.overwrite(changes if current is None else merge_rows(current, changes, key), name, layer)
+        """Matched keys take the new non-null values, other keys are added. Only hash partitions with changes are rewritten."""
+        wanted = ["hash", *key]
+        if not self.exists(name, layer):
+            self._write(changes, name, layer, "", wanted)
+            return
+        chain, rule = self._open_chain(name, layer)
+        current = self._rows(chain)
+        kinds = {f.name: f.dataType for f in current.schema}
+        changes = changes.withColumns({k: F.col(k).cast(kinds[k]) for k in key})
+        if rule != wanted:
+            self._write(merge_rows(current.drop(PART), changes, key), name, layer, "", wanted)
+            return
+        touched = [r[0] for r in marked(changes, rule).select(PART).distinct().collect()]  # PARTS at most
+        if touched:
+            merged = merge_rows(current.filter(F.col(PART).isin(touched)).drop(PART), changes, key)
+            self._write(merged, name, layer, "p", rule)
+
+    def replace_range(self, batch: DataFrame, name: str, date: str, layer: str = "silver") -> None:
+        """``replace_window`` on the table. Only months of the batch's range, and rows without a date, are rewritten."""
+        wanted = ["month", date]
+        if not self.exists(name, layer):
+            self._write(batch, name, layer, "", wanted)
+            return
+        chain, rule = self._open_chain(name, layer)
+        current = self._rows(chain)
+        if rule != wanted:
+            self._write(replace_window(current.drop(PART), batch, date), name, layer, "", wanted)
+            return
+        low, high = marked(batch, rule).agg(F.min(PART), F.max(PART)).first()
+        months = [] if low is None else range(low, high + 1)
+        inside = F.col(PART).isNull() if low is None else F.col(PART).isNull() | F.col(PART).between(low, high)
+        rows = replace_window(current.filter(inside).drop(PART), batch, date)
+        self._write(rows, name, layer, "p", rule, [*[f"{PART}={m}" for m in months], NULL_PART])
 
     def seed(self, rows: DataFrame, name: str, key: Sequence[str], layer: str = "silver") -> None:
         """Add rows whose key is not there yet."""
         current = self.read(name, layer)
         self.append(rows.join(current.select(*key), list(key), "left_anti"), name, layer)
 
+    def vacuum(self, name: str, keep: int, layer: str = "silver") -> None:
+        """Remove what the newest ``keep`` versions do not need, and what failed writes before them left."""
+        needed = {v.number for back in range(min(keep, len(self.versions(name, layer)))) for v in self._chain(name, layer, back)}
+        if not needed:
+            return
+        for version in self._seen(name, layer, whole=False):
+            if version.number not in needed and version.number < max(needed):
+                for path in (version.path, self._meta_path(version)):
+                    fs, target = self._fs(path)
+                    fs.delete(target, True)
+
+
+def marked(df: DataFrame, rule: Sequence[str]) -> DataFrame:
+    """``df`` with the hidden partition column, where the rule has one."""
+    if rule and rule[0] == "hash":
+        return df.withColumn(PART, F.pmod(F.xxhash64(*rule[1:]), F.lit(PARTS)).cast("int"))
+    if rule and rule[0] == "month":
+        day = F.col(rule[1]).cast("date")
+        return df.withColumn(PART, F.year(day) * 12 + F.month(day) - 1)
+    return df
+
 
 def merge_rows(current: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """Upsert as a grouping: per key the new value of each column, or the current one where it is null."""

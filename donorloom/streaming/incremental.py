@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from donorloom.operators.setops import replace_window
 from donorloom.sources.store import Store
 
 
@@ -21,10 +20,8 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataF
 def replace_into(store: Store, name: str, date: str):
     """``foreachBatch`` writer; a batch that is run again gives the same table."""
     def write(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        current = store.read(name) if store.exists(name) else None
-        store.overwrite(batch if current is None else replace_window(current, batch, date), name)
+        if not batch.isEmpty():
+            store.replace_range(batch, name, date)
     return write
 
 

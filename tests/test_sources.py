@@ -78,3 +78,44 @@ def test_failed_write_does_not_lock_the_table(spark, tmp_path):
     assert s.read("t").count() == 3
     s.overwrite(spark.range(5), "t")
     assert s.read("t").count() == 5 and s.versions("t") == [1, 3]
+
+
+def test_writes_touch_only_their_partitions(spark, tmp_path):
+    s = Store(spark, str(tmp_path), "acme")
+    s.upsert(spark.range(1000).select("id", F.lit(0).alias("n")), "keyed", ["id"])
+    s.upsert(spark.createDataFrame([(5, 7), (5000, 1)], "id long, n int"), "keyed", ["id"])
+    table = tmp_path / "silver" / "acme_keyed"
+    assert len([p for p in (table / "v2p").iterdir() if p.is_dir()]) <= 2 < len([p for p in (table / "v1").iterdir() if p.is_dir()])
+    assert s.read("keyed").count() == 1001 and s.read("keyed").agg(F.sum("n")).first()[0] == 8
+    assert s.read("keyed").columns == ["id", "n"] and s.read("keyed", back=1).count() == 1000
+    s.append(spark.createDataFrame([(6000, 2, "new")], "id long, n int, more string"), "keyed")
+    assert s.read("keyed").filter("more = 'new'").count() == 1 and s.versions("keyed") == [1, 2]
+    s.upsert(spark.createDataFrame([(6000, 3)], "id int, n int"), "keyed", ["id"])
+    assert [tuple(r) for r in s.read("keyed").filter("id = 6000").select("id", "n", "more").collect()] == [(6000, 3, "new")]
+    s.vacuum("keyed", 1)
+    assert s.read("keyed").count() == 1002 and s.versions("keyed") == [1, 2, 4]  # 3 is what was appended to 2
+    s.publish("keyed")
+    assert s.read("keyed", "curated").count() == 1002
+    s.overwrite(s.read("keyed"), "keyed")
+    s.vacuum("keyed", 1)
+    assert s.versions("keyed") == [5] and s.read("keyed").count() == 1002
+
+
+def test_range_replace_empties_months(spark, tmp_path):
+    s = Store(spark, str(tmp_path), "acme")
+    schema = "id int, d date"
+    day = lambda m, d: dt.date(2020, m, d)
+    s.replace_range(spark.createDataFrame([(1, day(1, 5)), (2, day(2, 5)), (3, day(3, 5)), (4, day(4, 5)), (5, None)], schema), "gift", "d")
+    s.replace_range(spark.createDataFrame([(9, day(1, 20)), (8, day(3, 20))], schema), "gift", "d")
+    assert sorted(r.id for r in s.read("gift").collect()) == [1, 4, 8, 9]
+    assert sorted(p.name for p in (tmp_path / "silver" / "acme_gift" / "v2p").iterdir() if p.is_dir()) == ["_part=24240", "_part=24242"]
+
+
+def test_many_small_writes_are_joined(spark, tmp_path, monkeypatch):
+    from donorloom.sources import store
+    monkeypatch.setattr(store, "CHAIN", 3)
+    s = Store(spark, str(tmp_path), "acme")
+    for n in range(6):
+        s.upsert(spark.createDataFrame([(n % 2, n)], "id int, n int"), "t", ["id"])
+    assert sorted(tuple(r) for r in s.read("t").collect()) == [(0, 4), (1, 5)]
+    assert len(s._chain("t", "silver")) <= 4
