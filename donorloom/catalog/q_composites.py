@@ -427,6 +427,15 @@ def x16b(spark, d):
     return response_curve.monthly_totals(flow, month_spine(sent, "mail_date"))
 
 
+@query("x16_month_by_campaign", with_views("mail", more=FLOW_VIEWS + """,
+f AS (SELECT month, campaign, CAST(budget AS DECIMAL(18,2)) * CAST(round(c1 - c0, 6) AS DECIMAL(9,6)) AS amount FROM b3)""") + """
+SELECT CAST(month AS VARCHAR) AS month, CAST(coalesce(sum(amount) FILTER (campaign = 'B11'), 0) AS DOUBLE) AS "B11",
+  CAST(coalesce(sum(amount) FILTER (campaign = 'B23'), 0) AS DOUBLE) AS "B23",
+  CAST(coalesce(sum(amount) FILTER (campaign IN ('B11', 'B23')), 0) AS DOUBLE) AS monthly_total FROM f GROUP BY 1""")
+def x16c(spark, d):
+    return response_curve.flow_table(flows(spark, d)[0], "campaign", ["B11", "B23"])
+
+
 @query("x17_campaign_counts", with_views("mail") + 'SELECT campaign_code, count(*) AS "count", CAST(min(mail_date) AS VARCHAR) AS first_mail_date FROM mail GROUP BY 1')
 def x17(spark, d):
     return campaigns.campaign_counts(tables.mailings(spark, d))

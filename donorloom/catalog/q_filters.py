@@ -215,3 +215,8 @@ SELECT part_id, appeal FROM c WHERE NOT regexp_matches(appeal, 'RING|BOLT') AND
 def f21(spark, d):
     c = tables.parts(spark, d).select("part_id", F.concat(F.lpad(F.col("quantity").cast("string"), 2, "0"), "campaign_name").alias("appeal"))
     return filters.keyword_suppression(c, "appeal", ["RING", "BOLT"], ["10RED WIDGET"], ["2", "31"])
+
+
+@query("f12_month_from", with_views("gift") + "SELECT gift_id, month(gift_date) >= 10 AS late FROM gift")
+def f12b(spark, d):
+    return tables.gifts(spark, d).select("gift_id", rules.month_from(F.col("gift_date"), 10).alias("late"))

@@ -210,3 +210,15 @@ SELECT gift_id, CASE WHEN balance > 5000 THEN program ELSE 'N/A' END AS program
 def j22(spark, d):
     side = tables.people(spark, d).filter("balance > 5000").select("donor_id", "program")
     return joins.donor_attribute(tables.gifts(spark, d), side, "donor_id", "program", "N/A").select("gift_id", "program")
+
+
+@query("j16_split_diff", with_views("gift") + """
+SELECT 'left_only' AS side, count(*) AS n FROM gift WHERE gift_type = 'O' UNION ALL SELECT 'left_changed', count(*) FROM gift WHERE gift_type = 'P'
+UNION ALL SELECT 'right_only', count(*) FROM gift WHERE gift_type = 'F' AND channel = '5-LOW' UNION ALL SELECT 'right_changed', count(*) FROM gift WHERE gift_type = 'P'""")
+def j16b(spark, d):
+    g = tables.gifts(spark, d).withColumn("gift_date", F.col("gift_date").cast("string"))
+    left = g.filter("NOT (gift_type = 'F' AND channel = '5-LOW')")
+    right = g.filter("gift_type <> 'O'").withColumn("gift_date", F.when(F.col("gift_type") == "P", "2030-01-01").otherwise(F.col("gift_date")))
+    sides = joins.split_diff(joins.table_diff(left, right, "gift_id"))
+    count = lambda name: sides[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n")
+    return count("left_only").unionAll(count("left_changed")).unionAll(count("right_only")).unionAll(count("right_changed"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from donorloom.catalog.base import query, with_views
+from donorloom.catalog.base import START, query, scratch, with_views
 from donorloom.operators import quality
 from donorloom.operators.aggregates import non_null_counts
 from donorloom.operators.windows import surrogate_key
+from donorloom.plans import base_tables, hooks, run
 from donorloom.sources import tables
+from donorloom.sources.store import Store
 
 HEAD = "SELECT 'ACME' AS client, '{ds}' AS dataset, '{ck}' AS \"check\", {dt} AS detail, {fl} AS fail, '{lv}' AS level FROM {src}"
 
@@ -68,10 +70,24 @@ def q05(spark, d):
     "(SELECT NOT (max(gift_date) >= DATE '2001-08-01' AND min(gift_date) <= DATE '2001-01-01') FROM gift)", "error", "region WHERE r_regionkey = 0"))
 def q07(spark, d):
     g = tables.gifts(spark, d)
-    assert quality.private_columns_left(g, ["email", "phone"]) == []
     return quality.date_range_check(g, "gift_date", F.lit("2001-09-15").cast("date"), "ACME")
 
 
+@query("q06_private_columns", "SELECT * FROM (" + line("gift", "no private columns", "'none'", "0", "error", "orders LIMIT 1") + ") UNION ALL SELECT * FROM (" +
+       line("person", "no private columns", "'name, balance'", "1", "error", "customer LIMIT 1") + ")")
+def q06(spark, d):
+    private = ["balance", "email", "name"]
+    return quality.private_columns_check(tables.gifts(spark, d), private, "ACME", "gift").unionByName(
+        quality.private_columns_check(tables.people(spark, d), private, "ACME", "person"))
+
+
+@query("q08_month_passed", with_views("gift") + """
+SELECT donor_id, CAST(max(gift_date) AS VARCHAR) AS reported, last_day(last_day(max(gift_date)) + 1) < DATE '2001-03-15' AS rerun FROM gift GROUP BY 1""")
+def q08b(spark, d):
+    newest = tables.gifts(spark, d).groupBy("donor_id").agg(F.max("gift_date").alias("reported"))
+    return newest.withColumn("rerun", quality.month_passed(F.col("reported"), F.lit("2001-03-15").cast("date")))
+
+
 @query("q08_freshness", with_views("gift") + """
 SELECT CAST(max(gift_date) AS VARCHAR) AS newest, CAST(max(CASE WHEN gift_type = 'F' AND gift_fy < 2001 THEN gift_date END) AS VARCHAR) AS curated, true AS rerun FROM gift""")
 def q08(spark, d):
@@ -95,3 +111,78 @@ def q10(spark, d):
     newest = tables.gifts(spark, d).agg(F.max("gift_date")).scalar().cast("string")
     return quality.status_rows(spark, "ACME", "Base tables", "max gift date included: ").withColumn(
         "step", F.concat("step", newest)).drop("ts")
+
+
+@query("q10_status_log_appended", with_views("gift", more="g AS (SELECT gift_fy, count(*) AS n FROM gift GROUP BY 1)") + """
+SELECT 'ACME' AS client, 'Base tables' AS process, 'started' AS step, true AS stamped FROM g HAVING count(*) > 0 UNION ALL SELECT 'ACME', 'Base tables', 'gifts: ' || sum(n), true FROM g""")
+def q10b(spark, d):
+    s = Store(spark, scratch(spark), "ACME")
+    run.log(s, "Base tables", "started")
+    counted = tables.gifts(spark, d).agg(F.count(F.lit(1))).scalar()
+    s.append(quality.status_rows(spark, "ACME", "Base tables", "").withColumn("step", F.concat(F.lit("gifts: "), counted)), run.LOG)
+    return s.read(run.LOG).select("client", "process", "step", F.col("ts").isNotNull().alias("stamped"))
+
+
+def base_run(spark, d):
+    """Mailed pieces as gifts, and the codes of half the parts."""
+    m = tables.mailings(spark, d)
+    t = m.select((F.col("gift_id") * 10 + F.col("line")).alias("gift_id"), "donor_id", F.col("mail_date").alias("gift_date"),
+                 F.col("revenue").alias("gift_amount"), F.lit("mail").alias("channel"), F.lit("gift").alias("gift_type"),
+                 "source_code", "campaign_code", "campaign_name")
+    c = tables.parts(spark, d).withColumns({
+        "mail_date": F.lit("1998-01-01").cast("date"), "campaign_group": F.col("package_name"),
+        "source_code": F.lower("source_code")}).filter("part_id % 2 = 0")
+    return t, base_tables.standard_source_codes(c.drop("quantity", "package_cpp"), "ACME", START)
+
+
+def upper_codes(codes):
+    return codes.withColumn("source_code", F.upper("source_code"))
+
+
+@query("u04_base_table_hooks", with_views("code", "mail").rstrip() + """
+, known AS (SELECT source_code FROM code WHERE part_id % 2 = 0), lost AS (SELECT DISTINCT source_code FROM mail WHERE source_code NOT IN (SELECT source_code FROM known))
+SELECT 'gift' AS tbl, count(*) AS n, count(DISTINCT donor_id) AS marked FROM mail
+UNION ALL SELECT 'donor', count(*), count(*) FILTER (t > 1000000) FROM (SELECT donor_id, sum(revenue) AS t FROM mail GROUP BY 1)
+UNION ALL SELECT 'source_code', (SELECT count(*) FROM known) + (SELECT count(*) FROM lost) + 1 +
+  (SELECT max(year(mail_date)) - min(year(mail_date)) + 2 FROM mail), (SELECT count(*) FROM lost)
+UNION ALL SELECT 'qa: ' || ds, n, f FROM (VALUES ('donor', 3, 0), ('gift', 1, 0), ('source_code', 3, 0)) q(ds, n, f)
+UNION ALL SELECT 'log: published', 1, 1""")
+def u04(spark, d):
+    t, c = base_run(spark, d)
+    big = lambda donors, gifts: donors.join(gifts.groupBy("donor_id").agg(F.sum("gift_amount").alias("total")), "donor_id", "left")
+    client = hooks.Client("ACME", {
+        "source_codes": [upper_codes], "donors": [big],
+        "missing_codes": [lambda m: m.groupBy("source_code", "campaign_code", "client", "source").agg(F.min("fy").alias("fy"), F.min("mail_date").alias("mail_date"))],
+    }, switches=frozenset({"skip_trx_qa"}))
+    s = Store(spark, scratch(spark), "ACME")
+    run.build(s, client, t, c, START)
+    run.publish(s, client)
+    count = lambda df, name, marked: df.agg(F.count(F.lit(1)).alias("n"), marked.alias("marked")).select(F.lit(name).alias("tbl"), "n", "marked")
+    results = s.read(run.RESULTS).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.sum("fail").alias("marked"))
+    logged = s.read(run.LOG).groupBy("step").agg(F.count(F.lit(1)).alias("n"))
+    return (count(s.read("gift", "curated"), "gift", F.count_distinct("donor_id"))
+            .unionAll(count(s.read("donor", "curated"), "donor", F.count_if(F.col("total") > 1000000)))
+            .unionAll(count(s.read("source_code", "curated"), "source_code", F.count_if(F.col("source") == "inferred from trx")))
+            .unionAll(results.select(F.concat(F.lit("qa: "), "dataset"), "n", "marked"))
+            .unionAll(logged.select(F.concat(F.lit("log: "), "step"), "n", "n")))
+
+
+@query("q01_publish_gate", with_views("mail") + """
+SELECT 'before' AS attempt, false AS published, CAST(0 AS BIGINT) AS gifts FROM mail HAVING count(*) > 0 UNION ALL SELECT 'forced', true, count(*) FROM mail""")
+def q01b(spark, d):
+    # Donor keys, volume and amounts are right; placeholders for years are taken out, which is an error of the codes.
+    t, c = base_run(spark, d)
+    s = Store(spark, scratch(spark), "ACME")
+    strict = hooks.Client("ACME", {"source_codes": [upper_codes]})
+    run.build(s, strict, t, c, START)
+    gaps = s.read("source_code").filter("source <> 'unsourced fallbacks'")
+    run.record(s, quality.source_code_checks(gaps, s.read("gift"), "ACME"))
+    try:
+        run.publish(s, strict)
+    except run.NotPublished:
+        pass
+    before = s.exists("gift", "curated")
+    run.publish(s, hooks.Client("ACME", switches=frozenset({"force_publish_source_code"})))
+    now = s.read("gift", "curated").agg(F.count(F.lit(1)).alias("gifts"))
+    return spark.range(1).select(F.lit("before").alias("attempt"), F.lit(before).alias("published"), F.lit(0).cast("long").alias("gifts")).unionAll(
+        now.select(F.lit("forced"), F.lit(True), "gifts"))

@@ -8,6 +8,7 @@ from donorloom.catalog.base import START, query, scratch, with_views
 from donorloom.functions.clean import strip_point_zero, whole_number
 from donorloom.functions.dates import fiscal_year
 from donorloom.operators.setops import replace_window, union_aligned
+from donorloom.plans.base_tables import ingest_clean
 from donorloom.sources import files, tables
 from donorloom.sources.store import Store
 from donorloom.streaming.incremental import file_stream, run_available
@@ -215,3 +216,20 @@ def s22b(spark, d):
     g = basic(spark, d)
     batch = g.filter(F.year("gift_date") == 1998)
     return replace_window(replace_window(g, batch, "gift_date"), batch, "gift_date")
+
+
+@query("s17_names_of_files_read", with_views("gift") + "SELECT 'gift_type=' || gift_type AS folder, true AS named, count(*) AS gifts FROM gift GROUP BY 1")
+def s17b(spark, d):
+    folder = scratch(spark)
+    tables.gifts(spark, d).withColumn("kind", F.col("gift_type")).write.partitionBy("kind").parquet(folder)
+    read = files.with_file_name(spark.read.parquet(folder))
+    return read.groupBy(F.concat(F.lit("gift_type="), "kind").alias("folder"), F.col("file_name").rlike(r"^part-.*\.parquet$").alias("named")).agg(
+        F.count(F.lit(1)).alias("gifts"))
+
+
+@query("s22_ingest_clean", with_views("raw") + """
+SELECT gift_id, CAST(gift_date AS VARCHAR) AS gift_date, gift_amount, coalesce(appeal_category, 'None') AS appeal_category, gift_type FROM raw WHERE gift_date <= DATE '2000-06-30'""")
+def s22c(spark, d):
+    renames = RENAMES | {"Gift Amount": "gift_amount", "Appeal Category": "appeal_category"}
+    raw = tables.raw_gifts(spark, d).withColumn("Appeal Category", F.when(F.col("Appeal Category") != "None", F.col("Appeal Category")))
+    return ingest_clean(raw, renames, ["appeal_category"], F.lit("2000-06-30").cast("date")).drop("donor_id")

@@ -113,3 +113,14 @@ def c20(spark, d):
     sci = F.concat((F.col("gift_id") * 1000).cast("string"), F.lit("E0"))
     return tables.gifts(spark, d).select("gift_id", clean.plain_number_text(sci).alias("plain"),
                                          clean.plain_number_text(F.col("channel")).alias("text"))
+
+
+@query("p19_common_first", with_views("gift", "person").rstrip() + """
+SELECT 'gifts' AS side, 'donor_id,channel,gift_id,gift_date,gift_amount,gift_type' AS columns, count(*) AS n FROM gift
+UNION ALL SELECT 'people', 'donor_id,channel,name,program,state,region,balance', count(*) FROM person""")
+def p19(spark, d):
+    left = tables.gifts(spark, d).select("gift_id", "donor_id", "gift_date", "gift_amount", "channel", "gift_type")
+    right = tables.people(spark, d).withColumn("channel", F.lit(None).cast("string"))
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), F.lit(",".join(df.columns)).alias("columns"), "n")
+    left, right = clean.common_first(left, right)
+    return count(left, "gifts").unionAll(count(right, "people"))

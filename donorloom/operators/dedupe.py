@@ -26,10 +26,6 @@ def first_not_null(df: DataFrame, key: str, order: Sequence[Column]) -> DataFram
     return keep_first(df.filter(F.col(key).isNotNull()), [key], order)
 
 
-def last_by(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    return keep_last(df, key, order)
-
-
 def last_not_null(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return keep_last(df.filter(F.col(key).isNotNull()), [key], order)
 
@@ -106,5 +102,3 @@ def apply_dedupe(df: DataFrame, rule: str | None, col: str | None, order: Sequen
     if rule is None:
         return distinct_rows(df)
     return DEDUPE[rule](df, col, order) if rule in DEDUPE else df
-
-

@@ -84,6 +84,14 @@ def private_columns_left(df: DataFrame, private: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c in set(private)]
 
 
+def private_columns_check(df: DataFrame, private: Sequence[str], client: str, dataset: str) -> DataFrame:
+    """The same as a result row; ``detail`` lists the columns found."""
+    left = private_columns_left(df, private)
+    one = df.sparkSession.range(1)
+    return checks_from_row(one, client, dataset, [
+        ("no private columns", F.lit(", ".join(left) or "none"), F.lit(bool(left)), "error")])
+
+
 def date_range_check(df: DataFrame, date: str, now: Column, client: str) -> DataFrame:
     """The newest date is in or after last month, the oldest not after the start of this year."""
     row = df.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))

@@ -89,10 +89,6 @@ def date_gaps(df: DataFrame, date: str, longer_than: int = 2) -> DataFrame:
     return gaps.filter(F.col("gap_days") > longer_than).orderBy(F.desc("gap_days"), date)
 
 
-def giving_days(df: DataFrame, donor: str, date: str, *extra: Column) -> DataFrame:
-    return df.groupBy(donor, date).agg(F.count(F.lit(1)).alias("gifts"), *extra)
-
-
 def days_since_previous(df: DataFrame, donor: str, date: str, tie: str) -> DataFrame:
     """Days since the donor's previous gift; later gifts of a day are 0 days after the first."""
     days = df.groupBy(donor, date).agg(F.min(tie).alias("_first"), F.count(F.lit(1)).alias("_n"))

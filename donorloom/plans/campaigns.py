@@ -12,7 +12,7 @@ from donorloom.functions.codes import pad_left, pad_right
 from donorloom.functions.dates import fiscal_year
 from donorloom.functions.rules import matches_any, starts_any, sure
 from donorloom.operators.aggregates import rfm
-from donorloom.operators.scale import attach, exact_quantiles, keep_first, most_common
+from donorloom.operators.scale import attach, keep_first
 
 
 def broker_report(gifts: DataFrame, codes: DataFrame) -> DataFrame:
@@ -87,10 +87,6 @@ def frequent_donors(
         "revenue_per_mailing", F.col("year_revenue").cast("double") / F.col("times_mailed"))
 
 
-def percentile_profile(df: DataFrame, value: str, points: Sequence[float]) -> DataFrame:
-    return exact_quantiles(df, value, points)
-
-
 def non_giver_shares(gifts: DataFrame, mailings: DataFrame, fiscal: int, start_month: int, as_of: Column) -> DataFrame:
     """One row: donors mailed, share that did not give in the year, share of one-time small lapsed donors."""
     year = fiscal_year(F.col("gift_date"), start_month) == fiscal
@@ -140,10 +136,6 @@ def promo_history(promos: DataFrame) -> DataFrame:
     return codes.select("source_code", "quantity", "mail_date", "_n.*")
 
 
-def program_of_campaign(codes: DataFrame) -> DataFrame:
-    return most_common(codes, ["campaign_code"], "program", "program")
-
-
 def times_mailed(gifts: DataFrame, mailings: DataFrame) -> DataFrame:
     """Gifts of mailed donors with the number of mailings their donor got."""
     counts = mailings.groupBy("donor_id").agg(F.count(F.lit(1)).alias("times_mailed"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,6 @@ from donorloom.functions.rules import Registry, classify, is_in, matches_any
 
 PARSE = Registry()
 SOURCE_CODE = Registry()
-BASE_TABLE = Registry()
 FEATURES = Registry()
 
 FEATURES.register("gift_month", lambda df: df.withColumn("gift_month", F.month("gift_date")))
@@ -22,9 +22,46 @@ FEATURES.register("gift_level", lambda df: df.withColumn("gift_level", gift_leve
 FEATURES.register("gift_amount_flag", lambda df: df.withColumn("gift_amount_flag", amount_flag(F.col("gift_amount"))))
 FEATURES.register("gift_fiscal", lambda df: df.withColumn("gift_fiscal", fiscal_year(F.col("gift_date"), 7)))
 
+#: Points at which a client's own steps change a table: in parsing, with source codes, and in the base-table run.
+POINTS = ("parse", "names", "filters", "dataset_filters", "raw_source_codes", "initiate_codes", "update_codes",
+          "campaign_performance", "source_codes", "missing_codes", "donors", "donor_codes")
+#: Points at which a client is told of a finished table and changes nothing.
+NOTICES = ("gifts", "published")
 SWITCHES = ("skip_trx_qa", "skip_gift_qa", "force_publish_source_code", "skip_campaign_filters")
 
 
+@dataclass(frozen=True)
+class Client:
+    """A client's deviations from the standard run. Names that no run knows are refused when the client is made."""
+
+    name: str
+    steps: Mapping[str, Sequence[Callable[..., DataFrame]]] = field(default_factory=dict)
+    notices: Mapping[str, Sequence[Callable[..., None]]] = field(default_factory=dict)
+    switches: frozenset[str] = frozenset()
+
+    def __post_init__(self) -> None:
+        unknown = (set(self.steps) - set(POINTS)) | (set(self.notices) - set(NOTICES)) | (set(self.switches) - set(SWITCHES))
+        if unknown:
+            raise ValueError(f"unknown hooks of {self.name}: {sorted(unknown)}")
+
+    def apply(self, point: str, df: DataFrame, *context: DataFrame) -> DataFrame:
+        """``df`` through the client's steps at ``point``, in order; each may look at further tables."""
+        if point not in POINTS:
+            raise ValueError(point)
+        for step in self.steps.get(point, ()):
+            df = step(df, *context)
+        return df
+
+    def notify(self, point: str, table: DataFrame) -> None:
+        for told in self.notices.get(point, ()):
+            told(table)
+
+    def has(self, switch: str) -> bool:
+        if switch not in SWITCHES:
+            raise ValueError(switch)
+        return switch in self.switches
+
+
 @PARSE.register("channel_from_appeal")
 def channel_from_appeal(df: DataFrame) -> DataFrame:
     """Later rules win: mail, then solicitation, then event."""

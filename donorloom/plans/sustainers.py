@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from donorloom.functions.bands import months_status, recency_band
 from donorloom.functions.dates import fiscal_year, months_ago
 from donorloom.functions.rules import sure
-from donorloom.operators.joins import most_recent_event
 from donorloom.operators.scale import attach, first_value, spread_join
 from donorloom.operators.windows import membership_periods
 
@@ -150,10 +149,6 @@ def sustainer_recency(gifts: DataFrame, recurring: Column, missing: str = "Z: No
     return out.withColumns({"sust_months": months, "sust_recency": recency_band(months, missing)})
 
 
-def as_of_sustainer_gift(gifts: DataFrame, recurring: Column) -> DataFrame:
-    return most_recent_event(gifts, ["donor_id"], "gift_date", sure(recurring), "recent_sust_date")
-
-
 def upgrade_downgrade(gifts: DataFrame, start_month: int) -> DataFrame:
     """Change of giving per donor and report year against the donor's previous giving year.
 

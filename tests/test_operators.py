@@ -409,3 +409,13 @@ def test_offset_rule_by_name(spark):
     assert [r["at"] for r in filters.suppress(df, [("offset_pairs", "g", ["a", "at"], True)]).collect()] == [3]
     with pytest.warns(UserWarning):
         filters.suppress(df, [("no_such_rule", "g", [], True)])
+
+
+def test_client_hooks_refuse_unknown_names(spark):
+    from donorloom.plans.hooks import Client
+    c = Client("X", {"donors": [lambda d, g: d.join(g, "id")]}, switches=frozenset({"skip_gift_qa"}))
+    assert c.apply("donors", spark.range(3), spark.range(1, 9)).count() == 2 and c.apply("filters", spark.range(3)).count() == 3
+    assert c.has("skip_gift_qa") and not c.has("skip_trx_qa")
+    for make in (lambda: Client("X", {"donor": []}), lambda: Client("X", switches=frozenset({"skip"})), lambda: c.apply("gone", None)):
+        with pytest.raises(ValueError):
+            make()
