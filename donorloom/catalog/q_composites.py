@@ -427,13 +427,16 @@ def x16b(spark, d):
     return response_curve.monthly_totals(flow, month_spine(sent, "mail_date"))
 
 
+CODES = [f"B{n}" for n in range(1, 26)]  # the brands of the parts table
+
+
 @query("x16_month_by_campaign", with_views("mail", more=FLOW_VIEWS + """,
-f AS (SELECT month, campaign, CAST(budget AS DECIMAL(18,2)) * CAST(round(c1 - c0, 6) AS DECIMAL(9,6)) AS amount FROM b3)""") + """
-SELECT CAST(month AS VARCHAR) AS month, CAST(coalesce(sum(amount) FILTER (campaign = 'B11'), 0) AS DOUBLE) AS "B11",
-  CAST(coalesce(sum(amount) FILTER (campaign = 'B23'), 0) AS DOUBLE) AS "B23",
-  CAST(coalesce(sum(amount) FILTER (campaign IN ('B11', 'B23')), 0) AS DOUBLE) AS monthly_total FROM f GROUP BY 1""")
+f AS (SELECT month, split_part(campaign, '-', 1) AS c, CAST(budget AS DECIMAL(18,2)) * CAST(round(c1 - c0, 6) AS DECIMAL(9,6)) AS amount FROM b3)""") + f"""
+SELECT CAST(month AS VARCHAR) AS month, {', '.join(f"CAST(coalesce(sum(amount) FILTER (c = '{c}'), 0) AS DOUBLE) AS {c}" for c in CODES)},
+  CAST(sum(amount) AS DOUBLE) AS monthly_total FROM f GROUP BY 1""")
 def x16c(spark, d):
-    return response_curve.flow_table(flows(spark, d)[0], "campaign", ["B11", "B23"])
+    flow = flows(spark, d)[0].withColumn("campaign", F.split_part("campaign", F.lit("-"), F.lit(1)))
+    return response_curve.flow_table(flow, "campaign", CODES)
 
 
 @query("x17_campaign_counts", with_views("mail") + 'SELECT campaign_code, count(*) AS "count", CAST(min(mail_date) AS VARCHAR) AS first_mail_date FROM mail GROUP BY 1')

@@ -111,12 +111,9 @@ def monthly_totals(flow: DataFrame, spine: DataFrame) -> DataFrame:
 
 def flow_table(flow: DataFrame, campaign: str, campaigns: Sequence[str]) -> DataFrame:
     """Months by campaigns, with the monthly total."""
-    wide = flow.groupBy("month").pivot(campaign, list(campaigns)).agg(F.sum("amount"))
-    cells = [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in campaigns]
-    total = F.lit(0)
-    for cell in cells:
-        total = total + cell
-    return wide.select("month", *[cell.alias(c) for cell, c in zip(cells, campaigns)], total.alias("monthly_total"))
+    of = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("amount"))), F.lit(0))
+    one = [of(F.col(campaign) == c).alias(c) for c in campaigns]
+    return flow.groupBy("month").agg(*one, of(F.col(campaign).isin(*campaigns)).alias("monthly_total"))
 
 
 def cumulative_share(days: DataFrame, campaign: str) -> DataFrame:
