@@ -166,9 +166,8 @@ def drop_near_copies(docs: DataFrame, near: int = NEAR) -> DataFrame:
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"))
     stay = rows.filter("_id is null").select("_row.*")
     once = rows.join(kept.filter("_n = 1"), F.col("_id") == F.col("_kept"), "left_semi").select("_row.*")
-    # Ids that several rows carry: one row each, chosen by content, found by its hash before any text moves.
-    more = kept.filter("_n > 1")
-    hashed = rows.join(more, F.col("_id") == F.col("_kept"), "left_semi").select(
-        "_row", "_id", F.xxhash64("_row").alias("_h"))
-    pick = hashed.groupBy("_id").agg(F.min_by("_row", "_h").alias("_row")).select("_row.*")
+    # Ids that several rows carry: one row each, chosen by content. Rows of a hot id stay where they are and are reduced there.
+    more = kept.filter("_n > 1").select(F.col("_kept").alias("_id"), "_n", F.lit(True).alias("_more"))
+    pick = lookup(rows, more, ["_id"], "_n").filter("_more").groupBy("_id").agg(
+        F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row.*")
     return stay.unionByName(once).unionByName(pick)
