@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -13,16 +14,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from donorloom.llm.common import HOT_KEYS, PIECE_BYTES
 from donorloom.llm.common import pieces as slices
+from donorloom.session import durable
 
 SPACE = "▁"
 DROPOUT = 0.1
 SEED = 42
-VARIANTS = 4  # segmentations that a word can have; a document's id picks one
-MEMO = 600_000  # segmented words that a Python worker holds
+MEMO = 600_000  # segmentations that a Python worker holds
+ROWS = 4096  # texts that are encoded at once
 WIDE = 48  # words of more characters go through the agenda one by one
 _WORD = re.compile(f" *[^ \n{SPACE}]+| +|[\n{SPACE}]")  # no merge crosses these borders
 NONE = np.int64(-1)
+NOWHERE = np.uint64(2 ** 64 - 1)  # no place of a candidate
+STEP = np.uint64(0x9E3779B97F4A7C15)  # between the states of splitmix64
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -77,8 +82,31 @@ class Model:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[tuple, dict[str, int]] = {}
+        """Forget all segmentations. One is a word and the candidates skipped in it: ``known`` has those without skips, and
+        ``child`` leads from a merge of one to that in which it is the next skip."""
+        self.known: dict[str, int] = {}
+        self.whole: dict[str, int] = {}  # wide words without dropout
+        self.words: list[str] = []
         self.held, self.used, self.flat, self.at = 0, 0, np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
+        # Of each segmentation: its word, the one with a skip less, the place of the last skip, merges before it.
+        self.word, self.parent = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+        self.cause, self.before = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32)
+        # The merges after its last skip.
+        self.merges, self.merge_at = 0, np.zeros(1 << 16, np.int64)
+        self.place, self.child, self.of = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+
+    def keep(self, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Numbers of new segmentations, without merges."""
+        n, held = len(counts), self.held
+        for name in ("at", "word", "parent", "cause", "before", "merge_at"):
+            setattr(self, name, _room(getattr(self, name), held + n + 1))
+        self.flat = _room(self.flat, self.used + len(flat))
+        self.flat[self.used:self.used + len(flat)] = flat
+        self.at[held + 1:held + 1 + n] = self.used + np.cumsum(counts)
+        self.merge_at[held + 1:held + 1 + n] = self.merges
+        self.used += len(flat)
+        self.held += n
+        return np.arange(held, held + n)
 
     def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Id of the piece that two symbols make, NONE where they make none."""
@@ -95,16 +123,23 @@ class Model:
         return out
 
 
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    """``a`` with room for n values at least."""
+    return a if n <= len(a) else np.concatenate([a, np.zeros(max(len(a), n - len(a)), a.dtype)])
+
+
 def _slot(key: np.ndarray, bits: int) -> np.ndarray:
     return (_mix(key.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _skipped(word: np.ndarray, i: np.ndarray, j: np.ndarray, e: np.ndarray, dropout: float) -> np.ndarray:
-    """Whether the candidate that joins characters i..j and j..e of a word is skipped: a hash of word key and places."""
-    if dropout <= 0:
-        return np.zeros(len(i), bool)
-    place = (i.astype(np.uint64) << np.uint64(42)) ^ (j.astype(np.uint64) << np.uint64(21)) ^ e.astype(np.uint64)
-    return (_mix(_mix(word) ^ place) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53 < dropout
+def _place(i: np.ndarray, j: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """The candidate that joins characters i..j and j..e of a word, as one number."""
+    return (i.astype(np.uint64) << np.uint64(42)) ^ (j.astype(np.uint64) << np.uint64(21)) ^ e.astype(np.uint64)
+
+
+def _skipped(word: np.ndarray, place: np.ndarray, dropout: float) -> np.ndarray:
+    """Whether a candidate is skipped: a hash of the mixed key of a word's occurrence and the place."""
+    return (_mix(word ^ place) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53 < dropout
 
 
 def agenda(model: Model, word: str, key: int, dropout: float) -> list[int]:
@@ -114,7 +149,7 @@ def agenda(model: Model, word: str, key: int, dropout: float) -> list[int]:
     n = len(sym)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     queue: list[tuple[float, int, int, int, int, int, int]] = []
-    word_key = np.array([key], np.uint64)
+    word_key = _mix(np.array([key], np.uint64))
 
     def offer(i: int) -> None:
         j = after[i]
@@ -127,7 +162,7 @@ def agenda(model: Model, word: str, key: int, dropout: float) -> list[int]:
         _, i, j, e, a, b, m = heapq.heappop(queue)
         if sym[i] != a or after[i] != j or sym[j] != b or after[j] != e:
             continue
-        if _skipped(word_key, np.array([i]), np.array([j]), np.array([e]), dropout)[0]:
+        if dropout > 0 and _skipped(word_key, np.array([i << 42 ^ j << 21 ^ e], np.uint64), dropout)[0]:
             continue
         sym[i], sym[j], after[i] = m, -2, e
         if e < n:
@@ -143,8 +178,16 @@ def agenda(model: Model, word: str, key: int, dropout: float) -> list[int]:
 
 
 def _grid(model: Model, words: list[str], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """The agenda for many short words at once: in every round each word makes the first merge of its agenda. Symbols of
-    all words in one array, and their number in each."""
+    """The agenda for many short words at once. Symbols of all words in one array, and their number in each."""
+    mixed = _mix(keys)
+    return _rounds(model, words, lambda w, place: _skipped(mixed[w], place, dropout))[:2]
+
+
+def _rounds(
+    model: Model, words: list[str], skipped: Callable[[np.ndarray, np.ndarray], np.ndarray],
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """In every round each word makes the first merge of its agenda that ``skipped(word, place)`` leaves. Symbols of all
+    words in one array, their number in each, and the merges as words and places, those of a word in their order."""
     lengths = np.array([len(w) for w in words])
     n, wide = len(words), int(lengths.max())
     code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
@@ -163,13 +206,14 @@ def _grid(model: Model, words: list[str], keys: np.ndarray, dropout: float) -> t
         m = np.where(j < lengths[w], model.merged(sym[w, i], sym[w, j]), NONE)
         e = after[w, j]
         ok = m >= 0
-        ok[ok] = ~_skipped(keys[w[ok]], i[ok], j[ok], e[ok], dropout)
+        ok[ok] = ~skipped(w[ok], _place(i[ok], j[ok], e[ok]))
         made[w, i] = m
         score[w, i] = np.where(ok, model.scores[m], -np.inf)
 
     w, i = np.nonzero(inside)
     offer(w, i)
     live = np.arange(n)
+    done, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     while len(live):
         i = score[live].argmax(1)
         on = score[live, i] > -np.inf
@@ -178,6 +222,8 @@ def _grid(model: Model, words: list[str], keys: np.ndarray, dropout: float) -> t
             break
         j = after[live, i]
         e = after[live, j]
+        done.append(live)
+        places.append(_place(i, j, e))
         sym[live, i] = made[live, i]
         alive[live, j], score[live, j] = False, -np.inf
         after[live, i] = e
@@ -186,32 +232,71 @@ def _grid(model: Model, words: list[str], keys: np.ndarray, dropout: float) -> t
         prior = before[live, i]
         has = prior >= 0
         offer(live[has], prior[has])
-    return sym[alive], alive.sum(1)
-
-
-def _learn(model: Model, known: dict[str, int], words: list[str], seed: int, dropout: float) -> None:
-    """Segment words that are new and remember them."""
-    words.sort(key=len)
-    while words:
-        some, words = words[:4000], words[4000:]
-        some = [w for w in some if len(w) <= WIDE] + [w for w in some if len(w) > WIDE]
-        short = sum(len(w) <= WIDE for w in some)
-        spaced = [w if w == SPACE else w.replace(" ", SPACE) for w in some]
-        keys = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in spaced), np.uint64, len(some))
-        flat, counts = _grid(model, spaced[:short], keys[:short], dropout) if short else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        parts = [flat, *(np.array(agenda(model, w, int(k), dropout), np.int64) for w, k in zip(spaced[short:], keys[short:]))]
-        flat, counts = np.concatenate(parts), np.concatenate([counts, [len(p) for p in parts[1:]]]).astype(np.int64)
-        if (flat < 0).any() or SPACE in some:
-            flat, counts = _with_bytes(model, some, flat, counts)
-        while model.used + len(flat) > len(model.flat):
-            model.flat = np.concatenate([model.flat, np.zeros_like(model.flat)])
-        model.flat[model.used:model.used + len(flat)] = flat
-        while model.held + len(some) + 1 > len(model.at):
-            model.at = np.concatenate([model.at, np.zeros_like(model.at)])
-        model.at[model.held + 1:model.held + 1 + len(some)] = model.used + np.cumsum(counts)
-        known.update(zip(some, range(model.held, model.held + len(some))))
-        model.used += len(flat)
-        model.held += len(some)
+    row = np.concatenate(done)
+    order = row.argsort(kind="stable")
+    return sym[alive], alive.sum(1), row[order], np.concatenate(places)[order]
+
+
+def _learn(model: Model, word: np.ndarray, slots: np.ndarray | None = None) -> np.ndarray:
+    """Segment ``model.words[word]`` and remember them: without skips, or with those of the segmentation that the merge
+    ``slots`` belongs to and that merge. Numbers of the new segmentations."""
+    found = np.zeros(len(word), np.int64)
+    order = np.argsort([len(model.words[w]) for w in word.tolist()], kind="stable")
+    for some in np.split(order, range(4000, len(order), 4000)):
+        own = word[some]
+        texts = [model.words[w] for w in own.tolist()]
+        parent = np.full(len(some), -1) if slots is None else model.of[slots[some]]
+        skips, before = [], np.zeros(len(some), np.int64)
+        if slots is not None:
+            skips.append(model.place[slots[some]])
+            before = model.before[parent] + slots[some] - model.merge_at[parent]
+            above = parent
+            while (on := model.parent[above] >= 0).any():
+                skips.append(np.where(on, model.cause[above], NOWHERE))
+                above = np.where(on, model.parent[above], above)
+        mask = lambda w, place: np.any([s[w] == place for s in skips], axis=0) if skips else np.zeros(len(w), bool)
+        flat, counts, row, place = _rounds(model, [_spaced(t) for t in texts], mask)
+        if (flat < 0).any() or SPACE in texts:
+            flat, counts = _with_bytes(model, texts, flat, counts)
+        new = model.keep(flat, counts)
+        model.word[new], model.parent[new], model.before[new] = own, parent, before
+        if skips:
+            model.cause[new] = skips[0]
+        per = np.bincount(row, minlength=len(some))
+        late = np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per) >= before[row]
+        row, place = row[late], place[late]
+        end = model.merges + len(row)
+        for name in ("place", "child", "of"):
+            setattr(model, name, _room(getattr(model, name), end))
+        model.place[model.merges:end], model.child[model.merges:end], model.of[model.merges:end] = place, -1, new[row]
+        model.merge_at[new + 1] = model.merges + np.cumsum(per - before)
+        model.merges = end
+        found[some] = new
+    return found
+
+
+def _spaced(word: str) -> str:
+    return word if word == SPACE else word.replace(" ", SPACE)
+
+
+def _walk(model: Model, node: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
+    """From the segmentation without skips to that with the skips of each occurrence's own key."""
+    node, keys, at = node.copy(), _mix(keys), np.arange(len(node))
+    while len(at):
+        start = model.merge_at[node[at]]
+        size = model.merge_at[node[at] + 1] - start
+        ends = np.cumsum(size)
+        row = np.repeat(np.arange(len(at)), size)
+        merge = np.arange(len(row)) + np.repeat(start - (ends - size), size)
+        hit = np.flatnonzero(_skipped(keys[at][row], model.place[merge], dropout))
+        first = np.diff(row[hit], prepend=-1) > 0
+        at, merge = at[row[hit[first]]], merge[hit[first]]
+        new = np.unique(merge[model.child[merge] < 0])
+        if len(new):
+            made = _learn(model, model.word[model.of[new]], new)
+            model.child[new] = made
+        node[at] = model.child[merge]
+    return node
 
 
 def _with_bytes(model: Model, words: list[str], flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -229,21 +314,39 @@ def _with_bytes(model: Model, words: list[str], flat: np.ndarray, counts: np.nda
     return np.concatenate(out), np.array(list(map(len, out)), np.int64)
 
 
-def encode(model: Model, texts: list[str], variants: list[int], seed: int = SEED, dropout: float = DROPOUT) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in one array, and where each text ends. ``variants`` choose among the segmentations."""
+def encode(model: Model, texts: list[str], keys: list[int], seed: int = SEED, dropout: float = DROPOUT) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in one array, and where each text ends. Every occurrence of a word is cut by the agenda under a
+    key of its own, made of the seed, the text's key and the word's number in it. What is remembered are segmentations by
+    word and skipped candidates, which are the same under every key."""
     if model.held > MEMO:
         model.clear()
     begin = " " if model.prefix else ""
     words = [_WORD.findall(begin + t) if t else [] for t in texts]
-    where = []
-    for variant in sorted(set(variants)):
-        known = model.known.setdefault((seed, dropout, variant), {})
-        new = list({w for ws, v in zip(words, variants) if v == variant for w in ws if w not in known})
-        if new:
-            _learn(model, known, new, xxhash.xxh64_intdigest(b"%d" % variant, seed & (2 ** 64 - 1)), dropout)
-    for ws, v in zip(words, variants):
-        where.append(np.fromiter(map(model.known[(seed, dropout, v)].__getitem__, ws), np.int64, len(ws)))
-    return _gather(model.flat, model.at, where)
+    counts = np.array([len(ws) for ws in words], np.int64)
+    new = list({w for ws in words for w in ws if w not in model.known and len(w) <= WIDE})
+    if new:
+        first = len(model.words)
+        model.words += new
+        model.known.update(zip(new, _learn(model, np.arange(first, first + len(new))).tolist()))
+    node = np.fromiter(map(model.known.get, chain.from_iterable(words), repeat(-1)), np.int64, int(counts.sum()))
+    number = np.arange(len(node)) - np.repeat(np.cumsum(counts) - counts, counts)
+    own = np.fromiter((xxhash.xxh64_intdigest(b"%d" % k, seed & (2 ** 64 - 1)) for k in keys), np.uint64, len(texts))
+    own = _mix(np.repeat(own, counts) + (number + 1).astype(np.uint64) * STEP)
+    wide = np.flatnonzero(node < 0)
+    if len(wide):
+        text = np.repeat(np.arange(len(texts)), counts)
+        for at in wide.tolist():
+            word = words[text[at]][number[at]]
+            held = None if dropout > 0 else model.whole.get(word)
+            if held is None:
+                ids = np.array(agenda(model, _spaced(word), int(own[at]), dropout), np.int64)
+                held = int(model.keep(*_with_bytes(model, [word], ids, np.array([len(ids)])))[0])
+                if dropout <= 0:
+                    model.whole[word] = held
+            node[at] = held
+    if dropout > 0:
+        node = _walk(model, node, own, dropout)
+    return _gather(model.flat, model.at, np.split(node, np.cumsum(counts)[:-1]) if texts else [])
 
 
 def _gather(flat: np.ndarray, at: np.ndarray, where: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -276,32 +379,68 @@ def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids, pa.int32()))
 
 
-def encode_documents(
-    docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS,
-) -> DataFrame:
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` with n, the number of equal rows that a row stands for; null where equal rows stay apart, but
+    in one partition. Only ids move unless some repeat; then rows of hot ids and without an id are reduced where they are,
+    the others meet by id."""
+    more = durable(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    if more.isEmpty():
+        return docs.withColumn("n", F.lit(1).cast("long"))
+    many = F.col("n") * HOT_KEYS > docs.agg(F.count(F.lit(1))).scalar()  # 1,023 ids at most
+    hot = more.filter(F.col("doc_id").isNotNull() & many).select("doc_id", F.lit(True).alias("hot"))
+    marked = docs.join(F.broadcast(hot), "doc_id", "left")
+    apart = F.col("hot").isNotNull() | F.col("doc_id").isNull()
+    heavy = marked.filter(apart).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    met = marked.filter(~apart).select("doc_id", "text").repartition("doc_id")
+    return met.withColumn("n", F.lit(None).cast("long")).unionByName(heavy)
+
+
+def encode_documents(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, ids array<int>, lossless boolean.
 
     ``model`` is the path of a model file on every machine. Candidate merges are
-    taken from an agenda, best first, and skipped where a hash of seed, variant,
-    word and place falls below ``dropout``; 0 gives the library's own
-    segmentation. The document's id chooses one of ``variants``, so that a word
-    is cut in several ways over the corpus and in one way in a document. lossless
-    tells that the ids decode to the whole text again. A null text is taken as
-    empty and has no ids; a null id has variant 0. Repeated rows are repeated,
-    an empty table gives an empty one, other columns are not looked at.
+    taken from an agenda, best first, and skipped where a hash of seed, doc_id,
+    text, epoch, number of the word in the text and place in the word falls below
+    ``dropout``; 0 gives the library's own segmentation. The epoch counts equal
+    rows, so each of them is cut in its own way. lossless tells that the ids
+    decode to the whole text again. A null text is taken as empty and has no ids.
+    Repeated rows are repeated, an empty table gives an empty one, other columns
+    are not looked at.
     """
 
+    def hashed(value: bytes, key: int) -> int:
+        return xxhash.xxh64_intdigest(value, key & (2 ** 64 - 1))
+
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, str, int]]:
+        """doc_id, text and key of every row."""
+        seen: dict[int, int] = {}
+        for batch in slices(batches, 1):
+            for d, t, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                t = t or ""
+                key = hashed(t.encode(), hashed(b"" if d is None else b"%d" % d, seed))
+                first = 0
+                if n is None:  # equal rows that come one by one
+                    n, first = 1, seen.get(key, 0)
+                    seen[key] = first + 1
+                for epoch in range(first, first + n):
+                    yield d, t, hashed(b"%d" % epoch, key) if epoch else key
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = load(model)
-        for batch in slices(batches, 1):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            chosen = [0 if d is None else xxhash.xxh64_intdigest(b"%d" % d, seed) % variants for d in batch.column(0).to_pylist()]
-            ids, ends = encode(own, texts, chosen, seed, dropout)
-            back = [a == b for a, b in zip(decode(own, ids, ends), texts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids, ends), pa.array(back, pa.bool_())], ["doc_id", "ids", "lossless"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        make, "doc_id long, ids array<int>, lossless boolean")
+        held, size = [], 0
+        for row in chain(copies(batches), [None]):
+            if held and (row is None or size + len(row[1]) > PIECE_BYTES or len(held) == ROWS):
+                docs, texts, keys = map(list, zip(*held))
+                ids, ends = encode(own, texts, keys, seed, dropout)
+                back = [a == b for a, b in zip(decode(own, ids, ends), texts)]
+                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), _lists(ids, ends), pa.array(back, pa.bool_())], ["doc_id", "ids", "lossless"])
+                held, size = [], 0
+            if row is not None:
+                held.append(row)
+                size += len(row[1])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return _numbered(rows).mapInArrow(make, "doc_id long, ids array<int>, lossless boolean")
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:

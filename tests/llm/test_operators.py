@@ -239,6 +239,41 @@ def test_pieces(spark, docs, none):
     assert rows_of(sentencepieces.encode_documents(none, vocabulary(PIECES))) == []
 
 
+def test_sentencepiece_occurrences(spark):
+    model = sentencepieces.load(vocabulary(PIECES))
+    model.clear()
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("ab  the\n\té漢😀.ß▁") for _ in range(rng.randint(0, 80))) for _ in range(60)]
+    texts += ["international organisations " * 40, "z" * 60 + " understanding" * 9]
+    for dropout in (0.1, 0.4, 0.1):  # what is remembered from before must not matter
+        keys = list(range(5, 5 + len(texts)))
+        ids, ends = sentencepieces.encode(model, texts, keys, 42, dropout)
+        for t, k, got in zip(texts, keys, np.split(ids, ends[:-1])):
+            own, want = xxhash.xxh64_intdigest(b"%d" % k, 42), []
+            for number, w in enumerate(sentencepieces._WORD.findall(" " * model.prefix + t) if t else [], 1):
+                key = int(sentencepieces._mix(np.array([(own + number * int(sentencepieces.STEP)) % 2 ** 64], np.uint64))[0])
+                cut = np.array(sentencepieces.agenda(model, sentencepieces._spaced(w), key, dropout), np.int64)
+                want += sentencepieces._with_bytes(model, [w], cut, np.array([len(cut)]))[0].tolist()
+            assert got.tolist() == want
+    ids, ends = sentencepieces.encode(model, [" organisations" * 3000], [1], 42, 0.1)
+    starts = np.flatnonzero(model.text[model.text_at[ids]] == ord(" "))
+    assert len({tuple(c.tolist()) for c in np.split(ids, starts[1:])}) > 8
+    # Equal rows, hot ids, other texts of an id and rows without one are all cut in their own ways, wherever they lie.
+    long = " ".join(rng.choice(["international", "understanding", "documentation"]) for _ in range(60))
+    rows = [(1, long), (2, long), (1, long), (3, long), (None, long), (None, long), (4, long + " x")] + [(7, long)] * 5
+    rows += [(k, "w") for k in range(100, 2200)] + [(k, long) for k in (2000, 2001)]
+
+    def encoded(n):
+        table = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        return rows_of(sentencepieces.encode_documents(table, vocabulary(PIECES)).select("doc_id", "ids", "lossless"))
+
+    some = encoded(3)
+    assert some == encoded(5) and len(some) == len(rows) and all(r[2] for r in some)
+    assert len({tuple(r[1]) for r in some if len(r[1]) > 9}) == 14
+    once = rows_of(sentencepieces.encode_documents(spark.createDataFrame(rows[:2], "doc_id long, text string"), vocabulary(PIECES)))
+    assert all(r in some for r in once)
+
+
 def test_warc(spark, tmp_path):
     big = "x" * 150
     pages = [(5, "http://a/", big), (3, "http://b/\r\nX: y", big), (9, None, big), (9, None, big), (None, "u", big), (1, "u", None), (2, "u", None), (4, "ü", "é" * 100_000),
