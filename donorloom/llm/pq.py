@@ -18,7 +18,6 @@ COSINE = 0.95
 SAMPLE = 16384  # vectors that the index is fitted on, at most about; every vector is indexed
 LISTS_TO = 1024
 SUBSPACES, CODES = 16, 64
-MARGIN = 0.2  # a vector visits the lists whose border is this near, in Euclidean distance of unit vectors
 ROUNDS = 8
 BLOCKS = 512  # blocks wanted in all
 ITEM_ROWS, VISITOR_ROWS = 2048, 8192
@@ -32,6 +31,11 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(length > 0, length, 1)
 
 
+def _reach(cosine: float) -> float:
+    """Euclidean distance of unit vectors at which their cosine is ``cosine``, and a little for rounding."""
+    return float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
+
+
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return ((centres * centres).sum(1)[None] - 2 * x @ centres.T).argmin(1)
 
@@ -68,14 +72,16 @@ class Index:
         return home, codes, np.sqrt(((rest - kept) ** 2).sum(1))
 
     def visits(self, x: np.ndarray, home: np.ndarray, margin: float) -> list[np.ndarray]:
-        """Lists whose border is within ``margin`` of a row. Of two lists, one visits the other; all visit their own."""
+        """Lists whose border is within ``margin`` of a row. Of two lists, one visits the other; all visit their own. A
+        pair that is within ``margin`` has the border between its lists on its way, so the one that visits finds it."""
         c = self.centres
         d2 = (x * x).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * x @ c.T
         between = np.sqrt(np.maximum(0, (c * c).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * c @ c.T))
-        border = (d2 - d2[np.arange(len(x)), home][:, None]) / np.maximum(2 * between[home], 1e-12)
+        # Not divided by the distance of the centres, which rounding may make 0.
+        near = d2 - d2[np.arange(len(x)), home][:, None] <= 2 * margin * between[home] + 1e-7
         to = np.arange(len(c))[None]
         oriented = (home[:, None] < to) != ((home[:, None] + to) % 2 == 1)
-        return [np.flatnonzero(r) for r in ((border <= margin) & oriented) | (to == home[:, None])]
+        return [np.flatnonzero(r) for r in (near & oriented) | (to == home[:, None])]
 
     def tables(self, q: np.ndarray, of: int) -> np.ndarray:
         """Squared distances of the rows' subspaces to the codes, relative to list ``of``: (subspace, code, row)."""
@@ -107,7 +113,7 @@ def _assign(indexes: dict[int, Index], margin: float):
 
 
 def _compare(indexes: dict[int, Index], cosine: float):
-    reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
+    reach = _reach(cosine)
 
     def work(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
         dim, of = key[0].as_py(), key[1].as_py()
@@ -152,7 +158,7 @@ def _compare(indexes: dict[int, Index], cosine: float):
     return work
 
 
-def embedding_groups(vectors: DataFrame, cosine: float = COSINE, margin: float = MARGIN) -> DataFrame:
+def embedding_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """One row per row of ``vectors(vec_id, embedding)``: vec_id, n_links, component_id, kept.
 
     Two vectors are linked if their cosine, in double precision, is ``cosine``
@@ -165,7 +171,7 @@ def embedding_groups(vectors: DataFrame, cosine: float = COSINE, margin: float =
 
     Copies are one class from the start. Coarse lists and codebooks are fitted
     on a bounded sample; every class is coded. It visits its own list and the
-    lists whose border is within ``margin``; there, table look-ups give the
+    lists whose border is as near as ``cosine`` allows, so no pair is lost; there, table look-ups give the
     distance to the coded items, those that can reach ``cosine`` given what
     their codes miss are kept, and exact cosines decide. A task reports counts and
     a spanning forest of its links, never all pairs.
@@ -187,7 +193,7 @@ def embedding_groups(vectors: DataFrame, cosine: float = COSINE, margin: float =
         x = unit(matrix(sample.orderBy("rep").select("v").limit(2 * SAMPLE).toArrow()["v"]))
         indexes[dim] = Index(x, int(min(LISTS_TO, max(1, np.sqrt(n)), max(1, len(x) // 8))))
     kind = classes.schema["v"].dataType.simpleString()  # components travel in the type they came in
-    held = classes.sparkSession.sparkContext.broadcast(indexes)
+    held, margin = classes.sparkSession.sparkContext.broadcast(indexes), _reach(cosine)
     coded = durable(classes.select("rep", "copies", "dim", "v").mapInArrow(
         lambda it: _assign(held.value, margin)(it),
         f"rep long, copies long, dim int, v {kind}, home int, codes binary, missed double, lists array<int>"))

@@ -100,6 +100,18 @@ def test_embedding_groups(spark):
     assert rows_of(pq.embedding_groups(vectors(spark, []))) == []
 
 
+@pytest.mark.parametrize("dims, cosine", [(4, 0.95), (4, 0.8)])
+def test_embedding_links_across_lists(spark, dims, cosine):
+    x = np.random.default_rng(dims).normal(size=(1200, dims)).astype(np.float32)
+    got = {r[0]: r[1:3] for r in pq.embedding_groups(vectors(spark, [(i, [float(c) for c in v]) for i, v in enumerate(x)]), cosine).collect()}
+    u = pq.unit(x.astype(float))
+    link = np.einsum("id,jd->ij", u, u) >= cosine
+    low = np.arange(len(u))
+    while not np.array_equal(new := np.where(link, low[None], 10 ** 6).min(1), low):
+        low = new
+    assert [got[i] for i in range(len(u))] == [(int(n) - 1, int(c)) for n, c in zip(link.sum(1), low)]
+
+
 def test_quality(spark, docs, none):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdeilnorst") for _ in range(rng.randint(2, 8)))
