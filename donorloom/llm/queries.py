@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from donorloom.llm import licenses, mixing, pq, quality, sentencepieces, simhash, tokens, topk, urls, warc
+from donorloom.llm import (
+    licenses, line_runs, mixing, periodic, pq, quality, sentencepieces, simhash, tokens, topk, urls, vector_codes, warc)
 from donorloom.llm.common import read
 from donorloom.session import new_folder
 
@@ -62,9 +63,49 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(read(spark, folder, "documents")).drop("identifiers")
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(read(spark, folder, "embeddings"))
+
+
+def with_periods(text: Column, doc_id: Column) -> Column:
+    """The text of a document as the runs' query takes it: of every tenth document by CRC-32 of its id, the words from
+    number a on repeat with period p. A null id has no CRC, so its text stays as it is; so do texts without words."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+    words = F.split(F.btrim(text, F.lit(line_runs.SPACE)), r"[\x20\x09-\x0D]+")
+    n = F.size(words)
+
+    def repeated(z: Column) -> Column:
+        a, p = z["a"], z["p"]
+        tail = F.transform(F.sequence(F.lit(0).cast("long"), z["n"] - a - 1), lambda i: F.get(z["words"], (a + i % p).cast("int")))
+        return F.array_join(F.concat(F.slice(z["words"], 1, a.cast("int")), tail), " ")
+
+    a = g % n
+    z = F.struct(words.alias("words"), n.cast("long").alias("n"), a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).alias("p"))
+    return F.when((h % 10 == 0) & (F.btrim(text, F.lit(line_runs.SPACE)) != ""), line_runs.once(z, repeated)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The greatest run is that of the greatest length / period, compared by products of whole numbers."""
+    docs = read(spark, folder, "documents")
+    found = periodic.periodic_runs(docs.select("doc_id", with_periods(F.col("text"), F.col("doc_id")).alias("text")))
+    greater = lambda x, best: best.isNull() | (x["length"] * best["period"] > best["length"] * x["period"])
+    best = F.reduce("runs", F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>"), lambda best, x: F.when(greater(x, best), x).otherwise(best))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_runs.drop_shared_lines(read(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_top_k, op2_quality, op3_embedding_groups, op4_simhash_groups, op5_url_filter, op6_token_counts, op7_mixing,
-    op8_sentencepiece, op9_warc, op10_licenses)}
+    op8_sentencepiece, op9_warc, op10_licenses, op11_vector_codes, op12_periodic_runs, op13_line_dedup)}
 
 SQL = {
     "op1_top_k": """
@@ -80,4 +121,6 @@ WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS d, strlen(coalesce(html
 f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) END AS first FROM p)
 SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN first IS DISTINCT FROM page_id AND first IS NOT NULL
        THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM f""",
+    "op11_vector_codes": vector_codes.oracle(),
+    "op13_line_dedup": line_runs.oracle(),
 }
