@@ -10,6 +10,7 @@ from donorloom.functions.dates import fiscal_year
 from donorloom.operators.setops import replace_window, union_aligned
 from donorloom.plans.base_tables import ingest_clean
 from donorloom.sources import files, tables
+from donorloom.sources.mixed import BAD_LINE, read_mixed
 from donorloom.sources.store import Store
 from donorloom.streaming.incremental import file_stream, run_available
 
@@ -26,15 +27,27 @@ def store(spark):
     return Store(spark, scratch(spark), "ACME")
 
 
+FORMS = {"O": ("\t", '"', "ISO-8859-1", ""), "F": (";", "'", "UTF-8", "\ufeff"), "P": (",", '"', "UTF-8", "")}  # delimiter, quote, encoding, byte-order mark
+
+
+def delivered(spark, d):
+    """A folder with files of three formats, each with its own order of columns, and line breaks, delimiters and quotes inside quotes."""
+    folder = scratch(spark)
+    note = F.concat(F.lit("first line\n\tsecond; né, \"o'clock\" "), F.col("Gift Type"))
+    raw = tables.raw_gifts(spark, d).withColumn("Appeal Category", note)
+    for kind, (delimiter, quote, encoding, mark) in FORMS.items():
+        own = HEADER if kind == "O" else HEADER[::-1]
+        rows = raw.filter(F.col("Gift Type") == kind).select(*own).withColumnRenamed(own[0], mark + own[0])
+        rows.write.option("header", True).option("sep", delimiter).option("quote", quote).option("encoding", encoding).option(
+            "escapeQuotes", True).option("quoteAll", kind == "F").csv(f"{folder}/{kind}")
+    return folder
+
+
 @query("s01_collect_transaction_files", with_views("raw") + """
-SELECT gift_id, donor_id, CAST(gift_date AS VARCHAR) AS gift_date, gift_type FROM raw""")
+SELECT gift_id, donor_id, CAST(gift_date AS VARCHAR) AS gift_date, gift_type, 'first line' || chr(10) || chr(9) || 'second; né, "o''clock" ' || gift_type AS appeal FROM raw""")
 def s01(spark, d):
-    folder = scratch(spark)
-    # Tab-separated, with line breaks and tabs inside quotes: the reader finds the format from the header.
-    raw = tables.raw_gifts(spark, d).withColumn("Appeal Category", F.concat(F.lit("first line\n\tsecond "), F.col("Gift Type")))
-    raw.select(*HEADER).write.option("header", True).option("sep", "\t").csv(folder)
-    return files.collect_transactions(spark, folder, RENAMES, ["gift_id", "donor_id", "gift_date", "gift_type", "not there"],
-                                      header=HEADER, delimiter=None, multi_line=True)
+    return files.collect_transactions(spark, delivered(spark, d), RENAMES | {"Appeal Category": "appeal"},
+                                      ["gift_id", "donor_id", "gift_date", "gift_type", "appeal", "not there"])
 
 
 @query("s02_broken_lines", with_views("gift") + """
@@ -46,11 +59,39 @@ def s02(spark, d):
     text = F.concat_ws(",", "gift_id", "donor_id", F.when(F.col("gift_type") == "P", F.lit("x,y")), F.when(F.col("gift_type") != "O", F.lit("z")))
     tables.gifts(spark, d).select(text).write.text(folder + "/in.csv")
     df = files.read_delimited(spark, folder + "/in.csv", ["gift_id", "donor_id", "tail"], header=False, glob=None)
-    kept, broken = files.good_lines(df), files.bad_lines(df)
+    return parts_of(df, files.good_lines(df), files.bad_lines(df))
+
+
+def parts_of(df, kept, broken):
     one = lambda x, name: x.agg(F.count(F.lit(1)).alias("lines")).select(F.lit(name).alias("part"), "lines")
     return one(kept, "kept").unionAll(one(kept.filter("tail IS NULL"), "short")).unionAll(one(broken, "quarantine"))
 
 
+@query("s02_mixed_formats", with_views("gift") + """
+SELECT channel, CAST(gift_id AS VARCHAR) AS gift_id, CASE WHEN gift_type <> 'P' THEN CAST(donor_id AS VARCHAR) END AS donor_id,
+  CASE gift_type WHEN 'F' THEN 'it''s' || chr(10) || 'open' END AS tail, CASE WHEN gift_type = 'P' THEN 'too many' END AS broken FROM gift""")
+def s02b(spark, d):
+    """One file per channel, each with its own delimiter and quote: broken lines keep their raw text, short ones are incomplete."""
+    folder = scratch(spark)
+    form = [(",", '"'), ("\t", "'"), (";", '"'), ("|", "'"), (";", "'")]
+    digit = F.substring("channel", 1, 1).cast("int")
+    pick = lambda i: F.element_at(F.array(*[F.lit(f[i]) for f in form]), digit)
+    mark = pick(1)
+    tail = F.concat(mark, F.lit("it"), F.when(mark == "'", "''").otherwise("'"), F.lit("s\nopen"), mark)
+    line = F.concat_ws("\0", "gift_id", "donor_id", F.when(F.col("gift_type") == "P", F.lit("x\0y")).when(F.col("gift_type") == "F", tail))
+    g = tables.gifts(spark, d).select("channel", F.translate(line, "\0", "\x01").alias("line"), pick(0).alias("by"))
+    head = g.select("channel", "by").distinct().select("channel", "by", F.lit("gift_id\x01donor_id\x01tail").alias("line"))
+    # The header goes first: within a channel's one file lines keep the order of the sort.
+    lines = head.withColumn("at", F.lit(0)).unionByName(g.withColumn("at", F.lit(1))).select(
+        "channel", "at", F.replace("line", F.lit("\x01"), F.col("by")).alias("line"))
+    lines.repartition(5, "channel").sortWithinPartitions("channel", "at").select("channel", "line").write.partitionBy("channel").text(folder)
+    df = read_mixed(spark, folder, glob=None)
+    raw = F.split(BAD_LINE, "[,\t;|]")
+    return df.select(
+        F.url_decode(F.regexp_extract("_file", "channel=([^/]+)", 1)).alias("channel"), F.coalesce("gift_id", raw[0]).alias("gift_id"), "donor_id", "tail",
+        F.when(F.size(raw) == 4, "too many").alias("broken"))
+
+
 @query("s03_s04_versions_and_layers", with_views("gift") + """
 SELECT 'now' AS version, count(*) AS gifts, CAST(sum(gift_amount) AS DOUBLE) AS total FROM gift
 UNION ALL SELECT 'before', count(*), CAST(sum(gift_amount) AS DOUBLE) FROM gift WHERE gift_fy < 2000

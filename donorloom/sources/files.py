@@ -10,30 +10,23 @@ from pyspark.sql import types as T
 
 from donorloom.functions.clean import money, storage_header
 from donorloom.operators.scale import keep_first
+from donorloom.sources.mixed import BAD_LINE, MARKS, read_mixed
 
-BAD_LINE = "_bad_line"
-DELIMITERS = (",", "\t", ";", "|")
-QUOTES = ('"', "'")
 
 
 def read_delimited(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, encoding: str = "ISO-8859-1",
-    delimiter: str | None = ",", quote: str = '"', escape: str = "\\", header: bool = True, glob: str | None = "*.csv*",
-    multi_line: bool = False,
+    delimiter: str = ",", quote: str = '"', escape: str = "\\", header: bool = True, glob: str | None = "*.csv*",
 ) -> DataFrame:
-    """All CSV files of a folder as text columns, with lines that do not fit in ``_bad_line``.
+    """All CSV files of a folder, of one known format, as text columns, with lines that do not fit in ``_bad_line``.
 
     ``columns`` is the header in file order; without it Spark reads the header
-    of one file. Files with different headers are read one folder at a time and
-    joined by ``union_all``. A byte-order mark is removed from the first name.
-    ``delimiter=None`` takes delimiter and quote from the header (``sniff_format``).
-    ``multi_line`` reads line breaks inside quotes; a file is then one task, so
-    large deliveries should come as many files.
+    of one file. A byte-order mark is removed from the first name. A line is a
+    record here; ``read_mixed`` reads folders whose files differ or whose quoted
+    fields hold line breaks.
     """
-    if delimiter is None:
-        delimiter, quote = sniff_format(spark, path, encoding, glob)
     reader = (spark.read.option("header", header).option("encoding", encoding).option("sep", delimiter)
-              .option("quote", quote).option("escape", escape).option("mode", "PERMISSIVE").option("multiLine", multi_line)
+              .option("quote", quote).option("escape", escape).option("mode", "PERMISSIVE")
               .option("columnPruning", False))  # a pruned parser does not see surplus fields
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -44,32 +37,18 @@ def read_delimited(
     return lines.filter(F.length(F.concat_ws("", F.col(f"`{names[0]}`"), F.col(BAD_LINE))) >= 0)
 
 
-def sniff_format(
-    spark: SparkSession, path: str, encoding: str = "ISO-8859-1", glob: str | None = "*.csv*",
-) -> tuple[str, str]:
-    """Delimiter and quote that leave fewest quotes in the header's names, of those the one that gives most names.
-
-    Reads the header of one file per candidate; the first candidate wins ties.
-    """
-    def score(form: tuple[str, str]) -> tuple[int, int]:
-        reader = spark.read.option("header", True).option("encoding", encoding).option("sep", form[0]).option("quote", form[1])
-        names = (reader.option("pathGlobFilter", glob) if glob else reader).csv(path).columns
-        return -sum(name.count(q) for q in QUOTES for name in names), len(names)
-    return max(((d, q) for d in DELIMITERS for q in QUOTES), key=score)
-
-
 def plain_header(name: str) -> str:
     """Header without byte-order mark (also as mis-decoded Latin-1) and stray quotes."""
-    for mark in ("﻿", "ï»¿"):
+    for mark in MARKS:
         name = name.removeprefix(mark)
     return name.strip().strip('"')
 
 
 def _too_long(df: DataFrame, delimiter: str, quote: str = '"') -> Column:
-    """The line has more fields than the header. Shorter lines are only incomplete."""
+    """The line has more fields than the header, or a quote that does not close. Shorter lines are only incomplete."""
     unquoted = F.regexp_replace(BAD_LINE, f"{quote}[^{quote}]*{quote}", "")
     fields = F.size(F.split(unquoted, "\\Q" + delimiter + "\\E", -1))
-    return F.coalesce(fields > len(df.columns) - 1, F.lit(False))
+    return F.coalesce((fields > len(df.columns) - 1) | unquoted.contains(quote), F.lit(False))
 
 
 def good_lines(df: DataFrame, delimiter: str = ",", quote: str = '"') -> DataFrame:
@@ -88,15 +67,12 @@ def lenient_date(col: Column, formats: Sequence[str] = ("yyyy-MM-dd", "M/d/yyyy"
 
 
 def collect_transactions(
-    spark: SparkSession, path: str, renames: Mapping[str, str], columns: Sequence[str], date: str = "gift_date",
-    header: Sequence[str] | None = None, encoding: str = "ISO-8859-1", delimiter: str | None = ",", quote: str = '"',
-    multi_line: bool = False,
+    spark: SparkSession, path: str | Sequence[str], renames: Mapping[str, str], columns: Sequence[str],
+    date: str = "gift_date", encoding: str = "ISO-8859-1", glob: str | None = "*.csv*",
 ) -> DataFrame:
-    """Folder of transaction files: read, rename, keep configured columns, parse the date."""
-    if delimiter is None:
-        delimiter, quote = sniff_format(spark, path, encoding)
-    lines = read_delimited(spark, path, header, encoding, delimiter, quote, multi_line=multi_line)
-    df = good_lines(lines, delimiter, quote).withColumnsRenamed(dict(renames))
+    """Folder of transaction files of any format: read, rename, keep configured columns, parse the date."""
+    df = read_mixed(spark, path, encoding, glob)
+    df = df.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE).withColumnsRenamed(dict(renames))
     df = df.select(*[c for c in columns if c in df.columns])
     return df.withColumn(date, lenient_date(F.col(date))) if date in df.columns else df
 
@@ -149,8 +125,8 @@ def newest_monthly_file(files: DataFrame, name: str, patterns: Mapping[str, str]
 
 
 def export_single(df: DataFrame, path: str, kind: str = "csv") -> None:
-    """One file for a report table; the rows are finished aggregates, so one writer is enough."""
-    writer = df.coalesce(1).write.mode("overwrite")
+    """One file for a report table: its rows are computed by many tasks, and only the finished ones go to one writer."""
+    writer = df.repartition(1).write.mode("overwrite")
     writer.option("header", True).csv(path) if kind == "csv" else writer.parquet(path)
 
 

@@ -18,14 +18,60 @@ def test_read_delimited(spark, tmp_path):
         sorted((r[0], r[1] or "") for r in files.good_lines(df).collect()) == [("1", "café"), ("2", ""), ("4", "a,b")]
     assert [r[0] for r in files.bad_lines(df).collect()] == ["3,x,extra"]
     assert files.good_lines(df).count() == 3
-
-
-def test_format_from_header_and_line_breaks(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("'Gift; Id';'Note'\n1;'two\nlines; one field'\n2;plain\n3;a;b\n")
-    assert files.sniff_format(spark, str(tmp_path)) == (";", "'")
-    df = files.read_delimited(spark, str(tmp_path), delimiter=None, multi_line=True)
-    assert sorted(tuple(r) for r in files.good_lines(df, ";", "'").collect()) == [("1", "two\nlines; one field"), ("2", "plain")]
-    assert [r[0] for r in files.bad_lines(df, ";", "'").collect()] == ["3;a;b"]
+    (tmp_path / "b.csv").write_text('Gift Id,Name\n5,"cut\nhere"\n')
+    assert sorted(r[0] for r in files.bad_lines(files.read_delimited(spark, str(tmp_path))).collect())[:1] == ["3,x,extra"]
+
+
+def mixed_rows(df):
+    from donorloom.sources.mixed import BAD_LINE
+    good = df.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE, "_file").collect()
+    return sorted((tuple(r) for r in good), key=repr), sorted(r[0] for r in df.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE).collect())
+
+
+def test_every_file_has_its_own_format(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("\ufeffGift; Id;'Note'\n1;'two\nlines; one field';9\n2;plain\n3;a;b;c\n\n".encode().replace(b"Gift; Id", b"'Gift; Id'").replace(b";9", b""))
+    (tmp_path / "b.csv").write_bytes('Note\tGift; Id\tMore\ncaf\xe9, "x"\t4\t\n"tab\there\nand ""there"""\t5\tm\n'.encode("latin-1"))
+    (tmp_path / "c.csv").write_text("Gift; Id|Note\n6|O'Brien\n7|5\\\" pipe\nGift; Id|Note\n8|é\n")
+    (tmp_path / "d.csv").write_text('Gift; Id,Note\n9,"not closed\n10,ok\n')
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "e.csv").write_text("More\nonly one column\n")
+    (tmp_path / "f.csv").write_text("")
+    from donorloom.sources.mixed import read_mixed
+    df = read_mixed(spark, str(tmp_path))
+    assert set(df.columns) == {"Gift; Id", "Note", "More", "_bad_line", "_file"}
+    good, bad = mixed_rows(df.select("Gift; Id", "Note", "More", "_bad_line", "_file"))
+    assert good == sorted([
+        ("1", "two\nlines; one field", None), ("2", "plain", None), ("4", 'café, "x"', None), ("5", 'tab\there\nand "there"', "m"), ("6", "O'Brien", None),
+        ("7", '5\\" pipe', None), ("8", "é", None), ("10", "ok", None), (None, None, "only one column")], key=repr)
+    assert bad == ["3;a;b;c", '9,"not closed']
+    assert {r["_file"].rsplit("/", 1)[1] for r in df.collect()} == {"a.csv", "b.csv", "c.csv", "d.csv", "e.csv"}
+    (tmp_path / "none").mkdir()
+    assert read_mixed(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_a_large_file_with_line_breaks_is_read_by_several_tasks(spark, tmp_path):
+    import random
+
+    from donorloom.sources.mixed import read_mixed
+    rng = random.Random(5)
+    rows = [(str(i), "".join(rng.choice(["x", "\n", ",", "word ", "\n\n"]) for _ in range(rng.randint(1, 120)))) for i in range(900)]
+    (tmp_path / "a.csv").write_text("id,text\n" + "".join(f'{i},"{t}"\n' if i != "500" else '500,x,y\n' for i, t in rows), newline="")
+    want = [(i, t) for i, t in rows if i != "500"]
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "9000", "300"):  # in the last case single records run over several splits
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            df = read_mixed(spark, str(tmp_path))
+            good, bad = mixed_rows(df.select("id", "text", "_bad_line", "_file"))
+            if size != "300":
+                assert [g for g in good] == sorted(want, key=repr) and bad == ["500,x,y"]
+            else:
+                whole = [g for g in good if g in set(want)]
+                assert len(whole) > 500 and bad
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_store_round_trips(spark, tmp_path):
