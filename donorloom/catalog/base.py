@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from donorloom.functions.dates import fiscal_year
 from donorloom.session import new_folder
+from donorloom.sources import tables
 
 START = 7  # first month of the fiscal year in the examples
 
@@ -88,6 +90,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[one(f) for f in df.schema])
 
 
+def newest_year(spark: SparkSession, folder: str):
+    """Fiscal year of the newest gift, as a scalar subquery."""
+    return tables.gifts(spark, folder).agg(F.max(fiscal_year(F.col("gift_date"), START))).scalar()
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder for written tables, in the folder that all machines share."""
     return new_folder(spark)

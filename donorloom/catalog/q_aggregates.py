@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from donorloom.catalog.base import START, query, with_views
+from donorloom.catalog.base import START, newest_year, query, with_views
+from donorloom.catalog.q_dates import band_sql
+from donorloom.functions.bands import MONETARY
 from donorloom.functions.dates import fiscal_year
 from donorloom.operators import aggregates as agg
 from donorloom.operators.scale import exact_quantiles, most_common
 from donorloom.plans import campaigns
 from donorloom.sources import tables
 
+LEVEL_SQL = band_sql("greatest(floor({amount}), 1)", MONETARY, "No GiftLevelID")
+
 
 @query("a01_a04_donor_profile", with_views("gift") + """
 SELECT donor_id, CAST(min(gift_date) AS VARCHAR) AS first_gift_date, CAST(max(gift_date) AS VARCHAR) AS last_gift_date, count(*) AS gifts,
@@ -87,8 +91,7 @@ def a12(spark, d):
 @query("a15_broker_report", with_views("mail", more="""
 s AS (SELECT source_code, min(campaign_code) AS campaign_code, sum(quantity) AS quantity, max(package_cpp) AS package_cpp,
   CAST(min(part_id) % 7 AS DECIMAL(12,2)) AS list_cpp FROM code WHERE quantity <= 44 GROUP BY 1),
-g AS (SELECT source_code, CASE WHEN floor(revenue / 10.0) <= 999 THEN 'J: 500-999.99' WHEN floor(revenue / 10.0) <= 2499 THEN 'K: 1000-2499.99'
-    WHEN floor(revenue / 10.0) <= 4999 THEN 'L: 2500-4999.99' WHEN floor(revenue / 10.0) <= 9999 THEN 'M: 5000-9999.99' ELSE 'N: 10000+' END AS gift_level, gift_id, revenue FROM mail WHERE revenue >= 5000),
+g AS (SELECT source_code, """ + LEVEL_SQL.format(amount="revenue / 10.0") + """ AS gift_level, gift_id, revenue FROM mail),
 a AS (SELECT source_code, gift_level, count(DISTINCT gift_id) AS returns, sum(CAST(revenue / 10.0 AS DECIMAL(14,4))) AS revenue FROM g GROUP BY 1, 2),
 n AS (SELECT source_code, count(*) AS levels FROM a GROUP BY 1),
 j AS (SELECT coalesce(s.source_code, a.source_code) AS source_code, coalesce(campaign_code, substr(coalesce(s.source_code, a.source_code), 1, 8)) AS campaign_code, gift_level, coalesce(returns, 0) AS returns,
@@ -101,7 +104,7 @@ def a15(spark, d):
     codes = tables.parts(spark, d).filter("quantity <= 44").groupBy("source_code").agg(
         F.min("campaign_code").alias("campaign_code"), F.sum("quantity").alias("quantity"), F.max("package_cpp").alias("package_cpp"),
         (F.min("part_id") % 7).cast("decimal(12,2)").alias("list_cpp"))
-    gifts = tables.mailings(spark, d).filter("revenue >= 5000").select(
+    gifts = tables.mailings(spark, d).select(
         "source_code", "gift_id", (F.col("revenue") / 10).cast("decimal(14,4)").alias("gift_amount"))
     return campaigns.broker_report(gifts, codes).select(
         "source_code", "campaign_code", "gift_level", "returns", "revenue", "share", "list_cost", "package_cost", "net", "net_per_response")
@@ -220,20 +223,20 @@ def a29(spark, d):
 
 @query("a28_donor_clusters")
 def a28(spark, d):
-    m = campaigns.frequent_donors(tables.gifts(spark, d), tables.mailings(spark, d), F.lit("2001-09-01").cast("date"), 1999, START, 1e9)
+    m = campaigns.frequent_donors(tables.gifts(spark, d), tables.mailings(spark, d), F.lit("2001-09-01").cast("date"), newest_year(spark, d), START, 1e9)
     columns = ["recency", "frequency", "monetary", "year_revenue", "times_mailed"]
     m = m.select("donor_id", *[F.col(c).cast("double").alias(c) for c in columns])
     return agg.donor_clusters(m, columns).groupBy("cluster").agg(F.count(F.lit(1)).alias("donors"))
 
 
 @query("a30_non_giver_shares", with_views("gift", "mail").rstrip() + """
-, g AS (SELECT donor_id, max(CASE WHEN gift_fy = 1999 THEN 1 ELSE 0 END) AS gave, date_diff('day', max(gift_date), DATE '2001-09-01') AS recency, count(DISTINCT gift_id) AS n, max(gift_amount) AS top FROM gift GROUP BY 1),
+, g AS (SELECT donor_id, max(CASE WHEN gift_fy = (SELECT max(gift_fy) FROM gift) THEN 1 ELSE 0 END) AS gave, date_diff('day', max(gift_date), DATE '2001-09-01') AS recency, count(DISTINCT gift_id) AS n, max(gift_amount) AS top FROM gift GROUP BY 1),
 m AS (SELECT DISTINCT donor_id FROM mail),
 b AS (SELECT m.donor_id IS NOT NULL AS mailed, coalesce(gave, 0) AS gave, recency > 1000 AND n = 1 AND top < 100 AS rule FROM g FULL JOIN m USING (donor_id))
 SELECT count(*) FILTER (mailed) AS mailed, count(*) FILTER (mailed AND gave = 0) AS silent, count(*) FILTER (rule) AS matching, count(*) AS people,
   count(*) FILTER (mailed AND gave = 0) / count(*) FILTER (mailed) AS silent_share, count(*) FILTER (rule) / count(*) AS matching_share FROM b""")
 def a30(spark, d):
-    return campaigns.non_giver_shares(tables.gifts(spark, d), tables.mailings(spark, d), 1999, START, F.lit("2001-09-01").cast("date"))
+    return campaigns.non_giver_shares(tables.gifts(spark, d), tables.mailings(spark, d), newest_year(spark, d), START, F.lit("2001-09-01").cast("date"))
 
 
 @query("a31_online_mix", with_views("gift", more="""

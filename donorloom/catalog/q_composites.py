@@ -9,7 +9,7 @@ from donorloom.catalog.q_dates import band_sql
 from donorloom.functions.bands import RECENCY
 from donorloom.functions.dates import fiscal_year, month_spine, newest_window, register_fiscal_from_date
 from donorloom.functions.rules import classify, is_in
-from donorloom.operators import setops
+from donorloom.operators import joins, setops
 from donorloom.operators.windows import second_gift
 from donorloom.plans import base_tables, campaigns, file_health, hooks, response_curve, sustainers
 from donorloom.sources import tables
@@ -36,6 +36,20 @@ WINDOWS = {  # first and last day of the newest period, from the last complete m
 }
 
 
+# Groups from the years given before (past) and in (gave) the year y; shared by all forms of the lifecycle SQL.
+NAMED = """back AS (SELECT *, past[-1] AS p1, past[-2] AS p2, list_filter(past, lambda x, i: x - i = past[-1] - len(past))[1] AS run FROM line),
+named AS (SELECT *, CASE WHEN p1 IS NULL AND gave THEN 'New' WHEN p1 IS NULL OR p1 < y - 1 THEN 'Reacquired' WHEN p2 IS NULL THEN 'New Last Year'
+  WHEN p2 = y - 2 THEN 'Consecutive Giver' ELSE 'Reacquired Last Year' END AS grp FROM back)"""
+SHOWN = "coalesce(strftime({c}, '%m/%d/%Y'), 'open')"
+LABELLED = """
+SELECT client, donor_id, {key}y AS yr, o AS "offset", '{period}' AS period, """ + SHOWN.format(c="s") + """ || ' - ' || """ + SHOWN.format(c="t") + """ AS report_period,
+  client || '-{period} ending ' || """ + SHOWN.format(c="t") + """ AS report_period_id, grp AS fh_group,
+  CASE grp WHEN 'Consecutive Giver' THEN grp || (y - run) WHEN 'Reacquired' THEN grp || (y - p1) WHEN 'Reacquired Last Year' THEN grp || (p1 - p2) ELSE grp END AS fh_group_detail,
+  CASE WHEN grp IN ('New', 'Reacquired') THEN 'Pipeline' ELSE 'Active' END AS donor_type,
+  CASE grp WHEN 'New' THEN 'Pipeline' WHEN 'Reacquired' THEN 'Pipeline' WHEN 'Consecutive Giver' THEN grp ELSE '2nd Year' END AS donor_subtype,
+  CASE WHEN gave AND p1 = y - 1 THEN 1 ELSE 0 END AS past_2_years, CASE WHEN gave THEN 1 ELSE 0 END AS gift_made FROM named"""
+
+
 def lifecycle_sql(period: str, client: str = "'ACME'", key: str = "") -> str:
     year = lambda c: f"year({c}) + CASE WHEN month({c}) >= 7 THEN 1 ELSE 0 END" if period.startswith("fy") else f"year({c})"
     shifted = lambda c: f"CAST({c} + to_months(CAST((k - top) * 12 AS INTEGER)) AS DATE)"
@@ -50,22 +64,20 @@ given AS (SELECT b.client, b.donor_id, list_sort(list(DISTINCT p.y)) AS g FROM b
 line AS (SELECT d.*, p.y, p.o, p.s, p.t, list_filter(coalesce(g, []), lambda x: x < p.y) AS past, coalesce(list_contains(g, p.y), false) AS gave
   FROM (SELECT client, donor_id, min(cal) AS since FROM base GROUP BY ALL) d JOIN per p ON p.client = d.client AND p.y >= d.since AND p.o > -6
   SEMI JOIN known ON known.client = p.client AND known.k = p.y LEFT JOIN given ON given.client = d.client AND given.donor_id = d.donor_id),
-back AS (SELECT *, past[-1] AS p1, past[-2] AS p2, list_filter(past, lambda x, i: x - i = past[-1] - len(past))[1] AS run FROM line),
-named AS (SELECT *, CASE WHEN p1 IS NULL AND gave THEN 'New' WHEN p1 IS NULL OR p1 < y - 1 THEN 'Reacquired' WHEN p2 IS NULL THEN 'New Last Year'
-  WHEN p2 = y - 2 THEN 'Consecutive Giver' ELSE 'Reacquired Last Year' END AS grp FROM back)""") + f"""
-SELECT client, donor_id, {key}y AS yr, o AS "offset", '{period}' AS period, strftime(s, '%m/%d/%Y') || ' - ' || strftime(t, '%m/%d/%Y') AS report_period,
-  client || '-{period} ending ' || strftime(t, '%m/%d/%Y') AS report_period_id, grp AS fh_group,
-  CASE grp WHEN 'Consecutive Giver' THEN grp || (y - run) WHEN 'Reacquired' THEN grp || (y - p1) WHEN 'Reacquired Last Year' THEN grp || (p1 - p2) ELSE grp END AS fh_group_detail,
-  CASE WHEN grp IN ('New', 'Reacquired') THEN 'Pipeline' ELSE 'Active' END AS donor_type,
-  CASE grp WHEN 'New' THEN 'Pipeline' WHEN 'Reacquired' THEN 'Pipeline' WHEN 'Consecutive Giver' THEN grp ELSE '2nd Year' END AS donor_subtype,
-  CASE WHEN gave AND p1 = y - 1 THEN 1 ELSE 0 END AS past_2_years, CASE WHEN gave THEN 1 ELSE 0 END AS gift_made FROM named"""
+""" + NAMED) + LABELLED.format(client=client, period=period, key=key)
+
+
+def newest(spark, d, period):
+    """First and last day of the newest period, from one scalar subquery."""
+    last = tables.gifts(spark, d).agg(F.max("gift_date").alias("m"))
+    start, end = newest_window(period, F.col("m"), START)
+    window = last.select(F.struct(start.alias("start"), end.alias("end"))).scalar()
+    return window["start"], window["end"]
 
 
 def lifecycle(period):
     def run(spark, d):
-        g = tables.gifts(spark, d)
-        start, end = newest_window(period, g.agg(F.max("gift_date")).scalar(), START)
-        return file_health.lifecycle_groups(g, "ACME", period, start, end, START)
+        return file_health.lifecycle_groups(tables.gifts(spark, d), "ACME", period, *newest(spark, d, period), START)
     return run
 
 
@@ -77,16 +89,49 @@ for _p in WINDOWS:
 def x01_clients(spark, d):
     g = tables.gifts(spark, d).withColumn("client", F.when(F.col("channel") < "3", "ACME").otherwise("BETA"))
     g = g.withColumn("donor_key", F.concat("client", F.lit("-"), F.col("donor_id").cast("string")))
-    start, end = newest_window("fytd", g.agg(F.max("gift_date")).scalar(), START)
-    return file_health.lifecycle_groups(g, None, "fytd", start, end, START)
+    return file_health.lifecycle_groups(g, None, "fytd", *newest(spark, d, "fytd"), START)
+
+
+PERIODS_SQL = """
+cal AS (SELECT DISTINCT gift_fy AS y, min(gift_fy) OVER () AS lo, max(gift_fy) OVER () AS top FROM gift),
+per AS (SELECT 'ACME' AS client, y, y - top AS o, CASE WHEN y > lo THEN make_date(y - 1, 7, 1) - CAST(CASE WHEN y % 2 = 0 THEN 45 ELSE 0 END AS INTEGER) END AS s,
+  CASE WHEN y < top THEN make_date(y, 6, 30) - CAST(CASE WHEN y % 3 = 0 THEN 100 ELSE 0 END AS INTEGER) END AS t FROM cal)"""
+
+
+def given_periods(spark, d):
+    """Report periods as rows: every second one begins early and overlaps the one before, every third one ends early, the outer ones are open."""
+    years = tables.gifts(spark, d).select(fiscal_year(F.col("gift_date"), START).alias("yr")).distinct()
+    y, span = F.col("yr"), F.col("span")
+    years = years.withColumn("span", years.agg(F.struct(F.min("yr").alias("lo"), F.max("yr").alias("top"))).scalar())
+    return years.select(
+        F.lit("ACME").alias("client"), "yr",
+        F.when(y > span["lo"], F.date_sub(F.make_date(y - 1, F.lit(7), F.lit(1)), F.when(y % 2 == 0, 45).otherwise(0))).alias("start_date"),
+        F.when(y < span["top"], F.date_sub(F.make_date(y, F.lit(6), F.lit(30)), F.when(y % 3 == 0, 100).otherwise(0))).alias("end_date"))
+
+
+@query("x01_j07_given_periods", with_views("gift", more=PERIODS_SQL.strip() + """,
+given AS (SELECT donor_id, list_sort(list(DISTINCT y)) AS g FROM gift JOIN per ON (s IS NULL OR gift_date >= s) AND (t IS NULL OR gift_date <= t) WHERE gift_amount > 0 GROUP BY ALL),
+line AS (SELECT given.donor_id, per.*, list_filter(g, lambda x: x < per.y) AS past, list_contains(g, per.y) AS gave FROM given JOIN per ON per.y >= g[1] WHERE o > -6),
+""" + NAMED) + LABELLED.format(client="'ACME'", period="rows", key=""))
+def x01_rows(spark, d):
+    return file_health.lifecycle_by_period(client_gifts(spark, d), given_periods(spark, d), "rows")
+
+
+@query("j09_gifts_in_given_periods", with_views("gift", more=PERIODS_SQL.strip()) + """
+SELECT gift_id, y AS yr, CAST(s AS VARCHAR) AS start_date, CAST(t AS VARCHAR) AS end_date FROM gift JOIN per ON (s IS NULL OR gift_date >= s) AND (t IS NULL OR gift_date <= t)""")
+def j09_rows(spark, d):
+    g = tables.gifts(spark, d).select("gift_id", "gift_date")
+    return joins.interval_join(g, "gift_date", given_periods(spark, d), "start_date", "end_date").select("gift_id", "yr", "start_date", "end_date")
 
 
-@query("x05_j09_report_period_days", with_views("gift", more="""
-y AS (SELECT DISTINCT gift_fy - (SELECT max(gift_fy) FROM gift) AS o FROM gift), rp AS (SELECT o, make_date(2000 + CAST(o AS INTEGER) + 1, 7, 1) AS s, make_date(2002 + CAST(o AS INTEGER), 6, 30) AS e FROM y WHERE o > -6)""") + """
+@query("x05_j09_report_period_days", with_views("gift", more=MONTH_END + f""",
+y AS (SELECT DISTINCT gift_fy - (SELECT max(gift_fy) FROM gift) AS o FROM gift),
+rp AS (SELECT o, CAST({WINDOWS['fy'][0]} + to_years(CAST(o AS INTEGER)) AS DATE) AS s, CAST({WINDOWS['fy'][1]} + to_years(CAST(o AS INTEGER)) AS DATE) AS e FROM y, edge WHERE o > -6)""".replace(
+    "month(e)", "month(edge.e)").replace("year(e)", "year(edge.e)")) + """
 SELECT 'ACME' AS client, o AS "offset", CAST(s AS VARCHAR) AS start_date, CAST(e AS VARCHAR) AS end_date, CASE WHEN o > -5 THEN 1 ELSE 0 END AS reportable,
   CAST(CAST(x AS DATE) AS VARCHAR) AS date, 'ACME-' || CAST(x AS DATE) AS client_date FROM rp, unnest(generate_series(s, e, INTERVAL 1 DAY)) AS t(x)""")
 def x05(spark, d):
-    periods = file_health.report_periods(client_gifts(spark, d), "fy", day("2001-07-01"), day("2002-06-30"), START)
+    periods = file_health.report_periods(client_gifts(spark, d), "fy", *newest(spark, d, "fy"), START)
     return file_health.period_days(periods).select("client", "offset", "start_date", "end_date", "reportable", "date", "client_date")
 
 

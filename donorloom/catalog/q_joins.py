@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from donorloom.catalog.base import START, query, with_views
+from donorloom.catalog.base import START, newest_year, query, with_views
 from donorloom.functions.dates import fiscal_year
 from donorloom.operators import joins
 from donorloom.operators.scale import attach
@@ -119,11 +119,11 @@ def j13(spark, d):
 
 
 @query("j14_x19_mailings_and_gifts", with_views("gift", "mail").rstrip() + """
-, y AS (SELECT donor_id, sum(gift_amount) AS total FROM gift WHERE gift_fy = 1999 GROUP BY 1),
+, y AS (SELECT donor_id, sum(gift_amount) AS total FROM gift WHERE gift_fy = (SELECT max(gift_fy) FROM gift) GROUP BY 1),
 t AS (SELECT donor_id, count(*) AS n FROM mail GROUP BY 1)
 SELECT donor_id, CAST(total AS DOUBLE) AS total, n AS times_mailed, CAST(total AS DOUBLE) / n AS revenue_per_mailing FROM y JOIN t USING (donor_id)""")
 def j14(spark, d):
-    year = tables.gifts(spark, d).filter(fiscal_year(F.col("gift_date"), START) == 1999).groupBy("donor_id").agg(F.sum("gift_amount").alias("total"))
+    year = tables.gifts(spark, d).filter(fiscal_year(F.col("gift_date"), START) == newest_year(spark, d)).groupBy("donor_id").agg(F.sum("gift_amount").alias("total"))
     mailed = tables.mailings(spark, d).groupBy("donor_id").agg(F.count(F.lit(1)).alias("times_mailed"))
     return year.join(mailed, "donor_id").withColumn("revenue_per_mailing", F.col("total").cast("double") / F.col("times_mailed"))
 

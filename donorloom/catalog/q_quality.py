@@ -124,14 +124,14 @@ def q10b(spark, d):
 
 
 def base_run(spark, d):
-    """Mailed pieces as gifts, and the codes of half the parts."""
-    m = tables.mailings(spark, d)
+    """Mailed pieces as gifts, and the codes of all parts. The seventh piece of a mailing has a code that no part has."""
+    m = tables.mailings(spark, d).withColumn("source_code", F.when(F.col("line") == 7, F.concat(F.lit("NEW"), "campaign_code")).otherwise(F.col("source_code")))
     t = m.select((F.col("gift_id") * 10 + F.col("line")).alias("gift_id"), "donor_id", F.col("mail_date").alias("gift_date"),
                  F.col("revenue").alias("gift_amount"), F.lit("mail").alias("channel"), F.lit("gift").alias("gift_type"),
                  "source_code", "campaign_code", "campaign_name")
     c = tables.parts(spark, d).withColumns({
         "mail_date": F.lit("1998-01-01").cast("date"), "campaign_group": F.col("package_name"),
-        "source_code": F.lower("source_code")}).filter("part_id % 2 = 0")
+        "source_code": F.lower("source_code")})
     return t, base_tables.standard_source_codes(c.drop("quantity", "package_cpp"), "ACME", START)
 
 
@@ -140,7 +140,7 @@ def upper_codes(codes):
 
 
 @query("u04_base_table_hooks", with_views("code", "mail").rstrip() + """
-, known AS (SELECT source_code FROM code WHERE part_id % 2 = 0), lost AS (SELECT DISTINCT source_code FROM mail WHERE source_code NOT IN (SELECT source_code FROM known))
+, known AS (SELECT source_code FROM code), lost AS (SELECT DISTINCT 'NEW' || campaign_code AS source_code FROM mail WHERE line = 7)
 SELECT 'gift' AS tbl, count(*) AS n, count(DISTINCT donor_id) AS marked FROM mail
 UNION ALL SELECT 'donor', count(*), count(*) FILTER (t > 1000000) FROM (SELECT donor_id, sum(revenue) AS t FROM mail GROUP BY 1)
 UNION ALL SELECT 'source_code', (SELECT count(*) FROM known) + (SELECT count(*) FROM lost) + 1 +

@@ -220,13 +220,13 @@ def s19(spark, d):
 
 
 @query("s20_collect_documents", with_views("code", more="""
-u AS (SELECT source_code, campaign_name, part_id FROM code WHERE quantity <= 25 UNION ALL SELECT CASE WHEN quantity < 40 THEN source_code END, campaign_name, part_id + 1000000 FROM code WHERE campaign_code LIKE 'B1%')""") + """
+u AS (SELECT source_code, campaign_name, part_id FROM code UNION ALL SELECT CASE WHEN quantity < 40 THEN substr(source_code, 1, 6) END, campaign_name, part_id + 1000000 FROM code)""") + """
 SELECT source_code, arg_min(campaign_name, part_id) AS campaign_name, min(part_id) AS part_id FROM u WHERE source_code IS NOT NULL GROUP BY 1""")
 def s20(spark, d):
     p = tables.parts(spark, d)
-    one = p.filter("quantity <= 25").select("source_code", "campaign_name", "part_id")
-    two = p.filter("campaign_code LIKE 'B1%'").select(
-        F.when(F.col("quantity") < 40, F.col("source_code")).alias("Code"), "campaign_name", (F.col("part_id") + 1000000).alias("part_id"))
+    one = p.select("source_code", "campaign_name", "part_id")
+    two = p.select(
+        F.when(F.col("quantity") < 40, F.substring("source_code", 1, 6)).alias("Code"), "campaign_name", (F.col("part_id") + 1000000).alias("part_id"))
     return files.collect_documents([one, two], {"Code": "source_code"}, "source_code", [F.col("part_id")])
 
 

@@ -85,13 +85,15 @@ def w09(spark, d):
 
 
 @query("w10_date_gaps", with_views("gift", more="""
-days AS (SELECT DISTINCT gift_date AS d FROM gift WHERE channel = '1-URGENT' AND gift_type = 'F'),
-gaps AS (SELECT d, lag(d) OVER (ORDER BY d) AS p FROM days)""") + """
-SELECT CAST(d AS VARCHAR) AS gift_date, CAST(p AS VARCHAR) AS prev_date, date_diff('day', p, d) AS gap_days
+days AS (SELECT DISTINCT channel, gift_type, gift_date AS d FROM gift UNION SELECT DISTINCT NULL, NULL, gift_date FROM gift),
+gaps AS (SELECT channel, gift_type, d, lag(d) OVER (PARTITION BY channel, gift_type ORDER BY d) AS p FROM days)""") + """
+SELECT channel, gift_type, CAST(d AS VARCHAR) AS gift_date, CAST(p AS VARCHAR) AS prev_date, date_diff('day', p, d) AS gap_days
 FROM gaps WHERE date_diff('day', p, d) > 2""")
 def w10(spark, d):
-    g = tables.gifts(spark, d).filter("channel = '1-URGENT' AND gift_type = 'F'")
-    return windows.date_gaps(g, "gift_date")
+    """Gaps in each channel and gift type, and gaps of all gifts together."""
+    g = tables.gifts(spark, d)
+    together = windows.date_gaps(g, "gift_date").withColumns({"channel": F.lit(None).cast("string"), "gift_type": F.lit(None).cast("string")})
+    return windows.date_gaps(g, "gift_date", ["channel", "gift_type"]).unionByName(together)
 
 
 @query("w11_days_since_previous", with_views("gift") + """

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from donorloom.operators.scale import first_value, keep_first, keep_last, number_rows, running_last, spread_join
+from donorloom.session import durable
 
 
 def outer_with_codes(gifts: DataFrame, codes: DataFrame, key: str) -> DataFrame:
@@ -60,34 +61,38 @@ def curated_code_key(gifts: DataFrame, codes: DataFrame, tie: Sequence[Column])
 
     Precedence: client + code + name + campaign, then client + code + name,
     then client + code, then the client's unsourced row of the gift's fiscal
-    year. The four lookups run on the distinct key combinations of the gifts,
-    so the gift rows are shuffled once, to pick up the answer.
+    year. All forms of key are one table: (rank, parts of the key) with the first
+    code row by ``tie``. The distinct key combinations of the gifts unfold into the
+    same forms, meet them in one join, and the smallest rank that is found wins.
+    The gifts are reduced to their combinations once, with the number of rows of
+    each, and pick up the answer in one more join.
     """
     def text(c: str) -> Column:
         return F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
 
     parts = {"k_client": "client", "k_code": "source_code", "k_name": "campaign_name", "k_camp": "campaign_code"}
+    every = [*parts, "k_fy"]
+    forms = [["k_client", "k_code", "k_name", "k_camp"], ["k_client", "k_code", "k_name"], ["k_client", "k_code"], ["k_client", "k_fy"]]
+
+    def unfolded(df: DataFrame, year: Column) -> DataFrame:
+        """Each row under every form of key it has; the last form is for rows where ``year`` holds."""
+        def form(rank: int, keys: Sequence[str]) -> Column:
+            made = F.struct(F.lit(rank).alias("rank"), *[(F.col(k) if k in keys else F.lit("")).alias(f"f_{k}") for k in every])
+            return F.when(year, made) if rank == len(forms) - 1 else made
+        made = F.array_compact(F.array(*[form(rank, keys) for rank, keys in enumerate(forms)]))
+        return df.withColumn("_form", F.explode(made)).select("*", "_form.*").drop("_form")
+
+    key = ["rank", *[f"f_{k}" for k in every]]
     dim = codes.filter(F.col("sc_key_curated").isNotNull()).withColumns(
         {k: text(c) for k, c in parts.items()} | {"k_fy": text("fy")})
+    known = unfolded(dim, F.col("k_camp").startswith("UNSOURCED-FY")).groupBy(*key).agg(
+        first_value("sc_key_curated", tie).alias("sc_key_curated"))
     rows = gifts.drop("sc_key_curated").withColumns(
         {k: text(c) for k, c in parts.items()} | {"k_fy": text("gift_fy")})
-
-    def lookup(frame: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-        return frame.groupBy(*keys).agg(first_value("sc_key_curated", tie).alias(name))
-
-    every = [*parts, "k_fy"]
     counts = rows.groupBy(*every).agg(F.count(F.lit(1)).alias("_rows"))
-    found = counts.select(*every)
-    for name, keys in (
-        ("m_full", ["k_client", "k_code", "k_name", "k_camp"]),
-        ("m_name", ["k_client", "k_code", "k_name"]),
-        ("m_code", ["k_client", "k_code"]),
-    ):
-        found = found.join(lookup(dim, keys, name), keys, "left")
-    unsourced = dim.filter(F.col("k_camp").startswith("UNSOURCED-FY"))
-    found = found.join(lookup(unsourced, ["k_client", "k_fy"], "m_year"), ["k_client", "k_fy"], "left")
-    answer = found.select(*every, F.coalesce("m_full", "m_name", "m_code", "m_year").alias("sc_key_curated"))
-    return spread_join(rows, answer, every, counts=counts).drop(*every)
+    answer = unfolded(counts, F.lit(True)).join(known, key).groupBy(*every).agg(
+        F.min_by("sc_key_curated", "rank").alias("sc_key_curated"), F.first("_rows").alias("_rows"))
+    return spread_join(rows, durable(answer), every, size="_rows").drop(*every)
 
 
 def most_recent_event(df: DataFrame, keys: Sequence[str], day: str, event: Column, name: str) -> DataFrame:
@@ -95,6 +100,32 @@ def most_recent_event(df: DataFrame, keys: Sequence[str], day: str, event: Colum
     return running_last(df, keys, F.col(day), F.when(event, F.col(day)), name)
 
 
+def month_number(date: Column) -> Column:
+    return F.year(date) * 12 + F.month(date) - 1
+
+
+def interval_join(rows: DataFrame, day: str, periods: DataFrame, start: str, end: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Every row with every period (of the same ``keys``) that holds its day, both ends included.
+
+    Periods may overlap, leave gaps and differ in length; a null start or end is
+    open. Periods unfold into the months they touch, within the months of the
+    rows; rows and periods meet on the month in an equi-join that keeps a heavy
+    month out of one task, and the exact bounds are compared after it. Rows without a
+    day and periods that end before they start meet nothing.
+    """
+    at = rows.withColumn("_month", month_number(F.col(day))).filter(F.col(day).isNotNull())
+    span = rows.agg(F.min(month_number(F.col(day))).alias("lo"), F.max(month_number(F.col(day))).alias("hi"))
+    held = periods.withColumn("_span", span.select(F.struct("lo", "hi")).scalar()).withColumns({
+        "_first": F.greatest(F.coalesce(month_number(F.col(start)), F.col("_span.lo")), F.col("_span.lo")),
+        "_last": F.least(F.coalesce(month_number(F.col(end)), F.col("_span.hi")), F.col("_span.hi"))})
+    binned = held.filter(F.col("_first") <= F.col("_last")).withColumn(
+        "_month", F.explode(F.sequence("_first", "_last"))).drop("_span", "_first", "_last")
+    # Periods by month are few next to the rows; made durable, the join's plan does not derive them again for each of its parts.
+    met = spread_join(at, durable(binned), [*keys, "_month"], "inner")
+    inside = (F.col(start).isNull() | (F.col(day) >= F.col(start))) & (F.col(end).isNull() | (F.col(day) <= F.col(end)))
+    return met.filter(inside).drop("_month")
+
+
 def compare_profiles(new: DataFrame, old: DataFrame, keys: Sequence[str], value: str, names=("updated", "previous")) -> DataFrame:
     """Two count tables side by side, zero where a key is missing on one side."""
     both = new.select(*keys, F.col(value).alias(names[0]), F.lit(None).cast("long").alias(names[1])).unionByName(

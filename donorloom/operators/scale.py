@@ -90,6 +90,11 @@ def heavy_groups(counts: DataFrame, keys: Sequence[str], size: str, limit: int =
     return counts.filter(F.col(size) > limit).orderBy(F.desc(size), *keys).limit(HEAVY_GROUPS)
 
 
+def _mix(df: DataFrame) -> Column:
+    """A number to deal rows by. Equal rows of different input partitions get different ones, whatever their order inside."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id())
+
+
 def _no_key(keys: Sequence[str]) -> Column:
     missing = F.lit(False)
     for key in keys:
@@ -122,7 +127,7 @@ def spread_join(
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     heavy = heavy_groups(counts.select(*keys, "_rows").dropna(subset=keys), keys, "_rows", limit)
     pieces = F.broadcast(heavy.select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_pieces")))
-    mix = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    mix = _mix(df)
     rows = df.join(pieces, keys, "left").withColumn("_piece", F.when(
         F.col("_pieces").isNotNull(), F.pmod(mix, F.col("_pieces"))).when(no_key, F.pmod(mix, F.lit(NULL_PIECES))).otherwise(
         F.lit(0)).cast("int")).drop("_pieces")
@@ -139,7 +144,7 @@ def _join_known(df: DataFrame, values: DataFrame, keys: list[str], how: str, siz
     heavy = heavy_groups(values.dropna(subset=keys), keys, size, limit).select(
         *keys, F.struct(F.lit(True).alias("_there"), *[F.col(f"`{c}`") for c in brought]).alias("_heavy"))
     rows = df.join(F.broadcast(heavy), keys, "left")
-    mix = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(NULL_PIECES)) + 1
+    mix = F.pmod(_mix(df), F.lit(NULL_PIECES)) + 1
     answered = F.col("_heavy").isNotNull()
     # Pieces from 1 on meet no row of the other side.
     rows = rows.withColumn("_piece", F.when(answered | _no_key(keys), mix).otherwise(F.lit(0)).cast("int"))

@@ -81,12 +81,12 @@ def years_before(df: DataFrame, donor: str, year: str, report_year: Column) -> D
         F.coalesce(F.max(F.when(y < report_year - 1, y)), F.lit(0)).alias("prev_prev_year"))
 
 
-def date_gaps(df: DataFrame, date: str, longer_than: int = 2) -> DataFrame:
-    """Breaks in the calendar of gift dates. The window sees distinct days only."""
-    days = df.select(F.col(date).cast("date").alias(date)).filter(F.col(date).isNotNull()).distinct()
-    gaps = days.withColumn("prev_date", F.lag(date).over(W.orderBy(date)))
+def date_gaps(df: DataFrame, date: str, keys: Sequence[str] = (), longer_than: int = 2) -> DataFrame:
+    """Breaks in the calendar of gift dates, of each of ``keys`` if there are any. The window sees distinct days only."""
+    days = df.select(*keys, F.col(date).cast("date").alias(date)).filter(F.col(date).isNotNull()).distinct()
+    gaps = days.withColumn("prev_date", F.lag(date).over(W.partitionBy(*keys).orderBy(date)))
     gaps = gaps.withColumn("gap_days", F.datediff(date, "prev_date"))
-    return gaps.filter(F.col("gap_days") > longer_than).orderBy(F.desc("gap_days"), date)
+    return gaps.filter(F.col("gap_days") > longer_than).orderBy(F.desc("gap_days"), date, *keys)
 
 
 def days_since_previous(df: DataFrame, donor: str, date: str, tie: str) -> DataFrame:

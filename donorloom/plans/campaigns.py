@@ -21,12 +21,12 @@ def broker_report(gifts: DataFrame, codes: DataFrame) -> DataFrame:
     A code's quantity is shared evenly over its gift levels. Codes without gifts
     and gifts without a known code both stay in the report.
     """
+    # One grouping by code holds its levels, at most as many as there are bands; it meets the codes once.
     grouped = gifts.withColumn("gift_level", gift_level(F.col("gift_amount"))).groupBy("source_code", "gift_level").agg(
         F.count_distinct("gift_id").alias("returns"), F.sum("gift_amount").alias("revenue"))
-    levels = grouped.groupBy("source_code").agg(F.count(F.lit(1)).alias("levels"))
-    known = codes.join(levels, "source_code", "left").join(grouped, "source_code", "left")
-    unknown = grouped.join(codes.select("source_code"), "source_code", "left_anti").join(levels, "source_code")
-    rows = known.unionByName(unknown, allowMissingColumns=True)
+    by_code = grouped.groupBy("source_code").agg(F.collect_list(F.struct("gift_level", "returns", "revenue")).alias("_levels"))
+    rows = codes.join(by_code, "source_code", "full").select("*", F.explode_outer("_levels").alias("_level")).select(
+        "*", "_level.*", F.coalesce(F.size("_levels"), F.lit(0)).alias("levels")).drop("_level", "_levels")
     d = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
     n = d("levels")
     rows = rows.withColumn("share", F.when(n > 0, F.col("quantity") / n).otherwise(F.col("quantity").cast("double")))
@@ -75,7 +75,7 @@ def running_campaigns(gifts: DataFrame, campaign: str, date: str, start_month: i
 
 
 def frequent_donors(
-    gifts: DataFrame, mailings: DataFrame, as_of: Column, fiscal: int, start_month: int, top: float,
+    gifts: DataFrame, mailings: DataFrame, as_of: Column, fiscal: int | Column, start_month: int, top: float,
 ) -> DataFrame:
     """Recency, frequency, monetary, year revenue and times mailed of donors who gave and were mailed."""
     base = rfm(gifts, "donor_id", "gift_id", "gift_date", "gift_amount", as_of)
@@ -87,7 +87,7 @@ def frequent_donors(
         "revenue_per_mailing", F.col("year_revenue").cast("double") / F.col("times_mailed"))
 
 
-def non_giver_shares(gifts: DataFrame, mailings: DataFrame, fiscal: int, start_month: int, as_of: Column) -> DataFrame:
+def non_giver_shares(gifts: DataFrame, mailings: DataFrame, fiscal: int | Column, start_month: int, as_of: Column) -> DataFrame:
     """One row: donors mailed, share that did not give in the year, share of one-time small lapsed donors."""
     year = fiscal_year(F.col("gift_date"), start_month) == fiscal
     donors = gifts.groupBy("donor_id").agg(

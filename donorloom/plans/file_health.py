@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from donorloom.functions.dates import effective_period, fiscal_year, period_year, report_window
 from donorloom.operators.aggregates import half_up
+from donorloom.operators.joins import interval_join
+from donorloom.operators.scale import spread_join
 from donorloom.operators.windows import streaks
+from donorloom.session import durable
 
 FISCAL = ("fy", "fytd")
 REPORTABLE = 5
@@ -94,11 +97,11 @@ def lifecycle_groups(
     else:
         given_years = F.array(calendar_year)
     rows = gifts.filter(F.coalesce(F.col("gift_amount"), F.lit(0)) > 0).withColumns(bounds).select(
-        *keys, calendar_year.alias("_year"), F.explode_outer(given_years).alias("_given"))
+        *keys, calendar_year.alias("_year"), F.explode_outer(given_years).alias("_given"), *bounds)
     # Sets of years: as many entries as the calendar has, whatever the number of gifts.
     donors = rows.groupBy(*keys).agg(
-        F.collect_set("_year").alias("_years"), F.array_sort(F.collect_set("_given")).alias("_given"))
-    donors = donors.withColumns(bounds).withColumn("_known", F.element_at(_years_by_client(donors), F.col("client"))).withColumn(
+        F.collect_set("_year").alias("_years"), F.array_sort(F.collect_set("_given")).alias("_given"), *[F.min(b).alias(b) for b in bounds])
+    donors = donors.withColumn("_known", F.element_at(_years_by_client(donors), F.col("client"))).withColumn(
         "_max", F.array_max("_known"))
 
     # A year is reported when the client has gifts in it and the shifted period exists.
@@ -108,11 +111,38 @@ def lifecycle_groups(
     line = line.withColumn("offset", offset).filter(F.array_contains("_known", F.col("offset") + F.col("_max")))
     # Periods of other years than those on file give no gift years.
     given = F.filter("_given", lambda y: F.array_contains("_known", y - end_year + F.col("_max")))
-    line = line.withColumn("_g", given)
+    shifted = lambda c: F.add_months(c, F.col("offset") * 12)
+    line = line.withColumns({"_g": given, "start_date": shifted("_start"), "end_date": shifted("_end")})
+    return _labelled(line, keys, period, last)
+
+
+def lifecycle_by_period(gifts: DataFrame, periods: DataFrame, period: str, last: int | None = 6) -> DataFrame:
+    """The same groups for report periods given as rows: client, yr, start_date and end_date.
+
+    Periods are any days: they may overlap, leave gaps, differ in length, and be
+    open at either end; ``yr`` numbers a client's periods in order and a gift counts
+    in every period that holds its day. A donor is reported from the first period
+    with a gift on. Clients without periods, and gifts outside all of them, are left out.
+    """
+    keys = ["client", "donor_id", *[c for c in ("donor_key",) if c in gifts.columns]]
+    bounds = durable(periods.select("client", "yr", "start_date", "end_date"))
+    paid = gifts.filter(F.coalesce(F.col("gift_amount"), F.lit(0)) > 0).select(*keys, "gift_date")
+    given = interval_join(paid, "gift_date", bounds, "start_date", "end_date", ["client"])
+    donors = given.groupBy(*keys).agg(F.array_sort(F.collect_set("yr")).alias("_g"))
+    # One array per client, of as many entries as it has periods.
+    listed = bounds.groupBy("client").agg(F.array_sort(F.collect_list(F.struct("yr", "start_date", "end_date"))).alias("_periods"))
+    line = spread_join(donors, listed, ["client"], "inner").withColumn(
+        "_period", F.explode(F.filter("_periods", lambda p: p["yr"] >= F.array_min("_g"))))
+    line = line.select(*keys, "_g", "_period.*", (F.col("_period.yr") - F.array_max("_periods")["yr"]).alias("offset"))
+    return _labelled(line, keys, period, last)
+
+
+def _labelled(line: DataFrame, keys: Sequence[str], period: str, last: int | None) -> DataFrame:
+    """Groups of ``line``, which has a row per donor and reported year with the sorted years given in ``_g``."""
     yr, g = F.col("yr"), F.col("_g")
     gave = lambda back: F.when(F.array_contains(g, yr - back), yr - back)
     line = line.select(
-        *keys, "yr", "offset", "_start", "_end", F.array_contains(g, yr).cast("int").alias("gift_made"),
+        *keys, "yr", "offset", "start_date", "end_date", F.array_contains(g, yr).cast("int").alias("gift_made"),
         gave(1).alias("gift_minus1"), gave(2).alias("gift_minus2"),
         F.array_min(F.filter(g, lambda y: y <= yr)).alias("first_gift"),
         F.array_max(F.filter(g, lambda y: y < yr)).alias("last_gift"))
@@ -138,11 +168,11 @@ def lifecycle_groups(
     )
     if last is not None:
         line = line.filter(F.col("offset") > -last)
-    shown = lambda c: F.date_format(F.add_months(c, F.col("offset") * 12), "MM/dd/yyyy")
+    shown = lambda c: F.coalesce(F.date_format(c, "MM/dd/yyyy"), F.lit("open"))
     return line.select(
         *keys, F.lit(period).alias("period"),
-        F.concat(shown(F.col("_start")), F.lit(" - "), shown(F.col("_end"))).alias("report_period"),
-        F.concat("client", F.lit(f"-{period} ending "), shown(F.col("_end"))).alias("report_period_id"),
+        F.concat(shown("start_date"), F.lit(" - "), shown("end_date")).alias("report_period"),
+        F.concat("client", F.lit(f"-{period} ending "), shown("end_date")).alias("report_period_id"),
         "yr", "offset", "fh_group", F.concat(fh, detail).alias("fh_group_detail"),
         F.when(fh.isin("New", "Reacquired"), "Pipeline").when(
             fh.isin("Reacquired Last Year", "Consecutive Giver", "New Last Year"), "Active").alias("donor_type"),

@@ -1,47 +1,59 @@
 """Layered Parquet tables: create, append, publish, replace partitions, upsert.
 
-A table is a folder ``<root>/<layer>/<client>_<name>`` of version folders, and a
-write always makes a new one; nothing that a reader may be reading is touched:
-
-* ``v3`` is a whole table;
-* ``v4p`` holds some partitions anew, the others stay where they are;
-* ``v5a`` holds added rows, and belongs to the version before it.
-
-A version counts once it is complete, so a failed write changes nothing. Its
-schema, partitioning and replaced partitions are in ``_meta``: a read opens no
-footers to find columns. Upserts and window replaces rewrite only the partitions
-they touch (a hash of the key, the month of a date). After ``CHAIN`` such writes
-the table is written whole again; ``vacuum`` removes versions no longer wanted.
-One writer per table at a time; this is not a transaction log.
+A table is a folder ``<root>/<layer>/<client>_<name>`` with a dated folder for each
+whole version; a whole write makes a new one, and readers take the newest or an
+earlier one. Partial writes go into the newest version by Spark's own means: rows
+are added in append mode, and what an upsert or a replaced period or window
+changes is made durable first and then written with dynamic partition overwrite,
+so the files of all other partitions stay as they are. Upserts partition by a hash
+of the key (``_hash``) and window replaces by the month of a date (``_month``); a
+table with another layout is written whole once.
+
+There is no metadata beside the data: Spark reads columns and partitions from the
+files. One writer per table at a time; this is not a transaction log.
 """
 
 from __future__ import annotations
 
-import json
-import re
+import datetime
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from donorloom.functions.clean import table_schema
 from donorloom.operators.setops import replace_window
+from donorloom.session import durable
 
 SUFFIXES = {"gift": "gift", "donor": "donor", "source_code": "source_code", "budget": "budget",
             "transactions": "transactions", "fh_date": "fh_date", "fh_group": "fh_group"}
 PARTS = 64  # hash partitions of a table with a key
-CHAIN = 16  # partial versions read together at most
-PART = "_part"
-NULL_PART = f"{PART}=__HIVE_DEFAULT_PARTITION__"
+HASH, MONTH = "_hash", "_month"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-@dataclass(frozen=True)
-class Version:
-    number: int
-    kind: str  # "" whole, "p" some partitions, "a" added rows
-    path: str
+def _folders(path: str) -> list[str]:
+    """Names of what lies in a folder and is not hidden; none if there is no folder."""
+    system, place = fs.FileSystem.from_uri(_uri(path))
+    found = system.get_file_info(fs.FileSelector(place, allow_not_found=True))
+    return sorted(f.base_name for f in found if f.base_name[0] not in "._" or f.base_name.startswith((HASH, MONTH)))
+
+
+def _uri(path: str) -> str:
+    if path.startswith("/"):
+        return "file://" + path
+    return "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
+
+
+def _hash(key: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int")
+
+
+def _month(date: str) -> Column:
+    day = F.col(date).cast("date")
+    return F.year(day) * 12 + F.month(day) - 1
 
 
 @dataclass(frozen=True)
@@ -53,124 +65,35 @@ class Store:
     def path(self, name: str, layer: str = "silver") -> str:
         return f"{self.root}/{layer}/{self.client.lower()}_{SUFFIXES.get(name, name)}"
 
-    # ---- files of a path, through the cluster's own file system --------------------
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
-
-    def _leaves(self, path: str) -> list[str]:
-        fs, folder = self._fs(path)
-        return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
-
-    def _seen(self, name: str, layer: str, whole: bool = True) -> list[Version]:
-        """Versions in order; with ``whole=False`` also those that a failed write left behind."""
+    # ---- versions and reading ----------------------------------------------------
+    def versions(self, name: str, layer: str = "silver") -> list[str]:
+        """Dates of the whole versions, oldest first. What a failed write left behind has no data file and is none."""
         folder = self.path(name, layer)
-        found = []
-        for leaf in self._leaves(folder):
-            parts = re.fullmatch(r"v(\d+)([pa]?)", leaf)
-            if parts and (not whole or self._complete(f"{folder}/{leaf}")):
-                found.append(Version(int(parts[1]), parts[2], f"{folder}/{leaf}"))
-        return sorted(found, key=lambda v: v.number)
-
-    def _complete(self, path: str) -> bool:
-        fs, marker = self._fs(f"{path}/_SUCCESS")
-        return fs.exists(marker)
-
-    def _meta_path(self, version: Version) -> str:
-        folder, leaf = version.path.rsplit("/", 1)
-        return f"{folder}/_meta/{leaf}.json"
-
-    def _meta(self, version: Version) -> dict:
-        fs, file = self._fs(self._meta_path(version))
-        stream = fs.open(file)
-        try:
-            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def versions(self, name: str, layer: str = "silver") -> list[int]:
-        return [v.number for v in self._seen(name, layer) if v.kind != "a"]
-
-    def _chain(self, name: str, layer: str, back: int = 0) -> list[Version]:
-        """The versions that make up the table, a whole one first."""
-        seen = self._seen(name, layer)
-        tops = [v.number for v in seen if v.kind != "a"]
-        if len(tops) <= back:
-            raise FileNotFoundError(self.path(name, layer))
-        seen = [v for v in seen if back == 0 or v.number < tops[-back]]
-        return seen[max(i for i, v in enumerate(seen) if v.kind == ""):]
-
-    # ---- reading ------------------------------------------------------------------
-    def _rows(self, chain: list[Version]) -> DataFrame:
-        """Each partition from its newest version and what was added to it since, partition column included."""
-        metas = [self._meta(v) for v in chain]
-        held: dict[str, list[int]] = {}
-        for i, (version, meta) in enumerate(zip(chain, metas)):
-            folders = [leaf for leaf in self._leaves(version.path) if "=" in leaf]
-            if version.kind == "p":
-                for folder in {*folders, *meta["replaced"]}:
-                    held[folder] = []
-            elif not folders:
-                folders = [""]
-            for folder in folders:
-                held.setdefault(folder, []).append(i)
-        out = None
-        for i, (version, meta) in enumerate(zip(chain, metas)):
-            folders = [f"{version.path}/{folder}".rstrip("/") for folder, at in held.items() if i in at]
-            if not folders:
-                continue
-            schema = T.StructType.fromJson(meta["schema"])
-            frame = self.spark.read.schema(schema).option("basePath", version.path).parquet(*folders)
-            out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
-        return self.spark.createDataFrame([], T.StructType.fromJson(metas[-1]["schema"])) if out is None else out
-
-    def read(self, name: str, layer: str = "silver", back: int = 0) -> DataFrame:
-        """Newest version, or ``back`` versions earlier, with what was added to it."""
-        return self._rows(self._chain(name, layer, back)).drop(PART)
+        return [leaf for leaf in _folders(folder) if _folders(f"{folder}/{leaf}")]
 
     def exists(self, name: str, layer: str = "silver") -> bool:
         return bool(self.versions(name, layer))
 
-    # ---- writing ------------------------------------------------------------------
-    def _write(self, df: DataFrame, name: str, layer: str, kind: str, rule: Sequence[str], replaced: Sequence[str] = ()) -> None:
-        last = max([v.number for v in self._seen(name, layer, whole=False)], default=0)
-        version = Version(last + 1, kind, f"{self.path(name, layer)}/v{last + 1}{kind}")
-        df = marked(df, rule)
-        columns = list(rule[1:]) if rule and rule[0] == "columns" else [PART] if rule else []
-        fs, file = self._fs(self._meta_path(version))
-        out = fs.create(file, True)
-        out.write(bytearray(json.dumps({
-            "schema": df.schema.jsonValue(), "rule": list(rule), "replaced": list(replaced)}), "utf-8"))
-        out.close()
-        df.write.partitionBy(*columns).parquet(version.path)
-
-    def _open_chain(self, name: str, layer: str) -> tuple[list[Version], list[str]]:
-        """The chain to add to and its rule; a long chain is written whole first."""
-        chain = self._chain(name, layer)
-        rule = self._meta(chain[0])["rule"]
-        if len(chain) > CHAIN:
-            self._write(self._rows(chain).drop(PART), name, layer, "", rule)
-            chain = self._chain(name, layer)
-        return chain, rule
+    def _newest(self, name: str, layer: str, back: int = 0) -> str:
+        found = self.versions(name, layer)
+        if len(found) <= back:
+            raise FileNotFoundError(self.path(name, layer))
+        return f"{self.path(name, layer)}/{found[-1 - back]}"
 
-    def overwrite(self, df: DataFrame, name: str, layer: str = "silver", partition: Sequence[str] = ()) -> None:
-        self._write(df, name, layer, "", ["columns", *partition] if partition else [])
-
-    def append(self, df: DataFrame, name: str, layer: str = "silver") -> None:
-        """Add rows; new columns widen the table."""
-        if self.exists(name, layer):
-            _, rule = self._open_chain(name, layer)
-            self._write(df, name, layer, "a", rule)
-        else:
-            self.overwrite(df, name, layer)
+    def _rows(self, version: str) -> DataFrame:
+        """With the hidden partition columns. Files written before a column was added have nulls there."""
+        return self.spark.read.option("mergeSchema", True).parquet(version)
 
-    def append_aligned(self, df: DataFrame, name: str, layer: str = "silver") -> None:
-        """Add distinct rows with exactly the target's columns."""
-        schema = self.read(name, layer).schema
-        self.append(df.select(*[
-            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema]).dropDuplicates(), name, layer)
+    def read(self, name: str, layer: str = "silver", back: int = 0) -> DataFrame:
+        """Newest version, or ``back`` whole versions earlier. Partition columns have the type that Spark infers."""
+        return self._rows(self._newest(name, layer, back)).drop(HASH, MONTH)
+
+    # ---- whole tables ------------------------------------------------------------
+    def overwrite(self, df: DataFrame, name: str, layer: str = "silver", partition: Sequence[str] = ()) -> None:
+        stamp = datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+        if partition:  # rows of a partition go together, large ones split by AQE
+            df = df.hint("rebalance", *[F.col(c) for c in partition])
+        df.write.partitionBy(*partition).parquet(f"{self.path(name, layer)}/{stamp}")
 
     def create(self, name: str, definition: Mapping[str, str], layer: str = "silver") -> None:
         """Empty table from a type map, unless it exists."""
@@ -183,84 +106,110 @@ class Store:
 
     def publish(self, name: str) -> None:
         """Silver to curated."""
-        rule = self._meta(self._chain(name, "silver")[0])["rule"]
-        self._write(self.read(name), name, "curated", "", rule)
+        rows = self._rows(self._newest(name, "silver"))
+        self.overwrite(rows, name, "curated", [c for c in (HASH, MONTH) if c in rows.columns])
+
+    # ---- parts of a table --------------------------------------------------------
+    def _typed(self, df: DataFrame, current: DataFrame) -> DataFrame:
+        """Shared columns in the table's types."""
+        kinds = dict(current.dtypes)
+        return df.withColumns({c: F.col(f"`{c}`").cast(kinds[c]) for c in df.columns if c in kinds})
+
+    def append(self, df: DataFrame, name: str, layer: str = "silver", key: Sequence[str] = (), date: str | None = None) -> None:
+        """Add rows; new columns widen the table. A table that upserts or window replaces have partitioned needs its key or date."""
+        if not self.exists(name, layer):
+            self.overwrite(df, name, layer)
+            return
+        version = self._newest(name, layer)
+        current = self._rows(version)
+        by = [c for c in (HASH, MONTH) if c in current.columns]
+        if (HASH in by) != bool(key) or (MONTH in by) != (date is not None):
+            raise ValueError(f"{name} is partitioned by {by or 'nothing'}")
+        rows = self._typed(df, current)
+        rows = rows.withColumn(HASH, _hash(key)) if key else rows.withColumn(MONTH, _month(date)) if date else rows
+        if not by:
+            by = [leaf.split("=")[0] for leaf in _folders(version) if "=" in leaf][:1]
+        rows.write.mode("append").partitionBy(*by).parquet(version)
+
+    def append_aligned(self, df: DataFrame, name: str, layer: str = "silver") -> None:
+        """Add distinct rows with exactly the target's columns."""
+        schema = self.read(name, layer).schema
+        self.append(df.select(*[
+            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema]).dropDuplicates(), name, layer)
+
+    def seed(self, rows: DataFrame, name: str, key: Sequence[str], layer: str = "silver") -> None:
+        """Add rows whose key is not there yet."""
+        current = self._rows(self._newest(name, layer))
+        new = rows.join(current.select(*key), list(key), "left_anti")
+        self.append(new, name, layer, key if HASH in current.columns else ())
+
+    def _replace(self, rows: DataFrame, version: str, by: str) -> None:
+        """Write the partitions that ``rows`` has, and leave all others as they are."""
+        rows.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(version)
 
     def replace_partition(self, df: DataFrame, name: str, column: str, layer: str = "silver") -> None:
         """Replace the partitions the frame has rows for, and only those."""
-        wanted = ["columns", column]
         if not self.exists(name, layer):
-            self._write(df, name, layer, "", wanted)
+            self.overwrite(df, name, layer, [column])
             return
-        chain, rule = self._open_chain(name, layer)
-        if rule == wanted:
-            self._write(df, name, layer, "p", rule)
+        version = self._newest(name, layer)
+        if any(leaf.startswith(f"{column}=") for leaf in _folders(version)):
+            self._replace(durable(df), version, column)
             return
-        current = self._rows(chain).drop(PART)
         there = df.select(F.col(column).alias("_there")).distinct()
-        kept = current.join(there, F.col(column).eqNullSafe(F.col("_there")), "left_anti")
-        self._write(kept.unionByName(df, allowMissingColumns=True), name, layer, "", wanted)
+        kept = self.read(name, layer).join(there, F.col(column).eqNullSafe(F.col("_there")), "left_anti")
+        self.overwrite(kept.unionByName(df, allowMissingColumns=True), name, layer, [column])
 
     def upsert(self, changes: DataFrame, name: str, key: Sequence[str], layer: str = "silver") -> None:
         """Matched keys take the new non-null values, other keys are added. Only hash partitions with changes are rewritten."""
-        wanted = ["hash", *key]
         if not self.exists(name, layer):
-            self._write(changes, name, layer, "", wanted)
+            self.overwrite(changes.withColumn(HASH, _hash(key)), name, layer, [HASH])
             return
-        chain, rule = self._open_chain(name, layer)
-        current = self._rows(chain)
-        kinds = {f.name: f.dataType for f in current.schema}
-        changes = changes.withColumns({k: F.col(k).cast(kinds[k]) for k in key})
-        if rule != wanted:
-            self._write(merge_rows(current.drop(PART), changes, key), name, layer, "", wanted)
+        version = self._newest(name, layer)
+        current = self._rows(version)
+        changes = self._typed(changes, current)
+        if HASH not in current.columns:
+            merged = merge_rows(current.drop(MONTH), changes, key)
+            self.overwrite(merged.withColumn(HASH, _hash(key)), name, layer, [HASH])
             return
-        touched = [r[0] for r in marked(changes, rule).select(PART).distinct().collect()]  # PARTS at most
+        changes = durable(changes.withColumn(HASH, _hash(key)))
+        touched = [r[0] for r in changes.select(HASH).distinct().collect()]  # PARTS at most
         if touched:
-            merged = merge_rows(current.filter(F.col(PART).isin(touched)).drop(PART), changes, key)
-            self._write(merged, name, layer, "p", rule)
+            merged = merge_rows(current.filter(F.col(HASH).isin(touched)).drop(HASH), changes.drop(HASH), key)
+            self._replace(durable(merged.withColumn(HASH, _hash(key))), version, HASH)
 
     def replace_range(self, batch: DataFrame, name: str, date: str, layer: str = "silver") -> None:
-        """``replace_window`` on the table. Only months of the batch's range, and rows without a date, are rewritten."""
-        wanted = ["month", date]
+        """``replace_window`` on the table. Only months of the batch's range, and rows without a date, are rewritten.
+
+        Months that lose all their rows are overwritten by an empty file each, after the others.
+        """
         if not self.exists(name, layer):
-            self._write(batch, name, layer, "", wanted)
+            self.overwrite(batch.withColumn(MONTH, _month(date)), name, layer, [MONTH])
             return
-        chain, rule = self._open_chain(name, layer)
-        current = self._rows(chain)
-        if rule != wanted:
-            self._write(replace_window(current.drop(PART), batch, date), name, layer, "", wanted)
+        version = self._newest(name, layer)
+        current = self._rows(version)
+        batch = self._typed(batch, current)
+        if MONTH not in current.columns:
+            rows = replace_window(current.drop(HASH), batch, date)
+            self.overwrite(rows.withColumn(MONTH, _month(date)), name, layer, [MONTH])
             return
-        low, high = marked(batch, rule).agg(F.min(PART), F.max(PART)).first()
-        months = [] if low is None else range(low, high + 1)
-        inside = F.col(PART).isNull() if low is None else F.col(PART).isNull() | F.col(PART).between(low, high)
-        rows = replace_window(current.filter(inside).drop(PART), batch, date)
-        self._write(rows, name, layer, "p", rule, [*[f"{PART}={m}" for m in months], NULL_PART])
-
-    def seed(self, rows: DataFrame, name: str, key: Sequence[str], layer: str = "silver") -> None:
-        """Add rows whose key is not there yet."""
-        current = self.read(name, layer)
-        self.append(rows.join(current.select(*key), list(key), "left_anti"), name, layer)
+        low, high = batch.agg(F.min(_month(date)), F.max(_month(date))).first()
+        month = F.col(MONTH)
+        inside = month.isNull() if low is None else month.isNull() | month.between(low, high)
+        rows = durable(replace_window(current.filter(inside).drop(MONTH), batch, date).withColumn(MONTH, _month(date)))
+        left = {NULL_FOLDER if r[0] is None else str(r[0]) for r in rows.select(MONTH).distinct().collect()}  # months of the range at most
+        there = {leaf.split("=")[1] for leaf in _folders(version) if leaf.startswith(f"{MONTH}=")}
+        self._replace(rows, version, MONTH)
+        for value in sorted(there - left):
+            if value == NULL_FOLDER or (low is not None and low <= int(value) <= high):
+                self.spark.createDataFrame([], rows.drop(MONTH).schema).write.mode("overwrite").parquet(f"{version}/{MONTH}={value}")
 
     def vacuum(self, name: str, keep: int, layer: str = "silver") -> None:
-        """Remove what the newest ``keep`` versions do not need, and what failed writes before them left."""
-        needed = {v.number for back in range(min(keep, len(self.versions(name, layer)))) for v in self._chain(name, layer, back)}
-        if not needed:
-            return
-        for version in self._seen(name, layer, whole=False):
-            if version.number not in needed and version.number < max(needed):
-                for path in (version.path, self._meta_path(version)):
-                    fs, target = self._fs(path)
-                    fs.delete(target, True)
-
-
-def marked(df: DataFrame, rule: Sequence[str]) -> DataFrame:
-    """``df`` with the hidden partition column, where the rule has one."""
-    if rule and rule[0] == "hash":
-        return df.withColumn(PART, F.pmod(F.xxhash64(*rule[1:]), F.lit(PARTS)).cast("int"))
-    if rule and rule[0] == "month":
-        day = F.col(rule[1]).cast("date")
-        return df.withColumn(PART, F.year(day) * 12 + F.month(day) - 1)
-    return df
+        """Remove all but the newest ``keep`` whole versions."""
+        for version in self.versions(name, layer)[:-keep]:
+            system, place = fs.FileSystem.from_uri(_uri(f"{self.path(name, layer)}/{version}"))
+            system.delete_dir(place)
 
 
 def merge_rows(current: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:

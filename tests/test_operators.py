@@ -419,3 +419,70 @@ def test_client_hooks_refuse_unknown_names(spark):
     for make in (lambda: Client("X", {"donor": []}), lambda: Client("X", switches=frozenset({"skip"})), lambda: c.apply("gone", None)):
         with pytest.raises(ValueError):
             make()
+
+
+# ---- periods given as rows ----------------------------------------------------------------
+
+def day_rows(rng, n):
+    return [(i, D("2020-01-01") + dt.timedelta(days=rng.choice([rng.randrange(900), 40])) if rng.random() > 0.05 else None, rng.choice("ab")) for i in range(n)]
+
+
+def period_rows(rng, n):
+    out = []
+    for y in range(n):
+        start = D("2019-11-01") + dt.timedelta(days=rng.randrange(900))
+        out.append((rng.choice("ab"), y, None if rng.random() < 0.2 else start, None if rng.random() < 0.2 else start + dt.timedelta(days=rng.randrange(-20, 500))))
+    return out
+
+
+def test_interval_join(spark):
+    rng = random.Random(11)
+    rows, periods = day_rows(rng, 400), period_rows(rng, 25)
+    r = spark.createDataFrame(rows, "id int, day date, client string")
+    p = spark.createDataFrame(periods, "client string, yr int, s date, e date")
+    holds = lambda day, s, e: day is not None and (s is None or day >= s) and (e is None or day <= e)
+    want = sorted((i, y) for i, day, c in rows for k, y, s, e in periods if c == k and holds(day, s, e))
+    got = joins.interval_join(r, "day", p, "s", "e", ["client"])
+    assert col_values(got, "id", "yr") == sorted(want, key=repr)
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+    every = joins.interval_join(r.drop("client"), "day", p.drop("client"), "s", "e")
+    assert col_values(every, "id", "yr") == sorted([(i, y) for i, day, _ in rows for _, y, s, e in periods if holds(day, s, e)], key=repr)
+    assert joins.interval_join(r.limit(0), "day", p, "s", "e", ["client"]).count() == 0
+    assert joins.interval_join(r, "day", p.limit(0), "s", "e", ["client"]).count() == 0
+
+
+def test_lifecycle_of_given_periods(spark):
+    periods = spark.createDataFrame([
+        ("A", 1, None, D("2019-12-31")), ("A", 2, D("2019-12-01"), D("2020-12-31")), ("A", 3, D("2021-03-01"), D("2021-12-31")), ("A", 4, D("2022-01-01"), None),
+        ("B", 1, None, None)], "client string, yr int, start_date date, end_date date")
+    gifts = spark.createDataFrame([
+        ("A", 7, D("2019-12-15"), 5.0), ("A", 7, D("2022-02-01"), 5.0), ("A", 8, D("2021-01-15"), 5.0), ("A", 9, D("2021-05-01"), 5.0), ("A", 9, D("2030-01-01"), 5.0),
+        ("A", 10, D("2021-05-01"), 0.0), ("B", 7, D("2021-05-01"), 5.0), ("C", 7, D("2021-05-01"), 5.0)], "client string, donor_id int, gift_date date, gift_amount double")
+    got = file_health.lifecycle_by_period(gifts, periods, "rows")
+    assert col_values(got, "client", "donor_id", "yr", "fh_group_detail") == sorted([
+        ("A", 7, 1, "New"), ("A", 7, 2, "New Last Year"), ("A", 7, 3, "Consecutive Giver2"), ("A", 7, 4, "Reacquired2"),
+        ("A", 9, 3, "New"), ("A", 9, 4, "New Last Year"), ("B", 7, 1, "New")], key=repr)
+    assert {r.report_period for r in got.filter("client = 'A' AND yr = 4").collect()} == {"01/01/2022 - open"}
+
+
+def test_priority_key_takes_the_best_form(spark):
+    rng = random.Random(12)
+    value = lambda *v: rng.choice([None, *v])
+    codes_ = [(i, rng.choice("xy"), value("c1", "c2", " c1 "), value("n1", "n2"), value("p1", "UNSOURCED-FY20"), value("2020", "2021"), value(f"k{i}", f"k{i}")) for i in range(60)]
+    gifts = [(i, rng.choice("xyz"), value("c1", "c2", "c3"), value("n1", "n2", "n3"), value("p1", "p2"), value(2020, 2021)) for i in range(200)]
+    dim = spark.createDataFrame(codes_, "i int, client string, source_code string, campaign_name string, campaign_code string, fy string, sc_key_curated string")
+    rows = spark.createDataFrame(gifts, "id int, client string, source_code string, campaign_name string, campaign_code string, gift_fy int")
+    text = lambda v: "" if v is None else str(v).strip()
+
+    def best(g):
+        _, client, code, name, camp, fy = [text(v) for v in g]
+        known = [[text(v) for v in c[:6]] + [c[6]] for c in codes_ if c[6] is not None]
+        forms = [lambda c: c[1:5] == [client, code, name, camp], lambda c: c[1:4] == [client, code, name], lambda c: c[1:3] == [client, code],
+                 lambda c: c[4].startswith("UNSOURCED-FY") and (c[1], c[5]) == (client, fy)]
+        for form in forms:
+            if found := [c for c in known if form(c)]:
+                return min(found, key=lambda c: int(c[0]))[6]
+
+    got = joins.curated_code_key(rows, dim, [F.col("i")])
+    assert col_values(got, "id", "sc_key_curated") == sorted([(g[0], best(g)) for g in gifts], key=repr)
+    assert got.columns == [*rows.columns, "sc_key_curated"]

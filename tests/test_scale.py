@@ -84,13 +84,28 @@ def test_lifecycle_plan_shuffles_gifts_once(spark, sf):
 def test_joins_derive_their_input_once(spark, sf):
     """Exchanges in the initial plan: one aggregate and one join back need five at most."""
     from donorloom.catalog import load
-    bounds = {"j01_donor_total_on_gifts": 5, "x11_cohort_flags": 25}
+    bounds = {"j01_donor_total_on_gifts": 5, "x11_cohort_flags": 25, "j05_priority_code_key": 15, "a15_broker_report": 10,
+              "x01_file_health_fy": 24, "j09_gifts_in_given_periods": 25}
     for name, most in bounds.items():
         plan = plan_of(load()[name].run(spark, sf))
         found = len(re.findall(r"Exchange (?:hash|range|Single|Identity|Round)", plan)) + plan.count("BroadcastExchange")
         assert found <= most, (name, found)
 
 
+def test_equal_rows_of_a_hot_key_are_dealt_out(spark):
+    """A third of all rows are equal; they still meet their value in many tasks."""
+    rows = spark.range(0, 9000, numPartitions=30).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
+    values = spark.range(0, 9000).select(F.col("id").alias("k"), (F.col("id") + 1).alias("w"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = scale.spread_join(rows, values, ["k"], "left", limit=100).withColumn("p", F.spark_partition_id())
+        assert out.filter("w = k + 1").count() == 9000
+        assert out.filter("k = 0").select("p").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_no_cross_join_anywhere(spark, sf):
     from donorloom.catalog import load
     for name, q in load().items():

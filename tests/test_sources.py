@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from donorloom.sources import files
 from donorloom.sources.store import Store
-from donorloom.streaming.incremental import file_stream, run_available
+from donorloom.streaming.incremental import file_stream, replace_into, run_available
 
 
 def test_read_delimited(spark, tmp_path):
@@ -79,7 +79,7 @@ def test_store_round_trips(spark, tmp_path):
     s.create("donor", {"donor_key": "object", "n": "Int64"})
     assert s.read("donor").dtypes == [("donor_key", "bigint"), ("n", "bigint")]
     s.create("donor", {"other": "object"})
-    assert s.versions("donor") == [1]
+    assert len(s.versions("donor")) == 1
     a = spark.createDataFrame([(1, 10), (2, 20)], "donor_key long, n long")
     s.append_aligned(a.withColumn("extra", F.lit("x")).unionAll(a.withColumn("extra", F.lit("x"))), "donor")
     assert s.read("donor").count() == 2
@@ -87,7 +87,7 @@ def test_store_round_trips(spark, tmp_path):
     assert sorted(tuple(r) for r in s.read("donor").collect() if r.n) == [(1, 10), (2, 21)] and s.read("donor").count() == 3
     s.seed(spark.createDataFrame([(3, 99), (4, 40)], "donor_key long, n long"), "donor", ["donor_key"])
     assert s.read("donor").filter("n = 99").count() == 0 and s.read("donor").filter("n = 40").count() == 1
-    assert s.read("donor", back=1).count() == 2
+    assert s.read("donor", back=1).count() == 2 and s.read("donor").dtypes == [("donor_key", "bigint"), ("n", "bigint")]
     s.publish("donor")
     assert s.read("donor", "curated").count() == 4
     with pytest.raises(FileNotFoundError):
@@ -114,37 +114,55 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     go()
     assert sorted((r.id, r.d) for r in s.read("gift").collect()) == [
         (1, dt.date(2020, 1, 1)), (8, dt.date(2020, 3, 1)), (9, dt.date(2020, 2, 1))]
-    assert s.versions("gift") == [1, 2]
+    assert [r.batch for r in s.read("gift_batches").orderBy("batch").collect()] == [0, 1]
+    # A batch taken before is not taken again, so it cannot undo the newer one.
+    replace_into(s, "gift", "d")(spark.createDataFrame([(1, dt.date(2020, 2, 1)), (2, dt.date(2020, 3, 1))], "id int, d date"), 0)
+    assert sorted(r.id for r in s.read("gift").collect()) == [1, 8, 9]
 
 
 def test_failed_write_does_not_lock_the_table(spark, tmp_path):
     s = Store(spark, str(tmp_path), "acme")
     s.overwrite(spark.range(3), "t")
-    (tmp_path / "silver" / "acme_t" / "v2").mkdir()
-    assert s.read("t").count() == 3
-    s.overwrite(spark.range(5), "t")
-    assert s.read("t").count() == 5 and s.versions("t") == [1, 3]
+    (tmp_path / "silver" / "acme_t" / "99990101T000000000000" / "_temporary").mkdir(parents=True)
+    assert s.read("t").count() == 3 and len(s.versions("t")) == 1
+
+
+def data_files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
 
 
 def test_writes_touch_only_their_partitions(spark, tmp_path):
     s = Store(spark, str(tmp_path), "acme")
     s.upsert(spark.range(1000).select("id", F.lit(0).alias("n")), "keyed", ["id"])
-    s.upsert(spark.createDataFrame([(5, 7), (5000, 1)], "id long, n int"), "keyed", ["id"])
     table = tmp_path / "silver" / "acme_keyed"
-    assert len([p for p in (table / "v2p").iterdir() if p.is_dir()]) <= 2 < len([p for p in (table / "v1").iterdir() if p.is_dir()])
+    before = data_files(table)
+    s.upsert(spark.createDataFrame([(5, 7), (5000, 1)], "id long, n int"), "keyed", ["id"])
+    after = data_files(table)
+    changed = {p.split("/")[-2] for p in {*before, *after} if after.get(p) != before.get(p)}
+    assert 1 <= len(changed) <= 2 < 20 < len({p.split("/")[-2] for p in before})
     assert s.read("keyed").count() == 1001 and s.read("keyed").agg(F.sum("n")).first()[0] == 8
-    assert s.read("keyed").columns == ["id", "n"] and s.read("keyed", back=1).count() == 1000
-    s.append(spark.createDataFrame([(6000, 2, "new")], "id long, n int, more string"), "keyed")
-    assert s.read("keyed").filter("more = 'new'").count() == 1 and s.versions("keyed") == [1, 2]
+    assert s.read("keyed").columns == ["id", "n"] and len(s.versions("keyed")) == 1
+    s.append(spark.createDataFrame([(6000, 2, "new")], "id int, n int, more string"), "keyed", key=["id"])
+    assert s.read("keyed").filter("more = 'new'").count() == 1
+    with pytest.raises(ValueError):
+        s.append(spark.range(1), "keyed")
     s.upsert(spark.createDataFrame([(6000, 3)], "id int, n int"), "keyed", ["id"])
     assert [tuple(r) for r in s.read("keyed").filter("id = 6000").select("id", "n", "more").collect()] == [(6000, 3, "new")]
-    s.vacuum("keyed", 1)
-    assert s.read("keyed").count() == 1002 and s.versions("keyed") == [1, 2, 4]  # 3 is what was appended to 2
     s.publish("keyed")
-    assert s.read("keyed", "curated").count() == 1002
     s.overwrite(s.read("keyed"), "keyed")
+    assert len(s.versions("keyed")) == 2
     s.vacuum("keyed", 1)
-    assert s.versions("keyed") == [5] and s.read("keyed").count() == 1002
+    assert len(s.versions("keyed")) == 1 and s.read("keyed").count() == s.read("keyed", "curated").count() == 1002
+
+
+def test_replaced_partition_leaves_the_other_files(spark, tmp_path):
+    s = Store(spark, str(tmp_path), "acme")
+    s.replace_partition(spark.createDataFrame([("fy", 1), ("cy", 2)], "period string, n int"), "t", "period")
+    kept = data_files(tmp_path / "silver" / "acme_t")
+    s.replace_partition(s.read("t").filter("period = 'cy'").withColumn("n", F.col("n") + 5), "t", "period")
+    now = data_files(tmp_path / "silver" / "acme_t")
+    assert {p for p in kept if "period=fy" in p} == {p for p in now if "period=fy" in p and now[p] == kept[p]}
+    assert sorted((r.period, r.n) for r in s.read("t").collect()) == [("cy", 7), ("fy", 1)]
 
 
 def test_range_replace_empties_months(spark, tmp_path):
@@ -152,16 +170,10 @@ def test_range_replace_empties_months(spark, tmp_path):
     schema = "id int, d date"
     day = lambda m, d: dt.date(2020, m, d)
     s.replace_range(spark.createDataFrame([(1, day(1, 5)), (2, day(2, 5)), (3, day(3, 5)), (4, day(4, 5)), (5, None)], schema), "gift", "d")
+    before = data_files(tmp_path / "silver" / "acme_gift")
     s.replace_range(spark.createDataFrame([(9, day(1, 20)), (8, day(3, 20))], schema), "gift", "d")
     assert sorted(r.id for r in s.read("gift").collect()) == [1, 4, 8, 9]
-    assert sorted(p.name for p in (tmp_path / "silver" / "acme_gift" / "v2p").iterdir() if p.is_dir()) == ["_part=24240", "_part=24242"]
-
-
-def test_many_small_writes_are_joined(spark, tmp_path, monkeypatch):
-    from donorloom.sources import store
-    monkeypatch.setattr(store, "CHAIN", 3)
-    s = Store(spark, str(tmp_path), "acme")
-    for n in range(6):
-        s.upsert(spark.createDataFrame([(n % 2, n)], "id int, n int"), "t", ["id"])
-    assert sorted(tuple(r) for r in s.read("t").collect()) == [(0, 4), (1, 5)]
-    assert len(s._chain("t", "silver")) <= 4
+    after = data_files(tmp_path / "silver" / "acme_gift")
+    april = [p for p in before if "_month=24243" in p]
+    assert april and all(after[p] == before[p] for p in april)
+    assert s.read("gift").columns == ["id", "d"]
