@@ -27,6 +27,7 @@ WIDE = 48  # words of more characters go through the agenda one by one
 _WORD = re.compile(f" *[^ \n{SPACE}]+| +|[\n{SPACE}]")  # no merge crosses these borders
 NONE = np.int64(-1)
 NOWHERE = np.uint64(2 ** 64 - 1)  # no place of a candidate
+MASK, LOW = 2 ** 64 - 1, 2 ** 40 - 1
 STEP = np.uint64(0x9E3779B97F4A7C15)  # between the states of splitmix64
 
 
@@ -49,6 +50,7 @@ class Model:
         normal = [not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)) for i in range(n)]
         self.ids = {p: i for i, p in enumerate(names) if normal[i]}
         self.scores = np.array([sp.get_score(i) for i in range(n)])
+        self.rank = np.unique(-self.scores, return_inverse=True)[1].tolist()  # best score first, equal for equal scores
         self.bytes = np.array([next((i for i in range(n) if sp.is_byte(i) and int(names[i][1:-1], 16) == b), -1) for b in range(256)], np.int32)
         if (self.bytes < 0).any():
             raise ValueError("the model has no byte pieces, so not every text can be decoded")
@@ -142,27 +144,39 @@ def _skipped(word: np.ndarray, place: np.ndarray, dropout: float) -> np.ndarray:
     return (_mix(word ^ place) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53 < dropout
 
 
+def _hashed(x: int) -> int:
+    """``_mix`` of one value."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
 def agenda(model: Model, word: str, key: int, dropout: float) -> list[int]:
     """Symbols of one word by an agenda of candidate merges: best score first, leftmost first among equals; a candidate
     whose hash says so is skipped when its turn comes. NONE stands for a character that no piece has."""
     sym = [int(model.chars[ord(c)]) for c in word]
     n = len(sym)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    queue: list[tuple[float, int, int, int, int, int, int]] = []
-    word_key = _mix(np.array([key], np.uint64))
+    word_key, limit = _hashed(key & MASK), dropout * 2.0 ** 53
+    pairs, rank, queue = model.pairs, model.rank, []  # the queue holds rank of the merge and character as one number
 
     def offer(i: int) -> None:
         j = after[i]
-        if i >= 0 and j < n and (m := model.pairs.get((sym[i], sym[j]))) is not None:
-            heapq.heappush(queue, (-model.scores[m], i, j, after[j], sym[i], sym[j], m))
+        if j < n and (m := pairs.get((sym[i], sym[j]))) is not None:
+            heapq.heappush(queue, rank[m] << 40 | i)
 
     for i in range(n - 1):
         offer(i)
     while queue:
-        _, i, j, e, a, b, m = heapq.heappop(queue)
-        if sym[i] != a or after[i] != j or sym[j] != b or after[j] != e:
-            continue
-        if dropout > 0 and _skipped(word_key, np.array([i << 42 ^ j << 21 ^ e], np.uint64), dropout)[0]:
+        first = heapq.heappop(queue)
+        i = first & LOW
+        j = after[i]
+        m = pairs.get((sym[i], sym[j])) if j < n else None
+        if m is None or rank[m] != first >> 40:
+            continue  # one of the two has merged otherwise since
+        e = after[j]
+        # The place of the candidate as in ``_place``; from character 2**22 on its first number loses its upper bits.
+        if dropout > 0 and _hashed(word_key ^ ((i << 42 ^ j << 21 ^ e) & MASK)) >> 11 < limit:
             continue
         sym[i], sym[j], after[i] = m, -2, e
         if e < n:

@@ -251,6 +251,18 @@ def test_pieces(spark, docs, none):
     assert rows_of(sentencepieces.encode_documents(none, vocabulary(PIECES))) == []
 
 
+def test_words_beyond_every_place():
+    """Characters beyond 2**22 of one word: places wrap around, and the segmentation is still whole."""
+    model = sentencepieces.load(vocabulary(PIECES))
+    text = "漢" * (2 ** 22 + 100) + "understanding" * 20
+    ids, ends = sentencepieces.encode(model, [text], [3], 42, 0.2)
+    assert sentencepieces.decode(model, ids, ends) == [text]
+    place = sentencepieces._place(np.array([2 ** 23 + 5]), np.array([2 ** 23 + 6]), np.array([2 ** 23 + 7]))
+    i = 2 ** 23 + 5
+    assert int(place[0]) == (i << 42 ^ (i + 1) << 21 ^ (i + 2)) % 2 ** 64
+    assert sentencepieces._hashed(12345 << 40) == int(sentencepieces._mix(np.array([12345 << 40], np.uint64))[0])
+
+
 def test_sentencepiece_occurrences(spark):
     model = sentencepieces.load(vocabulary(PIECES))
     model.clear()
