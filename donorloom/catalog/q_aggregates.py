@@ -221,12 +221,24 @@ def a29(spark, d):
     return agg.correlations(r, r.columns).withColumn("r", F.round("r", 8))
 
 
-@query("a28_donor_clusters")
+@query("a28_donor_clusters", with_views("gift", "mail").rstrip() + """
+, newest AS (SELECT max(gift_fy) AS fy FROM gift),
+y AS (SELECT donor_id FROM gift, newest WHERE gift_fy = fy GROUP BY 1),
+m AS (SELECT DISTINCT donor_id FROM mail, newest WHERE year(mail_date) + CASE WHEN month(mail_date) >= 7 THEN 1 ELSE 0 END = fy)
+SELECT count(*) AS donors, least(10, count(*)) AS clusters, CAST(0 AS BIGINT) AS misplaced FROM y JOIN m USING (donor_id)""")
 def a28(spark, d):
+    """Donors clustered, clusters with donors, and donors that another centre is nearer to."""
     m = campaigns.frequent_donors(tables.gifts(spark, d), tables.mailings(spark, d), F.lit("2001-09-01").cast("date"), newest_year(spark, d), START, 1e9)
     columns = ["recency", "frequency", "monetary", "year_revenue", "times_mailed"]
     m = m.select("donor_id", *[F.col(c).cast("double").alias(c) for c in columns])
-    return agg.donor_clusters(m, columns).groupBy("cluster").agg(F.count(F.lit(1)).alias("donors"))
+    rows, centres = agg.donor_clusters(m, columns)
+    z = [f"_z{i}" for i in range(len(columns))]
+    listed = centres.agg(F.collect_list(F.struct(F.col("cluster"), F.array(*z).alias("c")))).scalar()
+    square = lambda c: F.aggregate(F.zip_with(F.array(*z), c["c"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    rows = rows.withColumn("centres", listed).withColumn("squares", F.transform("centres", lambda c: F.struct(square(c).alias("d"), c["cluster"].alias("k"))))
+    own = F.filter("squares", lambda x: x["k"] == F.col("cluster"))[0]["d"]
+    return rows.agg(F.count(F.lit(1)).alias("donors"), F.count_distinct("cluster").alias("clusters"),
+                    F.count_if(own > F.array_min("squares")["d"] * (1 + 1e-12)).alias("misplaced"))
 
 
 @query("a30_non_giver_shares", with_views("gift", "mail").rstrip() + """

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from donorloom.functions.rules import sure
-from donorloom.operators.scale import attach, durable
+from donorloom.operators.scale import attach, durable, exact_quantiles
 
 MAJOR_GIFT = 10000
 
@@ -233,18 +233,41 @@ def value_flags(df: DataFrame, key: str, value: str, values: Sequence) -> DataFr
         F.coalesce(F.max(F.col(value) == v), F.lit(False)).alias(f"{value}_{v}") for v in values])
 
 
-def donor_clusters(df: DataFrame, columns: Sequence[str], clusters: int = 10, seed: int = 42) -> DataFrame:
-    """K-means on standardised measures. A null measure is an error, so no donor is left out."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
-    steps = Pipeline(stages=[
-        VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="error"),
-        StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
-        KMeans(featuresCol="_scaled", predictionCol="cluster", k=clusters, seed=seed),
-    ])
-    # The fit passes over its input many times; a checkpoint keeps it from recomputing the joins before.
-    df = durable(df)
-    return steps.fit(df).transform(df).drop("_raw", "_scaled")
+def donor_clusters(df: DataFrame, columns: Sequence[str], clusters: int = 10, rounds: int = 20) -> tuple[DataFrame, DataFrame]:
+    """K-means on standardised measures: the rows with their ``cluster``, and the centres.
+
+    The start does not depend on partitions: rows are ranked by the sum of their
+    standardised measures and cut at exact percentiles into as many groups as there
+    are clusters; their means are the first centres. A round assigns every row to the
+    nearest centre (ties to the first) and takes means again; it ends when no centre
+    moves, or after ``rounds``. A cluster without rows keeps its centre. The driver
+    holds the centres only. A null measure is an error, so no donor is left out.
+    """
+    spark = df.sparkSession
+    z = [f"_z{i}" for i in range(len(columns))]
+    df = durable(df)  # it is passed over once a round
+    stats = df.agg(*[F.struct(F.avg(c), F.stddev_samp(c), F.count_if(F.col(c).isNull())) for c in columns]).first()
+    if any(nulls for _, _, nulls in stats):
+        raise ValueError("a measure is null")
+    scaled = df.withColumns({n: (F.col(c) - F.lit(mean)) / F.lit(spread or 1.0) for n, c, (mean, spread, _) in zip(z, columns, stats)})
+    scaled = scaled.withColumn("_sum", sum((F.col(n) for n in z), F.lit(0.0)))
+    edges = [r["value"] for r in exact_quantiles(scaled, "_sum", [i / clusters for i in range(1, clusters)]).orderBy("p").collect()]
+    edges = [e for e in edges if e is not None]  # clusters - 1 values
+    group = sum(((F.col("_sum") > F.lit(e)).cast("int") for e in edges), F.lit(0))
+    means = lambda rows: {r["cluster"]: list(r)[1:] for r in rows.groupBy("cluster").agg(*[F.avg(n) for n in z]).collect()}
+    centres = means(scaled.withColumn("cluster", group))
+
+    def assigned() -> DataFrame:
+        squares = [F.struct(sum(((F.col(n) - F.lit(v)) * (F.col(n) - F.lit(v)) for n, v in zip(z, centre)), F.lit(0.0)).alias("d"), F.lit(k).alias("k"))
+                   for k, centre in sorted(centres.items())]
+        return scaled.withColumn("cluster", F.array_min(F.array(*squares))["k"] if squares else F.lit(0))
+
+    for _ in range(rounds):
+        new = centres | means(assigned())
+        moved = max((abs(a - b) for k in new for a, b in zip(new[k], centres[k])), default=0.0)
+        centres = new
+        if moved < 1e-9:
+            break
+    found = spark.createDataFrame([(k, *map(float, c)) for k, c in sorted(centres.items())], "cluster int, " + ", ".join(f"{n} double" for n in z))
+    return assigned().drop("_sum"), found
 

@@ -133,14 +133,37 @@ def compare_profiles(new: DataFrame, old: DataFrame, keys: Sequence[str], value:
     return both.groupBy(*keys).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
+DIFF_BUCKETS = 1 << 16
+
+
+def _in_differing_buckets(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of those hash buckets of the key in which the two sides (weights 1 and -1) are not the same rows.
+
+    Per bucket the signed sums of two 64-bit row hashes, in halves, are all zero
+    where the sides agree; a wrong zero is as unlikely as a collision of 128 bits. One
+    narrow grouping of at most ``DIFF_BUCKETS`` rows a task, and equal tables are done.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(DIFF_BUCKETS)).cast("int")
+    hashes = [F.xxhash64(key, "row"), F.xxhash64(F.lit("second"), key, "row")]
+    halves = [half for h in hashes for half in (h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
+    sums = [F.sum(F.col("w") * half).alias(f"h{i}") for i, half in enumerate(halves)]
+    unlike = F.lit(False)
+    for i in range(len(halves)):
+        unlike = unlike | (F.col(f"h{i}") != 0)
+    found = durable(rows.groupBy(bucket.alias("_bucket")).agg(F.sum("w").alias("n"), *sums).filter(unlike | (F.col("n") != 0)).select("_bucket"))
+    if found.count() > DIFF_BUCKETS // 2:
+        return rows  # most buckets differ: sorting them out would not spare much
+    return rows.withColumn("_bucket", bucket).join(F.broadcast(found), "_bucket", "left_semi").drop("_bucket")
+
+
 def table_diff(left: DataFrame, right: DataFrame, key: str, ignore: Sequence[str] = ()) -> DataFrame:
     """All differing rows with a ``side``: left_only, left_changed, right_only or right_changed.
 
-    Rows that are on both sides cancel, as often as they are there, by one grouping
-    on the whole row, whatever its key. Of what is left, the n-th row of a key on
-    the left is matched with its n-th row on the right (repeated keys are numbered
-    by a hash of the row). Cells that agree (both null included) are blanked on
-    changed rows.
+    Digests by key bucket tell where the tables differ; only those rows are
+    shuffled, once, to stand by their key. Where a key is repeated, equal rows of
+    both sides cancel first, as often as they are there, and of what is left the
+    n-th row on the left is matched with the n-th on the right (by a hash of the
+    row). Cells that agree (both null included) are blanked on changed rows.
     """
     columns = sorted((set(left.columns) | set(right.columns)) - {key} - set(ignore))
     kinds = dict(right.dtypes) | dict(left.dtypes)
@@ -149,16 +172,21 @@ def table_diff(left: DataFrame, right: DataFrame, key: str, ignore: Sequence[str
         row = F.struct(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in columns])
         return df.select(F.col(key).cast(kinds[key]).alias(key), row.alias("row"), F.lit(weight).alias("w"))
 
-    rest = packed(left, 1).unionByName(packed(right, -1)).groupBy(key, "row").agg(F.sum("w").alias("w")).filter("w <> 0")
-    rest = rest.select(key, "row", (F.col("w") > 0).alias("is_left"), F.explode(F.sequence(F.lit(1), F.abs("w").cast("int"))).alias("copy"))
-    mix = F.xxhash64("row")
-    rest = number_rows(rest, [key, "is_left"], [F.shiftright(mix, 44)], [mix, F.col("row"), F.col("copy")], "nth")
-    pairs = rest.groupBy(key, "nth").agg(F.max(F.when(F.col("is_left"), F.col("row"))).alias("l"),
-                                         F.max(F.when(~F.col("is_left"), F.col("row"))).alias("r"))
     same = F.lit(True)
     for c in columns:
         same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-    changed = pairs.filter(F.col("l").isNull() | F.col("r").isNull() | ~same)
+    unlike = F.col("l").isNull() | F.col("r").isNull() | ~same
+    both = _in_differing_buckets(packed(left, 1).unionByName(packed(right, -1)), key)
+    repeated = (F.col("nl") > 1) | (F.col("nr") > 1)
+    by_key = durable(both.groupBy(key).agg(
+        F.count_if(F.col("w") > 0).alias("nl"), F.count_if(F.col("w") < 0).alias("nr"), F.max(F.when(F.col("w") > 0, F.col("row"))).alias("l"),
+        F.max(F.when(F.col("w") < 0, F.col("row"))).alias("r")).filter(repeated | unlike))
+    changed = by_key.filter(~repeated).select(key, "l", "r")
+    again = by_key.filter(repeated)
+    if not again.isEmpty():
+        again = again.select(F.col(key).alias("_key"))
+        rest = both.join(again, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        changed = changed.unionByName(_matched(rest, key).filter(unlike).select(key, "l", "r"))
 
     def blanked(mine: str, other: str) -> Column:
         cells = [F.when(F.col(other).isNull() | ~F.col(f"{mine}.{c}").eqNullSafe(F.col(f"{other}.{c}")),
@@ -174,6 +202,16 @@ def table_diff(left: DataFrame, right: DataFrame, key: str, ignore: Sequence[str
     return out.filter(F.col("d").isNotNull() & some).select(key, "d.*")
 
 
+def _matched(rows: DataFrame, key: str) -> DataFrame:
+    """(key, nth, l, r) of weighted rows that do not cancel."""
+    rest = rows.groupBy(key, "row").agg(F.sum("w").alias("w")).filter("w <> 0")
+    rest = rest.select(key, "row", (F.col("w") > 0).alias("is_left"), F.explode(F.sequence(F.lit(1), F.abs("w").cast("int"))).alias("copy"))
+    mix = F.xxhash64("row")
+    rest = number_rows(rest, [key, "is_left"], [F.shiftright(mix, 44)], [mix, F.col("row"), F.col("copy")], "nth")
+    return rest.groupBy(key, "nth").agg(F.max(F.when(F.col("is_left"), F.col("row"))).alias("l"),
+                                        F.max(F.when(~F.col("is_left"), F.col("row"))).alias("r"))
+
+
 def _side(name: str) -> str:
     return {"l": "left", "r": "right"}[name]
 

@@ -252,8 +252,8 @@ def exact_quantiles(df: DataFrame, value: str, points: Sequence[float]) -> DataF
     the distinct values of one finest bucket. The wanted ranks are two per point,
     so the joins with them broadcast a handful of rows.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("n"))
+    counted = durable(df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(
+        F.count(F.lit(1)).alias("n")))  # read once a level
     fine = counted.withColumn("fine", _ordered_bucket(F.col("v")))
     level = lambda k: F.shiftright("fine", LEVEL_BITS * (LEVELS - k))
     holds = lambda start: (F.col("rank") >= start) & (F.col("rank") < start + F.col("bn"))

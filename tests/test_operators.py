@@ -486,3 +486,52 @@ def test_priority_key_takes_the_best_form(spark):
     got = joins.curated_code_key(rows, dim, [F.col("i")])
     assert col_values(got, "id", "sc_key_curated") == sorted([(g[0], best(g)) for g in gifts], key=repr)
     assert got.columns == [*rows.columns, "sc_key_curated"]
+
+
+def test_clusters_follow_lloyd_from_the_ranked_start(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(size=(80, 3)) + c for c in ([0, 0, 0], [6, 0, 1], [0, 7, 3], [9, 9, 9])])
+    rows = [(i, *map(float, v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double")
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    total = z.sum(1)
+    edges = [np.percentile(total, 100 * i / 5) for i in range(1, 5)]
+    label = (total[:, None] > np.array(edges)[None]).sum(1)
+    centres = np.array([z[label == k].mean(0) for k in range(5)])
+    for _ in range(20):
+        label = ((z[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        centres = np.array([z[label == k].mean(0) if (label == k).any() else centres[k] for k in range(5)])
+    for parts in (1, 7):  # partitions do not matter
+        got, found = aggregates.donor_clusters(df.repartition(parts), ["a", "b", "c"], 5)
+        assert [r.cluster for r in got.orderBy("id").collect()] == label.tolist()
+        assert np.allclose([list(r)[1:] for r in found.orderBy("cluster").collect()], centres)
+    with pytest.raises(ValueError):
+        aggregates.donor_clusters(spark.createDataFrame([(1, None)], "id int, a double"), ["a"], 2)
+
+
+def test_table_diff_against_plain_rows(spark):
+    rng = random.Random(13)
+    for trial in range(3):
+        side = lambda n: [(rng.choice([None, *range(40)]), rng.choice(["x", "y", None]), rng.randrange(3)) for _ in range(n)]
+        common = side(60) if trial else [(i, "x", 1) for i in range(300)]
+        left, right = common + side(15 if trial else 2), common + side(15 if trial else 0)
+        frame = lambda rows: spark.createDataFrame(rows, "k int, t string, n int").repartition(3)
+        out = joins.table_diff(frame(left), frame(right), "k").collect()
+        spare = lambda a, b: {r: a.count(r) - b.count(r) for r in set(a) if a.count(r) > b.count(r)}
+        only_left, only_right = spare(left, right), spare(right, left)
+        n_left, n_right = {}, {}
+        for counts, into in ((only_left, n_left), (only_right, n_right)):
+            for r, n in counts.items():
+                into[r[0]] = into.get(r[0], 0) + n
+        want = {}
+        for k in {*n_left, *n_right}:
+            a, b = n_left.get(k, 0), n_right.get(k, 0)
+            want[k] = (a - min(a, b), b - min(a, b), min(a, b))
+        for k, (l_only, r_only, pairs) in want.items():
+            got = [r.side for r in out if r.k == k]
+            # A side that is blank altogether says nothing, so there may be fewer rows than pairs.
+            assert got.count("left_only") <= l_only and got.count("right_only") <= r_only and len(got) <= l_only + r_only + 2 * pairs
+            assert not pairs or got.count("left_changed") + got.count("right_changed") >= pairs
+        assert {r.k for r in out} <= set(want)
+        assert joins.table_diff(frame(common), frame(list(reversed(common))), "k").count() == 0
