@@ -186,3 +186,51 @@ def q01b(spark, d):
     now = s.read("gift", "curated").agg(F.count(F.lit(1)).alias("gifts"))
     return spark.range(1).select(F.lit("before").alias("attempt"), F.lit(before).alias("published"), F.lit(0).cast("long").alias("gifts")).unionAll(
         now.select(F.lit("forced"), F.lit(True), "gifts"))
+
+
+# ---- a client's whole run --------------------------------------------------------------------
+
+def stepping_in(**more):
+    """A client with a step at every point of the run from raw text to the base tables."""
+    c = F.col
+    return hooks.Client("ACME", {
+        "parse": [lambda t: t.withColumns({"channel": c("appeal"), "source_code": F.upper("source_code"), "campaign_code": F.upper("source_code"),
+                                           "campaign_name": F.lit(None).cast("string")}).drop("appeal")],
+        "raw_source_codes": [lambda k: k.withColumn("mail_date", F.try_to_timestamp("mailed", F.lit("dd.MM.yyyy")).cast("date")).drop("mailed")],
+        "initiate_codes": [lambda k, t: k.join(t.select(F.lower("source_code").alias("source_code")).distinct(), "source_code", "left_semi"), lambda k, t: upper_codes(k)],
+        "update_codes": [lambda k: k.withColumn("campaign_group", F.substring("source_code", 1, 2))],
+        "names": [lambda k: k.withColumn("campaign_name", F.concat(F.lit("Campaign "), "source_code"))],
+        "filters": [lambda p: p.withColumn("program", F.when(c("channel") < "3", "Urgent").otherwise("Other"))],
+        "campaign_performance": [lambda p: p.withColumn("large", (c("gift_amount") >= 100000).cast("int"))],
+        "dataset_filters": [lambda p: p.filter(c("campaign_group").isNotNull() | (c("source_code") == "ZZ"))],
+    }, **more)
+
+
+@query("u03_standard_run", with_views("raw", "code").rstrip() + """
+, t AS (SELECT k, CAST(replace(donor_id, '.0', '') AS BIGINT) AS donor, gift_amount, CASE WHEN appeal_category < '3' THEN 'Urgent' ELSE 'Other' END AS program,
+  CASE WHEN k % 10 = 0 THEN 'ZZ' WHEN k % 10 = 1 THEN 'YY' ELSE 'B' || (k % 5 + 1) || (k % 5 + 1) END AS source_code FROM raw WHERE donor_id <> 'nan' AND gift_amount <> 0),
+c AS (SELECT DISTINCT campaign_code AS source_code FROM code WHERE campaign_code IN (SELECT source_code FROM t)),
+p AS (SELECT t.*, c.source_code IS NOT NULL AS known FROM t LEFT JOIN c USING (source_code))
+SELECT 'performance' AS part, source_code, CASE WHEN known THEN 'Campaign ' || source_code END AS campaign_name, program, count(*) AS n,
+  CAST(sum(CASE WHEN gift_amount >= 100000 THEN 1 ELSE 0 END) AS BIGINT) AS large FROM p WHERE known OR source_code = 'ZZ' GROUP BY ALL
+UNION ALL SELECT 'gift', NULL, NULL, NULL, count(*), NULL FROM t UNION ALL SELECT 'donor', NULL, NULL, NULL, count(DISTINCT donor), NULL FROM t
+UNION ALL SELECT 'source_code', source, NULL, NULL, n, NULL FROM (VALUES ('load_source_codes', (SELECT count(*) FROM c)),
+  ('inferred from trx', (SELECT count(DISTINCT source_code) FROM p WHERE NOT known))) v(source, n)""")
+def u03_run(spark, d):
+    c = F.col
+    key = F.regexp_extract("Gift ID", "^[0-9]+", 0).cast("long")
+    code = F.when(key % 10 == 0, "zz").when(key % 10 == 1, "yy").otherwise(F.concat(F.lit("b"), key % 5 + 1, key % 5 + 1))
+    raw = tables.raw_gifts(spark, d).withColumn("Source Code", code)
+    codes = tables.parts(spark, d).groupBy(F.lower("campaign_code").alias("source_code")).agg(
+        F.min("package_name").alias("package_name"), F.date_format(F.make_date(F.lit(1997), (F.min("part_id") % 12 + 1).cast("int"), F.lit(1)), "dd.MM.yyyy").alias("mailed")).select(
+        "*", F.upper("source_code").alias("campaign_code"), F.lit(None).cast("string").alias("campaign_name"))
+    s = Store(spark, scratch(spark), "ACME")
+    run.ingest(s, stepping_in(), raw, codes, {"appeal_category": "appeal"}, [], START)
+    none = F.lit(None).cast("string")
+    report = s.read("campaign_performance").groupBy(F.lit("performance").alias("part"), "source_code", "campaign_name", "program").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("large").alias("large"))
+    count = lambda name: s.read(name).select(F.lit(name).alias("part"), none.alias("source_code"), none.alias("campaign_name"), none.alias("program")).groupBy(
+        "part", "source_code", "campaign_name", "program").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("long").alias("large"))
+    kinds = s.read("source_code").filter("source <> 'unsourced fallbacks'").groupBy(F.lit("source_code").alias("part"), "source").agg(
+        F.count_distinct("source_code").alias("n")).select("part", c("source").alias("source_code"), none.alias("campaign_name"), none.alias("program"), "n", F.lit(None).cast("long").alias("large"))
+    return report.unionAll(count("gift")).unionAll(count("donor")).unionAll(kinds)

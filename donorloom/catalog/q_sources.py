@@ -9,7 +9,7 @@ from donorloom.functions.clean import strip_point_zero, whole_number
 from donorloom.functions.dates import fiscal_year
 from donorloom.operators.setops import replace_window, union_aligned
 from donorloom.plans.base_tables import ingest_clean
-from donorloom.sources import files, tables
+from donorloom.sources import derived, files, tables
 from donorloom.sources.mixed import BAD_LINE, read_mixed
 from donorloom.sources.store import Store
 from donorloom.streaming.incremental import file_stream, run_available
@@ -240,6 +240,36 @@ def s21(spark, d):
                          files.lenient_date(F.col("Gift_Date")).alias("gift_date")).orderBy(F.desc("gift_date"))
 
 
+@query("s21_derived_kinds", with_views("raw", "mail").rstrip() + """
+, g AS (SELECT k, gift_date, CASE WHEN gift_date >= DATE '1998-01-01' THEN gift_date END AS since FROM raw)
+SELECT 'staged' AS kind, CAST(k AS VARCHAR) || '.0' AS id, CAST(gift_date AS VARCHAR) AS day, NULL AS other FROM g
+UNION ALL SELECT 'staged_since', CAST(k AS VARCHAR) || '.0', CAST(since AS VARCHAR), NULL FROM g WHERE since IS NOT NULL
+UNION ALL SELECT 'campaign_performance', CASE WHEN gift_id % 5 <> 0 THEN CAST(gift_id AS VARCHAR) END, CASE WHEN gift_id % 7 <> 0 THEN CAST(mail_date + 9 AS VARCHAR) END, CAST(mail_date AS VARCHAR) FROM mail
+UNION ALL SELECT 'lifecycle_sorted', CAST(k AS VARCHAR) || '.0', CAST(gift_date AS VARCHAR), NULL FROM g
+UNION ALL SELECT 'pledges', CAST(k AS VARCHAR) || '.0', CAST(gift_date AS VARCHAR), NULL FROM g""")
+def s21b(spark, d):
+    """Staged gifts, campaign performance, lifecycle and pledges as earlier runs leave them, each scanned by its kind."""
+    folder, c = scratch(spark), F.col
+    raw = tables.raw_gifts(spark, d).select(c("Gift ID").alias("GiftID"), c("Gift Date").alias("GiftDate"), c("Gift Type").alias("GiftType"))
+    raw.write.option("header", True).csv(folder + "/staged")
+    raw.write.parquet(folder + "/staged_parquet")
+    raw.withColumnRenamed("GiftDate", "Recurring Gift Start").write.option("header", True).csv(folder + "/pledges")
+    m = tables.mailings(spark, d)
+    m.select(
+        F.when(c("gift_id") % 5 == 0, "nan").otherwise(F.concat(c("gift_id").cast("string"), F.lit(".0"))).alias("GiftID"),
+        F.when(c("gift_id") % 7 == 0, "no date").otherwise(F.date_format(F.date_add("mail_date", 9), "M/d/yyyy")).alias("GiftDate"),
+        c("mail_date").alias("MailDate"), "revenue").write.option("header", True).csv(folder + "/performance")
+    names = {"GiftID": "gift_id", "GiftDate": "gift_date", "MailDate": "mail_date", "Recurring Gift Start": "recurring_gift_start"}
+    scan = lambda path, kind, **more: derived.scan_derived(spark, f"{folder}/{path}", kind, "ACME", names, **more)
+    row = lambda df, kind, day, other=None: df.filter("client = 'ACME'").select(
+        F.lit(kind).alias("kind"), c("gift_id").alias("id"), c(day).alias("day"), (c(other) if other else F.lit(None).cast("date")).alias("other"))
+    return (row(scan("staged", "staged"), "staged", "gift_date")
+            .unionAll(row(scan("staged_parquet", "staged_since", since=1998, parquet=True, columns=["gift_id", "gift_date"]), "staged_since", "gift_date"))
+            .unionAll(row(scan("performance", "campaign_performance"), "campaign_performance", "gift_date", "mail_date"))
+            .unionAll(row(scan("staged", "lifecycle_sorted"), "lifecycle_sorted", "gift_date"))
+            .unionAll(row(scan("pledges", "pledges"), "pledges", "recurring_gift_start")))
+
+
 @query("s22_streamed_window_replace", with_views("gift", more="batch AS (SELECT * FROM gift WHERE gift_fy = 1999)") + BASIC.replace("FROM gift", """FROM gift WHERE gift_date < (SELECT min(gift_date) FROM batch)
   OR gift_date > (SELECT max(gift_date) FROM batch) UNION ALL SELECT gift_id + 10000000, donor_id, CAST(gift_date AS VARCHAR), CAST(gift_amount AS DOUBLE) FROM batch"""))
 def s22(spark, d):

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from donorloom.operators import quality
+from donorloom.operators.joins import outer_with_codes
 from donorloom.plans import base_tables
 from donorloom.plans.hooks import Client
+from donorloom.session import durable
 from donorloom.sources.store import Store
 
 TABLES = ("gift", "donor", "source_code")
@@ -29,6 +32,31 @@ def log(store: Store, process: str, step: str) -> None:
     store.append(quality.status_rows(store.spark, store.client, process, step), LOG)
 
 
+def ingest(
+    store: Store, client: Client, raw: DataFrame, raw_codes: DataFrame, renames: Mapping[str, str], suppressions: Sequence[tuple], start_month: int,
+) -> None:
+    """A delivery from raw text to the base tables, through every point at which a client may step in.
+
+    Gifts become typed transactions (``parse``). Raw source codes are mended
+    (``raw_source_codes``, ``initiate_codes`` with the transactions beside them), made
+    standard, updated (``update_codes``) and named (``names``). Gifts and codes
+    together are the campaign performance, with the client's dimensions
+    (``filters``), measures (``campaign_performance``) and choice of rows
+    (``dataset_filters``, unless ``skip_campaign_filters``). Both tables are written before
+    the base tables are built from the same transactions and codes.
+    """
+    store.overwrite(client.apply("parse", base_tables.transactions(raw, renames, suppressions, client.name, start_month)), "transactions")
+    trx = store.read("transactions")
+    codes = client.apply("initiate_codes", client.apply("raw_source_codes", raw_codes), trx)
+    codes = durable(client.apply("names", client.apply("update_codes", base_tables.standard_source_codes(codes, client.name, start_month))))
+    performance = client.apply("filters", outer_with_codes(trx, codes, "source_code"))
+    performance = client.apply("campaign_performance", performance)
+    if not client.has("skip_campaign_filters"):
+        performance = client.apply("dataset_filters", performance)
+    store.overwrite(performance, "campaign_performance")
+    build(store, client, trx, codes, start_month)
+
+
 def build(store: Store, client: Client, trx: DataFrame, codes: DataFrame, start_month: int) -> None:
     """Gift, donor and source-code tables into the silver layer, with a result for each check.
 
