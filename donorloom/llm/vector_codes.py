@@ -11,7 +11,8 @@ rounded outwards, so codes are those of a plain assignment. ``b`` follows the
 measured counts: it falls to where keeping bounds and comparing cost least.
 
 A round is one pass over the written table of the last round; a task reads
-batches, writes the same rows with new bounds, and adds its sums for each entry.
+batches, writes the same rows with new bounds, and adds its sums for each entry;
+then the table before it goes, so two are held at a time.
 The driver sees codebooks only (16 entries of each part).
 """
 
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -213,6 +215,12 @@ def next_nearest(levels: list[int], b: int, entries: int) -> int:
     return min(range(min(1, b), b + 1), key=lambda n: (total * n + beyond(n) * 2 * entries, n))
 
 
+def _remove(folder: str) -> None:
+    """Delete a table of this run in the shared folder."""
+    system, place = fs.FileSystem.from_uri("file://" + folder.removeprefix("file:") if folder.startswith(("/", "file:/")) and "//" not in folder else folder)
+    system.delete_dir(place)
+
+
 @dataclass
 class Coded:
     codes: DataFrame  # vec_id, key, code, error
@@ -262,6 +270,8 @@ def train_and_code(vectors: DataFrame, codec: Codec = Codec()) -> Coded:
             if part >= 0:
                 books[part, entry] = [s // n for s in sums]
         moves = _up(np.sqrt(((books - old) ** 2).sum(2).astype(float)))
+        if number:  # the round before has been read for the last time
+            _remove(f"{folder}/round-{number - 1}")
         state = written.filter(~F.col("summary")).select("vec_id", "key", "v", "near", "low")
         used.append(b)
         seen.append(found[(-1, -1)][1])
