@@ -128,7 +128,8 @@ def lifecycle_by_period(gifts: DataFrame, periods: DataFrame, period: str, last:
     bounds = durable(periods.select("client", "yr", "start_date", "end_date"))
     paid = gifts.filter(F.coalesce(F.col("gift_amount"), F.lit(0)) > 0).select(*keys, "gift_date")
     given = interval_join(paid, "gift_date", bounds, "start_date", "end_date", ["client"])
-    donors = given.groupBy(*keys).agg(F.array_sort(F.collect_set("yr")).alias("_g"))
+    # Durable, as the join below counts its clients first; a client that is a constant would also leave it without a key.
+    donors = durable(given.groupBy(*keys).agg(F.array_sort(F.collect_set("yr")).alias("_g")))
     # One array per client, of as many entries as it has periods.
     listed = bounds.groupBy("client").agg(F.array_sort(F.collect_list(F.struct("yr", "start_date", "end_date"))).alias("_periods"))
     line = spread_join(donors, listed, ["client"], "inner").withColumn(
