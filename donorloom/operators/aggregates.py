@@ -14,10 +14,6 @@ from donorloom.operators.scale import attach, durable, exact_quantiles
 MAJOR_GIFT = 10000
 
 
-def ratio(top: Column, bottom: Column) -> Column:
-    return F.when(bottom != 0, top / bottom)
-
-
 def half_up(value: Column, places: int) -> Column:
     """Decimal rounding of a double by floor(x * 10^n + 0.5) / 10^n."""
     scale = float(10 ** places)
