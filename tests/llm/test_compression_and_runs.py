@@ -6,7 +6,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from donorloom.llm import line_runs, periodic, queries, vector_codes
 
