@@ -10,7 +10,7 @@ from donorloom.functions.bands import RECENCY
 from donorloom.functions.dates import fiscal_year, month_spine, newest_window, register_fiscal_from_date
 from donorloom.functions.rules import classify, is_in
 from donorloom.operators import joins, setops
-from donorloom.operators.windows import second_gift
+from donorloom.operators.windows import next_gift_days, second_gift
 from donorloom.plans import base_tables, campaigns, file_health, hooks, response_curve, sustainers
 from donorloom.sources import tables
 
@@ -484,6 +484,79 @@ def x16c(spark, d):
     return response_curve.flow_table(flow, "campaign", CODES)
 
 
+# ---- curves of greatest likelihood: letters thank for a gift day, responses are the donor's next gift days ----
+
+PSI_SQL = "(ln({a} + 8) - 1 / (2 * ({a} + 8)) - 1 / (12 * pow({a} + 8, 2)) + 1 / (120 * pow({a} + 8, 4)) - 1 / (252 * pow({a} + 8, 6)) + 1 / (240 * pow({a} + 8, 8)) - " + " - ".join(
+    f"1 / ({{a}} + {k})" for k in range(8)) + ")"
+
+
+def best_shape_sql(name: str, source: str) -> str:
+    """View with ln(a) - digamma(a) = gap for each row of ``source``, by halving; a lies between 1 / (2 gap) and 1 / gap."""
+    low = f"ln((lo + hi) / 2) - {PSI_SQL.format(a='((lo + hi) / 2)')} > gap"
+    return f"""{name}_h AS (SELECT 0 AS i, campaign, k, gap, 0.5 / gap AS lo, 1 / gap AS hi FROM {source}
+  UNION ALL SELECT i + 1, campaign, k, gap, CASE WHEN {low} THEN (lo + hi) / 2 ELSE lo END, CASE WHEN {low} THEN hi ELSE (lo + hi) / 2 END FROM {name}_h WHERE i < 60),
+{name} AS (SELECT campaign, k, (lo + hi) / 2 AS a FROM {name}_h WHERE i = 60)"""
+
+
+def weighted_mean_sql(f: str) -> str:
+    return f"list_sum(list_transform(range(1, len(xs) + 1), lambda j: ws[j] * {f})) / n"
+
+
+LOGS = weighted_mean_sql("ln(xs[j] + (near + far) / 2)")
+INVERSES = weighted_mean_sql("1 / (xs[j] + (near + far) / 2)")
+LIKELY_VIEWS = f"""nx AS (SELECT strftime(gift_date, '%Y-%m') AS campaign, date_diff('day', gift_date, lead(gift_date) OVER (PARTITION BY donor_id ORDER BY gift_date)) AS x
+  FROM (SELECT DISTINCT donor_id, gift_date FROM gift)),
+hs AS (SELECT campaign, x, CAST(count(*) AS DOUBLE) AS w FROM nx WHERE x IS NOT NULL GROUP BY 1, 2),
+cs AS (SELECT campaign, sum(w) AS n, CAST(min(x) AS DOUBLE) AS mn, sum(w * x) / sum(w) - min(x) AS above, sqrt((sum(w * x * x) - sum(w * x) * sum(w * x) / sum(w)) / sum(w)) AS sd,
+  list(CAST(x AS DOUBLE) ORDER BY x) AS x0, list(w ORDER BY x) AS ws FROM hs GROUP BY 1 HAVING count(*) > 1),
+cp AS (SELECT * EXCLUDE (x0), list_transform(x0, lambda v: v - mn) AS xs FROM cs),
+gr AS (SELECT *, 0.5 * pow(greatest(8 * sd / 0.5, 2), k / 16.0) AS d FROM (SELECT *, unnest(range(0, 17)) AS k FROM cp)),
+gp AS (SELECT *, ln(above + d) - {weighted_mean_sql("ln(xs[j] + d)")} AS gap FROM gr),
+{best_shape_sql('s1', 'gp')},
+hg AS (SELECT campaign, k, d, -a * ln((above + d) / a) - lgamma(a) + (a - 1) * (ln(above + d) - gap) - a AS height FROM gp JOIN s1 USING (campaign, k)),
+tp AS (SELECT campaign, arg_max(k, height) AS top FROM hg GROUP BY 1),
+rf AS (SELECT 0 AS i, campaign, max(d) FILTER (k = greatest(top - 1, 0)) AS near, max(d) FILTER (k = top + 1) AS far FROM hg JOIN tp USING (campaign) WHERE top < 16 GROUP BY campaign
+  UNION ALL SELECT i + 1, campaign, CASE WHEN rises THEN near ELSE (near + far) / 2 END, CASE WHEN rises THEN (near + far) / 2 ELSE far END FROM (
+    SELECT i, campaign, near, far, ln(above + (near + far) / 2) - logs > ln(lv / (lv - 1)) - {PSI_SQL.format(a='(lv / (lv - 1))')} AS rises FROM (
+      SELECT i, campaign, near, far, above, {LOGS} AS logs, (above + (near + far) / 2) * {INVERSES} AS lv FROM rf JOIN cp USING (campaign) WHERE i < 40))),
+fd AS (SELECT campaign, 0 AS k, n, mn, above, (near + far) / 2 AS d, ln(above + (near + far) / 2) - {LOGS} AS gap FROM rf JOIN cp USING (campaign) WHERE i = 40),
+{best_shape_sql('s2', 'fd')},
+lf AS (SELECT campaign, CAST(n AS BIGINT) AS n, a AS shape, mn - d AS loc, (above + d) / a AS scale FROM fd JOIN s2 USING (campaign) WHERE a BETWEEN 0.3 AND 5)"""
+
+
+def likely_sql(more: str = "") -> str:
+    return with_views("gift", more=LIKELY_VIEWS + more).replace("WITH", "WITH RECURSIVE", 1)
+
+
+def thanks_days(spark, d):
+    """One row per donor and gift day: its month as campaign and the days to the donor's next gift day."""
+    return next_gift_days(tables.gifts(spark, d), "donor_id", "gift_date").select(
+        F.date_format("gift_date", "yyyy-MM").alias("campaign"), F.col("days_to_next").alias("days")).filter("days IS NOT NULL")
+
+
+@query("x14_likelihood_fit", likely_sql() + "SELECT campaign, n, round(shape, 6) AS shape, round(loc, 6) AS loc, round(scale, 6) AS scale FROM lf")
+def x14d(spark, d):
+    fits = response_curve.fit_likelihood(thanks_days(spark, d), "campaign")
+    return fits.withColumns({c: F.round(c, 6) for c in ("shape", "loc", "scale")})
+
+
+@query("x16_likelihood_flow", likely_sql(""",
+mb AS (SELECT strftime(gift_date, '%Y-%m') AS campaign, CAST(date_trunc('month', min(gift_date)) AS DATE) AS md, sum(gift_amount) AS budget FROM gift GROUP BY 1),
+b1 AS (SELECT campaign, md, budget, shape AS a, loc AS l, scale AS b, unnest(range(0, 12)) AS i FROM lf JOIN mb USING (campaign)),
+b2 AS (SELECT *, CAST(md + to_months(CAST(i AS INTEGER)) AS DATE) AS month, date_diff('day', md, last_day(CAST(md + to_months(CAST(i AS INTEGER)) AS DATE))) - l AS hi,
+  CASE WHEN i = 0 THEN 0 ELSE date_diff('day', md, last_day(CAST(md + to_months(CAST(i - 1 AS INTEGER)) AS DATE))) END - l AS lo FROM b1),
+b3 AS (SELECT campaign, month, budget, CASE WHEN hi <= 0 THEN 0 WHEN hi / b > 200 THEN 1 ELSE """ + CDF_SQL.format(z="(hi / b)", a="a") + """ END AS c1,
+  CASE WHEN lo <= 0 THEN 0 WHEN lo / b > 200 THEN 1 ELSE """ + CDF_SQL.format(z="(lo / b)", a="a") + """ END AS c0 FROM b2)""") + """
+SELECT campaign, CAST(month AS VARCHAR) AS month, CAST(CAST(round(least(c1, 1) - least(c0, 1), 6) AS DECIMAL(9,6)) AS DOUBLE) AS share,
+  CAST(CAST(budget AS DECIMAL(18,2)) * CAST(round(least(c1, 1) - least(c0, 1), 6) AS DECIMAL(9,6)) AS DOUBLE) AS amount FROM b3""")
+def x16d(spark, d):
+    fits = response_curve.fit_likelihood(thanks_days(spark, d), "campaign").drop("n")
+    month = F.date_format("gift_date", "yyyy-MM").alias("campaign")
+    letters = tables.gifts(spark, d).groupBy(month).agg(
+        F.trunc(F.min("gift_date"), "month").alias("mail_date"), F.sum("gift_amount").alias("budget"))
+    return response_curve.cash_flow(fits.join(letters, "campaign"), "campaign", "mail_date", "budget")
+
+
 @query("x17_campaign_counts", with_views("mail") + 'SELECT campaign_code, count(*) AS "count", CAST(min(mail_date) AS VARCHAR) AS first_mail_date FROM mail GROUP BY 1')
 def x17(spark, d):
     return campaigns.campaign_counts(tables.mailings(spark, d))

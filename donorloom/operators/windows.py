@@ -98,6 +98,12 @@ def days_since_previous(df: DataFrame, donor: str, date: str, tie: str) -> DataF
     return out.withColumn("days_since_previous", gap).drop("_first", "_prev")
 
 
+def next_gift_days(df: DataFrame, donor: str, date: str) -> DataFrame:
+    """One row per donor and gift day with the days to the donor's next one; null on the last."""
+    days = df.select(donor, date).distinct()
+    return days.withColumn("days_to_next", F.datediff(F.lead(date).over(W.partitionBy(donor).orderBy(date)), date))
+
+
 def mean_gap(df: DataFrame, donor: str, date: str) -> DataFrame:
     """Average days between gifts: the differences of a sorted list add up to its range."""
     span = F.datediff(F.max(date), F.min(date))

@@ -128,6 +128,67 @@ def test_gamma_distribution(spark):
     assert edge[:] == (0.0, 1.0)
 
 
+def _plain_fit(days):
+    """Three parameters of greatest likelihood by plain searches with the library's bound on the start."""
+    import numpy as np
+    days = np.array(days, float)
+
+    def given_start(loc):
+        y = days - loc
+        level = math.log(y.mean()) - np.log(y).mean()
+        height = lambda a: -a * math.log(y.mean() / a) - math.lgamma(a) + (a - 1) * np.log(y).mean() - a
+        lo, hi = 0.5 / level, 1 / level
+        for _ in range(200):  # golden section on a concave function
+            one, two = hi - (hi - lo) * 0.6180339887, lo + (hi - lo) * 0.6180339887
+            lo, hi = (lo, two) if height(one) > height(two) else (one, hi)
+        return height((lo + hi) / 2), (lo + hi) / 2
+    starts = days.min() - np.geomspace(0.5, 8 * days.std(), 400)
+    at = max(range(len(starts)), key=lambda i: given_start(starts[i])[0])
+    for _ in range(3):
+        starts = np.linspace(starts[max(at - 1, 0)], starts[min(at + 1, len(starts) - 1)], 60)
+        at = max(range(len(starts)), key=lambda i: given_start(starts[i])[0])
+    shape = given_start(starts[at])[1]
+    return shape, starts[at], (days - starts[at]).mean() / shape
+
+
+def test_likelihood_fit_equals_a_plain_search(spark):
+    import numpy as np
+    r = np.random.default_rng(11)
+    made = {"late": np.floor(r.gamma(2.0, 30.0, 3000) + 10), "near": np.floor(r.gamma(4.0, 12.0, 2000)),
+            "steep": np.floor(r.gamma(0.8, 40.0, 1500)), "negative": np.floor(r.gamma(1.5, 20.0, 800)) - 30}
+    rows = [(c, int(v)) for c, values in made.items() for v in values]
+    left_out = [("even", int(v)) for v in r.integers(0, 365, 1000)] + [("mirrored", -int(v)) for v in made["late"]]
+    left_out += [("one", 3), ("same", 5), ("same", 5), ("unknown", 1), ("unknown", 9), ("unknown", None)]
+    got = {x.c: x for x in response_curve.fit_likelihood(
+        spark.createDataFrame(rows + left_out, "c string, days int"), "c").collect()}
+    assert set(got) == set(made)
+    for c, values in made.items():
+        shape, loc, scale = _plain_fit(values)
+        assert got[c].n == len(values)
+        assert got[c]["shape"] == pytest.approx(shape, rel=2e-3), c
+        assert got[c]["loc"] == pytest.approx(loc, abs=0.05), c
+        assert got[c]["scale"] == pytest.approx(scale, rel=2e-3), c
+    assert got["steep"]["loc"] == pytest.approx(made["steep"].min() - 0.5)
+    assert got["late"]["shape"] == pytest.approx(2.0, abs=0.25) and got["late"]["scale"] == pytest.approx(30, abs=3)
+    empty = spark.createDataFrame([], "c string, days int")
+    assert response_curve.fit_likelihood(empty, "c").count() == 0
+    with pytest.raises(ValueError):
+        response_curve.fit_likelihood(empty, "c", (0.3, 80.0))
+
+
+def test_gamma_derivatives(spark):
+    """Differences of log_gamma, and the recurrences of both derivatives."""
+    for a in (0.05, 0.3, 1.0, 4.5, 40.0):
+        x = F.lit(a)
+        row = spark.range(1).select(
+            response_curve.digamma(x).alias("d"), response_curve.digamma(x + 1).alias("d1"),
+            response_curve.trigamma(x).alias("t"), response_curve.trigamma(x + 1).alias("t1")).first()
+        h = a * 1e-5
+        assert row.d == pytest.approx((math.lgamma(a + h) - math.lgamma(a - h)) / (2 * h), rel=1e-5, abs=1e-6)
+        assert row.d1 - row.d == pytest.approx(1 / a, rel=1e-9)
+        assert row.t - row.t1 == pytest.approx(1 / (a * a), rel=1e-9)
+
+
 def test_monthly_shares_add_up(spark):
     one = spark.createDataFrame([("c", dt.date(2024, 1, 15), 1000.0, 1.8, 0.0, 24.0)], "c string, m date, b double, shape double, loc double, scale double")
     flow = response_curve.cash_flow(one, "c", "m", "b")
