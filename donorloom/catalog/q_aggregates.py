@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from donorloom.catalog.base import START, newest_year, query, with_views
+from donorloom.catalog.base import START, newest_year, query, scratch, with_views
 from donorloom.catalog.q_dates import band_sql
 from donorloom.functions.bands import MONETARY
 from donorloom.functions.dates import fiscal_year
 from donorloom.operators import aggregates as agg
 from donorloom.operators.scale import exact_quantiles, most_common
-from donorloom.plans import campaigns
+from donorloom.plans import campaigns, profiles
 from donorloom.sources import tables
+from donorloom.sources.store import Store
 
 LEVEL_SQL = band_sql("greatest(floor({amount}), 1)", MONETARY, "No GiftLevelID")
 
@@ -151,6 +152,7 @@ def a20(spark, d):
 
 
 PROFILE = ["gift_id", "donor_id", "gift_date", "gift_amount", "channel", "gift_type"]
+NUMBERS = ["gift_id", "donor_id", "gift_amount"]
 
 
 @query("a21_column_profile", with_views("gift", more="h AS (SELECT gift_id, donor_id, gift_date, gift_amount, CASE WHEN gift_type <> 'P' THEN channel END AS channel, gift_type FROM gift)") + " UNION ALL ".join(
@@ -161,6 +163,43 @@ def a21(spark, d):
     return agg.column_profile(g.select(*PROFILE))
 
 
+def stored_sketches(spark, d):
+    """Sketches of the gifts by fiscal year, written once; the newest year's are renewed as a delivery would."""
+    g = tables.gifts(spark, d).withColumns({"year": fiscal_year(F.col("gift_date"), START), "channel": F.when(F.col("gift_type") != "P", F.col("channel"))})
+    newest = newest_year(spark, d)
+    s = Store(spark, scratch(spark), "ACME")
+    s.overwrite(profiles.sketch_rows(g, "year", PROFILE), "profile", partition=["year"])
+    s.replace_partition(profiles.sketch_rows(g.filter(F.col("year") == newest), "year", PROFILE), "profile", "year")
+    return g, s.read("profile"), newest
+
+
+@query("a20_a21_profile_from_sketches", with_views("gift", more="h AS (SELECT gift_id, donor_id, gift_date, gift_amount, CASE WHEN gift_type <> 'P' THEN channel END AS channel, gift_type FROM gift)") + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS total, count({c}) AS filled, count(*) - count({c}) AS "null", {"CAST(min({0}) AS DOUBLE) AS low, CAST(max({0}) AS DOUBLE)".format(c) if c in NUMBERS else "NULL AS low, NULL"} AS high,
+  true AS distinct_within, {"true" if c in NUMBERS else "NULL"} AS quantiles_within FROM h""" for c in PROFILE))
+def a21b(spark, d):
+    # The estimates are held against exact counts: of different values, and of the values below each quantile.
+    g, sketches, _ = stored_sketches(spark, d)
+    found = profiles.profile(sketches, POINTS)
+    exact = agg.column_profile(g.select(*PROFILE)).select("column", F.col("unique").alias("exact"))
+    numbers = g.select([F.col(c).cast("double").alias(c) for c in NUMBERS]).unpivot([], NUMBERS, "column", "v")
+    values = numbers.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    below = values.join(found.select("column", F.posexplode("quantiles").alias("i", "q")), "column").groupBy("column", "i").agg(
+        F.sum(F.when(F.col("v") < F.col("q"), F.col("n")).otherwise(0)).alias("lt"), F.sum(F.when(F.col("v") <= F.col("q"), F.col("n")).otherwise(0)).alias("le"), F.sum("n").alias("n"))
+    point = F.element_at(F.array(*[F.lit(p) for p in POINTS]), F.col("i") + 1)
+    good = below.groupBy("column").agg(F.bool_and((F.col("lt") / F.col("n") <= point + 2 * profiles.RANK_BOUND) & (F.col("le") / F.col("n") >= point - 2 * profiles.RANK_BOUND)).alias("quantiles_within"))
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(profiles.DISTINCT_BOUND * F.col("exact"), F.lit(1))
+    return found.join(exact, "column").join(good, "column", "left").select("column", "total", "filled", "null", "low", "high", near.alias("distinct_within"), "quantiles_within")
+
+
+@query("a22_profile_change", with_views("gift", more="h AS (SELECT *, gift_fy < (SELECT max(gift_fy) FROM gift) AS old FROM (SELECT * REPLACE (CASE WHEN gift_type <> 'P' THEN channel END AS channel) FROM gift))") + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) FILTER (old) AS total_before, count(*) AS total_now, count({c}) FILTER (old) AS filled_before, count({c}) AS filled_now, {"true" if c in NUMBERS else "NULL"} AS alike FROM h""" for c in PROFILE))
+def a22c(spark, d):
+    # The version without the newest fiscal year against the whole; a fourteenth of the rows cannot move a distribution far.
+    _, sketches, newest = stored_sketches(spark, d)
+    return profiles.change(sketches.filter(F.col("year") < newest), sketches).select(
+        "column", "total_before", "total_now", "filled_before", "filled_now", (F.col("shift") < 0.2).alias("alike"))
+
+
 @query("a22_non_null_counts", with_views("gift", more="h AS (SELECT gift_id, CASE WHEN gift_type <> 'P' THEN channel END AS channel FROM gift)") + """
 SELECT 'gift_id' AS "column", count(gift_id) AS filled FROM h UNION ALL SELECT 'channel', count(channel) FROM h""")
 def a22(spark, d):
