@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_KEY = ("client", "dataset", "check")
@@ -21,10 +21,44 @@ def checks_from_row(row: DataFrame, client: str, dataset: str, checks: Sequence[
     return row.select(F.explode(F.array(*results)).alias("x")).select("x.*")
 
 
+def measured(df: DataFrame, measures: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` whose next run, a write as a rule, computes the measures in its own pass.
+
+    Take the last step before the write: an executor lost after an earlier stage
+    could have its rows counted twice.
+    """
+    seen = Observation()
+    return df.observe(seen, *[c.alias(name) for name, c in measures.items()]), seen
+
+
+def one_row(spark: SparkSession, values: Mapping[str, object]) -> DataFrame:
+    """Measures as a row, to be turned into results."""
+    return spark.range(1).select(*[F.lit(v).alias(name) for name, v in values.items()])
+
+
+def transaction_measures(date: str = "gift_date", amount: str = "gift_amount") -> dict[str, Column]:
+    """What ``transaction_checks`` and the amounts' reconciliation need of the transactions."""
+    positive = F.coalesce(F.col(amount), F.lit(0)) > 0
+    day = F.when(positive, F.col(date))
+    return {
+        "n": F.count("gift_date"), "no_donor": F.count_if(F.col("donor_id").isNull()), "no_gift": F.count_if(F.col("gift_id").isNull()),
+        "low": F.min(day), "high": F.max(day), "staged": F.sum(F.when(positive, F.col(amount)))}
+
+
+def amount_measures(found: Mapping[str, object], date: str = "gift_date", amount: str = "gift_amount") -> dict[str, Column]:
+    """The gift table's total in the date range of the transactions."""
+    if found["low"] is None:
+        return {"gift": F.sum(F.lit(None).cast("decimal(38,2)"))}
+    return {"gift": F.sum(F.when(F.col(date).between(F.lit(found["low"]), F.lit(found["high"])), F.col(amount)))}
+
+
 def transaction_checks(trx: DataFrame, client: str, minimum: int = 100) -> DataFrame:
     """Volume and missing ids, in one pass."""
-    row = trx.agg(F.count("gift_date").alias("n"), F.count_if(F.col("donor_id").isNull()).alias("no_donor"),
-                  F.count_if(F.col("gift_id").isNull()).alias("no_gift"))
+    measures = transaction_measures()
+    return transaction_results(trx.agg(*[measures[c].alias(c) for c in ("n", "no_donor", "no_gift")]), client, minimum)
+
+
+def transaction_results(row: DataFrame, client: str, minimum: int = 100) -> DataFrame:
     return checks_from_row(row, client, "transactions", [
         ("volume", F.concat(F.lit("Record count: "), F.col("n")), F.col("n") <= minimum, "error"),
         ("donor ids present", F.concat(F.col("no_donor"), F.lit(" records missing donor_id")), F.col("no_donor") > 0, "warning"),
@@ -39,7 +73,11 @@ def reconcile_amounts(staged: DataFrame, gifts: DataFrame, date: str, amount: st
     inside = gifts.filter((F.col(date) >= low) & (F.col(date) <= high))
     both = positive.select(F.col(amount).alias("s"), F.lit(None).alias("g")).unionByName(
         inside.select(F.lit(None).alias("s"), F.col(amount).alias("g")))
-    row = both.agg(F.round(F.sum("s"), 0).cast("long").alias("s"), F.round(F.sum("g"), 0).cast("long").alias("g"))
+    return amount_results(both.agg(F.sum("s").alias("staged"), F.sum("g").alias("gift")), client)
+
+
+def amount_results(row: DataFrame, client: str) -> DataFrame:
+    row = row.select(F.round("staged", 0).cast("long").alias("s"), F.round("gift", 0).cast("long").alias("g"))
     return checks_from_row(row, client, "gift", [
         ("amount compared to staged", F.concat_ws(", ", F.concat(F.lit("staged: "), F.col("s")),
                                                   F.concat(F.lit("gift: "), F.col("g"))),

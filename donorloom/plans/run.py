@@ -45,7 +45,9 @@ def ingest(
     (``dataset_filters``, unless ``skip_campaign_filters``). Both tables are written before
     the base tables are built from the same transactions and codes.
     """
-    store.overwrite(client.apply("parse", base_tables.transactions(raw, renames, suppressions, client.name, start_month)), "transactions")
+    parsed = client.apply("parse", base_tables.transactions(raw, renames, suppressions, client.name, start_month))
+    parsed, seen = quality.measured(parsed, quality.transaction_measures())
+    store.overwrite(parsed, "transactions")
     trx = store.read("transactions")
     codes = client.apply("initiate_codes", client.apply("raw_source_codes", raw_codes), trx)
     codes = durable(client.apply("names", client.apply("update_codes", base_tables.standard_source_codes(codes, client.name, start_month))))
@@ -54,22 +56,29 @@ def ingest(
     if not client.has("skip_campaign_filters"):
         performance = client.apply("dataset_filters", performance)
     store.overwrite(performance, "campaign_performance")
-    build(store, client, trx, codes, start_month)
+    build(store, client, trx, codes, start_month, seen.get)
 
 
-def build(store: Store, client: Client, trx: DataFrame, codes: DataFrame, start_month: int) -> None:
+def build(
+    store: Store, client: Client, trx: DataFrame, codes: DataFrame, start_month: int, found: Mapping[str, object] | None = None,
+) -> None:
     """Gift, donor and source-code tables into the silver layer, with a result for each check.
 
     ``trx`` has gift_id, donor_id, gift_date, gift_amount, channel, gift_type, source_code, campaign_code and
     campaign_name; ``codes`` is the standard source-code table with campaign_group. Codes that only
-    gifts know and a placeholder per year are added to it.
+    gifts know and a placeholder per year are added to it. ``found`` are the transactions' measures if
+    their write has counted them; otherwise one pass does. The gift table is counted by its own write.
     """
     codes = client.apply("source_codes", codes)
     missing = client.apply("missing_codes", base_tables.inferred_codes(trx, codes, client.name, start_month))
     every = codes.unionByName(missing, allowMissingColumns=True).unionByName(
         base_tables.unsourced_years(trx, client.name, start_month), allowMissingColumns=True)
     store.overwrite(every, "source_code")
-    store.overwrite(base_tables.gift_table(trx, store.read("source_code")), "gift")
+    if found is None:
+        measures = quality.transaction_measures()
+        found = trx.agg(*[c.alias(name) for name, c in measures.items()]).first().asDict()
+    table, seen = quality.measured(base_tables.gift_table(trx, store.read("source_code")), quality.amount_measures(found))
+    store.overwrite(table, "gift")
     gifts = store.read("gift")
     client.notify("gifts", gifts)
     donors = base_tables.donor_table(gifts, start_month)
@@ -79,9 +88,10 @@ def build(store: Store, client: Client, trx: DataFrame, codes: DataFrame, start_
     results = [quality.donor_key_checks(keyed(store.read("donor")), keyed(gifts), client.name),
                quality.source_code_checks(store.read("source_code"), gifts, client.name)]
     if not client.has("skip_trx_qa"):
-        results.append(quality.transaction_checks(trx, client.name))
+        results.append(quality.transaction_results(quality.one_row(store.spark, found), client.name))
     if not client.has("skip_gift_qa"):
-        results.append(quality.reconcile_amounts(trx, gifts, "gift_date", "gift_amount", client.name))
+        totals = {"staged": found["staged"], **seen.get}
+        results.append(quality.amount_results(quality.one_row(store.spark, totals), client.name))
     record(store, reduce(DataFrame.unionByName, results))
 
 

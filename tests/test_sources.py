@@ -177,3 +177,25 @@ def test_range_replace_empties_months(spark, tmp_path):
     april = [p for p in before if "_month=24243" in p]
     assert april and all(after[p] == before[p] for p in april)
     assert s.read("gift").columns == ["id", "d"]
+
+
+def test_checks_are_counted_by_the_writes(spark, tmp_path):
+    """Measures of the writes give the results of the checks that scan, also on an empty table; no scan only to count."""
+    import datetime as dt
+    from decimal import Decimal
+    from donorloom.operators import quality
+    schema = "gift_id string, donor_id string, gift_date date, gift_amount decimal(12,2)"
+    rows = [(str(i) if i % 50 else None, f"d{i % 40}" if i % 30 else None, dt.date(2020, 1, 1) + dt.timedelta(i % 300), Decimal(i % 90) - 5) for i in range(400)]
+    rows.append(("late", "d1", dt.date(2030, 1, 1), Decimal(0)))  # nothing positive then: outside the range
+    for name, data in (("full", rows), ("empty", []), ("no positive amount", [("1", "d", dt.date(2020, 1, 1), Decimal(-3))])):
+        staged = spark.createDataFrame(data, schema)
+        table, seen = quality.measured(staged, quality.transaction_measures())
+        table.write.parquet(f"{tmp_path}/{name}/transactions")
+        found = seen.get
+        gifts, counted = quality.measured(staged.filter("gift_amount <> 7"), quality.amount_measures(found))
+        gifts.write.parquet(f"{tmp_path}/{name}/gift")
+        got = quality.transaction_results(quality.one_row(spark, found), "A").unionByName(
+            quality.amount_results(quality.one_row(spark, {"staged": found["staged"], **counted.get}), "A"))
+        want = quality.transaction_checks(staged, "A").unionByName(
+            quality.reconcile_amounts(staged, staged.filter("gift_amount <> 7"), "gift_date", "gift_amount", "A"))
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), name
