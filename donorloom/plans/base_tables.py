@@ -12,9 +12,10 @@ from donorloom.functions.codes import client_campaign, default_campaign_name, in
 from donorloom.functions.dates import fiscal_year
 from donorloom.operators.dedupe import first_by, with_made_ids
 from donorloom.operators.filters import suppress, usable_gifts
-from donorloom.operators.joins import membership_flag, missing_codes
+from donorloom.operators.joins import missing_codes
 from donorloom.operators.scale import attach, dense_index, first_value, last_value, most_common, rising
 from donorloom.operators.windows import first_gift_order, gift_numbers
+from donorloom.session import durable, stored
 
 JOIN_COLUMNS = ("gift_id", "gift_amount", "channel", "gift_type")
 
@@ -43,8 +44,13 @@ def transactions(
 
 
 def gift_table(trx: DataFrame, codes: DataFrame, code: str = "campaign_code") -> DataFrame:
-    """Tracked-campaign flag and the number of each gift in its donor's history."""
-    flagged = membership_flag(trx, code, codes, code, "tracked_campaign")
+    """Tracked-campaign flag and the number of each gift in its donor's history.
+
+    The flag is joined to a stored table of the distinct codes: Spark knows its size and broadcasts it
+    if it is small, so that the gifts are not shuffled for it; otherwise AQE splits a heavy code.
+    """
+    known = stored(codes.select(code).dropna().distinct().withColumn("tracked_campaign", F.lit(True)))
+    flagged = trx.join(known, code, "left").withColumn("tracked_campaign", F.coalesce("tracked_campaign", F.lit(False)))
     return gift_numbers(flagged, "donor_id", "gift_date", "gift_amount", "gift_id")
 
 
@@ -113,10 +119,13 @@ def inferred_codes(gifts: DataFrame, codes: DataFrame, client: str, start_month:
     code = F.when(~F.col("source_code").isin("", "NONE"), F.col("source_code"))
     # Never null itself, so that rows with neither code nor name keep their date as well.
     key = F.struct(F.concat(F.coalesce("source_code", "campaign_name"), F.lit("_"), fy.cast("string")).alias("k"))
-    absent = missing_codes(gifts.withColumn("source_code", code), codes, "source_code")
-    rows = absent.select("source_code", "campaign_code", "campaign_name", "gift_date", key.alias("_key"))
+    # Gifts count only by their first date, so their combinations are looked up instead of them, and derived once.
+    group = ["source_code", "campaign_code", "campaign_name", "_key"]
+    combined = durable(gifts.select(code.alias("source_code"), "campaign_code", "campaign_name", "gift_date").withColumn(
+        "_key", key).groupBy(*group).agg(F.min("gift_date").alias("gift_date")))
+    rows = missing_codes(combined, codes, "source_code")
     first = rows.groupBy("_key").agg(F.min("gift_date").alias("mail_date"))
-    rows = rows.drop("gift_date").distinct().join(first, "_key").drop("_key")
+    rows = rows.drop("gift_date").join(first, "_key").drop("_key")
     out = rows.withColumn("fy", fiscal_year(F.col("mail_date"), start_month)).distinct()
     groups = most_common(codes.select("campaign_code", "campaign_group").distinct(), ["campaign_code"],
                          "campaign_group", "campaign_group")

@@ -12,7 +12,7 @@ from donorloom.operators import quality
 from donorloom.operators.joins import outer_with_codes
 from donorloom.plans import base_tables
 from donorloom.plans.hooks import Client
-from donorloom.session import durable
+from donorloom.session import durable, stored
 from donorloom.sources.store import Store
 
 TABLES = ("gift", "donor", "source_code")
@@ -67,16 +67,18 @@ def build(
     ``trx`` has gift_id, donor_id, gift_date, gift_amount, channel, gift_type, source_code, campaign_code and
     campaign_name; ``codes`` is the standard source-code table with campaign_group. Codes that only
     gifts know and a placeholder per year are added to it. ``found`` are the transactions' measures if
-    their write has counted them; otherwise one pass does. The gift table is counted by its own write.
+    their write has counted them, and they are read from there; otherwise they are stored and counted
+    first, as several steps read them. The gift table is counted by its own write.
     """
+    if found is None:
+        trx, counted = quality.measured(trx, quality.transaction_measures())
+        trx = stored(trx)
+        found = counted.get
     codes = client.apply("source_codes", codes)
     missing = client.apply("missing_codes", base_tables.inferred_codes(trx, codes, client.name, start_month))
     every = codes.unionByName(missing, allowMissingColumns=True).unionByName(
         base_tables.unsourced_years(trx, client.name, start_month), allowMissingColumns=True)
     store.overwrite(every, "source_code")
-    if found is None:
-        measures = quality.transaction_measures()
-        found = trx.agg(*[c.alias(name) for name, c in measures.items()]).first().asDict()
     table, seen = quality.measured(base_tables.gift_table(trx, store.read("source_code")), quality.amount_measures(found))
     store.overwrite(table, "gift")
     gifts = store.read("gift")

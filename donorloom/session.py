@@ -59,3 +59,14 @@ def durable(df: DataFrame) -> DataFrame:
     """Compute ``df`` now and cut its lineage by a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Compute ``df`` now, once, as Parquet in the shared folder.
+
+    For wide tables that are read several times: smaller than a checkpoint, a reader
+    takes only the columns it needs, and Spark knows the size.
+    """
+    folder = new_folder(df.sparkSession, "stored")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

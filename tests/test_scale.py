@@ -34,6 +34,33 @@ def test_numbering_splits_hot_groups(skewed):
         assert {r.gift_id: r.n for r in got.collect()} == expected
 
 
+def test_base_run_derives_its_transactions_once(spark, tmp_path):
+    from donorloom.plans import hooks, run
+    from donorloom.sources.store import Store
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(i):
+        seen.add(1)
+        return i
+    i = F.col("id")
+    trx = spark.range(0, 300, numPartitions=3).select(
+        counted("id").alias("gift_id"), (i % 40).alias("donor_id"), F.date_add(F.lit(dt.date(2020, 1, 1)), i.cast("int")).alias("gift_date"),
+        (i % 9).cast("decimal(12,2)").alias("gift_amount"), F.lit("mail").alias("channel"), F.lit("gift").alias("gift_type"),
+        F.concat(F.lit("S"), (i % 7).cast("string")).alias("source_code"), F.concat(F.lit("C"), (i % 3).cast("string")).alias("campaign_code"),
+        F.lit(None).cast("string").alias("campaign_name"))
+    codes = spark.createDataFrame([("S1", "C1", "g", dt.date(2020, 1, 1), "n", "load_source_codes")],
+                                  "source_code string, campaign_code string, campaign_group string, mail_date date, campaign_name string, source string")
+    store = Store(spark, str(tmp_path), "ACME")
+    run.build(store, hooks.Client("ACME"), trx, codes, 7)
+    assert seen.value == 300
+    gifts = store.read("gift")
+    # Codes that only gifts know are added to the table before it is looked up, so their campaigns count as tracked.
+    assert gifts.count() == 300 and gifts.filter("tracked_campaign").count() == 300
+    assert store.read("source_code").filter("source = 'inferred from trx'").select("source_code").distinct().count() == 6
+    assert {(r["check"], r.detail): r.fail for r in store.read(run.RESULTS).collect()}[("volume", "Record count: 300")] == 0
+
+
 def test_skewed_first_and_as_of(skewed):
     first = keep_first(skewed, ["donor_id"], [F.col("gift_date"), F.col("gift_id")])
     assert first.count() == 41 and first.filter("donor_id = 0").first().gift_id == 0
