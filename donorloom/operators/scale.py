@@ -173,19 +173,27 @@ def number_rows(
     """Row number inside ``keys``, counting from 1.
 
     ``buckets`` are coarse forms of the sort order, outermost first (day, then
-    amount, ...); each must rise along ``order`` inside the ones before it. A
-    window sees one (key, first bucket) group at a time. A bucket's offset is a
-    running sum over the bucket counts of its key, a table with one row per
-    (key, bucket). Heavy groups are taken out before the shuffle and numbered by
-    the next bucket; where there are none, that branch is empty at run time and
-    AQE drops it. The join and the window share one shuffle of the other rows.
+    amount, ...); each must rise along ``order`` inside the ones before it. A key
+    of up to ``limit`` rows is numbered by one window, after one shuffle of its
+    rows. Heavier keys are taken out before it, and a window sees one (key, first
+    bucket) group of theirs at a time. A bucket's offset is a running sum over the
+    bucket counts of its key, a table with one row per (key, bucket). Heavy groups
+    are again taken out before the shuffle and numbered by the next bucket; where
+    there are none, that branch is empty at run time and AQE drops it.
     Nulls are values like others in keys and buckets, and must come first in
     ``order`` where a bucket is null; a struct of null flag and value puts them last.
     """
     # A struct is never null itself, so that plain equality also joins null keys.
     held = {f"_key{i}": F.struct(F.col(k).alias("k")) for i, k in enumerate(keys)}
     wrapped = [F.struct(b.alias("b")) for b in buckets]
-    return _number(df.withColumns(held), list(held), wrapped, order, name, limit, 0).drop(*held)
+    rows, keys = df.withColumns(held), list(held)
+    if not keys:
+        return _number(rows, keys, wrapped, order, name, limit, 0)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    heavy = F.broadcast(heavy_groups(counts, keys, "_size", limit).select(*keys))
+    usual = rows.join(heavy, keys, "left_anti").withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
+    hot = _number(rows.join(heavy, keys), keys, wrapped, order, name, limit, 0)
+    return usual.select(*df.columns, name).unionByName(hot.select(*df.columns, name))
 
 
 def _number(df, keys, buckets, order, name, limit, level) -> DataFrame:

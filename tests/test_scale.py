@@ -34,6 +34,15 @@ def test_numbering_splits_hot_groups(skewed):
         assert {r.gift_id: r.n for r in got.collect()} == expected
 
 
+def test_numbering_shuffles_usual_keys_once(skewed):
+    """Without a heavy key the rows move once, by the key, beside the counts of the keys."""
+    out = number_rows(skewed, ["donor_id"], [F.col("gift_date"), -F.col("gift_amount")], [F.col("gift_date"), -F.col("gift_amount"), F.col("gift_id")], "n")
+    out.collect()
+    final = plan_of(out).split("== Initial Plan ==")[0]
+    assert "Final Plan" in final and "SortMergeJoin" not in final
+    assert len(re.findall(r"Exchange hashpartitioning", final)) <= 2, final
+
+
 def test_base_run_derives_its_transactions_once(spark, tmp_path):
     from donorloom.plans import hooks, run
     from donorloom.sources.store import Store
