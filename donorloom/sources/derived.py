@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from donorloom.functions.clean import null_tokens, strip_point_zero
+from donorloom.session import stored
 from donorloom.sources.files import lenient_date
 
 
@@ -42,7 +43,9 @@ def scan_derived(
     Text that is no date becomes null, and ids lose a trailing ``.0``; null words
     become null. ``renames`` comes first, ``columns`` are the renamed columns to keep (others are not
     decoded from Parquet), and ``since`` keeps rows whose ``newest`` date is in that
-    year or later. Rows are range-sorted, newest first, where the kind says so.
+    year or later. Rows are range-sorted, newest first, where the kind says so; a
+    range sort reads its input twice, so the typed rows are stored before it and
+    text is decoded once.
     """
     spec = KINDS[kind] if isinstance(kind, str) else kind
     df = spark.read.parquet(path) if parquet else spark.read.option("header", True).option("multiLine", False).csv(path)
@@ -60,4 +63,4 @@ def scan_derived(
         df = df.filter(F.col(spec.newest) >= F.make_date(F.lit(since), F.lit(1), F.lit(1)))
     if client is not None:
         df = df.withColumn("client", F.lit(client))
-    return df if spec.newest is None else df.orderBy(F.col(spec.newest).desc_nulls_last())
+    return df if spec.newest is None else stored(df).orderBy(F.col(spec.newest).desc_nulls_last())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,10 +61,30 @@ def bad_lines(df: DataFrame, delimiter: str = ",", quote: str = '"') -> DataFram
     return df.filter(_too_long(df, delimiter, quote)).select(BAD_LINE)
 
 
+def _shape(form: str) -> str | None:
+    """Pattern that every text of a date format of numbers matches, so that other text need not be parsed; else None."""
+    if not re.fullmatch(r"(?:y+|MM?|d+|H+|m+|s+|[^A-Za-z'\[\]{}#])+", form) or "MMM" in form:
+        return None
+    parts = re.findall(r"[A-Za-z]+|[^A-Za-z]+", form)
+    if any(len(set(part)) > 1 for part in parts if part.isalpha()):
+        return None
+    return "^" + "".join("[+-]?[0-9]+" if part.isalpha() else rf"\Q{part}\E" for part in parts) + r"\z"
+
+
 def lenient_date(col: Column, formats: Sequence[str] = ("yyyy-MM-dd", "M/d/yyyy")) -> Column:
-    """First format that fits the whole text, or its part before the time; else null."""
+    """First format that fits the whole text, or its part before the time; else null.
+
+    Text that does not look like a format is not given to its parser: a text that fails there costs an exception.
+    """
     day = F.split(F.trim(col), " ").getItem(0)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats for t in (col, day)]).cast("date")
+
+    def parsed(text: Column, form: str) -> Column:
+        shape, found = _shape(form), F.try_to_timestamp(text, F.lit(form))
+        return found if shape is None else F.when(text.rlike(shape), found)
+
+    # A text that fits a format without a space has none itself, and is its own part before the time.
+    tries = [parsed(t, f) for f in formats for t in ((col, day) if " " in f else (day,))]
+    return F.coalesce(*tries).cast("date")
 
 
 def collect_transactions(
