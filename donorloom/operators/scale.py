@@ -31,6 +31,10 @@ LEVELS = 2
 HOT_GROUP = 1_000_000
 HEAVY_GROUPS = 10_000  # as many keys are treated as heavy at most
 NULL_PIECES = 256
+# Partitions, at least, of a grouping whose keys are nearly as many as its rows. Up to 200 Spark writes rows of a shuffle
+# straight to their files; with more it holds them in memory to sort them.
+RARE_PARTS = 192
+RARE_PIECES = 16  # tasks that a frequent key is cut into there
 
 
 def rising(*columns: str | Column) -> list[Column]:
@@ -162,6 +166,23 @@ def attach(df: DataFrame, values: DataFrame, keys: Sequence[str], size: str | No
     return spread_join(df, values, keys, "left", size)
 
 
+def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+    return df.repartition(max(RARE_PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
+def group_rare(df: DataFrame, keys: Sequence[str], name: str, first: Column, total: Column) -> DataFrame:
+    """``first`` per key, a grouping for keys that rarely repeat; ``total`` adds up values ``name`` of the same key.
+
+    With such keys a map-side combine holds about all rows of its input split and saves nothing. So rows are
+    dealt into many small partitions before the first grouping; a frequent key is cut into pieces there,
+    and the pieces are added up in a second one.
+    """
+    keys = list(keys)
+    pieces = df.withColumn("_piece", F.pmod(_mix(df), F.lit(RARE_PIECES)).cast("int"))
+    part = _dealt(pieces, *keys, "_piece").groupBy(*keys, "_piece").agg(first.alias(name)).drop("_piece")
+    return _dealt(part, *keys).groupBy(*keys).agg(total.alias(name))
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],

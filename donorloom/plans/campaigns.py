@@ -12,7 +12,7 @@ from donorloom.functions.codes import pad_left, pad_right
 from donorloom.functions.dates import fiscal_year
 from donorloom.functions.rules import matches_any, starts_any, sure
 from donorloom.operators.aggregates import rfm
-from donorloom.operators.scale import attach, keep_first
+from donorloom.operators.scale import attach, group_rare, keep_first
 
 
 def broker_report(gifts: DataFrame, codes: DataFrame) -> DataFrame:
@@ -22,8 +22,11 @@ def broker_report(gifts: DataFrame, codes: DataFrame) -> DataFrame:
     and gifts without a known code both stay in the report.
     """
     # One grouping by code holds its levels, at most as many as there are bands; it meets the codes once.
-    grouped = gifts.withColumn("gift_level", gift_level(F.col("gift_amount"))).groupBy("source_code", "gift_level").agg(
-        F.count_distinct("gift_id").alias("returns"), F.sum("gift_amount").alias("revenue"))
+    # A gift is one row of it first, so that a distinct count becomes a plain one.
+    group = ["source_code", "gift_level"]
+    levels = gifts.withColumn("gift_level", gift_level(F.col("gift_amount"))).select(*group, "gift_id", "gift_amount")
+    by_gift = group_rare(levels, [*group, "gift_id"], "revenue", F.sum("gift_amount"), F.sum("revenue"))
+    grouped = by_gift.groupBy(*group).agg(F.count("gift_id").alias("returns"), F.sum("revenue").alias("revenue"))
     by_code = grouped.groupBy("source_code").agg(F.collect_list(F.struct("gift_level", "returns", "revenue")).alias("_levels"))
     rows = codes.join(by_code, "source_code", "full").select("*", F.explode_outer("_levels").alias("_level")).select(
         "*", "_level.*", F.coalesce(F.size("_levels"), F.lit(0)).alias("levels")).drop("_level", "_levels")
