@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from donorloom.operators.scale import attach, dense_index, keep_first, keep_last, rising
+from donorloom.operators.scale import dense_index, group_rare, keep_first, keep_last, rising, spread_join
 
 AUDIT_COLUMNS = ("transaction_file_name", "row_added_at")
 
@@ -74,16 +74,19 @@ def with_made_ids(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame
     return df.filter(F.col(key).isNotNull()).unionByName(fill_missing_ids(df.filter(F.col(key).isNull()), key, order))
 
 
+def _times(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+    return group_rare(df.select(*key), key, name, F.count(F.lit(1)), F.sum(name))
+
+
 def duplicate_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once."""
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    return attach(df, counts.withColumn("_times", F.col("_n")), key, "_n").filter(F.col("_times") > 1).drop("_times")
+    counts = _times(df, key, "_n").filter(F.col("_n") > 1)
+    return spread_join(df, counts, key, "inner", "_n")
 
 
 def duplicate_count(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row: how many rows repeat an earlier key."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
+    return _times(df, key, "n").agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
 DEDUPE = {

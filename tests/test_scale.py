@@ -70,6 +70,25 @@ def test_base_run_derives_its_transactions_once(spark, tmp_path):
     assert {(r["check"], r.detail): r.fail for r in store.read(run.RESULTS).collect()}[("volume", "Record count: 300")] == 0
 
 
+def test_rare_keys_are_dealt_out_before_they_are_grouped(spark):
+    """No map-side table of all keys; frequent and null keys count like others."""
+    from donorloom.operators import dedupe
+    from donorloom.plans.campaigns import broker_report
+    i = F.col("id")
+    rows = spark.range(0, 900, numPartitions=6).select(
+        F.when(i % 3 == 0, 0).when(i % 50 != 7, i % 500).alias("k"), F.lit(1).alias("line"), i.alias("v"))
+    counts = rows.groupBy("k", "line").count().collect()
+    out = dedupe.duplicate_count(rows, ["k", "line"])
+    assert out.first()[0] == sum(r["count"] - 1 for r in counts)
+    assert "HashAggregate" not in plan_of(dedupe.duplicate_count(rows, ["k", "line"])).split("Exchange hashpartitioning")[-1]
+    twice = {r.k for r in counts if r["count"] > 1 and r.k is not None}
+    assert sorted(r.v for r in dedupe.duplicate_rows(rows, ["k", "line"]).collect()) == sorted(r.v for r in rows.collect() if r.k in twice)
+    gifts = rows.select(F.lit("A").alias("source_code"), F.col("k").alias("gift_id"), F.lit(5).cast("decimal(14,4)").alias("gift_amount"))
+    codes = spark.createDataFrame([("A", "C", 10, 1.0, 1.0)], "source_code string, campaign_code string, quantity long, list_cpp double, package_cpp double")
+    report = broker_report(gifts, codes).first()
+    assert report.returns == len({r.k for r in counts} - {None}) and report.revenue == 4500.0
+
+
 def test_skewed_first_and_as_of(skewed):
     first = keep_first(skewed, ["donor_id"], [F.col("gift_date"), F.col("gift_id")])
     assert first.count() == 41 and first.filter("donor_id = 0").first().gift_id == 0
