@@ -8,6 +8,7 @@ from donorloom.catalog.base import START, newest_year, query, with_views
 from donorloom.functions.dates import fiscal_year
 from donorloom.operators import joins
 from donorloom.operators.scale import attach
+from donorloom.session import stored
 from donorloom.sources import tables
 
 # The known part of the code dimension: codes of the six largest sizes were never registered.
@@ -82,16 +83,16 @@ def j05(spark, d):
         "campaign_name", F.when(c("quantity") > 20, c("campaign_code")).alias("campaign_code"), F.lit(None).cast("int").alias("fy"),
         F.concat(F.lit("ACME_sc_"), c("part_id").cast("string")).alias("sc_key_curated"))
     m = tables.mailings(spark, d)
-    fy = fiscal_year(c("mail_date"), START)
-    years = m.select(fy.alias("fy")).distinct().filter("fy BETWEEN 1996 AND 2001").select(
-        F.lit(0).cast("long").alias("part_id"), F.lit("ACME").alias("client"), F.concat(F.lit("U"), c("fy").cast("string")).alias("source_code"),
-        F.lit("Unsourced").alias("campaign_name"), F.concat(F.lit("UNSOURCED-FY"), c("fy").cast("string")).alias("campaign_code"), "fy",
-        F.concat(F.lit("ACME_unsourced_"), c("fy").cast("string")).alias("sc_key_curated"))
-    g = m.select(
+    # Stored once: the years, the combinations of keys and the answers are read from it without its joins.
+    g = stored(m.select(
         *PIECE, F.lit("ACME").alias("client"),
         F.when(c("line") == 7, "zz").when(c("line") == 6, c("campaign_code")).otherwise(c("source_code")).alias("source_code"),
         F.when(c("line") < 5, c("campaign_name")).alias("campaign_name"), F.when(c("line") < 4, c("campaign_code")).alias("campaign_code"),
-        fy.alias("gift_fy"))
+        fiscal_year(c("mail_date"), START).alias("gift_fy")))
+    years = g.select(c("gift_fy").alias("fy")).distinct().filter("fy BETWEEN 1996 AND 2001").select(
+        F.lit(0).cast("long").alias("part_id"), F.lit("ACME").alias("client"), F.concat(F.lit("U"), c("fy").cast("string")).alias("source_code"),
+        F.lit("Unsourced").alias("campaign_name"), F.concat(F.lit("UNSOURCED-FY"), c("fy").cast("string")).alias("campaign_code"), "fy",
+        F.concat(F.lit("ACME_unsourced_"), c("fy").cast("string")).alias("sc_key_curated"))
     return joins.curated_code_key(g, dim.unionByName(years), [c("part_id")]).select(*PIECE, "sc_key_curated")
 
 

@@ -56,43 +56,55 @@ def membership_flag(df: DataFrame, key: str, table: DataFrame, table_key: str, n
     return spread_join(df, known, [key]).withColumn(name, F.coalesce(F.col("_known"), F.lit(False))).drop("_known")
 
 
+LOOKUP_ROWS = 200_000  # a lookup table of up to this many rows is broadcast
+
+
+def _looked_up(rows: DataFrame, values: DataFrame, keys: Sequence[str], size: str | None = None) -> DataFrame:
+    """Left join with a durable table of one row per key: rows stay where they are if it is small, else ``spread_join``."""
+    if values.count() > LOOKUP_ROWS:
+        return spread_join(rows, values, keys, size=size)
+    return rows.join(F.broadcast(values.drop(size) if size else values), list(keys), "left")
+
+
 def curated_code_key(gifts: DataFrame, codes: DataFrame, tie: Sequence[Column]) -> DataFrame:
     """Key of the best matching source-code row.
 
     Precedence: client + code + name + campaign, then client + code + name,
     then client + code, then the client's unsourced row of the gift's fiscal
-    year. All forms of key are one table: (rank, parts of the key) with the first
-    code row by ``tie``. The distinct key combinations of the gifts unfold into the
-    same forms, meet them in one join, and the smallest rank that is found wins.
-    The gifts are reduced to their combinations once, with the number of rows of
-    each, and pick up the answer in one more join.
+    year. The first three forms of key are one table: (rank, parts of the key) with
+    the first code row by ``tie``. The distinct key combinations of the gifts, without the
+    year, unfold into the same forms, meet them in one join, and the smallest rank
+    that is found wins. The gifts pick up this answer and the unsourced row of their year
+    in one join each; a small table is broadcast, so that the gifts are not shuffled.
+    ``gifts`` is read twice: one that takes joins to derive should be stored first.
     """
     def text(c: str) -> Column:
         return F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
 
     parts = {"k_client": "client", "k_code": "source_code", "k_name": "campaign_name", "k_camp": "campaign_code"}
-    every = [*parts, "k_fy"]
-    forms = [["k_client", "k_code", "k_name", "k_camp"], ["k_client", "k_code", "k_name"], ["k_client", "k_code"], ["k_client", "k_fy"]]
-
-    def unfolded(df: DataFrame, year: Column) -> DataFrame:
-        """Each row under every form of key it has; the last form is for rows where ``year`` holds."""
-        def form(rank: int, keys: Sequence[str]) -> Column:
-            made = F.struct(F.lit(rank).alias("rank"), *[(F.col(k) if k in keys else F.lit("")).alias(f"f_{k}") for k in every])
-            return F.when(year, made) if rank == len(forms) - 1 else made
-        made = F.array_compact(F.array(*[form(rank, keys) for rank, keys in enumerate(forms)]))
-        return df.withColumn("_form", F.explode(made)).select("*", "_form.*").drop("_form")
-
-    key = ["rank", *[f"f_{k}" for k in every]]
+    named, year = list(parts), ["k_client", "k_fy"]
+    forms = [named, ["k_client", "k_code", "k_name"], ["k_client", "k_code"]]
+
+    def unfolded(df: DataFrame) -> DataFrame:
+        """Each row under every form of key."""
+        made = [F.struct(F.lit(rank).alias("rank"), *[(F.col(k) if k in keys else F.lit("")).alias(f"f_{k}") for k in named])
+                for rank, keys in enumerate(forms)]
+        return df.withColumn("_form", F.explode(F.array(*made))).select("*", "_form.*").drop("_form")
+
+    key = ["rank", *[f"f_{k}" for k in named]]
     dim = codes.filter(F.col("sc_key_curated").isNotNull()).withColumns(
         {k: text(c) for k, c in parts.items()} | {"k_fy": text("fy")})
-    known = unfolded(dim, F.col("k_camp").startswith("UNSOURCED-FY")).groupBy(*key).agg(
-        first_value("sc_key_curated", tie).alias("sc_key_curated"))
+    first = first_value("sc_key_curated", tie)
+    known = unfolded(dim).groupBy(*key).agg(first.alias("_named"))
+    unsourced = dim.filter(F.col("k_camp").startswith("UNSOURCED-FY")).groupBy(*year).agg(first.alias("_unsourced"))
     rows = gifts.drop("sc_key_curated").withColumns(
         {k: text(c) for k, c in parts.items()} | {"k_fy": text("gift_fy")})
-    counts = rows.groupBy(*every).agg(F.count(F.lit(1)).alias("_rows"))
-    answer = unfolded(counts, F.lit(True)).join(known, key).groupBy(*every).agg(
-        F.min_by("sc_key_curated", "rank").alias("sc_key_curated"), F.first("_rows").alias("_rows"))
-    return spread_join(rows, durable(answer), every, size="_rows").drop(*every)
+    counts = rows.groupBy(*named).agg(F.count(F.lit(1)).alias("_rows"))
+    answer = unfolded(counts).join(known, key).groupBy(*named).agg(
+        F.min_by("_named", "rank").alias("_named"), F.first("_rows").alias("_rows"))
+    found = _looked_up(_looked_up(rows, durable(unsourced), year), durable(answer), named, "_rows")
+    return found.select(*[F.col(f"`{c}`") for c in gifts.columns if c != "sc_key_curated"],
+                        F.coalesce("_named", "_unsourced").alias("sc_key_curated"))
 
 
 def most_recent_event(df: DataFrame, keys: Sequence[str], day: str, event: Column, name: str) -> DataFrame:

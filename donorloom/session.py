@@ -68,5 +68,5 @@ def stored(df: DataFrame) -> DataFrame:
     takes only the columns it needs, and Spark knows the size.
     """
     folder = new_folder(df.sparkSession, "stored")
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(folder)

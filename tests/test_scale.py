@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from donorloom.operators import scale, windows
+from donorloom.operators import joins, scale, windows
 from donorloom.operators.scale import heavy_groups, keep_first, number_rows, running_last, spread_join
 from donorloom.plans import file_health, response_curve
 from donorloom.sources import tables
@@ -147,6 +147,26 @@ def test_joins_derive_their_input_once(spark, sf):
         assert found <= most, (name, found)
 
 
+def test_priority_key_derives_its_rows_once(spark, sf):
+    """The mailings' joins run once, and small tables of answers come to the rows without a shuffle of them."""
+    from donorloom.catalog import load
+    out = load()["j05_priority_code_key"].run(spark, sf)
+    plan = plan_of(out)
+    assert "Exchange hashpartitioning" not in plan and "lineitem" not in plan
+    assert out.count() == tables.mailings(spark, sf).count()
+
+
+def test_priority_key_with_many_answers(spark, sf, monkeypatch):
+    """Answers too many to be broadcast give the same keys by a join that shuffles the rows."""
+    from donorloom.catalog import load
+    small = load()["j05_priority_code_key"].run(spark, sf)
+    monkeypatch.setattr(joins, "LOOKUP_ROWS", 0)
+    large = load()["j05_priority_code_key"].run(spark, sf)
+    assert "Exchange hashpartitioning" in plan_of(large)
+    assert small.filter("sc_key_curated LIKE 'ACME_sc%'").count() > 0 and small.filter("sc_key_curated LIKE 'ACME_uns%'").count() > 0
+    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+
+
 def test_equal_rows_of_a_hot_key_are_dealt_out(spark):
     """A third of all rows are equal; they still meet their value in many tasks."""
     rows = spark.range(0, 9000, numPartitions=30).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
