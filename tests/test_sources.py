@@ -74,6 +74,54 @@ def test_a_large_file_with_line_breaks_is_read_by_several_tasks(spark, tmp_path)
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def window_spills(df):
+    """Bytes that the windows of an executed plan spilled."""
+    def walk(node):
+        name = node.nodeName()
+        below = [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if name.endswith("QueryStage") else [
+            node.children().apply(i) for i in range(node.children().size())]
+        own = [node.metrics().apply("spillSize").value()] if name == "Window" else []
+        return own + [x for b in below for x in walk(b)]
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_lines_are_put_together_by_chunks_not_by_splits(spark, tmp_path, monkeypatch):
+    """A window holds a chunk and the end of one record, however large the split is."""
+    from donorloom.sources import mixed
+    (tmp_path / "a.csv").write_text("id,text\n" + "".join(f'{i},"a\nb, {i}"\n' for i in range(20_000)))
+    conf = {"spark.sql.windowExec.buffer.in.memory.threshold": "4096", "spark.sql.windowExec.buffer.spill.threshold": "4096"}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for limit in (10**6, 0):  # the chunks are broadcast, or joined
+            monkeypatch.setattr(mixed, "BROADCAST_CHUNKS", limit, raising=False)
+            df = mixed.read_mixed(spark, str(tmp_path))
+            assert sorted((int(r.id), r.text, r._bad_line) for r in df.collect()) == [(i, f"a\nb, {i}", None) for i in range(20_000)]
+            spilled = window_spills(df)
+            assert spilled and sum(spilled) == 0
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_records_over_several_splits_are_whole(spark, tmp_path):
+    from donorloom.sources.mixed import read_mixed
+    long = "\n".join(f"{i},x" for i in range(1500))
+    (tmp_path / "a.csv").write_text(f'id,text\n1,"{long}"\n2,"b\n\nc"\n3,"{long}\n{long}"\n4,d\n5,"e\nf"\n')
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "4000", "500"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            good, bad = mixed_rows(read_mixed(spark, str(tmp_path)).select("id", "text", "_bad_line", "_file"))
+            assert good == [("1", long), ("2", "b\n\nc"), ("4", "d"), ("5", "e\nf")]
+            # A record of more lines than may be held is bad as a whole, and none of its lines is lost or taken for a record.
+            assert sorted("\n".join(bad).split("\n")) == sorted(f'3,"{long}\n{long}"'.split("\n"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_store_round_trips(spark, tmp_path):
     s = Store(spark, str(tmp_path), "ACME")
     s.create("donor", {"donor_key": "object", "n": "Int64"})
